@@ -16,12 +16,12 @@ def is_blank(col: Column) -> Column:
 
 
 def blank_to_unknown(col: Column) -> Column:
-    return F.when(is_blank(col), F.lit(S.UNKNOWN)).otherwise(col)
+    return F.coalesce(F.nullif(col, F.lit("")), F.lit(S.UNKNOWN))
 
 
 def cell_or_unknown(col: Column) -> Column:
     """A cell id, or ``NULL_VALUE`` when it is blank or made of two blank halves."""
-    return F.when(is_blank(col) | (col == S.CELL_JOINER), F.lit(S.UNKNOWN)).otherwise(col)
+    return F.coalesce(F.nullif(F.nullif(col, F.lit("")), F.lit(S.CELL_JOINER)), F.lit(S.UNKNOWN))
 
 
 def region_bucket(region: Column) -> Column:

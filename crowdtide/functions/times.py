@@ -19,8 +19,9 @@ def ntz(moment: datetime) -> Column:
 
 def parse_time(text: Column) -> Column:
     """``yyyyMMddHHmmss`` to ``timestamp_ntz``; null for anything else."""
-    pieces = [F.substring(text, at, size) for at, size in ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2))]
-    iso = F.format_string("%s-%s-%s %s:%s:%s", *pieces)
+    day = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    hour = F.concat_ws(":", F.substring(text, 9, 2), F.substring(text, 11, 2), F.substring(text, 13, 2))
+    iso = F.concat(day, F.lit(" "), hour)
     return F.when(text.rlike("^[0-9]{14}$"), iso.try_cast("timestamp_ntz"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdtide import schemas as S
-from crowdtide.functions import blank_to_unknown, cell_or_unknown, is_blank, region_bucket
+from crowdtide.functions import blank_to_unknown, cell_or_unknown, region_bucket
 
 BY_TIME = ("stat_time",)
 
@@ -62,16 +62,17 @@ STANDARD_LABELS = (
 def parse_labels(lines: DataFrame, spec: LabelSpec, col: str = "value") -> DataFrame:
     """``user_hash`` and the array of label values present, in the order of the spec.
 
-    A short row keeps the leading labels up to the first one it has no field for. Rows without a
-    user are left out.
+    A short row keeps the leading labels up to the first one it has no field for. A row without a
+    user gets a null hash, which joins to nobody; a test for blanks here would be copied by the
+    optimizer to the other side of the join and run there on every signal.
     """
+    user = F.nullif(F.substring_index(F.col(col), spec.sep, 1), F.lit(""))
     parts = F.split(F.col(col), re.escape(spec.sep), spec.width)
-    user = F.get(F.split(F.col(col), re.escape(spec.sep)), F.lit(0))
     reach = [max(spec.positions[: k + 1]) for k in range(len(spec.positions))]
-    present = reduce(lambda a, b: a + b, [(F.size(parts) > r).cast("int") for r in reach])
-    values = F.array(*[blank_to_unknown(F.get(parts, F.lit(p))) for p in spec.positions])
-    return lines.where(~is_blank(user)).select(
-        user.alias("user_hash"), F.slice(values, F.lit(1), present).alias("values")
+    present = " + ".join(f"int(size(parts) > {r})" for r in reach)
+    values = ", ".join(f"coalesce(nullif(get(parts, {p}), ''), '{S.UNKNOWN}')" for p in spec.positions)
+    return lines.select(user.alias("user_hash"), parts.alias("parts")).select(
+        "user_hash", F.expr(f"slice(array({values}), 1, {present})").alias("values")
     )
 
 
@@ -80,10 +81,8 @@ def count_prefixes(people: DataFrame, area: Sequence[str] = ("cell_id",), by: Se
     return people.groupBy(*by, *area, "prefix7").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def unpivot_regions(
-    counted: DataFrame, prefix_region: DataFrame, area: str = "cell_id", by: Sequence[str] = BY_TIME
-) -> DataFrame:
-    """(area, label, value, cnt) rows for head count, home region and its short form.
+def unpivot_regions(counted: DataFrame, prefix_region: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """``carry`` columns, label, value and cnt: head count, home region and its short form.
 
     Runs on prefix counts, so the join and the three-way unpivot see one row per area and prefix
     and never a user row. Every match of a repeated prefix counts.
@@ -97,15 +96,16 @@ def unpivot_regions(
     )
     return (
         counted.join(regions, "prefix7", "left")
-        .select(*by, cell_or_unknown(F.col(area)).alias("area_id"), F.explode(pairs).alias("pair"), "cnt")
-        .select(*by, "area_id", "pair.label", "pair.value", "cnt")
+        .select(*carry, F.explode(pairs).alias("pair"), "cnt")
+        .select(*carry, "pair.label", "pair.value", "cnt")
     )
 
 
 def region_rows(
     people: DataFrame, prefix_region: DataFrame, area: str = "cell_id", by: Sequence[str] = BY_TIME
 ) -> DataFrame:
-    return unpivot_regions(count_prefixes(people, (area,), by), prefix_region, area, by)
+    rows = unpivot_regions(count_prefixes(people, (area,), by), prefix_region, (*by, area))
+    return rows.select(*by, cell_or_unknown(F.col(area)).alias("area_id"), "label", "value", "cnt")
 
 
 def labelled(
@@ -114,7 +114,8 @@ def labelled(
     """``carry`` columns, label and value: one row per person and label, none for the unlabelled.
 
     All label tables are stacked and joined once, so people are shuffled once however many tables
-    there are. Only the values travel; label names are put on after the join.
+    there are. Only the values travel; label names are put on after the join. The outer explode
+    keeps the optimizer from testing the value arrays a second time on every label row.
     """
     stacked = reduce(
         DataFrame.unionByName,
@@ -124,7 +125,8 @@ def labelled(
     return (
         people.select("user_hash", *carry)
         .join(stacked, "user_hash")
-        .select(*carry, "spec", F.posexplode("values").alias("at", "value"))
+        .select(*carry, "spec", F.posexplode_outer("values").alias("at", "value"))
+        .where(F.col("at").isNotNull())
         .select(*carry, F.get(F.get(names, F.col("spec")), F.col("at")).alias("label"), "value")
     )
 

@@ -6,18 +6,19 @@ joins on the user alone meet no hot key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crowdtide.functions import cell_or_unknown
+from crowdtide.functions import cell_or_unknown, format_time, parse_time
 from crowdtide.operators.counts import LabelSpec, add_up, count_prefixes, labelled, unpivot_regions
 from crowdtide.operators.joins import dimension_join
 
 CURRENT = "current"
-LAGS = {"stayed_15m": timedelta(minutes=15), "stayed_60m": timedelta(minutes=60)}
+HOURLY = timedelta(minutes=60)
+LAGS = {"stayed_15m": timedelta(minutes=15), "stayed_60m": HOURLY}
 
 
 def look_back(stat_time: datetime, lag: timedelta) -> datetime:
@@ -31,8 +32,8 @@ def on_the_hour(stat_time: Column) -> Column:
 
 def lags_for(stat_time: datetime) -> dict[str, timedelta]:
     """The comparisons due at ``stat_time``: 15 minutes always, 60 minutes only on the hour."""
-    hourly = (stat_time - LAGS["stayed_60m"]).strftime("%M%S") == "0000"
-    return {name: lag for name, lag in LAGS.items() if name != "stayed_60m" or hourly}
+    hourly = look_back(stat_time, HOURLY).strftime("%M%S") == "0000"
+    return {name: lag for name, lag in LAGS.items() if lag != HOURLY or hourly}
 
 
 def locate(snapshot: DataFrame, cell_district: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -78,44 +79,68 @@ def _areas(cell_district: DataFrame, cell: str) -> DataFrame:
     )
 
 
-def _pairs(current: DataFrame, earlier: DataFrame, by: Sequence[str]) -> DataFrame:
-    now = current.select("user_hash", "prefix7", F.col("cell_id").alias("cell_now"), *by)
-    then = earlier.select("user_hash", F.col("cell_id").alias("cell_then"), *by)
-    return now.join(then, ["user_hash", *by])
+def track(snapshots: DataFrame, lags: Mapping[str, timedelta]) -> DataFrame:
+    """(stat_time, user_hash, prefix7, cell_now, one cell per lag): where each present user is and was.
 
+    Each snapshot row is also sent to the later times that look back at it, and the rows of a user
+    and time meet in one aggregate: one shuffle for any number of lags and times. The hourly lag is
+    filled only on the hour.
+    """
+    stamp = F.col("stat_time")
+    roles = [F.struct(stamp.alias("stat_time"), F.lit(0).alias("role"))]
+    for n, lag in enumerate(lags.values(), start=1):
+        later = format_time(parse_time(stamp) + F.lit(lag))
+        roles.append(F.struct(later.alias("stat_time"), F.lit(n).alias("role")))
+    sent = snapshots.select("user_hash", "prefix7", "cell_id", F.explode(F.array(*roles)).alias("to")).select(
+        "user_hash", "prefix7", "cell_id", "to.stat_time", "to.role"
+    )
+    cells = [F.max(F.when(F.col("role") == 0, F.col("cell_id"))).alias("cell_now")]
+    for n, (name, lag) in enumerate(lags.items(), start=1):
+        then = F.max(F.when(F.col("role") == n, F.col("cell_id")))
+        if lag == HOURLY:
+            then = F.when(on_the_hour(stamp), then)
+        cells.append(then.alias(name))
+    return (
+        sent.groupBy("stat_time", "user_hash", "prefix7").agg(*cells).where(F.col("cell_now").isNotNull())
+    )
 
-def stayed_counts(
-    current: DataFrame,
-    earlier: DataFrame,
+
+def movement_counts(
+    snapshots: DataFrame,
+    lags: Mapping[str, timedelta],
     cell_district: DataFrame,
     prefix_region: DataFrame,
     labels: Sequence[tuple[LabelSpec, DataFrame]] = (),
-    by: Sequence[str] = ("stat_time",),
 ) -> DataFrame:
-    """Region and label counts of the people who stayed, per district.
+    """District counts with a ``movement`` column: all people now, and those who stayed per lag.
 
-    The same numbers as counting ``stayed(locate(..), locate(..))``, but people are first counted
-    per pair of cells: the bridge then meets small counts instead of every user, and the two
-    snapshots and the labels are joined on one key with one shuffle each.
+    The same numbers as counting ``stayed(locate(..), locate(..))`` lag by lag. Here people are
+    counted once per combination of cells, with their labels joined once for all movements; only
+    these counts meet the bridge.
     """
-    pairs = _pairs(current, earlier, by)
-    cells = ("cell_now", "cell_then")
-    now = _areas(cell_district, "cell_now")
-    then = _areas(cell_district, "cell_then")
-
-    def in_same_district(counted: DataFrame) -> DataFrame:
-        return counted.join(now, "cell_now").join(then, ["cell_then", "area_id"]).drop(*cells)
-
-    rows = unpivot_regions(in_same_district(count_prefixes(pairs, cells, by)), prefix_region, "area_id", by)
+    by = ("stat_time",)
+    tracked = track(snapshots, lags)
+    cells = ("cell_now", *lags)
+    rows = unpivot_regions(count_prefixes(tracked, cells, by), prefix_region, (*by, *cells))
     if labels:
-        counted = (
-            labelled(pairs, labels, (*by, *cells))
-            .groupBy(*by, *cells, "label", "value")
-            .agg(F.count(F.lit(1)).alias("cnt"))
-        )
         rows = rows.unionByName(
-            in_same_district(counted).select(
-                *by, cell_or_unknown(F.col("area_id")).alias("area_id"), "label", "value", "cnt"
-            )
+            labelled(tracked, labels, (*by, *cells)).withColumn("cnt", F.lit(1).cast("long"))
         )
-    return add_up(rows, by=by)
+    counted = add_up(rows, cells, by)
+
+    kinds = [F.struct(F.lit(CURRENT).alias("movement"), F.lit(None).cast("string").alias("cell_then"))]
+    kinds += [F.struct(F.lit(name).alias("movement"), F.col(name).alias("cell_then")) for name in lags]
+    each = counted.select(*by, "cell_now", "label", "value", "cnt", F.explode(F.array(*kinds)).alias("kind")).select(
+        *by, "cell_now", "label", "value", "cnt", "kind.movement", "kind.cell_then"
+    )
+    everyone = F.col("movement") == CURRENT
+    now = _areas(cell_district, "cell_now")
+    then = _areas(cell_district, "cell_then").withColumn("same", F.lit(True))
+    return (
+        each.where(everyone | F.col("cell_then").isNotNull())
+        .join(now, "cell_now")
+        .join(then, ["cell_then", "area_id"], "left")
+        .where(everyone | F.col("same"))
+        .groupBy(*by, "movement", cell_or_unknown(F.col("area_id")).alias("area_id"), "label", "value")
+        .agg(F.sum("cnt").alias("cnt"))
+    )

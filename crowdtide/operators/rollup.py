@@ -60,31 +60,64 @@ def city_total(district_stats: DataFrame, by: Sequence[str] = BY_TIME) -> DataFr
     )
 
 
-def district_branches(
-    cell_stats: DataFrame, grid_stats: DataFrame, bridges: Bridges, by: Sequence[str] = BY_TIME
-) -> DataFrame:
-    """All district rows with the ``branch`` they came by. Each step starts from rounded counts."""
-    from_grid = roll_up(grid_stats, bridges.grid_district, by)
-    from_cell = roll_up(cell_stats, bridges.cell_district, by)
-    branches = {
-        "grid": from_grid,
-        "city": city_total(from_grid, by),
-        "cell": from_cell,
-        "parent": roll_up(from_cell, bridges.district_parent, by),
-    }
-    rows = [df.withColumn("branch", F.lit(name)) for name, df in branches.items()]
-    out = rows[0]
-    for df in rows[1:]:
-        out = out.unionByName(df)
-    return out
+def _tagged(bridge: DataFrame, step: str, target: str, level: str) -> DataFrame:
+    return bridge.select(
+        F.lit(step).alias("step"), "from_id", "to_id", "ratio", F.lit(target).alias("branch"), F.lit(level).alias("level")
+    )
+
+
+def _climb(stats: DataFrame, edges: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One roll-up over edges of several branches at once; ``step`` says which edges a row may take."""
+    edges = edges.where(F.col("from_id").isNotNull()).select(
+        "step",
+        F.col("from_id").alias("area_id"),
+        blank_to_unknown(F.col("to_id")).alias("to_id"),
+        F.coalesce("ratio", F.lit(1.0)).alias("ratio"),
+        "branch",
+        "level",
+    )
+    share = (F.col("cnt") * F.col("ratio")).cast("decimal(38,18)")
+    return (
+        stats.join(edges, ["step", "area_id"])
+        .groupBy(*by, F.col("to_id").alias("area_id"), "label", "value", "branch", "level")
+        .agg(F.round(F.sum(share)).cast("long").alias("cnt"))
+    )
 
 
 def area_stats(cell_stats: DataFrame, bridges: Bridges, by: Sequence[str] = BY_TIME) -> DataFrame:
-    """Grid rows and district rows together, marked with ``level`` and ``branch``."""
-    grid = roll_up(cell_stats, bridges.cell_grid, by)
-    districts = district_branches(cell_stats, grid, bridges, by)
-    return grid.select("*", F.lit("grid").alias("branch"), F.lit(LEVEL_GRID).alias("level")).unionByName(
-        districts.withColumn("level", F.lit(LEVEL_DISTRICT))
+    """Grid rows and district rows together, marked with ``level`` and the ``branch`` they came by.
+
+    Every step starts from the rounded counts of the step before. Branches climb side by side: cells
+    go to grids and districts in one sum, those go to districts and parents in the next, where an
+    edge to itself carries each row on unchanged. The plan is one chain, so nothing is computed
+    twice and the cell counts are read once.
+    """
+    up = _tagged(bridges.cell_grid, "cell", "grid", LEVEL_GRID).unionByName(
+        _tagged(bridges.cell_district, "cell", "cell", LEVEL_DISTRICT)
+    )
+    first = _climb(cell_stats.withColumn("step", F.lit("cell")), up, by)
+
+    reached = up.where(F.col("from_id").isNotNull()).select(blank_to_unknown(F.col("to_id")).alias("area"), "branch", "level")
+    stay = reached.distinct().select(
+        F.col("branch").alias("step"), F.col("area").alias("from_id"), F.col("area").alias("to_id"),
+        F.lit(1.0).alias("ratio"), "branch", "level",
+    )
+    higher = (
+        _tagged(bridges.grid_district, "grid", "grid", LEVEL_DISTRICT)
+        .unionByName(_tagged(bridges.district_parent, "cell", "parent", LEVEL_DISTRICT))
+        .unionByName(stay)
+    )
+    second = _climb(first.withColumnRenamed("branch", "step").drop("level"), higher, by)
+
+    in_city = (
+        F.col("area_id").startswith(S.CITY_MEMBER_PREFIX) & (F.col("branch") == "grid") & (F.col("level") == LEVEL_DISTRICT)
+    )
+    itself = F.struct(F.col("area_id").alias("area_id"), F.col("branch").alias("branch"))
+    city = F.struct(F.lit(S.CITY_AREA).alias("area_id"), F.lit("city").alias("branch"))
+    return (
+        second.select(*by, "label", "value", "cnt", "level", F.explode(F.when(in_city, F.array(itself, city)).otherwise(F.array(itself))).alias("at"))
+        .groupBy(*by, "at.area_id", "label", "value", "at.branch", "level")
+        .agg(F.sum("cnt").alias("cnt"))
     )
 
 

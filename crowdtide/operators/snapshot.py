@@ -40,14 +40,18 @@ def rejected(rows: DataFrame) -> DataFrame:
 
 
 def build_snapshot(locations: DataFrame, stat_time: datetime | Column, salt: str | None = None) -> DataFrame:
-    """Hash the users of ``locations`` and stamp the rows; a blank phone number is no user."""
+    """Hash the users of ``locations`` and stamp the rows; a blank phone number is no user.
+
+    The hash is written so that it can never be null. Otherwise a later join would add a test for
+    it, and that test, MD5 included, would be pushed down to every raw signal.
+    """
     phone = F.col("msisdn")
     if isinstance(stat_time, datetime):
         stamp = F.lit(stat_time.strftime("%Y%m%d%H%M%S"))
     else:
         stamp = format_time(stat_time)
-    return locations.where(~is_blank(phone)).select(
-        pseudonym(phone, salt).alias("user_hash"),
+    return locations.where(phone.isNotNull() & (phone != "")).select(
+        F.coalesce(pseudonym(phone, salt), F.lit("")).alias("user_hash"),
         "cell_id",
         phone_prefix(phone).alias("prefix7"),
         stamp.alias("stat_time"),

@@ -74,9 +74,3 @@ def latest_over_range(
         .select(key, "newest", F.explode(F.sequence("at", "until")).alias("n"))
         .select(key, *[f"newest.{c}" for c in keep], moment.alias("snapshot_time"))
     )
-
-
-def shift_times(snapshots: DataFrame, by: timedelta) -> DataFrame:
-    """Move ``stat_time`` forward, so that an earlier snapshot lines up with a later one."""
-    moment = parse_time(F.col("stat_time")) + F.lit(by)
-    return snapshots.withColumn("stat_time", format_time(moment))

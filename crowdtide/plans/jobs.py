@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdtide.operators.counts import LabelSpec, area_counts
-from crowdtide.operators.movement import CURRENT, LAGS, lags_for, on_the_hour, stayed_counts
+from crowdtide.operators.movement import CURRENT, LAGS, lags_for, look_back, movement_counts
 from crowdtide.operators.profile import profiles
-from crowdtide.operators.rollup import Bridges, area_stats, roll_up
+from crowdtide.operators.rollup import Bridges, area_stats
 from crowdtide.operators.snapshot import build_snapshot
-from crowdtide.operators.timeline import shift_times
 from crowdtide.plans.lineage import cut_lineage
 from crowdtide.sinks import tables as sinks
 from crowdtide.sources.tables import read_snapshot, read_snapshot_range
@@ -117,39 +116,19 @@ def run_backup(locations: DataFrame, paths: Paths, stat_time: datetime) -> None:
     sinks.write_snapshot(build_snapshot(locations, stat_time), paths.backups)
 
 
-def movement_stats(
-    snapshots: DataFrame,
-    inputs: Inputs,
-    lags: dict[str, timedelta] | None = None,
-) -> DataFrame:
-    """District counts with a ``movement`` column: all people now, and those who stayed per lag.
-
-    ``snapshots`` holds the current times and the earlier ones they are compared with. The hourly
-    comparison is made only for times on the hour.
-    """
-    lags = LAGS if lags is None else lags
-    cells = area_counts(snapshots, inputs.prefix_region, inputs.labels)
-    out = roll_up(cells, inputs.bridges.cell_district).withColumn("movement", F.lit(CURRENT))
-    for name, lag in lags.items():
-        current = snapshots.where(on_the_hour(F.col("stat_time"))) if lag == LAGS["stayed_60m"] else snapshots
-        counts = stayed_counts(
-            current, shift_times(snapshots, lag), inputs.bridges.cell_district, inputs.prefix_region, inputs.labels
-        )
-        out = out.unionByName(counts.withColumn("movement", F.lit(name)))
-    return out
-
-
 def run_movement(spark: SparkSession, inputs: Inputs, paths: Paths, begin: datetime, end: datetime | None = None) -> None:
     """Movement profiles for one time or for every stored time in a range, as one job."""
     end = end or begin
     lags = lags_for(begin) if end == begin else LAGS
-    earlier = sorted({begin - lag for lag in lags.values()} | {begin})
+    earlier = sorted({look_back(begin, lag) for lag in lags.values()} | {begin})
     if end == begin:
         snapshots = read_snapshot(spark, paths.snapshots, earlier)
     else:
         snapshots = read_snapshot_range(spark, paths.snapshots, earlier[0], end)
     wanted = F.col("stat_time").between(begin.strftime("%Y%m%d%H%M%S"), end.strftime("%Y%m%d%H%M%S"))
-    stats = movement_stats(snapshots, inputs, lags).where(wanted)
+    stats = movement_counts(
+        snapshots, lags, inputs.bridges.cell_district, inputs.prefix_region, inputs.labels
+    ).where(wanted)
     rows = profiles(stats, by=("stat_time", "movement"))
     sinks.write_profiles(rows, paths.profiles)
     step = timedelta(minutes=15)

@@ -17,7 +17,6 @@ from crowdtide.operators import profile as prof
 from crowdtide.operators import signals as sig
 from crowdtide.operators import snapshot as snap
 from crowdtide.plans.flow import apply_flow
-from crowdtide.plans.jobs import Inputs, movement_stats
 from crowdtide.plans.lineage import shared_folder
 from crowdtide.sources.tables import read_latest_locations
 from crowdtide.streaming.locations import start_location_stream
@@ -143,8 +142,10 @@ def arrived_strict(spark: SparkSession, d: str) -> DataFrame:
     return movement.moved_strict(_located(spark, d), _located(spark, d, SIXTY))
 
 
-def _inputs(spark: SparkSession, d: str) -> Inputs:
-    return Inputs(w.bridges(spark, d), w.prefix_region(spark, d), w.labels(spark, d))
+def _movement_counts(spark: SparkSession, d: str, people: DataFrame) -> DataFrame:
+    return movement.movement_counts(
+        people, movement.LAGS, w.bridges(spark, d).cell_district, w.prefix_region(spark, d), w.labels(spark, d)
+    )
 
 
 def movement_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -153,8 +154,7 @@ def movement_profile(spark: SparkSession, d: str) -> DataFrame:
     for earlier in times[1:]:
         people = people.unionByName(w.snapshot(spark, d, earlier))
     now = F.col("stat_time") == w.AS_OF.strftime("%Y%m%d%H%M%S")
-    stats = movement_stats(people, _inputs(spark, d)).where(now)
-    return prof.profiles(stats, by=("stat_time", "movement"))
+    return prof.profiles(_movement_counts(spark, d, people).where(now), by=("stat_time", "movement"))
 
 
 def time_range(spark: SparkSession, d: str) -> DataFrame:
@@ -179,7 +179,7 @@ def backfill_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def movement_backfill(spark: SparkSession, d: str) -> DataFrame:
     people = _range_snapshots(spark, d, w.HOUR)
-    return movement_stats(people, _inputs(spark, d)).select(*STAT_COLUMNS, "movement")
+    return _movement_counts(spark, d, people).select(*STAT_COLUMNS, "movement")
 
 
 def district_bridge(spark: SparkSession, d: str) -> DataFrame:

@@ -11,6 +11,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crowdtide.functions import format_time, pseudonym
 from crowdtide.operators.counts import STANDARD_LABELS, parse_labels
@@ -24,8 +25,15 @@ HOUR = timedelta(hours=1)
 RANGE = (datetime(2024, 1, 1), datetime(2024, 1, 31))
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A benchmark table; its schema is looked up in the files once."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def phone(number: Column) -> Column:
