@@ -151,6 +151,11 @@ def add_up(rows: DataFrame, area: Sequence[str] = ("area_id",), by: Sequence[str
     return rows.groupBy(*by, *area, "label", "value").agg(F.sum("cnt").alias("cnt"))
 
 
+def head_counts(people: DataFrame, area: str = "cell_id", by: Sequence[str] = BY_TIME) -> DataFrame:
+    """People per area, without looking at who they are."""
+    return people.groupBy(*by, cell_or_unknown(F.col(area)).alias("area_id")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def region_counts(
     people: DataFrame, prefix_region: DataFrame, area: str = "cell_id", by: Sequence[str] = BY_TIME
 ) -> DataFrame:

@@ -18,6 +18,7 @@ from crowdtide.operators import signals as sig
 from crowdtide.operators import snapshot as snap
 from crowdtide.plans.flow import apply_flow
 from crowdtide.plans.lineage import shared_folder
+from crowdtide.sources.delimited import parse_stats
 from crowdtide.sources.tables import read_latest_locations
 from crowdtide.streaming.locations import start_location_stream
 from crowdtide.workload import tables as w
@@ -68,9 +69,10 @@ def label_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def label_values(spark: SparkSession, d: str) -> DataFrame:
-    """Parsed label files in long form: which labels each row of the files gives."""
-    users = [rows.select("user_hash").distinct() for _, rows in w.labels(spark, d)]
-    return counts.labelled(users[0].unionByName(users[1]).distinct(), w.labels(spark, d), ()).groupBy("label", "value").count()
+    """How often each label value is given by the users of both label files."""
+    labels = w.labels(spark, d)
+    users = labels[0][1].select("user_hash").unionByName(labels[1][1].select("user_hash")).distinct()
+    return counts.labelled(users, labels, ()).groupBy("label", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def cell_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -113,6 +115,12 @@ def current_profile_json(spark: SparkSession, d: str) -> DataFrame:
     return prof.row_keys(prof.profiles(stats, by=()), timed=False).select("row_key", "profile_json")
 
 
+def rebuilt_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Cell statistics as text, read back and made into profiles."""
+    text = cell_stats(spark, d).select(F.concat_ws(",", "area_id", "label", "value", "cnt").alias("value"))
+    return prof.profiles(parse_stats(text), by=())
+
+
 def _located(spark: SparkSession, d: str, back: timedelta = timedelta(0)) -> DataFrame:
     people = w.snapshot(spark, d, w.AS_OF - back)
     return movement.locate(people, w.bridges(spark, d).cell_district)
@@ -167,9 +175,7 @@ def _range_snapshots(spark: SparkSession, d: str, ttl: timedelta) -> DataFrame:
 
 
 def backfill_uv(spark: SparkSession, d: str) -> DataFrame:
-    people = _range_snapshots(spark, d, w.DAY)
-    stats = counts.region_counts(people, w.prefix_region(spark, d))
-    return stats.where(F.col("label") == "uv").select("stat_time", "area_id", "cnt")
+    return counts.head_counts(_range_snapshots(spark, d, w.DAY))
 
 
 def backfill_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -276,6 +282,7 @@ QUERIES: dict[str, Query] = {
         area_stats,
         profile_json,
         current_profile_json,
+        rebuilt_profile,
         located,
         stayed_15m,
         stayed_60m,

@@ -188,6 +188,13 @@ def _movement_rows(source: str, movement: str) -> str:
     return f"SELECT stat_time, area_id, label, value, count(*) AS cnt, '{movement}' AS movement FROM ({rows}) GROUP BY ALL"
 
 
+SEARCH_LOG = f"""WITH log AS (
+  SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(user_id AS VARCHAR) AS "user", event_type AS keyword,
+    CASE {K} % 3 WHEN 0 THEN 'beijing' WHEN 1 THEN 'shanghai' ELSE 'shenzhen' END AS city,
+    CASE {K} % 2 WHEN 0 THEN 'android' ELSE 'ios' END AS platform,
+    CASE {K} % 4 WHEN 0 THEN '1.0' WHEN 1 THEN '1.2' WHEN 2 THEN '1.5' ELSE '2.0' END AS version
+  FROM events)"""
+
 _STATS = "SELECT stat_time, area_id, label, value, cnt FROM"
 
 SQL: dict[str, str] = {
@@ -217,7 +224,7 @@ SELECT event_id,
        CASE event_type WHEN 'signup' THEN 'no_msisdn' ELSE 'field_count' END AS reject_reason
 FROM events WHERE event_type IN ('signup', 'error', 'purchase')""",
     "region_counts": f"WITH {SNAPSHOT}, {PREFIXES} {_counted(_region_rows('people', 'cell_id'))}",
-    "label_values": f"WITH {LABELS} SELECT label, value, count(*) AS count FROM labels_long GROUP BY ALL",
+    "label_values": f"WITH {LABELS} SELECT label, value, count(*) AS cnt FROM labels_long GROUP BY ALL",
     "label_counts": f"WITH {SNAPSHOT}, {LABELS} {_counted(_label_rows('people', 'cell_id'))}",
     "cell_stats": f"WITH {CELLS} {_STATS} cells",
     "grid_stats": f"WITH {AREAS} {_STATS} grids",
@@ -228,6 +235,7 @@ FROM events WHERE event_type IN ('signup', 'error', 'purchase')""",
     "area_stats": f"WITH {AREAS} SELECT stat_time, area_id, label, value, cnt, branch, level FROM areas",
     "profile_json": _profile("area_id || '-' || label || '-' || stat_time"),
     "current_profile_json": _profile("area_id || '-' || label"),
+    "rebuilt_profile": f"WITH {CELLS} SELECT area_id, label, {JSON} AS profile_json FROM cells GROUP BY area_id, label",
     "located": f"WITH {_located_at('now')} SELECT user_hash, area_id, prefix7 FROM loc_now",
     "stayed_15m": f"WITH {_located_at('now', 't15')} {_stayed_select('loc_now', 'loc_t15')}",
     "stayed_60m": f"WITH {_located_at('now', 't60')} {_stayed_select('loc_now', 'loc_t60')}",
@@ -266,14 +274,10 @@ SELECT 'G' || s_suppkey AS from_id, 'D' || s_nationkey AS to_id, CAST(1.0 AS DOU
 FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 3 AND n_nationkey < 20
 UNION ALL
 SELECT 'G' || s_suppkey, 'CAN_' || s_nationkey, CAST(1.0 AS DOUBLE) FROM supplier WHERE s_acctbal >= 0 AND s_acctbal < 9000""",
-    "multi_filter": f"""SELECT * FROM (
-SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(user_id AS VARCHAR) AS "user", event_type AS keyword,
-  CASE {K} % 3 WHEN 0 THEN 'beijing' WHEN 1 THEN 'shanghai' ELSE 'shenzhen' END AS city,
-  CASE {K} % 2 WHEN 0 THEN 'android' ELSE 'ios' END AS platform,
-  CASE {K} % 4 WHEN 0 THEN '1.0' WHEN 1 THEN '1.2' WHEN 2 THEN '1.5' ELSE '2.0' END AS version FROM events)
+    "multi_filter": f"""{SEARCH_LOG} SELECT * FROM log
 WHERE city IN ('beijing') AND platform IN ('android') AND version IN ('1.0', '1.2', '1.5', '2.0')""",
-    "uv_per_day_key": f"""SELECT strftime(ts, '%Y-%m-%d') AS date, event_type AS keyword, count(DISTINCT user_id) AS uv FROM events
-WHERE {K} % 3 IN (0, 1) AND {K} % 4 IN (0, 2) GROUP BY ALL""",
+    "uv_per_day_key": f"""{SEARCH_LOG} SELECT date, keyword, count(DISTINCT "user") AS uv FROM log
+WHERE city IN ('beijing', 'shanghai') AND version IN ('1.0', '1.5') GROUP BY date, keyword""",
     "flow_filter": "SELECT c_name AS name, CAST(c_custkey % 90 AS INTEGER) AS age FROM customer WHERE c_custkey % 90 >= 10",
     "sql_filter": """SELECT c_name AS name, CAST(c_custkey % 90 AS INTEGER) AS age, CAST(c_nationkey % 2 AS VARCHAR) AS sex
 FROM customer WHERE c_custkey % 90 <= 18""",

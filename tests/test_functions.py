@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from crowdtide import functions as fn
+from crowdtide import schemas as S
+
+
+@pytest.mark.parametrize(
+    "phone, digest",
+    [
+        ("18601723326", "73CD34AC44E37A62982440ECD8C3A67B"),
+        ("18601723327", "E441B62395FE07A0A83E6B6725EA62D3"),
+        ("18601723328", "17BF5832F7A0CFBC40C8772821E1A97C"),
+    ],
+)
+def test_known_pseudonyms(lines, phone, digest):
+    row = lines(phone).select(fn.pseudonym(F.col("value")), fn.phone_prefix(F.col("value"))).first()
+    assert tuple(row) == (digest, "1860172")
+
+
+def test_blank_pseudonym_is_null_and_blank_salt_adds_nothing(lines):
+    value = F.col("value")
+    got = rows(lines("", None).select(fn.pseudonym(value, "x")))
+    assert got == [(None,), (None,)]
+    row = lines("ab").select(fn.pseudonym(value, "c"), fn.pseudonym(value, ""), fn.pseudonym(value)).first()
+    assert row[1] == row[2] == "187EF4436122D1CC2F40DC2B92F0EBA0"
+    assert row[0] == "900150983CD24FB0D6963F7D28E17F72"
+
+
+def test_short_phone_keeps_whole_prefix(lines):
+    assert lines("1860").select(fn.phone_prefix(F.col("value"))).first()[0] == "1860"
+
+
+def test_trimmed_fields_drop_blanks_at_the_end_only(lines):
+    got = lines("a,,b,,").select(fn.trimmed_fields(F.col("value"), ",")).first()[0]
+    assert got == ["a", "", "b"]
+
+
+def test_defaults(lines):
+    value = F.col("value")
+    df = lines("", None, "$", "1$2").select(fn.cell_or_unknown(value), fn.blank_to_unknown(value))
+    assert rows(df) == [
+        ("1$2", "1$2"),
+        (S.UNKNOWN, "$"),
+        (S.UNKNOWN, S.UNKNOWN),
+        (S.UNKNOWN, S.UNKNOWN),
+    ]
+
+
+def test_region_bucket(lines):
+    df = lines("310000", "320000", "", None).select(fn.region_bucket(F.col("value")))
+    assert [r[0] for r in df.collect()] == ["310000", "999999", S.UNKNOWN, S.UNKNOWN]
+
+
+def test_time_text_both_ways(lines):
+    df = lines("20170425190252", "20171325190252", "2017", "", None, "2017042519025x")
+    got = [r[0] for r in df.select(fn.parse_time(F.col("value"))).collect()]
+    assert got == [datetime(2017, 4, 25, 19, 2, 52), None, None, None, None, None]
+    back = lines("20170425190252").select(fn.format_time(fn.parse_time(F.col("value")))).first()[0]
+    assert back == "20170425190252"
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "America/New_York"])
+def test_times_do_not_follow_the_session_zone(spark, lines, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        value = fn.parse_time(F.col("value"))
+        gap = fn.seconds_between(value, value + F.expr("interval 1 day 2 hours 0.25 seconds"))
+        row = lines("20240310013000").select(fn.format_time(value), gap.cast("double")).first()
+        assert tuple(row) == ("20240310013000", 93600.25)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_negative_gap(spark):
+    gap = fn.seconds_between(fn.ntz(datetime(2024, 1, 2)), fn.ntz(datetime(2024, 1, 1, 23, 59, 59)))
+    assert float(spark.range(1).select(gap).first()[0]) == -1.0
+
+
+def test_runtime_schema():
+    assert S.runtime_schema(["name_string", "age_int"]).simpleString() == "struct<name:string,age:int>"
+    with pytest.raises(ValueError):
+        S.runtime_schema(["age_decimal"])
