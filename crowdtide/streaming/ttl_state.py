@@ -43,7 +43,11 @@ class NewestLocation(StatefulProcessor):
 
 
 def newest_with_ttl(lines: DataFrame, ttl_seconds: int = S.TTL_SECONDS) -> DataFrame:
-    """One row per user whose newest location changed; needs the session to use ``STATE_PROVIDER``."""
+    """One row per user whose newest location changed; needs the session to use ``STATE_PROVIDER``.
+
+    Run it with a processing-time trigger: state on the processing clock always asks for one more
+    batch, so an available-now run would not end.
+    """
     located = locate_signals(parse_signals(lines)).drop("signal")
     return located.groupBy("msisdn").transformWithStateInPandas(
         statefulProcessor=NewestLocation(ttl_seconds),

@@ -3,7 +3,6 @@ from __future__ import annotations
 import time
 from datetime import datetime, timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
@@ -22,8 +21,10 @@ def _line(user, cell, second, seq="1"):
 
 
 def _put(folder, name, *texts):
+    """A whole file appears at once, so the stream never sees half of it."""
     folder.mkdir(exist_ok=True)
-    (folder / name).write_text("\n".join(texts) + "\n")
+    (folder.parent / name).write_text("\n".join(texts) + "\n")
+    (folder.parent / name).rename(folder / name)
 
 
 def test_stream_in_many_batches_equals_batch(spark, tmp_path):
@@ -98,31 +99,34 @@ def test_unwrap_drops_the_key(spark):
     assert rows(stream.unwrap(messages)) == [("text",)]
 
 
-@pytest.fixture
-def ttl_run(spark, tmp_path):
+def test_state_keeps_the_newest_and_forgets_after_its_time(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == STATE_PROVIDER
-    folder, out = tmp_path / "in", str(tmp_path / "out")
-
-    def run(name, ttl, *texts):
-        _put(folder, name, *texts)
-        before = spark.read.schema("msisdn string, cell_id string, n string").parquet(out).count() if name != "1.txt" else 0
-        query = (
-            newest_with_ttl(stream.file_lines(spark, str(folder)), ttl)
-            .writeStream.outputMode("update")
-            .foreachBatch(lambda df, n: df.select("msisdn", "cell_id", F.lit(name).alias("n")).write.mode("append").parquet(out))
-            .option("checkpointLocation", str(tmp_path / "p"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        assert before >= 0
-        return rows(spark.read.parquet(out).where(F.col("n") == name).select("msisdn", "cell_id"))
-
-    return run
-
-
-def test_state_keeps_the_newest_and_forgets_after_its_time(ttl_run):
-    assert ttl_run("1.txt", 20, _line("a", "1", 30), _line("b", "1", 30)) == [("a", "1$1"), ("b", "1$1")]
-    assert ttl_run("2.txt", 20, _line("a", "old", 10), _line("b", "2", 40)) == [("b", "1$2")]
-    time.sleep(21)
-    assert ttl_run("3.txt", 20, _line("a", "old", 10)) == [("a", "1$old")]
+    folder, seen, ttl = tmp_path / "in", [], 25
+    folder.mkdir()
+    query = (
+        newest_with_ttl(stream.file_lines(spark, str(folder)), ttl)
+        .writeStream.outputMode("update")
+        .foreachBatch(lambda df, n: seen.extend((r["msisdn"], r["cell_id"]) for r in df.collect()))
+        .option("checkpointLocation", str(tmp_path / "p"))
+        .trigger(processingTime="1 second")
+        .start()
+    )
+
+    def wait_for(row):
+        deadline = time.time() + 60
+        while row not in seen and time.time() < deadline:
+            assert query.exception() is None
+            time.sleep(0.2)
+        assert row in seen
+
+    try:
+        _put(folder, "1.txt", _line("a", "1", 30), _line("b", "1", 30))
+        wait_for(("a", "1$1"))
+        _put(folder, "2.txt", _line("a", "old", 10), _line("b", "2", 40))
+        wait_for(("b", "1$2"))
+        assert sorted(seen) == [("a", "1$1"), ("b", "1$1"), ("b", "1$2")]
+        time.sleep(ttl + 1)
+        _put(folder, "3.txt", _line("a", "old", 10))
+        wait_for(("a", "1$old"))
+    finally:
+        query.stop()
