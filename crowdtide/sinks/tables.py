@@ -13,11 +13,16 @@ from crowdtide.sources.delimited import parse_stats, read_lines
 from crowdtide.sources.tables import time_text
 
 
-def _replace_partitions(df: DataFrame, path: str, *keys: str, fmt: str = "parquet", **options: str) -> None:
-    """Even files per partition: the rebalance cuts a large partition and joins small ones."""
+def _replace_partitions(
+    df: DataFrame, path: str, *keys: str, fmt: str = "parquet", even: bool = True, **options: str
+) -> None:
+    """Replace the partitions that ``df`` has rows for.
+
+    ``even`` rebalances first: a large partition is cut over many files and small ones are joined.
+    """
+    rows = df.hint("rebalance", *keys) if even else df
     (
-        df.hint("rebalance", *keys)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**options)
         .partitionBy(*keys)
@@ -26,8 +31,13 @@ def _replace_partitions(df: DataFrame, path: str, *keys: str, fmt: str = "parque
     )
 
 
-def write_snapshot(snapshot: DataFrame, path: str) -> None:
-    _replace_partitions(snapshot.select(*S.SNAPSHOT.fieldNames()), path, "stat_time")
+def write_snapshot(snapshot: DataFrame, path: str, many_times: bool = False) -> None:
+    """A snapshot of one time is written as it lies, without another shuffle.
+
+    With ``many_times`` rows are first brought together by time, or every task would write a file
+    for every time.
+    """
+    _replace_partitions(snapshot.select(*S.SNAPSHOT.fieldNames()), path, "stat_time", even=many_times)
 
 
 def write_stats(stats: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -11,8 +11,8 @@ from conftest import SMALL, rows
 from crowdtide import schemas as S
 from crowdtide.operators import counts, profile, rollup
 from crowdtide.operators.signals import latest_locations
-from crowdtide.operators.timeline import latest_over_range
 from crowdtide.operators.snapshot import build_snapshot
+from crowdtide.operators.timeline import latest_over_range
 from crowdtide.plans import jobs
 from crowdtide.plans.flow import apply_flow, file_path, input_schema, run_flow
 from crowdtide.plans.lineage import cut_lineage, shared_folder
@@ -99,7 +99,7 @@ def test_backup_job_keeps_only_the_snapshot(spark, paths):
 def test_movement_job(spark, inputs, paths):
     times = [w.AS_OF - timedelta(minutes=m) for m in (60, 45, 30, 15, 0)]
     latest = latest_over_range(w.signals(spark, SMALL), times[0], times[-1], ttl=w.DAY)
-    sinks.write_snapshot(build_snapshot(latest, F.col("snapshot_time")), paths.snapshots)
+    sinks.write_snapshot(build_snapshot(latest, F.col("snapshot_time")), paths.snapshots, many_times=True)
     assert rows(sources.read_snapshot(spark, paths.snapshots, [w.AS_OF])) == rows(w.snapshot(spark, SMALL))
     jobs.run_movement(spark, inputs, paths, w.AS_OF)
     columns = ["stat_time", "movement", "area_id", "label", "profile_json"]
