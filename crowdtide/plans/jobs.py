@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from crowdtide.operators.rollup import Bridges, area_stats
 from crowdtide.operators.snapshot import build_snapshot
 from crowdtide.plans.lineage import cut_lineage
 from crowdtide.sinks import tables as sinks
-from crowdtide.sources.tables import read_snapshot, read_snapshot_range
+from crowdtide.sources.tables import read_snapshot, read_snapshot_range, time_text
 
 Labels = Sequence[tuple[LabelSpec, DataFrame]]
 
@@ -59,14 +59,14 @@ def _published(snapshots: DataFrame, inputs: Inputs) -> DataFrame:
     return cut_lineage(area_stats(cells, inputs.bridges))
 
 
-def _write(spark: SparkSession, stats: DataFrame, paths: Paths, times: Sequence[datetime], outputs: Collection[str]) -> None:
+def _write(stats: DataFrame, paths: Paths, outputs: Collection[str]) -> None:
+    """Publish computed rows; only times that have rows are marked complete."""
     if OUT_STATS in outputs:
         sinks.write_stats(stats, paths.stats)
     if OUT_PROFILES in outputs:
-        rows = profiles(stats).withColumn("movement", F.lit(CURRENT))
-        sinks.write_profiles(rows, paths.profiles)
-        for moment in times:
-            sinks.mark_complete(spark, paths.batches, moment, CURRENT)
+        current = F.lit(CURRENT).alias("movement")
+        sinks.write_profiles(profiles(stats).select("*", current), paths.profiles)
+        sinks.mark_complete(stats.select("stat_time", current), paths.batches)
 
 
 def run_snapshot(
@@ -80,7 +80,7 @@ def run_snapshot(
     """Freeze the latest locations, then count, roll up and publish them."""
     sinks.write_snapshot(build_snapshot(locations, stat_time), paths.snapshots)
     snapshot = read_snapshot(spark, paths.snapshots, [stat_time])
-    _write(spark, _published(snapshot, inputs), paths, [stat_time], outputs)
+    _write(_published(snapshot, inputs), paths, outputs)
 
 
 def run_history(
@@ -90,13 +90,10 @@ def run_history(
     begin: datetime,
     end: datetime,
     outputs: Collection[str] = BOTH,
-    step: timedelta = timedelta(minutes=15),
 ) -> None:
     """Statistics for every stored snapshot from ``begin`` to ``end``, as one job keyed by time."""
     snapshots = read_snapshot_range(spark, paths.snapshots, begin, end)
-    stats = _published(snapshots, inputs)
-    times = [begin + n * step for n in range((end - begin) // step + 1)]
-    _write(spark, stats, paths, times, outputs)
+    _write(_published(snapshots, inputs), paths, outputs)
 
 
 def run_realtime(
@@ -125,13 +122,11 @@ def run_movement(spark: SparkSession, inputs: Inputs, paths: Paths, begin: datet
         snapshots = read_snapshot(spark, paths.snapshots, earlier)
     else:
         snapshots = read_snapshot_range(spark, paths.snapshots, earlier[0], end)
-    wanted = F.col("stat_time").between(begin.strftime("%Y%m%d%H%M%S"), end.strftime("%Y%m%d%H%M%S"))
-    stats = movement_counts(
-        snapshots, lags, inputs.bridges.cell_district, inputs.prefix_region, inputs.labels
-    ).where(wanted)
-    rows = profiles(stats, by=("stat_time", "movement"))
-    sinks.write_profiles(rows, paths.profiles)
-    step = timedelta(minutes=15)
-    for moment in [begin + n * step for n in range((end - begin) // step + 1)]:
-        for movement in (CURRENT, *lags_for(moment)):
-            sinks.mark_complete(spark, paths.batches, moment, movement)
+    wanted = F.col("stat_time").between(time_text(begin), time_text(end))
+    stats = cut_lineage(
+        movement_counts(
+            snapshots, lags, inputs.bridges.cell_district, inputs.prefix_region, inputs.labels
+        ).where(wanted)
+    )
+    sinks.write_profiles(profiles(stats, by=("stat_time", "movement")), paths.profiles)
+    sinks.mark_complete(stats.select("stat_time", "movement"), paths.batches)

@@ -55,13 +55,14 @@ def write_current_profiles(rows: DataFrame, path: str) -> None:
     rows.select("area_id", "label", "profile_json").write.mode("overwrite").parquet(path)
 
 
-def mark_complete(spark: SparkSession, path: str, stat_time: datetime, movement: str) -> None:
-    """Written last, so a reader that joins it never sees half a batch."""
-    key = f"{S.COMPLETE_MARK}{S.ROWKEY_JOINER}{time_text(stat_time)}"
-    row = spark.range(1).select(
-        F.lit(key).alias("complete"), F.lit(time_text(stat_time)).alias("stat_time"), F.lit(movement).alias("movement")
-    )
-    _replace_partitions(row, path, "stat_time", "movement")
+def mark_complete(batches: DataFrame, path: str) -> None:
+    """One mark for each distinct (stat_time, movement) of ``batches``.
+
+    Written last, so a reader that joins the marks never sees half a batch.
+    """
+    key = F.concat_ws(S.ROWKEY_JOINER, F.lit(S.COMPLETE_MARK), F.col("stat_time"))
+    marks = batches.select(key.alias("complete"), "stat_time", "movement").distinct()
+    _replace_partitions(marks, path, "stat_time", "movement")
 
 
 def rebuild_profiles(spark: SparkSession, stats_path: str, stat_time: datetime, movement: str = "current") -> DataFrame:

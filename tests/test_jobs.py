@@ -75,9 +75,9 @@ def test_history_job_equals_single_jobs(spark, inputs, paths, tmp_path):
 def test_unfinished_batch_is_not_read(spark, paths):
     row = spark.createDataFrame([("a", "uv", '{"uv":1}', "20240101000000", "current")], S.PROFILE)
     sinks.write_profiles(row, paths.profiles)
-    sinks.mark_complete(spark, paths.batches, datetime(2024, 1, 1, 0, 15), "current")
+    sinks.mark_complete(row.withColumn("stat_time", F.lit("20240101001500")), paths.batches)
     assert sources.read_profiles(spark, paths.profiles, paths.batches).count() == 0
-    sinks.mark_complete(spark, paths.batches, datetime(2024, 1, 1), "current")
+    sinks.mark_complete(row.unionByName(row), paths.batches)
     assert sources.read_profiles(spark, paths.profiles, paths.batches).count() == 1
 
 
