@@ -54,8 +54,13 @@ def newest_in_batch(lines: DataFrame) -> DataFrame:
     return latest_per_user(locate_signals(parse_signals(lines)), keep=PER_USER)
 
 
-def append_batch(path: str, clock: Callable[[], datetime] = datetime.now) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that adds a batch's newest locations to the log at ``path``."""
+def append_batch(
+    path: str, clock: Callable[[], datetime] = datetime.now, files: int | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that adds a batch's newest locations to the log at ``path``.
+
+    ``files`` bounds the files a batch leaves; set it where batches are small and frequent.
+    """
 
     def write(lines: DataFrame, batch_id: int) -> None:
         now = clock()
@@ -66,8 +71,9 @@ def append_batch(path: str, clock: Callable[[], datetime] = datetime.now) -> Cal
                 "batch_id": F.lit(batch_id).cast("long"),
             }
         )
+        kept = rows.select(*S.LOCATION_LOG.fieldNames())
         (
-            rows.select(*S.LOCATION_LOG.fieldNames())
+            (kept.coalesce(files) if files else kept)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("ingest_hour", "batch_id")
@@ -84,11 +90,12 @@ def start_location_stream(
     *,
     every: str | None = None,
     clock: Callable[[], datetime] = datetime.now,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Run the stream: at the interval ``every``, or over what is there and then stop when it is None."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        lines.writeStream.foreachBatch(append_batch(path, clock))
+        lines.writeStream.foreachBatch(append_batch(path, clock, files))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -19,7 +19,7 @@ from crowdtide.operators import snapshot as snap
 from crowdtide.plans.flow import apply_flow
 from crowdtide.plans.lineage import shared_folder
 from crowdtide.sources.delimited import parse_stats
-from crowdtide.sources.tables import read_latest_locations
+from crowdtide.sources.tables import read_latest_locations, time_text
 from crowdtide.streaming.locations import start_location_stream
 from crowdtide.workload import tables as w
 
@@ -121,33 +121,43 @@ def rebuilt_profile(spark: SparkSession, d: str) -> DataFrame:
     return prof.profiles(parse_stats(text), by=())
 
 
-def _located(spark: SparkSession, d: str, back: timedelta = timedelta(0)) -> DataFrame:
-    people = w.snapshot(spark, d, w.AS_OF - back)
-    return movement.locate(people, w.bridges(spark, d).cell_district)
+def located(spark: SparkSession, d: str) -> DataFrame:
+    return movement.locate(w.snapshot(spark, d), w.bridges(spark, d).cell_district)
 
 
-def located(spark: SparkSession, d: str) -> DataFrame:
-    return _located(spark, d)
+def _people_every(spark: SparkSession, d: str, step: timedelta) -> DataFrame:
+    """Snapshots of the last hour, ``step`` apart, from one pass over the signals."""
+    latest = timeline.latest_over_range(w.signals(spark, d), w.AS_OF - SIXTY, w.AS_OF, step=step, ttl=w.DAY)
+    return snap.build_snapshot(latest, F.col("snapshot_time"))
+
+
+def _now_and_then(spark: SparkSession, d: str, lag: timedelta) -> tuple[DataFrame, DataFrame]:
+    people = movement.locate(_people_every(spark, d, lag), w.bridges(spark, d).cell_district, by=("stat_time",))
+    now, then = (
+        people.where(F.col("stat_time") == time_text(moment)).drop("stat_time") for moment in (w.AS_OF, w.AS_OF - lag)
+    )
+    return now, then
 
 
 def stayed_15m(spark: SparkSession, d: str) -> DataFrame:
-    return movement.stayed(_located(spark, d), _located(spark, d, QUARTER))
+    return movement.stayed(*_now_and_then(spark, d, QUARTER))
 
 
 def stayed_60m(spark: SparkSession, d: str) -> DataFrame:
-    return movement.stayed(_located(spark, d), _located(spark, d, SIXTY))
+    return movement.stayed(*_now_and_then(spark, d, SIXTY))
 
 
 def arrived(spark: SparkSession, d: str) -> DataFrame:
-    return movement.moved(_located(spark, d), _located(spark, d, SIXTY))
+    return movement.moved(*_now_and_then(spark, d, SIXTY))
 
 
 def departed(spark: SparkSession, d: str) -> DataFrame:
-    return movement.moved(_located(spark, d, SIXTY), _located(spark, d))
+    now, then = _now_and_then(spark, d, SIXTY)
+    return movement.moved(then, now)
 
 
 def arrived_strict(spark: SparkSession, d: str) -> DataFrame:
-    return movement.moved_strict(_located(spark, d), _located(spark, d, SIXTY))
+    return movement.moved_strict(*_now_and_then(spark, d, SIXTY))
 
 
 def _movement_counts(spark: SparkSession, d: str, people: DataFrame) -> DataFrame:
@@ -157,12 +167,9 @@ def _movement_counts(spark: SparkSession, d: str, people: DataFrame) -> DataFram
 
 
 def movement_profile(spark: SparkSession, d: str) -> DataFrame:
-    times = [w.AS_OF, w.AS_OF - QUARTER, w.AS_OF - SIXTY]
-    people = w.snapshot(spark, d, times[0])
-    for earlier in times[1:]:
-        people = people.unionByName(w.snapshot(spark, d, earlier))
-    now = F.col("stat_time") == w.AS_OF.strftime("%Y%m%d%H%M%S")
-    return prof.profiles(_movement_counts(spark, d, people).where(now), by=("stat_time", "movement"))
+    now = F.col("stat_time") == time_text(w.AS_OF)
+    stats = _movement_counts(spark, d, _people_every(spark, d, QUARTER)).where(now)
+    return prof.profiles(stats, by=("stat_time", "movement"))
 
 
 def time_range(spark: SparkSession, d: str) -> DataFrame:

@@ -54,7 +54,7 @@ def test_late_signal_does_not_replace_a_newer_one(spark, tmp_path):
 
 def test_a_batch_run_again_replaces_itself(spark, tmp_path, lines):
     log = str(tmp_path / "log")
-    write = stream.append_batch(log, clock=lambda: NOW)
+    write = stream.append_batch(log, clock=lambda: NOW, files=1)
     batch = lines(_line("a", "1", 1), _line("a", "2", 2), "1||1|2", "broken")
     for _ in range(2):
         write(batch, 0)
