@@ -29,16 +29,12 @@ def format_time(moment: Column) -> Column:
     return F.date_format(moment, S.TIME_FORMAT)
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    """Exact seconds from ``start`` to ``end``, as a decimal with microseconds."""
+def micros_between(start: Column, end: Column) -> Column:
+    """Exact microseconds from ``start`` to ``end``, as a long."""
     gap = end - start
 
     def part(name: str) -> Column:
         return F.extract(F.lit(name), gap)
 
-    return (
-        part("DAY").cast("long") * 86400
-        + part("HOUR").cast("long") * 3600
-        + part("MINUTE").cast("long") * 60
-        + part("SECOND")
-    )
+    minutes = (part("DAY").cast("long") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("long")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdtide import schemas as S
-from crowdtide.functions import format_time, is_blank, ntz, parse_time, seconds_between
+from crowdtide.functions import format_time, is_blank, micros_between, ntz, parse_time
 
 STEP = timedelta(minutes=S.STEP_MINUTES)
 
@@ -53,11 +53,15 @@ def latest_over_range(
     number of steps. Each kept signal is then repeated only for the steps at which it is the newest
     live one: the work follows the size of the answer, not steps times signals.
     """
-    step_s, ttl_s = int(step.total_seconds()), int(ttl.total_seconds())
-    last = int((end - begin).total_seconds()) // step_s
+    step_us, ttl_us = step // timedelta(microseconds=1), ttl // timedelta(microseconds=1)
+    last = (end - begin) // step
     when = F.col("event_time")
-    offset = seconds_between(ntz(begin), when)
-    first_step = F.greatest(F.ceil(offset / step_s).cast("int"), F.lit(0))
+
+    def steps_up_to(micros: Column) -> Column:
+        """Whole steps in ``micros``, rounded up."""
+        return F.call_function("div", micros + F.lit(step_us - 1), F.lit(step_us)).cast("int")
+
+    first_step = F.greatest(steps_up_to(micros_between(ntz(begin), when)), F.lit(0))
     live = signals.where((when > ntz(begin - ttl)) & (when <= ntz(end)))
     newest = (
         live.withColumn("at", first_step)
@@ -65,9 +69,9 @@ def latest_over_range(
         .agg(F.max_by(F.struct(*dict.fromkeys(("event_time", *keep))), F.struct(*order_by)).alias("newest"))
     )
     following = F.lead("at").over(Window.partitionBy(key).orderBy("at"))
-    expires = F.ceil((seconds_between(ntz(begin), F.col("newest.event_time")) + ttl_s) / step_s).cast("int")
+    expires = steps_up_to(micros_between(ntz(begin), F.col("newest.event_time")) + ttl_us)
     until = F.least(following - 1, expires - 1, F.lit(last))
-    moment = F.timestamp_add("SECOND", F.col("n") * F.lit(step_s), ntz(begin))
+    moment = F.timestamp_add("MICROSECOND", F.col("n").cast("long") * F.lit(step_us), ntz(begin))
     return (
         newest.select(key, "newest", "at", until.alias("until"))
         .where(F.col("until") >= F.col("at"))

@@ -11,7 +11,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdtide.functions import pseudonym
+from crowdtide.functions import format_time, pseudonym
 from crowdtide.operators import adhoc, counts, movement, rollup, timeline
 from crowdtide.operators import profile as prof
 from crowdtide.operators import signals as sig
@@ -182,7 +182,10 @@ def _range_snapshots(spark: SparkSession, d: str, ttl: timedelta) -> DataFrame:
 
 
 def backfill_uv(spark: SparkSession, d: str) -> DataFrame:
-    return counts.head_counts(_range_snapshots(spark, d, w.DAY))
+    """Times stay numbers until the counts are made; only those are written out as text."""
+    latest = timeline.latest_over_range(w.signals(spark, d), *w.RANGE, ttl=w.DAY)
+    stats = counts.head_counts(latest, by=("snapshot_time",))
+    return stats.select(format_time(F.col("snapshot_time")).alias("stat_time"), "area_id", "cnt")
 
 
 def backfill_stats(spark: SparkSession, d: str) -> DataFrame:

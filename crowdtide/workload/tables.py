@@ -53,27 +53,29 @@ def signal_lines(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -
 def events_as_lines(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     placed = F.col("event_type") != "error"
     known = F.col("event_type") != "signup"
-    when = format_time(F.col("ts"))
+    k, stamp = F.col("k"), F.col("stamp")
     fields = [
         F.lit("1"),
         F.when(known, phone(F.col("user_id"))).otherwise(""),
-        F.when(placed, (F.lit(43020) + _k() % 5).cast("string")).otherwise(""),
-        F.when(placed, (F.lit(10000) + _k()).cast("string")).otherwise(""),
-        when,
-        when,
-        when,
-        when,
+        F.when(placed, (F.lit(43020) + k % 5).cast("string")).otherwise(""),
+        F.when(placed, (F.lit(10000) + k).cast("string")).otherwise(""),
+        stamp,
+        stamp,
+        stamp,
+        stamp,
         F.col("event_id").cast("string"),
         F.col("event_type"),
     ]
-    return events.select(*keep, F.concat_ws("|", *fields).alias("value"))
+    read_once = events.select("*", _k().alias("k"), format_time(F.col("ts")).alias("stamp"))
+    return read_once.select(*keep, F.concat_ws("|", *fields).alias("value"))
 
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as typed locations, with the same cells and users as ``signal_lines``."""
     events = table(spark, sf_dir, "events").where(F.col("event_type") != "signup")
-    cell = F.concat((F.lit(43020) + _k() % 5).cast("string"), F.lit("$"), (F.lit(10000) + _k()).cast("string"))
-    return events.select(
+    k = F.col("k")
+    cell = F.concat((F.lit(43020) + k % 5).cast("string"), F.lit("$"), (F.lit(10000) + k).cast("string"))
+    return events.select("user_id", "event_type", "ts", "event_id", _k().alias("k")).select(
         phone(F.col("user_id")).alias("msisdn"),
         F.when(F.col("event_type") != "error", cell).otherwise("$").alias("cell_id"),
         F.col("ts").alias("event_time"),
@@ -181,8 +183,9 @@ def labels(spark: SparkSession, sf_dir: str):
 
 
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = _k()
-    return table(spark, sf_dir, "events").select(
+    k = F.col("k")
+    events = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", _k().alias("k"))
+    return events.select(
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         F.col("user_id").cast("string").alias("user"),
         F.col("event_type").alias("keyword"),
