@@ -13,7 +13,6 @@ from crowdtide.functions import blank_to_unknown
 
 BY_TIME = ("stat_time",)
 
-LEVEL_CELL = "cell"
 LEVEL_GRID = "grid"
 LEVEL_DISTRICT = "sub"
 

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crowdtide import schemas as S
 from crowdtide.functions import format_time, is_blank, phone_prefix, pseudonym, trimmed_fields
 
 REASON_FIELDS = "field_count"
@@ -56,7 +55,3 @@ def build_snapshot(locations: DataFrame, stat_time: datetime | Column, salt: str
         phone_prefix(phone).alias("prefix7"),
         stamp.alias("stat_time"),
     )
-
-
-def snapshot_columns() -> list[str]:
-    return S.SNAPSHOT.fieldNames()
