@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import posixpath
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+WAREHOUSE_CONF = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder the cluster names for checkpoints, else ``fallback``; without either it is an error."""
-    folder = spark.conf.get(CHECKPOINT_CONF, None) or fallback
-    if not folder:
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    return folder
+    """The folder the cluster names for checkpoints, else ``fallback``, else one under the warehouse.
+
+    The warehouse is shared by every executor too; a folder of one machine is never chosen here.
+    """
+    named = spark.conf.get(CHECKPOINT_CONF, None) or fallback
+    return named or posixpath.join(spark.conf.get(WAREHOUSE_CONF), "crowdtide-scratch")
 
 
 def cut_lineage(df: DataFrame, fallback: str | None = None) -> DataFrame:
