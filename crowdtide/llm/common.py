@@ -71,6 +71,36 @@ def ranges(df: DataFrame, column: str, number: int) -> tuple[Column, int]:
     return F.coalesce(F.size(higher), F.lit(0)), len(cuts) + 1
 
 
+def row_keys(docs: DataFrame, id: str, text: str) -> tuple[Column, Column]:
+    """Two longs that name a row's id and text; a null id has a value of its own."""
+    return F.coalesce(docs[id].cast("long"), F.lit(-(2**63))), F.xxhash64(docs[text])
+
+
+def without_rows(docs: DataFrame, rejected: DataFrame, id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text ``rejected`` (id, text_hash) does not name."""
+    a, b = row_keys(docs, id, text)
+    right = rejected.select(F.coalesce("id", F.lit(-(2**63))).alias("_key_id"), F.col("text_hash").alias("_key_text"))
+    left = docs.withColumns({"_key_id": a, "_key_text": b})
+    return left.join(right, ["_key_id", "_key_text"], "left_anti").drop("_key_id", "_key_text")
+
+
+def one_row_each(docs: DataFrame, chosen: DataFrame, id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` (id, text_hash, and any further columns) names, once each.
+
+    The further columns are added under a struct ``_chosen``; with none, the columns are those of ``docs``.
+    Texts move once: the join and the choice among repeated rows use the same partitioning.
+    """
+    a, b = row_keys(docs, id, text)
+    more = [c for c in chosen.columns if c not in ("id", "text_hash")]
+    right = chosen.select(
+        F.coalesce("id", F.lit(-(2**63))).alias("_key_id"), F.col("text_hash").alias("_key_text"), *([F.struct(*more).alias("_chosen")] if more else [])
+    )
+    left = docs.withColumns({"_key_id": a, "_key_text": b})
+    keys = ["_key_id", "_key_text"]
+    joined = left.join(right, keys, "inner" if more else "left_semi").dropDuplicates(keys)
+    return joined.drop(*keys)
+
+
 # --- texts and words -------------------------------------------------------------------------
 
 
@@ -133,9 +163,9 @@ _BYTE = numbers(256, 11)
 _WORD = Rolling(12)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and for each text (and the end) the number of words before it."""
-    solid = ~_SPACE[data]
+    solid = ~apart[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.empty_like(solid)
@@ -148,20 +178,22 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash for each word, and for each text (and the end) the number of words before it.
-
-    A long text goes through in pieces cut between words, so memory follows the piece.
-    """
-    starts, ends, first = word_spans(data, offsets)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A 64-bit hash of each span of bytes. Long texts go through in pieces, so memory follows the piece."""
     found, low = [], 0
     while low < len(starts):
-        high = max(low + 1, int(np.searchsorted(ends, starts[low] + 2 * BLOCK, "right")))
+        high = max(low + 1, int(np.searchsorted(starts, starts[low] + 2 * BLOCK)))
         a, b = starts[low], ends[high - 1]
         piece = _LOWER[data[a:b]] if lower else data[a:b]
         found.append(_WORD(_BYTE[piece], starts[low:high] - a, ends[low:high] - a))
         low = high
-    return (np.concatenate(found) if found else np.zeros(0, np.uint64)), first
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash for each word, and for each text (and the end) the number of words before it."""
+    starts, ends, first = word_spans(data, offsets)
+    return span_hashes(data, starts, ends, lower), first
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int) -> Iterator[np.ndarray]:

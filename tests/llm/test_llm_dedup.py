@@ -1,0 +1,241 @@
+"""Exact and near duplicates, repeated spans: odd rows, hot groups, and brute force on small tables."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from corpus_fixtures import documents, odd  # noqa: F401
+from crowdtide.llm import near_duplicates as near
+from crowdtide.llm import repeated_spans as spans
+from crowdtide.llm.common import shingle_hashes, word_hashes, word_spans
+from crowdtide.llm.components import components
+from crowdtide.llm.exact_duplicates import exact_duplicates
+from crowdtide.llm.near_duplicates import near_duplicates
+from crowdtide.llm.repeated_spans import remove_repeated_spans
+
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def as_block(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+
+
+@given(st.lists(st.text("ab é\t\n漢\x0b\x1c", max_size=12), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_words_and_their_hashes(texts):
+    data, offsets = as_block(texts)
+    starts, ends, first = word_spans(data, offsets)
+    want = [WORD.findall(t.encode()) for t in texts]
+    assert [data[a:b].tobytes() for a, b in zip(starts, ends)] == [w for ws in want for w in ws]
+    assert np.diff(first).tolist() == [len(w) for w in want]
+    hashes, _ = word_hashes(data, offsets)
+    by_word = {}
+    for w, h in zip([w for ws in want for w in ws], hashes.tolist(), strict=True):
+        assert by_word.setdefault(w, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+
+
+def test_long_texts_hash_like_short_ones():
+    words = [f"w{i}" for i in range(700_000)]
+    data, offsets = as_block([" ".join(words)])
+    long, _ = word_hashes(data, offsets)
+    short, _ = word_hashes(*as_block([words[-1], words[0]]))
+    assert (long[-1], long[0]) == tuple(short)
+
+
+# --- exact -----------------------------------------------------------------------------------
+
+
+def exact(rows):
+    groups = {}
+    for n, (i, t, *_) in enumerate(rows):
+        body = re.sub(r"[\x20\x09-\x0D]", "", t or "")
+        groups.setdefault(body, []).append((-len(t or ""), i is None, i or 0, n, i))
+    want = []
+    for body, members in groups.items():
+        keep = min(members)
+        sha = hashlib.sha256(body.encode()).hexdigest()
+        want += [(m[4], keep[4], len(members), sha) for m in members]
+    return sorted(want, key=repr), len(groups)
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_duplicates_of_odd_rows(odd, weak):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    # A digest of one letter makes different texts meet, so that only their bytes tell them apart.
+    found = exact_duplicates(odd, **({"digest": lambda c: F.substring(F.sha2(c, 256), 1, 1)} if weak else {})).collect()
+    want, groups = exact(rows)
+    assert sorted(((r["id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in found), key=repr) == want
+    assert sum(r["kept"] for r in found) == groups
+
+
+def test_exact_duplicates_over_many_batches_and_a_hot_text(documents):
+    rows = [(i, "the same text" if i % 3 == 0 else f"text {i % 200}") for i in range(1500)]
+    docs = documents(rows).repartition(6)
+    found = exact_duplicates(docs, files=1).collect()
+    want, _ = exact(rows)
+    assert sorted(((r["id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in found), key=repr) == want
+
+
+def test_exact_duplicates_of_an_empty_table(documents):
+    assert exact_duplicates(documents([])).collect() == []
+
+
+# --- near ------------------------------------------------------------------------------------
+
+
+def shingles(text, size):
+    words = WORD.findall((text or "").encode().lower())
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} or ({tuple(words)} if words else set())
+
+
+def grouped(rows, size):
+    sets = [shingles(t, size) for _, t, *_ in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    ids = {}
+    for i, (d, *_) in enumerate(rows):
+        ids.setdefault(find(i) if sets[i] else ("none", i), []).append(d)
+    smallest = {k: min((d for d in v if d is not None), default=None) for k, v in ids.items()}
+    return sorted(((d, len(sets[i]), smallest[find(i) if sets[i] else ("none", i)]) for i, (d, *_) in enumerate(rows)), key=repr)
+
+
+def near_copies(seed, groups, copies, words=60, edits=3):
+    rng, rows = random.Random(seed), []
+    for g in range(groups):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rng.randrange(edits + 1)):
+                text[rng.randrange(words)] = f"e{rng.randrange(10**6)}"
+            rows.append((len(rows) * 7 % 1009, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates_against_all_pairs(documents, size):
+    rows = near_copies(3, groups=6, copies=25)
+    found = near_duplicates(documents(rows), size=size).collect()
+    assert sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in found), key=repr) == grouped(rows, size)
+    assert sum(r["kept"] for r in found) == len({r["component_id"] for r in found})
+
+
+def test_near_duplicates_in_one_large_group_compare_in_blocks(documents, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK_OF", 8)
+    monkeypatch.setattr(near, "FEW", 8)
+    rows = near_copies(4, groups=1, copies=120, edits=5)
+    found = near_duplicates(documents(rows), size=2).collect()
+    assert sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in found), key=repr) == grouped(rows, 2)
+
+
+def test_near_duplicates_of_odd_rows(odd):
+    found = near_duplicates(odd).collect()
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    assert sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in found), key=repr) == grouped(rows, 5)
+    kept = {(r["id"], r["text_hash"]) for r in found if r["kept"]}
+    assert len(kept) == len({r["component_id"] if r["n_shingles"] else (r["id"], r["text_hash"]) for r in found})
+
+
+def test_near_duplicates_of_an_empty_table(documents):
+    assert near_duplicates(documents([])).collect() == []
+
+
+def test_estimate_is_corrected_for_chance(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(4000)]
+    texts = [" ".join(base), " ".join(base[:3200]), " ".join(f"v{rng.randrange(10**9)}" for _ in range(4000))]
+    marks = [near.packed(near.minima(s)).tolist() for s in shingle_hashes(*word_hashes(*as_block(texts)), 2)]
+    df = spark.createDataFrame([(marks[0], marks[1], marks[2])], "a array<long>, b array<long>, c array<long>")
+    same, part, other = df.select(near.likeness("a", "a"), near.likeness("a", "b"), near.likeness("a", "c")).first()
+    assert same == 1 and abs(part - 0.8) < 0.12 and abs(other) < 0.12
+
+
+def test_components_of_chains_and_stars(spark):
+    from crowdtide.llm.common import Scratch
+
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(149, 300), (7, 7)]
+    found = dict(components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "t"), "c").collect())
+    assert found == {i: 0 for i in range(1, 41)} | {i: 100 for i in [*range(101, 150), 300]}
+
+
+# --- spans -----------------------------------------------------------------------------------
+
+
+def without_spans(rows):
+    docs = [(i, WORD.findall((t or "").encode())) for i, t, *_ in rows]
+    big = 2**63 - 1
+    first = {}
+    for i, w in docs:
+        for k in range(len(w) - 49):
+            key = tuple(w[k : k + 50])
+            first[key] = min(first.get(key, big), big if i is None else i)
+    out = []
+    for i, w in docs:
+        gone = set()
+        for k in range(len(w) - 49):
+            if first[tuple(w[k : k + 50])] < (big if i is None else i):
+                gone.update(range(k, k + 50))
+        kept = b" ".join(x for k, x in enumerate(w) if k not in gone)
+        out.append((i, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def passages(seed, count=120):
+    """Documents that share passages of 45 to 90 words, whole copies, repeats inside and branching ends."""
+    rng = random.Random(seed)
+    shared = [[f"p{rng.randrange(500)}" for _ in range(rng.choice([45, 49, 50, 51, 60, 90]))] for _ in range(6)]
+    rows = []
+    for i in range(count):
+        words = [f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(80))]
+        for _ in range(rng.randrange(3)):
+            p = rng.choice(shared)
+            cut = rng.randrange(len(p)) if rng.random() < 0.3 else 0
+            words += p[cut:] + [f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(40))]
+        if rows and rng.random() < 0.1:
+            words = rng.choice(rows)[1].split()
+        if rng.random() < 0.1:
+            words = ["same"] * rng.choice([49, 50, 120])
+        rows.append((rng.randrange(10**4), " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_spans_against_all_windows(documents, seed):
+    rows = passages(seed)
+    found = remove_repeated_spans(documents(rows))
+    assert sorted(map(tuple, found.select("id", "n_words", "n_removed", "kept_sha256").collect()), key=repr) == without_spans(rows)
+
+
+def test_spans_of_odd_rows(odd, documents):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()] + [(None, "word " * 60), (3, "word " * 70)]
+    found = remove_repeated_spans(documents(rows))
+    assert sorted(map(tuple, found.select("id", "n_words", "n_removed", "kept_sha256").collect()), key=repr) == without_spans(rows)
+    assert remove_repeated_spans(documents([])).collect() == []
+
+
+def test_segments_cover_every_window_once():
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 50, 400).astype(np.uint64)
+    s = spans.segments(words, np.array([0, 30, 130, 400]))
+    windows = [(t, a + k) for t, a, n in zip(s["text"], s["start"], s["span"]) for k in range(n + 1)]
+    assert windows == [(1, k) for k in range(51)] + [(2, k) for k in range(221)]
