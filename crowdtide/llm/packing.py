@@ -137,6 +137,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, id: str = "doc_id",
     every = done[0]
     for more in done[1:]:
         every = every.union(more)
-    numbered = every.select(F.monotonically_increasing_id().alias("sequence_id"), F.posexplode("pieces").alias("at", "p"), "pieces")
+    # The bins are read from files, so their numbers are the same each time.
+    numbered = every.withColumn("sequence_id", F.monotonically_increasing_id()).select("sequence_id", "pieces", F.posexplode("pieces").alias("at", "p"))
     before = F.aggregate(F.slice("pieces", 1, F.col("at")), F.lit(0).cast("long"), lambda n, p: n + p["length"])
     return numbered.select("p.doc_id", "p.piece", "p.start", "p.length", "p.ids_crc32", "sequence_id", before.alias("offset"))
