@@ -38,7 +38,8 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...], share: float, e
     Sources by code point, null last, take the weights in turn. The budget is ``share`` of all words; a
     source gets words by weight until it has ``epochs`` times its own, and what is over is shared again.
     With sources in order of the virtual time at which they run out, the level that is reached when the
-    first k of them have run out is one division; the right k is the first whose own end lies beyond it.
+    first k of them have run out is one division. The right k is the first for which source k + 1 ends
+    beyond it; further on it only falls.
     The windows without a key go over one row per source.
     """
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -51,7 +52,7 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...], share: float, e
     rest = F.sum("source_size").over(everyone) * F.lit(share) - F.coalesce(F.sum("full").over(earlier), F.lit(0.0))
     per = per.withColumn("reached", rest / (F.sum("weight").over(everyone) - F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))))
     fits = F.when(F.col("reached") <= F.col("full") / F.col("weight"), F.col("reached"))
-    level = F.coalesce(F.min(fits).over(everyone), F.max(F.col("full") / F.col("weight")).over(everyone))
+    level = F.coalesce(F.max(fits).over(everyone), F.max(F.col("full") / F.col("weight")).over(everyone))
     per = per.withColumn("level", level)
     return per.select("source", "place", "weight", "source_size", "level", F.least("full", F.col("level") * F.col("weight")).alias("target"))
 
