@@ -216,7 +216,7 @@ def score_toxicity(
 
     Labels are learnt from rows of ``labels`` whose id is not held out, joined to the texts by id; rows
     with a null id or label, and labels other than 0 and 1, are left out, and an id with several texts or
-    labels gives the first of each. Without examples every score is 0. A text without terms of the
+    labels gives the first of each. Without examples of both labels every score is 0. A text without terms of the
     vocabulary, null or empty, scores as such examples do. ``evidence`` has the nearest examples.
     """
     spark = docs.sparkSession
@@ -264,7 +264,7 @@ def score_toxicity(
     kept = seen.select("id", "y", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("id", "y", F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
     vocabulary = spark.createDataFrame([(int(t),) for t in chosen], "term long")
     by_example = kept.join(F.broadcast(vocabulary), "term").groupBy("id").agg(F.collect_list(F.struct("term", "n")).alias("t"))
-    for r in picked.join(by_example, "id", "left").select("id", "y", "t").collect():  # 2 * EXAMPLES rows at most, of chosen terms
+    for r in seen.select("id", "y").join(by_example, "id", "left").collect():  # 2 * EXAMPLES rows at most, of chosen terms
         pairs = sorted((place[x["term"]], x["n"]) for x in r["t"] or ())
         t, c = np.array([p for p, _ in pairs], np.int64), np.array([n for _, n in pairs], np.int64)
         examples.append((r["id"], r["y"], t, blank.vector(t, c)))
@@ -280,7 +280,7 @@ def calibrated(chosen: np.ndarray, index: Index, share: dict[int, int]) -> Model
     """The model whose scores are shares of label 1 among all labelled rows, from each example's votes without its own."""
     n = {y: int((index.labels == y).sum()) for y in (0, 1)}
     if not n[0] or not n[1]:
-        return Model(chosen, index, np.zeros(0), np.zeros(0), float(bool(n[1])))
+        return Model(chosen, index, np.zeros(0), np.zeros(0), 0.0)
     term = np.repeat(np.arange(len(index.idf)), np.diff(index.first))
     order = np.argsort(index.example, kind="stable")
     cuts = np.searchsorted(index.example[order], np.arange(len(index.ids) + 1))
