@@ -60,7 +60,7 @@ WITH d AS (
   SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(whole) OVER o, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS reached
   FROM w WINDOW o AS (ORDER BY whole / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
-  SELECT *, min(CASE WHEN reached <= whole / weight THEN reached END) OVER () AS level FROM l
+  SELECT *, max(CASE WHEN reached <= whole / weight THEN reached END) OVER () AS level FROM l
 ), c AS (
   SELECT doc_id, shuffled, epoch, d.size, source_size, least(whole, level * weight) AS target, place, weight, level,
     sum(d.size) OVER (PARTITION BY place, epoch ORDER BY shuffled, doc_id ROWS UNBOUNDED PRECEDING) + epoch * source_size AS upto
@@ -98,15 +98,16 @@ SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(k, ' '), ''))
 
 OP10 = rf"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, list_transform({WORDS}, x -> translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents
+  SELECT doc_id, [translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR x IN {WORDS}] AS w FROM documents
 ), sh AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 1], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)
 ), n AS (
   SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
 ), links AS (
-  SELECT x.doc_id AS a, y.doc_id AS b FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id
-  GROUP BY ALL
-  HAVING 100 * count(*) >= 80 * ((SELECT n FROM n WHERE n.doc_id = x.doc_id) + (SELECT n FROM n WHERE n.doc_id = y.doc_id) - count(*))
+  SELECT a, b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 80 * (na.n + nb.n - c)
 ), reach AS (
   SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
 )

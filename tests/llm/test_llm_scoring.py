@@ -79,8 +79,8 @@ def test_toxicity_of_odd_rows_and_few_labels(spark, odd, documents):
     found = score_toxicity(odd, labels).collect()
     assert len(found) == odd.count() and {r["score"] for r in found} == {0.0}
     assert score_toxicity(documents([]), labels).collect() == []
-    rows = [(i, f"plain words {i} here" if i % 3 else f"plain vile {i} here", "a") for i in range(400)]
-    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id long, toxic int")
+    rows = [(i, f"plain words {i} here" if i % 5 else f"plain vile {i} here", "a") for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id long, toxic int")
     found = score_toxicity(documents([*rows, (None, "so vile"), (901, None), (902, "")]), labels).collect()
     assert len(found) == 403
     assert all(r["predicted"] == int("vile" in dict([(i, t) for i, t, _ in rows] + [(None, "so vile"), (901, ""), (902, "")])[r["id"]]) for r in found)
