@@ -26,7 +26,11 @@ def parse_time(text: Column) -> Column:
 
 
 def format_time(moment: Column) -> Column:
-    return F.date_format(moment, S.TIME_FORMAT)
+    """``yyyyMMddHHmmss`` of a zone-free time, from its own digits.
+
+    A date formatter would first read it in the session's zone, and move times that a clock change skips.
+    """
+    return F.translate(F.substring(moment.cast("string"), 1, 19), "-: ", "")
 
 
 def micros_between(start: Column, end: Column) -> Column:

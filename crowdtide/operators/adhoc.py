@@ -29,7 +29,6 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def select_where(df: DataFrame, view: str, condition: str) -> DataFrame:
-    """``df`` as the view ``view``, filtered by a SQL condition."""
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(f"SELECT * FROM {view} WHERE {condition}")
+def select_where(df: DataFrame, condition: str) -> DataFrame:
+    """Rows for which a SQL condition holds."""
+    return df.where(F.expr(condition))

@@ -84,14 +84,15 @@ def track(snapshots: DataFrame, lags: Mapping[str, timedelta]) -> DataFrame:
 
     Each snapshot row is also sent to the later times that look back at it, and the rows of a user
     and time meet in one aggregate: one shuffle for any number of lags and times. The hourly lag is
-    filled only on the hour.
+    filled only on the hour. Rows without a user are left out.
     """
     stamp = F.col("stat_time")
     roles = [F.struct(stamp.alias("stat_time"), F.lit(0).alias("role"))]
     for n, lag in enumerate(lags.values(), start=1):
         later = format_time(parse_time(stamp) + F.lit(lag))
         roles.append(F.struct(later.alias("stat_time"), F.lit(n).alias("role")))
-    sent = snapshots.select("user_hash", "prefix7", "cell_id", F.explode(F.array(*roles)).alias("to")).select(
+    # Said here for all that follows: else only the join with labels would say it, and the halves would differ.
+    sent = snapshots.where(F.col("user_hash").isNotNull()).select("user_hash", "prefix7", "cell_id", F.explode(F.array(*roles)).alias("to")).select(
         "user_hash", "prefix7", "cell_id", "to.stat_time", "to.role"
     )
     cells = [F.max(F.when(F.col("role") == 0, F.col("cell_id"))).alias("cell_now")]

@@ -27,7 +27,8 @@ def profiles(stats: DataFrame, by: Sequence[str] = ("stat_time",)) -> DataFrame:
     """
     placed = stats.repartition(*[F.col(c) for c in (*by, "area_id", "label")])
     if "branch" in stats.columns:
-        single = pick_branch(placed, by)
+        # Rows of one branch are added up; statistics saved without branches have just one.
+        single = pick_branch(placed.groupBy(*by, "area_id", "label", "value", "branch").agg(F.sum("cnt").alias("cnt")), by)
     else:
         single = placed.groupBy(*by, "area_id", "label", "value").agg(F.sum("cnt").alias("cnt"))
     entries = F.array_sort(F.collect_list(F.struct("value", "cnt")))

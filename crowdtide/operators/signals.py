@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from crowdtide import schemas as S
 from crowdtide.functions import is_blank, ntz, parse_time
 
+#: Of a user's signals the newest is the last in this order: by time, then event number, then text.
+LOG_ORDER = ("event_time", "event_no", "seq")
+
 
 def parse_signals(lines: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """One row per non-blank line; a missing field reads as ``''``, extra fields are ignored."""
@@ -29,17 +32,25 @@ def serialise_signals(signals: DataFrame, col: str = "value") -> DataFrame:
 def locate_signals(signals: DataFrame) -> DataFrame:
     """Typed location columns of parsed signals; rows without a phone number are left out.
 
-    ``event_time`` is the end of the signal. ``seq`` breaks ties between signals that end together.
+    ``event_time`` is the end of the signal. Of signals that end together ``LOG_ORDER`` takes the one
+    of the larger event number, then that which came in last.
     """
     return signals.where(~is_blank(F.col("msisdn"))).select(
         "msisdn",
         F.concat("lac", F.lit(S.CELL_JOINER), "ci").alias("cell_id"),
         parse_time(F.col("endtime")).alias("event_time"),
+        F.col("eventid").try_cast("long").alias("event_no"),
         F.concat_ws(S.SIGNAL_SEP, "intime", "eventid").alias("seq"),
         F.concat_ws(S.SIGNAL_SEP, *S.SIGNAL_FIELDS).alias("signal"),
     )
 
 
+def rejected_signals(signals: DataFrame) -> DataFrame:
+    """Parsed signals that cannot be located, with the reason: no phone number, or no readable end."""
+    reason = F.when(is_blank(F.col("msisdn")), "no_msisdn").when(parse_time(F.col("endtime")).isNull(), "no_time")
+    return signals.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+
+
 def live_at(signals: DataFrame, as_of: datetime, ttl: timedelta, time_col: str = "event_time") -> DataFrame:
     """Rows in the half-open interval (as_of - ttl, as_of]; a plain range that reaches the scan."""
     when = F.col(time_col)

@@ -1,26 +1,27 @@
 """Whole jobs: snapshot statistics, backfill, real-time profiles, backup and movement.
 
-A job writes its snapshot first and reads it back, so the expensive step is never repeated and a
-lost executor costs one task. Cell counts feed several roll-ups and are checkpointed once.
+A job writes its snapshot, then its statistics, and reads them back, so no expensive step is repeated and
+a lost executor costs one task. Results count once the job's run is marked, which it does last.
 """
 
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crowdtide import schemas as S
 from crowdtide.operators.counts import LabelSpec, area_counts
 from crowdtide.operators.movement import CURRENT, LAGS, lags_for, look_back, movement_counts
 from crowdtide.operators.profile import profiles
 from crowdtide.operators.rollup import Bridges, area_stats
-from crowdtide.operators.snapshot import build_snapshot
-from crowdtide.plans.lineage import cut_lineage
+from crowdtide.operators.snapshot import accepted, build_snapshot, rejected, split_location_lines
+from crowdtide.operators.timeline import STEP
 from crowdtide.sinks import tables as sinks
-from crowdtide.sources.tables import read_snapshot, read_snapshot_range, time_text
+from crowdtide.sources.tables import CURRENT_PROFILES, PROFILES, REJECTED, STATS, read_snapshot, stored_times, time_text
 
 Labels = Sequence[tuple[LabelSpec, DataFrame]]
 
@@ -43,7 +44,8 @@ class Paths:
     stats: str
     profiles: str
     current_profiles: str
-    batches: str
+    marks: str
+    rejected: str
 
 
 @dataclass(frozen=True)
@@ -53,20 +55,24 @@ class Inputs:
     labels: Labels
 
 
-def _published(snapshots: DataFrame, inputs: Inputs) -> DataFrame:
-    """Grid and district rows of the given snapshots, computed once."""
-    cells = cut_lineage(area_counts(snapshots, inputs.prefix_region, inputs.labels))
-    return cut_lineage(area_stats(cells, inputs.bridges))
+def steps(begin: datetime, end: datetime, step: timedelta = STEP) -> list[datetime]:
+    """Every time of the schedule from ``begin`` to ``end``."""
+    return [begin + i * step for i in range((end - begin) // step + 1)]
 
 
-def _write(stats: DataFrame, paths: Paths, outputs: Collection[str]) -> None:
-    """Publish computed rows; only times that have rows are marked complete."""
-    if OUT_STATS in outputs:
-        sinks.write_stats(stats, paths.stats)
+def _write(spark: SparkSession, snapshots: DataFrame, inputs: Inputs, paths: Paths, times: Sequence[str], outputs: Collection[str]) -> None:
+    """Count, roll up and publish; every time asked for is marked, also one without rows."""
+    run = sinks.new_run()
+    stats = area_stats(area_counts(snapshots, inputs.prefix_region, inputs.labels), inputs.bridges)
+    # What is computed once is the table that is published.
+    sinks.write_stats(stats, paths.stats, run)
+    keys = [(t, CURRENT) for t in times]
     if OUT_PROFILES in outputs:
-        current = F.lit(CURRENT).alias("movement")
-        sinks.write_profiles(profiles(stats).select("*", current), paths.profiles)
-        sinks.mark_complete(stats.select("stat_time", current), paths.batches)
+        kept = spark.read.schema(S.AREA_STATS).parquet(paths.stats).where(F.col("run") == run)
+        sinks.write_profiles(profiles(kept).withColumn("movement", F.lit(CURRENT)), paths.profiles, run)
+        sinks.mark_complete(spark, paths.marks, PROFILES, run, keys)
+    if OUT_STATS in outputs:
+        sinks.mark_complete(spark, paths.marks, STATS, run, keys)
 
 
 def run_snapshot(
@@ -80,7 +86,22 @@ def run_snapshot(
     """Freeze the latest locations, then count, roll up and publish them."""
     sinks.write_snapshot(build_snapshot(locations, stat_time), paths.snapshots)
     snapshot = read_snapshot(spark, paths.snapshots, [stat_time])
-    _write(_published(snapshot, inputs), paths, outputs)
+    _write(spark, snapshot, inputs, paths, [time_text(stat_time)], outputs)
+
+
+def run_snapshot_lines(
+    spark: SparkSession,
+    lines: DataFrame,
+    inputs: Inputs,
+    paths: Paths,
+    stat_time: datetime,
+    outputs: Collection[str] = BOTH,
+) -> None:
+    """``run_snapshot`` over ``msisdn,cell`` text; lines that cannot be used are kept with their reason."""
+    rows, run = split_location_lines(lines), sinks.new_run()
+    sinks.write_rejected(rejected(rows), paths.rejected, stat_time, run)
+    run_snapshot(spark, accepted(rows), inputs, paths, stat_time, outputs)
+    sinks.mark_complete(spark, paths.marks, REJECTED, run, [(time_text(stat_time), CURRENT)])
 
 
 def run_history(
@@ -90,22 +111,30 @@ def run_history(
     begin: datetime,
     end: datetime,
     outputs: Collection[str] = BOTH,
-) -> None:
-    """Statistics for every stored snapshot from ``begin`` to ``end``, as one job keyed by time."""
-    snapshots = read_snapshot_range(spark, paths.snapshots, begin, end)
-    _write(_published(snapshots, inputs), paths, outputs)
+) -> list[str]:
+    """Statistics for every stored snapshot of the schedule, as one job keyed by time.
+
+    Returns the times of the schedule that have no snapshot; results of earlier runs stand for those.
+    """
+    wanted = steps(begin, end)
+    there = stored_times(spark, paths.snapshots, wanted)
+    _write(spark, read_snapshot(spark, paths.snapshots, wanted), inputs, paths, sorted(there), outputs)
+    return [t for t in map(time_text, wanted) if t not in there]
 
 
 def run_realtime(
-    locations: DataFrame, inputs: Inputs, paths: Paths, run_time: datetime, outputs: Collection[str] = BOTH
+    spark: SparkSession, locations: DataFrame, inputs: Inputs, paths: Paths, run_time: datetime, outputs: Collection[str] = BOTH
 ) -> None:
     """As ``run_snapshot`` but without keeping the snapshot; profiles replace those of the last run."""
-    snapshot = cut_lineage(build_snapshot(locations, run_time))
-    stats = _published(snapshot, inputs)
-    if OUT_STATS in outputs:
-        sinks.write_stats(stats, paths.stats)
+    run = sinks.new_run()
+    counted = area_counts(build_snapshot(locations, run_time), inputs.prefix_region, inputs.labels)
+    sinks.write_stats(area_stats(counted, inputs.bridges), paths.stats, run)
     if OUT_PROFILES in outputs:
-        sinks.write_current_profiles(profiles(stats), paths.current_profiles)
+        kept = spark.read.schema(S.AREA_STATS).parquet(paths.stats).where(F.col("run") == run)
+        sinks.write_current_profiles(profiles(kept), paths.current_profiles, run)
+        sinks.mark_complete(spark, paths.marks, CURRENT_PROFILES, run, [("", CURRENT)])
+    if OUT_STATS in outputs:
+        sinks.mark_complete(spark, paths.marks, STATS, run, [(time_text(run_time), CURRENT)])
 
 
 def run_backup(locations: DataFrame, paths: Paths, stat_time: datetime) -> None:
@@ -113,20 +142,23 @@ def run_backup(locations: DataFrame, paths: Paths, stat_time: datetime) -> None:
     sinks.write_snapshot(build_snapshot(locations, stat_time), paths.backups)
 
 
-def run_movement(spark: SparkSession, inputs: Inputs, paths: Paths, begin: datetime, end: datetime | None = None) -> None:
-    """Movement profiles for one time or for every stored time in a range, as one job."""
-    end = end or begin
-    lags = lags_for(begin) if end == begin else LAGS
-    earlier = sorted({look_back(begin, lag) for lag in lags.values()} | {begin})
-    if end == begin:
-        snapshots = read_snapshot(spark, paths.snapshots, earlier)
-    else:
-        snapshots = read_snapshot_range(spark, paths.snapshots, earlier[0], end)
-    wanted = F.col("stat_time").between(time_text(begin), time_text(end))
-    stats = cut_lineage(
-        movement_counts(
-            snapshots, lags, inputs.bridges.cell_district, inputs.prefix_region, inputs.labels
-        ).where(wanted)
-    )
-    sinks.write_profiles(profiles(stats, by=("stat_time", "movement")), paths.profiles)
-    sinks.mark_complete(stats.select("stat_time", "movement"), paths.batches)
+def run_movement(
+    spark: SparkSession, inputs: Inputs, paths: Paths, begin: datetime, end: datetime | None = None
+) -> list[str]:
+    """Movement profiles for one time or for every time of the schedule in a range, as one job.
+
+    Every kind of movement that is due at a stored time is marked, also without rows. Returns the times
+    without a snapshot.
+    """
+    wanted = steps(begin, end or begin)
+    there = stored_times(spark, paths.snapshots, wanted)
+    lags = lags_for(begin) if len(wanted) == 1 else LAGS
+    reach = {look_back(t, lag) for t in wanted for lag in lags.values()} | set(wanted)
+    snapshots = read_snapshot(spark, paths.snapshots, sorted(reach))
+    counted = movement_counts(snapshots, lags, inputs.bridges.cell_district, inputs.prefix_region, inputs.labels)
+    stats = counted.where(F.col("stat_time").isin(sorted(there)))
+    run = sinks.new_run()
+    sinks.write_profiles(profiles(stats, by=("stat_time", "movement")), paths.profiles, run)
+    due = [(time_text(t), kind) for t in wanted if time_text(t) in there for kind in (CURRENT, *lags_for(t))]
+    sinks.mark_complete(spark, paths.marks, PROFILES, run, due)
+    return [t for t in map(time_text, wanted) if t not in there]

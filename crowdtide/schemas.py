@@ -53,23 +53,26 @@ AREA_STATS = T.StructType(
         T.StructField("label", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("cnt", T.LongType()),
+        T.StructField("branch", T.StringType()),
         T.StructField("stat_time", T.StringType()),
         T.StructField("level", T.StringType()),
+        T.StructField("run", T.StringType()),
     ]
 )
-PROFILE = _strings("area_id", "label", "profile_json", "stat_time", "movement")
-BATCHES = T.StructType(
-    [
-        T.StructField("complete", T.StringType()),
-        T.StructField("stat_time", T.StringType()),
-        T.StructField("movement", T.StringType()),
-    ]
-)
+# A line of statistics text. Lines of four fields have no branch.
+STATS_LINE = "area_id string, label string, value string, cnt string, branch string"
+# A missing value is written as \\N, an empty one as two quotes.
+STATS_CSV = {"quote": '"', "escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+PROFILE = _strings("area_id", "label", "profile_json", "stat_time", "movement", "run")
+CURRENT_PROFILE = _strings("area_id", "label", "profile_json", "run")
+REJECTED = _strings("line", "reject_reason", "stat_time", "run")
+MARKS = _strings("complete", "kind", "stat_time", "movement", "run", "marked_at")
 LOCATION_LOG = T.StructType(
     [
         T.StructField("msisdn", T.StringType()),
         T.StructField("cell_id", T.StringType()),
         T.StructField("event_time", T.TimestampNTZType()),
+        T.StructField("event_no", T.LongType()),
         T.StructField("seq", T.StringType()),
         T.StructField("signal", T.StringType()),
         T.StructField("ingest_time", T.TimestampNTZType()),

@@ -1,8 +1,16 @@
-"""Writing tables. Every write replaces whole partitions, so a repeated run leaves no duplicates."""
+"""Writing tables. Each run writes rows of its own, and a mark says which run's rows count.
+
+A table of results has its run as last partition. The rows of a time, and of a kind of movement, are those
+of the run that was marked last for it; readers see no others. So a run that is repeated with fewer rows,
+or none, leaves nothing of the earlier one visible, a run that fails changes nothing, and a reader never
+sees half of one.
+"""
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from collections.abc import Iterable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +21,10 @@ from crowdtide.sources.delimited import parse_stats, read_lines
 from crowdtide.sources.tables import time_text
 
 
+def new_run() -> str:
+    return uuid.uuid4().hex
+
+
 def _replace_partitions(
     df: DataFrame, path: str, *keys: str, fmt: str = "parquet", even: bool = True, **options: str
 ) -> None:
@@ -40,36 +52,51 @@ def write_snapshot(snapshot: DataFrame, path: str, many_times: bool = False) ->
     _replace_partitions(snapshot.select(*S.SNAPSHOT.fieldNames()), path, "stat_time", even=many_times)
 
 
-def write_stats(stats: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Counts under ``stat_time`` and ``level``; as CSV each line is ``area,label,value,count``."""
-    _replace_partitions(stats.select(*S.AREA_STATS.fieldNames()), path, "stat_time", "level", fmt=fmt)
+def write_stats(stats: DataFrame, path: str, run: str, fmt: str = "parquet") -> None:
+    """Counts under ``stat_time``, ``level`` and ``run``; as CSV a line is ``area,label,value,count,branch``."""
+    if "branch" not in stats.columns:
+        stats = stats.withColumn("branch", F.lit(None).cast("string"))
+    rows = stats.withColumn("run", F.lit(run)).select(*S.AREA_STATS.fieldNames())
+    _replace_partitions(rows, path, "stat_time", "level", "run", fmt=fmt, **(S.STATS_CSV if fmt == "csv" else {}))
+
 
+def write_profiles(rows: DataFrame, path: str, run: str) -> None:
+    """Profile history, keyed by area, label and time, with one partition per kind of movement and run."""
+    kept = rows.withColumn("run", F.lit(run)).select(*S.PROFILE.fieldNames())
+    _replace_partitions(kept, path, "stat_time", "movement", "run")
 
-def write_profiles(rows: DataFrame, path: str) -> None:
-    """Profile history, keyed by area, label and time, with one partition per kind of movement."""
-    _replace_partitions(rows.select(*S.PROFILE.fieldNames()), path, "stat_time", "movement")
 
+def write_current_profiles(rows: DataFrame, path: str, run: str) -> None:
+    """Profiles keyed by area and label only; once marked, this run takes the place of the last one."""
+    kept = rows.withColumn("run", F.lit(run)).select(*S.CURRENT_PROFILE.fieldNames())
+    _replace_partitions(kept, path, "run")
 
-def write_current_profiles(rows: DataFrame, path: str) -> None:
-    """Profiles keyed by area and label only; the next run takes the place of this one."""
-    rows.select("area_id", "label", "profile_json").write.mode("overwrite").parquet(path)
 
+def write_rejected(rows: DataFrame, path: str, stat_time: datetime, run: str) -> None:
+    """Lines that could not be used, with the reason."""
+    stamped = rows.select("line", "reject_reason").withColumns({"stat_time": F.lit(time_text(stat_time)), "run": F.lit(run)})
+    _replace_partitions(stamped, path, "stat_time", "run")
 
-def mark_complete(batches: DataFrame, path: str) -> None:
-    """One mark for each distinct (stat_time, movement) of ``batches``.
 
-    Written last, so a reader that joins the marks never sees half a batch.
+def mark_complete(
+    spark: SparkSession, path: str, kind: str, run: str, keys: Iterable[tuple[str, str]], at: datetime | None = None
+) -> None:
+    """Makes ``run`` the one that counts for each (stat_time, movement) that it was asked for, rows or not.
+
+    Written last, in one small file. Marks are only added; the newest of a key decides.
     """
-    key = F.concat_ws(S.ROWKEY_JOINER, F.lit(S.COMPLETE_MARK), F.col("stat_time"))
-    marks = batches.select(key.alias("complete"), "stat_time", "movement").distinct()
-    _replace_partitions(marks, path, "stat_time", "movement")
+    when = (at or datetime.now(UTC)).strftime("%Y%m%d%H%M%S%f")
+    rows = [(S.ROWKEY_JOINER.join((S.COMPLETE_MARK, t)), kind, t, m, run, when) for t, m in keys]
+    spark.createDataFrame(rows, S.MARKS).coalesce(1).write.mode("append").parquet(path)
 
 
-def rebuild_profiles(spark: SparkSession, stats_path: str, stat_time: datetime, movement: str = "current") -> DataFrame:
-    """Profiles from saved ``area,label,value,count`` text."""
+def rebuild_profiles(
+    spark: SparkSession, stats_path: str, stat_time: datetime, movement: str = "current", run: str = ""
+) -> DataFrame:
+    """Profiles from saved ``area,label,value,count[,branch]`` text, chosen by branch as when first published."""
     stats = parse_stats(read_lines(spark, stats_path))
     return profiles(stats, by=()).withColumns(
-        {"stat_time": F.lit(time_text(stat_time)), "movement": F.lit(movement)}
+        {"stat_time": F.lit(time_text(stat_time)), "movement": F.lit(movement), "run": F.lit(run)}
     )
 
 
@@ -87,3 +114,4 @@ def write_bucketed_labels(labels: DataFrame, table: str, path: str, buckets: int
         .option("path", path)
         .saveAsTable(table)
     )
+

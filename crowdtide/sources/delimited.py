@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdtide import schemas as S
 from crowdtide.functions import is_blank, trimmed_fields
+from crowdtide.operators.counts import LabelSpec, parse_labels
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -21,6 +22,21 @@ def read_typed(spark: SparkSession, path: str, columns: Iterable[str], sep: str
     return spark.read.schema(S.runtime_schema(columns)).csv(path, sep=sep, mode="PERMISSIVE")
 
 
+def load_labels(spark: SparkSession, settings: Mapping[str, str]) -> list[tuple[LabelSpec, DataFrame]]:
+    """The label files that text settings name.
+
+    ``labels`` is how many there are; ``label.1.path`` and the fields of ``LabelSpec.from_config`` under
+    ``label.1.`` describe the first, and so on.
+    """
+    found = []
+    for number in range(1, int(settings["labels"]) + 1):
+        head = f"label.{number}."
+        own = {k.removeprefix(head): v for k, v in settings.items() if k.startswith(head)}
+        spec = LabelSpec.from_config(own)
+        found.append((spec, parse_labels(read_lines(spark, own["path"]), spec)))
+    return found
+
+
 def read_search_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.SEARCH_LOG).csv(path, sep="\t", quote="")
 
@@ -49,13 +65,28 @@ def parse_snapshot(lines: DataFrame, col: str = "value") -> DataFrame:
     return lines.where(F.size(parts) >= 3).select(*[F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
-def parse_stats(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``area,label,value,count`` lines; a count that is no whole number drops the line."""
-    parts = F.split(F.col(col), ",")
-    count = F.get(parts, F.lit(3)).try_cast("long")
-    return lines.where(count.isNotNull()).select(
-        F.get(parts, F.lit(0)).alias("area_id"),
-        F.get(parts, F.lit(1)).alias("label"),
-        F.get(parts, F.lit(2)).alias("value"),
-        count.alias("cnt"),
+def read_stats_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Saved statistics text with the columns of its folders."""
+    return spark.read.schema("value string, stat_time string, level string, run string").text(path)
+
+
+def _stats_fields(lines: DataFrame, col: str, keep: Iterable[str] = ()) -> DataFrame:
+    """Each line with its fields, in the dialect that the statistics sink writes."""
+    fields = F.from_csv(F.col(col), S.STATS_LINE, {**S.STATS_CSV, "mode": "PERMISSIVE"})
+    return lines.select(*keep, F.col(col).alias("line"), fields.alias("f")).withColumn("count", F.col("f.cnt").try_cast("long"))
+
+
+def parse_stats(lines: DataFrame, col: str = "value", keep: Iterable[str] = ()) -> DataFrame:
+    """``area,label,value,count[,branch]`` lines, quoted as the sink quotes them.
+
+    A line without a whole number as its count is left out; ``rejected_stats`` has those lines.
+    """
+    names = ("area_id", "label", "value")
+    return _stats_fields(lines, col, keep).where(F.col("count").isNotNull()).select(
+        *keep, *[F.col(f"f.{n}").alias(n) for n in names], F.col("count").alias("cnt"), F.col("f.branch").alias("branch")
     )
+
+
+def rejected_stats(lines: DataFrame, col: str = "value") -> DataFrame:
+    """The lines that ``parse_stats`` leaves out."""
+    return _stats_fields(lines, col).where(F.col("count").isNull()).select("line", F.lit("no_count").alias("reject_reason"))

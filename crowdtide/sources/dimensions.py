@@ -1,27 +1,42 @@
-"""Area dimensions over JDBC."""
+"""Area dimensions over JDBC. Relations and columns are the caller's; nothing is assumed of the database."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The views and columns each bridge is read from.
-BRIDGE_QUERIES = {
-    "grid_district": "select gridid as from_id, disid as to_id from v_grid_dis_list",
-    "cell_district": "select fan as from_id, disid as to_id from v_fan_dis_list",
-    "district_parent": "select scode as from_id, disid as to_id from v_dis_dis_list",
-    "cell_district_history": "select fan as from_id, disid as to_id from v_history_fan_dis_list",
-    "cell_grid": "select site_fan as from_id, gridid as to_id, sratio as ratio from tb_base_site_grid_square",
-}
-MOVEMENT_BRIDGES = ("cell_district_history",)
-SNAPSHOT_BRIDGES = ("grid_district", "cell_district", "district_parent")
 
+@dataclass(frozen=True)
+class Relation:
+    """A table or view with a bridge in it, and the names of its columns.
 
-def jdbc_options(name: str, url: str, **connection: str) -> dict[str, str]:
+    A large one is read in ``parts`` queries, cut by the numeric column ``split_by`` between two bounds;
+    rows outside the bounds belong to the first and last part.
+    """
+
+    name: str
+    from_id: str
+    to_id: str
+    ratio: str | None = None
+    split_by: str | None = None
+    lower: int = 0
+    upper: int = 0
+    parts: int = 1
+
+
+def jdbc_options(relation: Relation, url: str, **connection: str) -> dict[str, str]:
     """Reader options for one bridge; ``connection`` passes driver, user, password and so on."""
-    return {"url": url, "query": BRIDGE_QUERIES[name], **connection}
+    ratio = f", {relation.ratio} AS ratio" if relation.ratio else ""
+    split = f", {relation.split_by} AS split_by" if relation.split_by else ""
+    query = f"SELECT {relation.from_id} AS from_id, {relation.to_id} AS to_id{ratio}{split} FROM {relation.name}"
+    options = {"url": url, "dbtable": f"({query}) bridge", **connection}
+    if relation.split_by:
+        bounds = {"lowerBound": relation.lower, "upperBound": relation.upper, "numPartitions": relation.parts}
+        options |= {"partitionColumn": "split_by"} | {k: str(v) for k, v in bounds.items()}
+    return options
 
 
 def as_bridge(rows: DataFrame) -> DataFrame:
@@ -33,11 +48,11 @@ def as_bridge(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_bridge(spark: SparkSession, name: str, url: str, **connection: str) -> DataFrame:
-    return as_bridge(spark.read.format("jdbc").options(**jdbc_options(name, url, **connection)).load())
+def read_bridge(spark: SparkSession, relation: Relation, url: str, **connection: str) -> DataFrame:
+    return as_bridge(spark.read.format("jdbc").options(**jdbc_options(relation, url, **connection)).load())
 
 
 def read_bridges(
-    spark: SparkSession, url: str, names: tuple[str, ...] = SNAPSHOT_BRIDGES, **connection: str
+    spark: SparkSession, url: str, relations: Mapping[str, Relation], **connection: str
 ) -> Mapping[str, DataFrame]:
-    return {name: read_bridge(spark, name, url, **connection) for name in names}
+    return {name: read_bridge(spark, relation, url, **connection) for name, relation in relations.items()}

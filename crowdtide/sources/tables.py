@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from crowdtide import schemas as S
 from crowdtide.functions import is_blank, ntz
-from crowdtide.operators.signals import latest_per_user
+from crowdtide.operators.signals import LOG_ORDER, latest_per_user
+
+#: What a mark can be about.
+STATS, PROFILES, CURRENT_PROFILES, REJECTED = "stats", "profiles", "current", "rejected"
 
 
 def time_text(moment: datetime) -> str:
@@ -42,22 +45,45 @@ def read_latest_locations(
 ) -> DataFrame:
     """(msisdn, cell_id) of every user written within ``ttl`` before ``as_of``; blank cells are skipped.
 
-    ``by`` is the clock the time-to-live runs on. With ``ingest_time`` only the hours in reach are read.
+    ``by`` is the clock the time-to-live runs on. With ``ingest_time``, which is one value per batch, files
+    of batches out of reach are skipped by their statistics.
     """
     log = read_location_log(spark, path)
-    if by == "ingest_time":
-        hours = [(as_of - ttl).strftime("%Y%m%d%H"), as_of.strftime("%Y%m%d%H")]
-        log = log.where(F.col("ingest_hour").between(*hours))
     live = log.where((F.col(by) > ntz(as_of - ttl)) & (F.col(by) <= ntz(as_of)))
-    return latest_per_user(live).where(~is_blank(F.col("cell_id")))
+    return latest_per_user(live, order_by=LOG_ORDER).where(~is_blank(F.col("cell_id")))
+
+
+def stored_times(spark: SparkSession, path: str, wanted: Sequence[datetime]) -> set[str]:
+    """Which of the wanted times have a snapshot."""
+    found = read_snapshot(spark, path, wanted).select("stat_time").distinct()
+    return {r["stat_time"] for r in found.collect()}  # no more than were wanted
+
+
+def finished(spark: SparkSession, marks: str, kind: str) -> DataFrame:
+    """(stat_time, movement, run): the run that counts for each key."""
+    of_kind = spark.read.schema(S.MARKS).parquet(marks).where(F.col("kind") == kind)
+    return of_kind.groupBy("stat_time", "movement").agg(F.max_by("run", F.struct("marked_at", "run")).alias("run"))
 
 
-def read_stats(spark: SparkSession, path: str, stat_time: datetime | None = None) -> DataFrame:
+def read_stats(spark: SparkSession, path: str, marks: str, stat_time: datetime | None = None) -> DataFrame:
+    """Statistics of the runs that count."""
     stats = spark.read.schema(S.AREA_STATS).parquet(path)
-    return stats if stat_time is None else stats.where(F.col("stat_time") == time_text(stat_time))
+    if stat_time is not None:
+        stats = stats.where(F.col("stat_time") == time_text(stat_time))
+    return stats.join(finished(spark, marks, STATS).drop("movement"), ["stat_time", "run"], "left_semi").drop("run")
+
+
+def read_profiles(spark: SparkSession, path: str, marks: str) -> DataFrame:
+    """Profiles of the runs that count."""
+    done = finished(spark, marks, PROFILES)
+    return spark.read.schema(S.PROFILE).parquet(path).join(done, ["stat_time", "movement", "run"], "left_semi").drop("run")
+
+
+def read_current_profiles(spark: SparkSession, path: str, marks: str) -> DataFrame:
+    done = finished(spark, marks, CURRENT_PROFILES).select("run")
+    return spark.read.schema(S.CURRENT_PROFILE).parquet(path).join(done, "run", "left_semi").drop("run")
 
 
-def read_profiles(spark: SparkSession, path: str, batches: str) -> DataFrame:
-    """Profiles of finished batches only."""
-    done = spark.read.schema(S.BATCHES).parquet(batches).select("stat_time", "movement")
-    return spark.read.schema(S.PROFILE).parquet(path).join(done, ["stat_time", "movement"], "left_semi")
+def read_rejected(spark: SparkSession, path: str, marks: str) -> DataFrame:
+    done = finished(spark, marks, REJECTED).drop("movement")
+    return spark.read.schema(S.REJECTED).parquet(path).join(done, ["stat_time", "run"], "left_semi").drop("run")

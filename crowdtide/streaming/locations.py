@@ -1,14 +1,15 @@
 """The signal stream: lines in, a table of latest locations out.
 
-Each micro-batch keeps the newest signal per user and adds those rows to a log partitioned by hour
-and batch. Readers take the newest row per user within the time-to-live. No state is held between
-batches, writes cost what the batch holds, and a batch that is run again replaces its own rows.
+Each micro-batch keeps the newest signal per user and adds those rows to a log partitioned by batch.
+Readers take the newest row per user within the time-to-live; the times in the files' footers let them
+skip older batches. No state is held between batches, writes cost what the batch holds, and a batch that
+is run again replaces its own rows. ``compact_log`` joins small files and drops what has expired.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crowdtide import schemas as S
 from crowdtide.functions import ntz
-from crowdtide.operators.signals import latest_per_user, locate_signals, parse_signals
+from crowdtide.operators.signals import LOG_ORDER, latest_per_user, locate_signals, parse_signals
 
-PER_USER = ("cell_id", "event_time", "seq", "signal")
+PER_USER = ("cell_id", "event_time", "event_no", "seq", "signal")
 
 
 def kafka_options(brokers: str, topics: str, group: str, **extra: str) -> dict[str, str]:
@@ -50,16 +51,23 @@ def file_lines(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 
 def newest_in_batch(lines: DataFrame) -> DataFrame:
-    """The newest signal per user of one batch, with its text."""
-    return latest_per_user(locate_signals(parse_signals(lines)), keep=PER_USER)
+    """The newest signal per user of one batch, with its text; signals without a readable time are not taken."""
+    timed = locate_signals(parse_signals(lines)).where(F.col("event_time").isNotNull())
+    return latest_per_user(timed, keep=PER_USER, order_by=LOG_ORDER)
+
+
+def utc_now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
 
 
 def append_batch(
-    path: str, clock: Callable[[], datetime] = datetime.now, files: int | None = None
+    path: str, clock: Callable[[], datetime] = utc_now, files: int | None = None
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that adds a batch's newest locations to the log at ``path``.
 
-    ``files`` bounds the files a batch leaves; set it where batches are small and frequent.
+    Rows lie under their batch alone, so a batch that is run again, in a later hour too, replaces its
+    own. ``ingest_time`` is the UTC clock of the attempt. ``files`` deals the finished rows to so many
+    files; set it where batches are small and frequent.
     """
 
     def write(lines: DataFrame, batch_id: int) -> None:
@@ -71,25 +79,46 @@ def append_batch(
                 "batch_id": F.lit(batch_id).cast("long"),
             }
         )
-        kept = rows.select(*S.LOCATION_LOG.fieldNames())
-        (
-            (kept.coalesce(files) if files else kept)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("ingest_hour", "batch_id")
-            .parquet(path)
-        )
+        _put(rows.repartition(files, "msisdn") if files else rows, path)
 
     return write
 
 
+def _put(rows: DataFrame, path: str) -> None:
+    (
+        rows.select(*S.LOCATION_LOG.fieldNames())
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
+
+def compact_log(
+    spark: SparkSession, path: str, into: str, as_of: datetime, ttl: timedelta, files: int, below: int | None = None
+) -> None:
+    """The log's live rows as a new log at ``into``, in so many files: newest per user, older ones expired.
+
+    Batches from number ``below`` on keep their own folders, so that a running stream's last batch can still be
+    run again. The stream goes on in the new folder; the old one can be removed once nobody reads it.
+    """
+    log = spark.read.schema(S.LOCATION_LOG).parquet(path).where(F.col("ingest_time") > ntz(as_of - ttl))
+    old = log if below is None else log.where(F.col("batch_id") < below)
+    # Late signals renew a user's time, and readers look at the time of writing first: one row per hour of it stays.
+    newest = F.max_by(F.struct(*PER_USER, "ingest_time"), F.struct(*LOG_ORDER, "ingest_time")).alias("newest")
+    merged = old.groupBy("msisdn", "ingest_hour").agg(newest).select("msisdn", "ingest_hour", "newest.*")
+    _put(merged.withColumn("batch_id", F.lit(-1).cast("long")).repartition(files, "msisdn"), into)
+    if below is not None:
+        _put(log.where(F.col("batch_id") >= below), into)
+
+
 def start_location_stream(
     lines: DataFrame,
     path: str,
     checkpoint: str,
     *,
     every: str | None = None,
-    clock: Callable[[], datetime] = datetime.now,
+    clock: Callable[[], datetime] = utc_now,
     files: int | None = None,
 ) -> StreamingQuery:
     """Run the stream: at the interval ``every``, or over what is there and then stop when it is None."""

@@ -6,18 +6,33 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from crowdtide import schemas as S
 from crowdtide.operators.signals import locate_signals, parse_signals
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_STATE = "event_time timestamp_ntz, seq string, cell_id string"
+_STATE = "event_time timestamp_ntz, event_no long, seq string, cell_id string"
+_SIGNAL = "msisdn string, cell_id string, event_time timestamp_ntz, event_no long, seq string"
 _OUTPUT = "msisdn string, cell_id string, event_time timestamp_ntz"
 
 
+def newest_rows(batch: pd.DataFrame) -> pd.DataFrame:
+    """One row per user, the newest."""
+    return batch.sort_values(["event_time", "event_no", "seq"], na_position="first").drop_duplicates("msisdn", keep="last")
+
+
+def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return map(newest_rows, batches)
+
+
 class NewestLocation(StatefulProcessor):
-    """Keeps the newest location of a user; every write starts the time-to-live anew."""
+    """Keeps the newest location of a user.
+
+    The time-to-live starts anew whenever the kept location is written: with a newer signal or one that ties.
+    An older signal changes nothing, its time-to-live included.
+    """
 
     def __init__(self, ttl_seconds: int) -> None:
         self._ttl_ms = ttl_seconds * 1000
@@ -30,13 +45,13 @@ class NewestLocation(StatefulProcessor):
         best = tuple(kept) if kept is not None else None
         changed = False
         for batch in rows:
-            top = batch.sort_values(["event_time", "seq"]).iloc[-1]
-            found = (top["event_time"].to_pydatetime(), top["seq"], top["cell_id"])
-            if best is None or found[:2] >= tuple(best[:2]):
+            top = newest_rows(batch).iloc[-1]
+            found = (top["event_time"].to_pydatetime(), int(top["event_no"]), top["seq"], top["cell_id"])
+            if best is None or found[:3] >= tuple(best[:3]):
                 best, changed = found, True
         if changed:
             self._newest.update(best)
-            yield pd.DataFrame({"msisdn": [key[0]], "cell_id": [best[2]], "event_time": [best[0]]})
+            yield pd.DataFrame({"msisdn": [key[0]], "cell_id": [best[3]], "event_time": [best[0]]})
 
     def close(self) -> None:
         pass
@@ -46,9 +61,13 @@ def newest_with_ttl(lines: DataFrame, ttl_seconds: int = S.TTL_SECONDS) -> DataF
     """One row per user whose newest location changed; needs the session to use ``STATE_PROVIDER``.
 
     Run it with a processing-time trigger: state on the processing clock always asks for one more
-    batch, so an available-now run would not end.
+    batch, so an available-now run would not end. Signals without a readable time are not taken, and a
+    missing event number counts as -1. Each task sends one row per user and Arrow batch to the state, so a
+    user with a large share of the signals is combined before.
     """
-    located = locate_signals(parse_signals(lines)).drop("signal")
+    located = locate_signals(parse_signals(lines)).where(F.col("event_time").isNotNull())
+    located = located.select("msisdn", "cell_id", "event_time", F.coalesce("event_no", F.lit(-1).cast("long")).alias("event_no"), "seq")
+    located = located.mapInPandas(_combine, _SIGNAL)
     return located.groupBy("msisdn").transformWithStateInPandas(
         statefulProcessor=NewestLocation(ttl_seconds),
         outputStructType=_OUTPUT,

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import posixpath
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +16,15 @@ from crowdtide.operators import adhoc, counts, movement, rollup, timeline
 from crowdtide.operators import profile as prof
 from crowdtide.operators import signals as sig
 from crowdtide.operators import snapshot as snap
+from crowdtide.plans import jobs
 from crowdtide.plans.flow import apply_flow
 from crowdtide.plans.lineage import shared_folder
+from crowdtide.sinks import tables as sinks
+from crowdtide.sources import delimited
+from crowdtide.sources import tables as stored
 from crowdtide.sources.delimited import parse_stats
 from crowdtide.sources.tables import read_latest_locations, time_text
-from crowdtide.streaming.locations import start_location_stream
+from crowdtide.streaming.locations import compact_log, file_lines, start_location_stream, utc_now
 from crowdtide.workload import tables as w
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 STAT_COLUMNS = ("stat_time", "area_id", "label", "value", "cnt")
 QUARTER = timedelta(minutes=15)
 SIXTY = timedelta(minutes=60)
+STREAM_FILES = 8
 
 
 def parse_signals(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +75,10 @@ def label_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def label_values(spark: SparkSession, d: str) -> DataFrame:
     """How often each label value is given by the users of both label files."""
-    labels = w.labels(spark, d)
+    return _value_counts(w.labels(spark, d))
+
+
+def _value_counts(labels: jobs.Labels) -> DataFrame:
     users = labels[0][1].select("user_hash").unionByName(labels[1][1].select("user_hash")).distinct()
     return counts.labelled(users, labels, ()).groupBy("label", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
@@ -203,7 +211,7 @@ def district_bridge(spark: SparkSession, d: str) -> DataFrame:
 
 
 def multi_filter(spark: SparkSession, d: str) -> DataFrame:
-    wanted = {"city": ["beijing"], "platform": ["android"], "version": ["1.0", "1.2", "1.5", "2.0"]}
+    wanted = {"city": ["shanghai", "shenzhen"], "platform": ["ios"], "version": ["1.2", "2.0"]}
     return adhoc.multi_filter(w.search_log(spark, d), wanted)
 
 
@@ -248,7 +256,7 @@ def flow_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sql_filter(spark: SparkSession, d: str) -> DataFrame:
-    return adhoc.select_where(w.people(spark, d), "students", "age <= 18")
+    return adhoc.select_where(w.people(spark, d), "age BETWEEN 30 AND 44 AND sex = '1'")
 
 
 def text_length(spark: SparkSession, d: str) -> DataFrame:
@@ -260,14 +268,150 @@ def row_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_latest(spark: SparkSession, d: str) -> DataFrame:
-    """Events as a file stream into the location log, then the log read back at the end of the month."""
-    fallback = None if spark.conf.get("spark.checkpoint.dir", None) else tempfile.mkdtemp(prefix="crowdtide-")
-    root = os.path.join(shared_folder(spark, fallback), f"stream-{uuid.uuid4().hex}")
-    schema = w.table(spark, d, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    log = os.path.join(root, "locations")
-    start_location_stream(w.events_as_lines(events), log, os.path.join(root, "progress")).awaitTermination()
-    return read_latest_locations(spark, log, w.RANGE[1], w.DAY, by="event_time")
+    """Signal text as a file stream in several micro-batches into the log, compacted and read back."""
+    root = _shared(spark, "stream")
+    w.signal_lines(spark, d).repartition(STREAM_FILES).write.text(posixpath.join(root, "lines"))
+    lines = file_lines(spark, posixpath.join(root, "lines"), max_files=STREAM_FILES // 4)
+    log = posixpath.join(root, "locations")
+    start_location_stream(lines, log, posixpath.join(root, "progress"), files=2).awaitTermination()
+    now = utc_now() + timedelta(minutes=1)
+    compact_log(spark, log, posixpath.join(root, "compacted"), now, w.DAY, files=4)
+    return read_latest_locations(spark, posixpath.join(root, "compacted"), w.RANGE[1], w.DAY, by="event_time")
+
+
+def _shared(spark: SparkSession, name: str) -> str:
+    """A new folder that every executor can reach."""
+    return posixpath.join(shared_folder(spark), "crowdtide", f"{name}-{uuid.uuid4().hex}")
+
+
+def _paths(spark: SparkSession) -> jobs.Paths:
+    root = _shared(spark, "jobs")
+    return jobs.Paths(*[posixpath.join(root, n) for n in ("snapshots", "backups", "stats", "profiles", "current", "marks", "rejected")])
+
+
+def _inputs(spark: SparkSession, d: str) -> jobs.Inputs:
+    return jobs.Inputs(w.bridges(spark, d), w.prefix_region(spark, d), w.labels(spark, d))
+
+
+def _now(spark: SparkSession, d: str) -> DataFrame:
+    return sig.latest_locations(w.signals(spark, d), w.AS_OF, w.DAY)
+
+
+def _hard_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Area statistics with values that text has to quote: separators, quotes, blanks at the ends, nothing."""
+    label = F.col("label")
+    value = F.when(label == "arpu", F.concat(F.lit(" "), "value", F.lit(', "or" so '))).when(label == "gender", "").otherwise(F.col("value"))
+    return area_stats(spark, d).withColumn("value", value).groupBy("stat_time", "area_id", "label", "value", "branch", "level").agg(F.sum("cnt").alias("cnt"))
+
+
+def stats_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = posixpath.join(_shared(spark, "stats"), "text")
+    sinks.write_stats(_hard_stats(spark, d), path, sinks.new_run(), fmt="csv")
+    return parse_stats(delimited.read_stats_lines(spark, path), keep=("stat_time", "level"))
+
+
+def rebuilt_area_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles of districts that two branches reach, rebuilt from saved text."""
+    path, run = posixpath.join(_shared(spark, "stats"), "text"), sinks.new_run()
+    sinks.write_stats(_hard_stats(spark, d), path, run, fmt="csv")
+    folder = posixpath.join(path, f"stat_time={time_text(w.AS_OF)}", "level=sub", f"run={run}")
+    return sinks.rebuild_profiles(spark, folder, w.AS_OF).select("area_id", "label", "profile_json")
+
+
+def movement_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """A movement job run again after the earlier snapshots are gone: nothing of its first result stays."""
+    first, inputs = _paths(spark), _inputs(spark, d)
+    sinks.write_snapshot(_people_every(spark, d, QUARTER), first.snapshots, many_times=True)
+    jobs.run_movement(spark, inputs, first, w.AS_OF)
+    again = replace(first, snapshots=posixpath.join(_shared(spark, "jobs"), "snapshots"))
+    sinks.write_snapshot(w.snapshot(spark, d), again.snapshots)
+    jobs.run_movement(spark, inputs, again, w.AS_OF)
+    return stored.read_profiles(spark, first.profiles, first.marks)
+
+
+def movement_job(spark: SparkSession, d: str) -> DataFrame:
+    paths = _paths(spark)
+    sinks.write_snapshot(_people_every(spark, d, QUARTER), paths.snapshots, many_times=True)
+    jobs.run_movement(spark, _inputs(spark, d), paths, w.AS_OF)
+    return stored.read_profiles(spark, paths.profiles, paths.marks).select("stat_time", "movement", "area_id", "label", "profile_json")
+
+
+def snapshot_job(spark: SparkSession, d: str) -> DataFrame:
+    paths = _paths(spark)
+    jobs.run_snapshot(spark, _now(spark, d), _inputs(spark, d), paths, w.AS_OF)
+    return prof.row_keys(stored.read_profiles(spark, paths.profiles, paths.marks)).select("row_key", "profile_json")
+
+
+def history_job(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of stored snapshots; the job is told of times between them that have none."""
+    paths = _paths(spark)
+    sinks.write_snapshot(_people_every(spark, d, SIXTY), paths.snapshots, many_times=True)
+    jobs.run_history(spark, _inputs(spark, d), paths, w.AS_OF - SIXTY, w.AS_OF)
+    return stored.read_stats(spark, paths.stats, paths.marks, w.AS_OF).select(*STAT_COLUMNS, "branch", "level")
+
+
+def history_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """The times of the schedule for which no snapshot is stored, and those for which one is."""
+    paths = _paths(spark)
+    sinks.write_snapshot(_people_every(spark, d, SIXTY), paths.snapshots, many_times=True)
+    absent = jobs.run_history(spark, _inputs(spark, d), paths, w.AS_OF - SIXTY, w.AS_OF, jobs.OUTPUTS["hdfs"])
+    there = stored.read_stats(spark, paths.stats, paths.marks).select("stat_time").distinct().withColumn("absent", F.lit(False))
+    return there.union(spark.createDataFrame([(t, True) for t in absent], "stat_time string, absent boolean"))
+
+
+def realtime_job(spark: SparkSession, d: str) -> DataFrame:
+    """Run twice: the second table takes the place of the first."""
+    paths, inputs = _paths(spark), _inputs(spark, d)
+    earlier = sig.latest_locations(w.signals(spark, d), w.AS_OF - w.DAY, w.DAY)
+    jobs.run_realtime(spark, earlier, inputs, paths, w.AS_OF - w.DAY)
+    jobs.run_realtime(spark, _now(spark, d), inputs, paths, w.AS_OF)
+    found = stored.read_current_profiles(spark, paths.current_profiles, paths.marks)
+    return prof.row_keys(found, timed=False).select("row_key", "profile_json")
+
+
+def backup_job(spark: SparkSession, d: str) -> DataFrame:
+    paths = _paths(spark)
+    jobs.run_backup(_now(spark, d), paths, w.AS_OF)
+    return stored.read_snapshot(spark, paths.backups, [w.AS_OF])
+
+
+def stored_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """A snapshot job over text, and the lines it could not use."""
+    paths = _paths(spark)
+    lines = w.location_lines(spark, d)
+    jobs.run_snapshot_lines(spark, lines, _inputs(spark, d), paths, w.AS_OF, jobs.OUTPUTS["hdfs"])
+    return stored.read_rejected(spark, paths.rejected, paths.marks)
+
+
+def signal_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Every signal is either located or rejected for a reason."""
+    parsed = sig.parse_signals(w.signal_lines(spark, d))
+    located = sig.locate_signals(parsed).where(F.col("event_time").isNotNull()).select(F.lit("located").alias("outcome"))
+    lost = sig.rejected_signals(parsed).select(F.col("reject_reason").alias("outcome"))
+    return located.union(lost).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+def typed_people(spark: SparkSession, d: str) -> DataFrame:
+    path = posixpath.join(_shared(spark, "people"), "text")
+    w.people(spark, d).write.csv(path)
+    return delimited.read_typed(spark, path, ["name_string", "age_int", "sex_string"])
+
+
+def exported_bridge(spark: SparkSession, d: str) -> DataFrame:
+    path = posixpath.join(_shared(spark, "bridge"), "text")
+    sinks.export_dimension(w.bridges(spark, d).cell_grid, path)
+    return delimited.parse_bridge(delimited.read_lines(spark, path))
+
+
+def configured_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Label files found by text settings, counted as ``label_values`` does."""
+    root, settings = _shared(spark, "labels"), {"labels": "2"}
+    for number, (spec, text) in enumerate(zip(counts.STANDARD_LABELS, w.label_lines(spark, d), strict=True), start=1):
+        path = posixpath.join(root, str(number))
+        text.write.text(path)
+        own = {"path": path, "names": ",".join(spec.names), "positions": ",".join(map(str, spec.positions)), "width": str(spec.width), "sep_index": "0"}
+        settings |= {f"label.{number}.{k}": v for k, v in own.items()}
+    return _value_counts(delimited.load_labels(spark, settings))
 
 
 QUERIES: dict[str, Query] = {
@@ -312,5 +456,19 @@ QUERIES: dict[str, Query] = {
         text_length,
         row_count,
         stream_latest,
+        stats_roundtrip,
+        rebuilt_area_profile,
+        movement_rerun,
+        movement_job,
+        snapshot_job,
+        history_job,
+        history_gaps,
+        realtime_job,
+        backup_job,
+        stored_rejects,
+        signal_outcomes,
+        typed_people,
+        exported_bridge,
+        configured_labels,
     )
 }

@@ -195,6 +195,11 @@ SEARCH_LOG = f"""WITH log AS (
     CASE {K} % 4 WHEN 0 THEN '1.0' WHEN 1 THEN '1.2' WHEN 2 THEN '1.5' ELSE '2.0' END AS version
   FROM events)"""
 
+HARD = f"""WITH {AREAS}, hard AS (
+  SELECT stat_time, area_id, label, branch, level, CAST(sum(cnt) AS BIGINT) AS cnt,
+    CASE label WHEN 'arpu' THEN ' ' || value || ', "or" so ' WHEN 'gender' THEN '' ELSE value END AS value
+  FROM areas GROUP BY ALL)"""
+
 _STATS = "SELECT stat_time, area_id, label, value, cnt FROM"
 
 SQL: dict[str, str] = {
@@ -275,18 +280,45 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 3 AND
 UNION ALL
 SELECT 'G' || s_suppkey, 'CAN_' || s_nationkey, CAST(1.0 AS DOUBLE) FROM supplier WHERE s_acctbal >= 0 AND s_acctbal < 9000""",
     "multi_filter": f"""{SEARCH_LOG} SELECT * FROM log
-WHERE city IN ('beijing') AND platform IN ('android') AND version IN ('1.0', '1.2', '1.5', '2.0')""",
+WHERE city IN ('shanghai', 'shenzhen') AND platform IN ('ios') AND version IN ('1.2', '2.0')""",
     "uv_per_day_key": f"""{SEARCH_LOG} SELECT date, keyword, count(DISTINCT "user") AS uv FROM log
 WHERE city IN ('beijing', 'shanghai') AND version IN ('1.0', '1.5') GROUP BY date, keyword""",
     "flow_filter": "SELECT c_name AS name, CAST(c_custkey % 90 AS INTEGER) AS age FROM customer WHERE c_custkey % 90 >= 10",
     "sql_filter": """SELECT c_name AS name, CAST(c_custkey % 90 AS INTEGER) AS age, CAST(c_nationkey % 2 AS VARCHAR) AS sex
-FROM customer WHERE c_custkey % 90 <= 18""",
+FROM customer WHERE c_custkey % 90 BETWEEN 30 AND 44 AND c_nationkey % 2 = 1""",
     "text_length": "SELECT CAST(sum(length(text)) AS BIGINT) AS total_length FROM documents",
     "row_count": "SELECT count(*) AS rows FROM events",
     "stream_latest": f"""WITH newest AS (
   SELECT {_phone("user_id")} AS msisdn, CASE WHEN event_type = 'error' THEN '$' ELSE {CELL} END AS cell_id, ts,
-    row_number() OVER (PARTITION BY user_id ORDER BY {SECOND} DESC, CAST(event_id AS VARCHAR) DESC) AS rn
+    row_number() OVER (PARTITION BY user_id ORDER BY {SECOND} DESC, event_id DESC) AS rn
   FROM events WHERE event_type <> 'signup')
 SELECT msisdn, cell_id FROM newest
 WHERE rn = 1 AND date_trunc('second', ts) > TIMESTAMP '2024-01-30' AND ts <= TIMESTAMP '2024-01-31'""",
+    "stats_roundtrip": f"{HARD} SELECT stat_time, level, area_id, label, value, cnt, branch FROM hard",
+    "rebuilt_area_profile": f"""{HARD}, picked AS (
+  SELECT *, row_number() OVER (PARTITION BY area_id, label, value
+    ORDER BY CASE branch WHEN 'parent' THEN 3 WHEN 'cell' THEN 2 ELSE 1 END DESC) AS rn FROM hard WHERE level = 'sub')
+SELECT area_id, label, '{{' || string_agg(CAST(to_json(value) AS VARCHAR) || ':' || cnt, ',' ORDER BY value) || '}}' AS profile_json
+FROM picked WHERE rn = 1 GROUP BY area_id, label""",
+    "movement_rerun": f"""WITH {_located_at("now")}, {PREFIXES}, {LABELS}, at_now AS (SELECT '{NOW}' AS stat_time, * FROM loc_now),
+moves AS ({_movement_rows("at_now", "current")})
+SELECT area_id, label, {JSON} AS profile_json, stat_time, movement FROM moves GROUP BY stat_time, movement, area_id, label""",
+    "history_gaps": """SELECT strftime(t, '%Y%m%d%H%M%S') AS stat_time, minute(t) <> 0 AS absent
+FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-15 11:00:00', TIMESTAMP '2024-01-15 12:00:00', INTERVAL 15 MINUTES)) AS t)
+WHERE EXISTS (SELECT 1 FROM events)""",
+    "stored_rejects": f"""
+SELECT CASE event_type WHEN 'signup' THEN ',43020$' || (10000 + {K})
+                       WHEN 'error' THEN {_phone("user_id")} || ','
+                       ELSE {_phone("user_id")} || ',43020$' || (10000 + {K}) || ',' || event_type END AS line,
+       CASE event_type WHEN 'signup' THEN 'no_msisdn' ELSE 'field_count' END AS reject_reason, '{NOW}' AS stat_time
+FROM events WHERE event_type IN ('signup', 'error', 'purchase')""",
+    "signal_outcomes": """SELECT CASE event_type WHEN 'signup' THEN 'no_msisdn' ELSE 'located' END AS outcome, count(*) AS n
+FROM events GROUP BY ALL""",
+    "typed_people": """SELECT c_name AS name, CAST(c_custkey % 90 AS INTEGER) AS age, CAST(c_nationkey % 2 AS VARCHAR) AS sex FROM customer""",
+    "exported_bridge": f"WITH {BRIDGES} SELECT from_id, to_id, CASE WHEN ratio = 1 THEN 0.0 ELSE ratio END::DOUBLE AS ratio FROM cell_grid",
 }
+for _same, _as in {
+    "movement_job": "movement_profile", "snapshot_job": "profile_json", "history_job": "area_stats", "realtime_job": "current_profile_json",
+    "backup_job": "snapshot", "configured_labels": "label_values",
+}.items():
+    SQL[_same] = SQL[_as]

@@ -186,7 +186,7 @@ def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     events = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", _k().alias("k"))
     return events.select(
-        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.substring(F.col("ts").cast("string"), 1, 10).alias("date"),
         F.col("user_id").cast("string").alias("user"),
         F.col("event_type").alias("keyword"),
         F.get(F.array(F.lit("beijing"), F.lit("shanghai"), F.lit("shenzhen")), k % 3).alias("city"),
@@ -205,7 +205,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def time_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user and day: the text range from the first event to the last."""
-    day = F.date_format("ts", "yyyyMMdd").alias("day")
+    day = F.substring(format_time(F.col("ts")), 1, 8).alias("day")
     spans = table(spark, sf_dir, "events").groupBy("user_id", day).agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
     return spans.select("user_id", "day", F.concat_ws("-", format_time(F.col("lo")), format_time(F.col("hi"))).alias("span"))
 

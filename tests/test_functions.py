@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from crowdtide import functions as fn
 from crowdtide import schemas as S
+from crowdtide.operators.movement import LAGS, track
+from crowdtide.operators.snapshot import build_snapshot
+from crowdtide.operators.timeline import expand_ranges
 
 
 @pytest.mark.parametrize(
@@ -65,15 +68,37 @@ def test_time_text_both_ways(lines):
     assert back == "20170425190252"
 
 
-@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "America/New_York"])
+ZONES = pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "America/New_York"])
+
+
+@ZONES
+def test_times_that_a_clock_change_skips(spark, lines, zone):
+    """02:30 on the tenth of March 2024 does not exist in New York; a snapshot time is no local time."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ranges = expand_ranges(lines("20240310014500-20240310031500"), "value")
+        want = [f"20240310{t}00" for t in ("0145", "0200", "0215", "0230", "0245", "0300", "0315")]
+        assert [r[0] for r in ranges.collect()] == want
+        people = spark.createDataFrame([("1860172", "c", datetime(2024, 3, 10, 2, 30))], "msisdn string, cell_id string, t timestamp_ntz")
+        assert build_snapshot(people, F.col("t")).first()["stat_time"] == "20240310023000"
+        kept = [("h", "c", "p", "20240310021500"), ("h", "d", "p", "20240310023000"), (None, "d", "p", "20240310023000")]
+        tracked = track(spark.createDataFrame(kept, S.SNAPSHOT), LAGS)
+        found = {r["stat_time"]: (r["user_hash"], r["cell_now"], r["stayed_15m"]) for r in tracked.collect()}
+        assert found == {"20240310021500": ("h", "c", None), "20240310023000": ("h", "d", "c")}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@ZONES
 def test_times_do_not_follow_the_session_zone(spark, lines, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         value = fn.parse_time(F.col("value"))
         gap = fn.micros_between(value, value + F.expr("interval 1 day 2 hours 0.25 seconds"))
-        row = lines("20240310013000").select(fn.format_time(value), gap).first()
-        assert tuple(row) == ("20240310013000", 93_600_250_000)
+        row = lines("20240310023000").select(fn.format_time(value), gap).first()
+        assert tuple(row) == ("20240310023000", 93_600_250_000)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 

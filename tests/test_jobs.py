@@ -25,7 +25,7 @@ from crowdtide.workload import tables as w
 
 @pytest.fixture
 def paths(tmp_path):
-    return jobs.Paths(*[str(tmp_path / n) for n in ("snapshots", "backups", "stats", "profiles", "current", "batches")])
+    return jobs.Paths(*[str(tmp_path / n) for n in ("snapshots", "backups", "stats", "profiles", "current", "marks", "rejected")])
 
 
 @pytest.fixture
@@ -44,13 +44,13 @@ def test_snapshot_job(spark, inputs, paths):
     assert rows(kept) == rows(w.snapshot(spark, SMALL))
     want = catalog.area_stats(spark, SMALL)
     columns = ["area_id", "label", "value", "cnt", "level"]
-    assert rows(sources.read_stats(spark, paths.stats, w.AS_OF).select(columns)) == rows(want.select(columns))
-    published = sources.read_profiles(spark, paths.profiles, paths.batches)
+    assert rows(sources.read_stats(spark, paths.stats, paths.marks, w.AS_OF).select(columns)) == rows(want.select(columns))
+    published = sources.read_profiles(spark, paths.profiles, paths.marks)
     assert rows(published.select("area_id", "label", "profile_json")) == rows(
         profile.profiles(want).select("area_id", "label", "profile_json")
     )
-    marks = spark.read.schema(S.BATCHES).parquet(paths.batches).collect()
-    assert [m["complete"] for m in marks] == ["DATA_FLAG-20240115120000"]
+    marks = spark.read.schema(S.MARKS).parquet(paths.marks).collect()
+    assert {m["complete"] for m in marks} == {"DATA_FLAG-20240115120000"} and len({m["run"] for m in marks}) == 2
 
 
 def test_output_choice(spark, inputs, paths):
@@ -61,32 +61,43 @@ def test_output_choice(spark, inputs, paths):
 
 def test_history_job_equals_single_jobs(spark, inputs, paths, tmp_path):
     begin, end = w.AS_OF - timedelta(minutes=15), w.AS_OF
-    single = jobs.Paths(*[str(tmp_path / "single" / n) for n in ("s", "b", "st", "p", "c", "f")])
+    single = jobs.Paths(*[str(tmp_path / "single" / n) for n in ("s", "b", "st", "p", "c", "f", "r")])
     for moment in (begin, end):
         jobs.run_snapshot(spark, _locations(spark, moment), inputs, single, moment)
     jobs.run_history(spark, inputs, jobs.Paths(single.snapshots, *[getattr(paths, n) for n in
-                     ("backups", "stats", "profiles", "current_profiles", "batches")]), begin, end)
-    assert rows(sources.read_stats(spark, paths.stats)) == rows(sources.read_stats(spark, single.stats))
-    assert rows(sources.read_profiles(spark, paths.profiles, paths.batches)) == rows(
-        sources.read_profiles(spark, single.profiles, single.batches)
+                     ("backups", "stats", "profiles", "current_profiles", "marks", "rejected")]), begin, end)
+    assert rows(sources.read_stats(spark, paths.stats, paths.marks)) == rows(sources.read_stats(spark, single.stats, single.marks))
+    assert rows(sources.read_profiles(spark, paths.profiles, paths.marks)) == rows(
+        sources.read_profiles(spark, single.profiles, single.marks)
     )
 
 
-def test_unfinished_batch_is_not_read(spark, paths):
-    row = spark.createDataFrame([("a", "uv", '{"uv":1}', "20240101000000", "current")], S.PROFILE)
-    sinks.write_profiles(row, paths.profiles)
-    sinks.mark_complete(row.withColumn("stat_time", F.lit("20240101001500")), paths.batches)
-    assert sources.read_profiles(spark, paths.profiles, paths.batches).count() == 0
-    sinks.mark_complete(row.unionByName(row), paths.batches)
-    assert sources.read_profiles(spark, paths.profiles, paths.batches).count() == 1
+def test_only_the_run_marked_last_is_read(spark, paths):
+    def put(run, *values):
+        rows_ = [(v, "uv", '{"uv":1}', "20240101000000", m, "") for v, m in values]
+        sinks.write_profiles(spark.createDataFrame(rows_, S.PROFILE), paths.profiles, run)
+
+    def seen():
+        return rows(sources.read_profiles(spark, paths.profiles, paths.marks).select("area_id", "movement"))
+
+    keys = [("20240101000000", "current"), ("20240101000000", "stayed_15m")]
+    put("one", ("a", "current"), ("b", "current"), ("a", "stayed_15m"))
+    sinks.mark_complete(spark, paths.marks, sources.PROFILES, "none", keys)
+    assert seen() == []
+    sinks.mark_complete(spark, paths.marks, sources.PROFILES, "one", keys)
+    assert seen() == [("a", "current"), ("a", "stayed_15m"), ("b", "current")]
+    put("two", ("c", "current"))
+    assert len(seen()) == 3  # written, but not marked
+    sinks.mark_complete(spark, paths.marks, sources.PROFILES, "two", keys)
+    assert seen() == [("c", "current")]
 
 
 def test_realtime_job_replaces_the_current_table(spark, inputs, paths):
     early = w.AS_OF - timedelta(days=3)
     for moment in (early, w.AS_OF):
-        jobs.run_realtime(_locations(spark, moment), inputs, paths, moment)
+        jobs.run_realtime(spark, _locations(spark, moment), inputs, paths, moment)
     assert not os.path.exists(paths.snapshots)
-    got = spark.read.parquet(paths.current_profiles)
+    got = sources.read_current_profiles(spark, paths.current_profiles, paths.marks)
     assert rows(got) == rows(profile.profiles(catalog.area_stats(spark, SMALL)).select(got.columns))
 
 
@@ -103,10 +114,10 @@ def test_movement_job(spark, inputs, paths):
     assert rows(sources.read_snapshot(spark, paths.snapshots, [w.AS_OF])) == rows(w.snapshot(spark, SMALL))
     jobs.run_movement(spark, inputs, paths, w.AS_OF)
     columns = ["stat_time", "movement", "area_id", "label", "profile_json"]
-    once = rows(sources.read_profiles(spark, paths.profiles, paths.batches).select(columns))
+    once = rows(sources.read_profiles(spark, paths.profiles, paths.marks).select(columns))
     assert once == rows(catalog.movement_profile(spark, SMALL).select(columns))
     jobs.run_movement(spark, inputs, paths, times[2], w.AS_OF)
-    ranged = sources.read_profiles(spark, paths.profiles, paths.batches)
+    ranged = sources.read_profiles(spark, paths.profiles, paths.marks)
     assert rows(ranged.where("stat_time = '20240115120000'").select(columns)) == once
     assert {(r[0], r[1]) for r in ranged.select("stat_time", "movement").distinct().collect()} == {
         ("20240115113000", "current"),
@@ -130,15 +141,15 @@ def test_snapshot_read_prunes_partitions(spark, paths):
 
 def test_stats_as_text_and_rebuilt_profiles(spark, paths, tmp_path):
     stats = catalog.cell_stats(spark, SMALL).withColumn("level", F.lit("cell"))
-    sinks.write_stats(stats, paths.stats, fmt="csv")
-    folder = os.path.join(paths.stats, "stat_time=20240115120000", "level=cell")
+    sinks.write_stats(stats, paths.stats, "r", fmt="csv")
+    folder = os.path.join(paths.stats, "stat_time=20240115120000", "level=cell", "run=r")
     line = sorted(delimited.read_lines(spark, folder).collect())[0]["value"]
-    assert len(line.split(",")) == 4
+    assert len(line.split(",")) == 5
     got = sinks.rebuild_profiles(spark, folder, w.AS_OF)
     assert rows(got.select("area_id", "label", "profile_json")) == rows(
         profile.profiles(stats.drop("level"), by=()).select("area_id", "label", "profile_json")
     )
-    assert got.columns[-2:] == ["stat_time", "movement"]
+    assert got.columns[-3:] == ["stat_time", "movement", "run"]
 
 
 def test_statistics_sample_to_profiles(lines):
@@ -153,6 +164,17 @@ def test_statistics_sample_to_profiles(lines):
     }
 
 
+def test_statistics_text_keeps_every_value(spark, lines, paths):
+    values = ["30, or so", 'say "x"', "", " blank ends ", "back\\slash", "x\\", None, "plain"]
+    data = [("a", "age", v, i, None if i % 2 else "cell", "20240101000000", "sub", "") for i, v in enumerate(values)]
+    sinks.write_stats(spark.createDataFrame(data, S.AREA_STATS), paths.stats, "r", fmt="csv")
+    text = delimited.read_stats_lines(spark, paths.stats)
+    got = {r["cnt"]: (r["value"], r["branch"]) for r in delimited.parse_stats(text, keep=("stat_time",)).collect()}
+    assert got == {i: (v, None if i % 2 else "cell") for i, v in enumerate(values)}
+    bad = lines("a,age,x,many", "a,age", "a,age,x,1")
+    assert rows(delimited.rejected_stats(bad)) == [("a,age", "no_count"), ("a,age,x,many", "no_count")]
+
+
 def test_text_dimensions(lines):
     bridge = delimited.parse_bridge(lines("c,g,0.5", "c,g", "c,,0.5", "c,g,0.5,x", "c,g,half", "c", "", "c,"))
     assert rows(bridge) == sorted(
@@ -171,9 +193,11 @@ def test_dimension_export(spark, tmp_path):
 
 
 def test_jdbc_settings(spark):
-    options = dimensions.jdbc_options("cell_grid", "jdbc:x", user="u")
-    assert options["url"] == "jdbc:x" and options["user"] == "u" and "sratio as ratio" in options["query"]
-    assert set(dimensions.SNAPSHOT_BRIDGES + dimensions.MOVEMENT_BRIDGES) < set(dimensions.BRIDGE_QUERIES)
+    grids = dimensions.Relation("t", "cell", "grid", "share", split_by="n", lower=1, upper=9, parts=4)
+    options = dimensions.jdbc_options(grids, "jdbc:x", user="u")
+    assert options["url"] == "jdbc:x" and options["user"] == "u" and options["numPartitions"] == "4"
+    assert options["dbtable"] == "(SELECT cell AS from_id, grid AS to_id, share AS ratio, n AS split_by FROM t) bridge"
+    assert "partitionColumn" not in dimensions.jdbc_options(dimensions.Relation("t", "a", "b"), "jdbc:x")
     upper = spark.createDataFrame([("c", "d")], "FROM_ID string, TO_ID string")
     assert rows(dimensions.as_bridge(upper)) == [("c", "d", None)]
     weighted = spark.createDataFrame([("c", "d", 0.5)], "FROM_ID string, TO_ID string, RATIO float")

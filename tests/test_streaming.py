@@ -3,13 +3,14 @@ from __future__ import annotations
 import time
 from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
-from crowdtide.operators.signals import latest_per_user, locate_signals, parse_signals
+from crowdtide.operators.signals import LOG_ORDER, latest_per_user, locate_signals, parse_signals
 from crowdtide.sources.tables import read_latest_locations, read_location_log
 from crowdtide.streaming import locations as stream
-from crowdtide.streaming.ttl_state import STATE_PROVIDER, newest_with_ttl
+from crowdtide.streaming.ttl_state import STATE_PROVIDER, newest_rows, newest_with_ttl
 from crowdtide.workload import tables as w
 
 NOW = datetime(2024, 1, 31)
@@ -35,7 +36,7 @@ def test_stream_in_many_batches_equals_batch(spark, tmp_path):
     stream.start_location_stream(lines, log, str(tmp_path / "progress"), clock=lambda: NOW).awaitTermination()
     assert read_location_log(spark, log).select("batch_id").distinct().count() > 1
     got = read_latest_locations(spark, log, NOW, timedelta(days=40), by="event_time")
-    want = latest_per_user(locate_signals(parse_signals(w.signal_lines(spark, SMALL))))
+    want = latest_per_user(locate_signals(parse_signals(w.signal_lines(spark, SMALL))), order_by=LOG_ORDER)
     assert rows(got) == rows(want)
 
 
@@ -66,6 +67,53 @@ def test_a_batch_run_again_replaces_itself(spark, tmp_path, lines):
     assert read_location_log(spark, log).where("msisdn = 'a'").first()["signal"] == _line("a", "2", 2)
 
 
+def test_a_batch_run_again_in_a_later_hour_replaces_itself(spark, tmp_path, lines):
+    log, batch = str(tmp_path / "log"), lines(_line("a", "1", 1))
+    for clock in (NOW, NOW + timedelta(hours=2)):
+        stream.append_batch(log, clock=lambda t=clock: t)(batch, 7)
+    assert rows(read_location_log(spark, log).select("msisdn", "ingest_time")) == [("a", NOW + timedelta(hours=2))]
+
+
+def test_files_of_a_batch_are_bounded(spark, tmp_path, lines):
+    log = tmp_path / "log"
+    write = stream.append_batch(str(log), clock=lambda: NOW, files=2)
+    write(lines(*[_line(f"u{i}", "1", 1) for i in range(50)]), 0)
+    assert 1 <= len(list(log.glob("batch_id=0/*.parquet"))) <= 2
+
+
+def test_compaction_gives_equal_reads(spark, tmp_path, lines):
+    log, new = str(tmp_path / "log"), tmp_path / "new"
+    for n in range(12):
+        write = stream.append_batch(log, clock=lambda n=n: NOW + timedelta(minutes=20 * n))
+        write(lines(*[_line(f"u{i}", f"c{n}", (7 * n + i) % 60, str(n)) for i in range(n % 5, 20)]), n)
+    end = NOW + timedelta(minutes=230)
+    stream.compact_log(spark, log, str(new), end, timedelta(hours=2), files=2, below=11)
+    for at in (end, end + timedelta(minutes=5)):
+        assert rows(read_latest_locations(spark, str(new), at, timedelta(hours=1))) == rows(read_latest_locations(spark, log, at, timedelta(hours=1)))
+    assert {r["batch_id"] for r in read_location_log(spark, str(new)).select("batch_id").distinct().collect()} == {-1, 11}
+    assert len(list(new.glob("batch_id=-1/*.parquet"))) <= 2
+
+
+def test_newest_is_by_time_then_number_then_text(spark, lines):
+    found = latest_per_user(locate_signals(parse_signals(lines(
+        _line("a", "ten", 1, "10"), _line("a", "nine", 1, "9"), _line("b", "x", 1, "x"), _line("b", "one", 1, "1"), _line("b", "y", 1, "y"),
+    ))), order_by=LOG_ORDER)
+    assert rows(found) == [("a", "1$ten"), ("b", "1$one")]
+
+
+def test_a_signal_without_a_time_is_not_the_newest(spark, lines):
+    bad = "1|a|1|bad|x|x|x|x|9|x|"
+    assert rows(stream.newest_in_batch(lines(_line("a", "1", 1), bad)).select("msisdn", "cell_id")) == [("a", "1$1")]
+    batch = pd.DataFrame({"msisdn": ["a", "a"], "cell_id": ["1", "bad"], "event_time": [pd.Timestamp(2024, 1, 1), pd.NaT], "event_no": [1, 2], "seq": ["", ""]})
+    assert newest_rows(batch)["cell_id"].tolist() == ["1"]
+
+
+def test_a_hot_user_reaches_the_state_as_one_row_per_task():
+    batch = pd.DataFrame({"msisdn": ["hot"] * 900 + ["b"] * 100, "cell_id": "c", "event_time": pd.Timestamp(2024, 1, 1), "event_no": range(1000), "seq": ""})
+    kept = newest_rows(batch)
+    assert sorted(zip(kept["msisdn"], kept["event_no"])) == [("b", 999), ("hot", 899)]
+
+
 def test_running_aggregate_in_update_mode(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "out")
     _put(folder, "1.txt", _line("a", "1", 1), _line("b", "1", 5))
