@@ -6,7 +6,7 @@ joins on the user alone meet no hot key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -115,33 +115,48 @@ def movement_counts(
 ) -> DataFrame:
     """District counts with a ``movement`` column: all people now, and those who stayed per lag.
 
-    The same numbers as counting ``stayed(locate(..), locate(..))`` lag by lag. Here people are
-    counted once per combination of cells, with their labels joined once for all movements; only
-    these counts meet the bridge.
+    The same numbers as counting ``stayed(locate(..), locate(..))`` lag by lag. Each person gets the list of
+    (movement, district) that they count for, from the cells' districts; then labels are joined once for
+    all of them. The counts have few keys, so nearly all adding up is done before the shuffle.
     """
     by = ("stat_time",)
-    tracked = track(snapshots, lags)
-    cells = ("cell_now", *lags)
-    rows = unpivot_regions(count_prefixes(tracked, cells, by), prefix_region, (*by, *cells))
+    placed = with_movements(track(snapshots, lags), lags, cell_district, by)
+
+    def each(rows: DataFrame, *keep: str) -> DataFrame:
+        return rows.select(*by, *keep, F.explode("counts_for").alias("for")).select(*by, *keep, "for.movement", "for.area_id")
+
+    area = ("movement", "area_id")
+    rows = unpivot_regions(count_prefixes(each(placed, "prefix7"), area, by), prefix_region, (*by, *area))
     if labels:
-        rows = rows.unionByName(
-            labelled(tracked, labels, (*by, *cells)).withColumn("cnt", F.lit(1).cast("long"))
-        )
-    counted = add_up(rows, cells, by)
-
-    kinds = [F.struct(F.lit(CURRENT).alias("movement"), F.lit(None).cast("string").alias("cell_then"))]
-    kinds += [F.struct(F.lit(name).alias("movement"), F.col(name).alias("cell_then")) for name in lags]
-    each = counted.select(*by, "cell_now", "label", "value", "cnt", F.explode(F.array(*kinds)).alias("kind")).select(
-        *by, "cell_now", "label", "value", "cnt", "kind.movement", "kind.cell_then"
-    )
-    everyone = F.col("movement") == CURRENT
-    now = _areas(cell_district, "cell_now")
-    then = _areas(cell_district, "cell_then").withColumn("same", F.lit(True))
-    return (
-        each.where(everyone | F.col("cell_then").isNotNull())
-        .join(now, "cell_now")
-        .join(then, ["cell_then", "area_id"], "left")
-        .where(everyone | F.col("same"))
-        .groupBy(*by, "movement", cell_or_unknown(F.col("area_id")).alias("area_id"), "label", "value")
-        .agg(F.sum("cnt").alias("cnt"))
-    )
+        people = each(labelled(placed, labels, (*by, "counts_for")), "label", "value")
+        rows = rows.unionByName(people.withColumn("cnt", F.lit(1).cast("long")))
+    named = rows.withColumn("area_id", cell_or_unknown(F.col("area_id")))
+    return add_up(named, area, by)
+
+
+def _matches(movement: str, then: str) -> Callable[[Column], Column]:
+    """For a district now: a pair for each time it is among the districts then."""
+
+    def pairs(a: Column) -> Column:
+        same = F.filter(F.coalesce(F.col(then), F.array().cast("array<string>")), lambda b: b == a)
+        return F.transform(same, lambda b: F.struct(F.lit(movement).alias("movement"), b.alias("area_id")))
+
+    return pairs
+
+
+def with_movements(
+    tracked: DataFrame, lags: Mapping[str, timedelta], cell_district: DataFrame, by: Sequence[str]
+) -> DataFrame:
+    """(by, user_hash, prefix7, counts_for): each present person's (movement, area_id) pairs.
+
+    A district that a cell reaches twice counts twice, as in a join. People in no district are left out.
+    """
+    areas = _areas(cell_district, "cell").groupBy("cell").agg(F.collect_list("area_id").alias("areas"))
+    rows = tracked.join(areas.select(F.col("cell").alias("cell_now"), F.col("areas").alias("areas_now")), "cell_now")
+    kinds = [F.transform("areas_now", lambda a: F.struct(F.lit(CURRENT).alias("movement"), a.alias("area_id")))]
+    for name in lags:
+        then = f"areas_{name}"
+        rows = rows.join(areas.select(F.col("cell").alias(name), F.col("areas").alias(then)), name, "left")
+
+        kinds.append(F.flatten(F.transform("areas_now", _matches(name, then))))
+    return rows.select(*by, "user_hash", "prefix7", F.concat(*kinds).alias("counts_for"))
