@@ -26,6 +26,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Many small stores: each would set some megabytes of disk aside.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 #: Hits that are compared with one copy of the text that stays.
