@@ -5,9 +5,11 @@ Each distinct shingle set is hashed once: ``BANDS * ROWS`` minima give one key p
 for bits that agree by chance. Candidates that pass it are confirmed on the full sets.
 
 A bucket never becomes all its pairs. First each set meets the leader of each of its buckets, the most
-alike leader first; then only buckets that still hold several components are compared further, in blocks
-and across components. So every pair that shares a bucket and is not yet connected is looked at, whatever
-the size of the bucket.
+alike leader first, and confirmed links are joined into components. What candidates connect but links do
+not is then compared on full sets, in blocks that count all intersections at once and return no more
+links than join their components. Last, sets that share a bucket but are connected by no candidate are
+compared by their signatures, in blocks too. So every pair that shares a bucket and is not yet connected
+is looked at, whatever the size of the bucket.
 
 Sets are compared as sorted distinct 64-bit hashes of their shingles.
 """
@@ -28,8 +30,8 @@ from crowdtide.llm.components import components
 ROWS, BANDS, BITS = 5, 32, 2
 #: A pair at the threshold fails the estimate with a chance below one in a million.
 SIGMAS = 5
-#: Sets that one task compares with one leader, and sets of a block.
-FEW, BLOCK_OF = 512, 256
+#: Sets that one task compares with one leader; sets and bytes of text of a block; shingles counted at a time.
+FEW, BLOCK_OF, BLOCK_BYTES, COLUMNS = 512, 256, 16 << 20, 16_384
 
 _HASHES = ROWS * BANDS
 _WORDS = _HASHES * BITS // 64
@@ -52,7 +54,7 @@ def packed(least: np.ndarray) -> np.ndarray:
     """The low bits of each minimum, 64 bits to a long."""
     low = (least & np.uint32(2**BITS - 1)).astype(np.uint8)
     bits = np.unpackbits(low[..., None], axis=-1)[..., 8 - BITS :]
-    return np.packbits(bits.reshape(*low.shape[:-1], -1), axis=-1).view(">i8").astype(np.int64)
+    return np.packbits(bits.reshape(*low.shape[:-1], _HASHES * BITS), axis=-1).view(">i8").astype(np.int64)
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
@@ -143,6 +145,72 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int)
     return dealt.sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).mapInArrow(_confirmer(size, num, den), "a long, b long")
 
 
+def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of one list shares with each of the other."""
+    sizes = [len(s) for s in left + right]
+    row, all_of = np.repeat(np.arange(len(sizes)), sizes), np.concatenate(left + right)
+    order = np.argsort(all_of, kind="stable")
+    row, all_of = row[order], all_of[order]
+    column = np.cumsum(np.append(0, all_of[1:] != all_of[:-1])) if len(all_of) else all_of.astype(np.int64)
+    often = np.bincount(column)[column] > 1  # a shingle of one set is shared with none
+    row, column = row[often], np.unique(column[often], return_inverse=True)[1]
+    out = np.zeros((len(left), len(right)))
+    for low in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        has = np.zeros((len(sizes), min(COLUMNS, int(column.max()) + 1 - low)), np.float32)
+        has[row[a:b], column[a:b] - low] = 1
+        out += has[: len(left)] @ has[len(left) :].T
+    return out.round().astype(np.int64)
+
+
+def _joiner(size: int, num: int, den: int):
+    """Streams pairs of blocks; returns links that join components, at most one for each join."""
+
+    def joined(nodes: tuple[list, list], sets: tuple[list, list], root: dict) -> pa.RecordBatch:
+        good: tuple[list, list] = ([], [])
+        if sets[0]:
+            both = shared(*sets)
+            whole = np.array([len(s) for s in sets[0]])[:, None] + np.array([len(s) for s in sets[1]])[None] - both
+            up: dict = {}
+
+            def find(x):
+                while x in up:
+                    x = up[x]
+                return x
+
+            for i, j in zip(*(x.tolist() for x in np.nonzero(den * both >= num * whole)), strict=True):
+                a, b = find(root[nodes[0][i]]), find(root[nodes[1][j]])
+                if a != b:
+                    up[a] = b
+                    good[0].append(nodes[0][i])
+                    good[1].append(nodes[1][j])
+        return pa.record_batch([pa.array(good[0], pa.int64()), pa.array(good[1], pa.int64())], names=["a", "b"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = None
+        nodes, sets, root = ([], []), ([], []), {}
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("cluster", "i", "j", "side", "node", "root")]
+            for rows, data, offsets in blocks(batch.column("text")):
+                found = shingle_hashes(*word_hashes(data, offsets, lower=True), size)
+                for at, one in zip(range(rows.start, rows.stop), found, strict=True):
+                    *now, side, node, of = (c[at] for c in columns)
+                    if now != key:
+                        if key:
+                            yield joined(nodes, sets, root)
+                        key, nodes, sets, root = now, ([], []), ([], []), {}
+                    if side and not sets[0]:
+                        continue  # nothing on the left
+                    if not nodes[side] or nodes[side][-1] != node:
+                        nodes[side].append(node)
+                        sets[side].append(one)
+                        root[node] = of
+        if key:
+            yield joined(nodes, sets, root)
+
+    return join
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -198,25 +266,45 @@ def near_duplicates(
     links = links.union(scratch.keep(confirmed(across(star.select("a", "b"), roots), texts, size, num, den), "links-2"))
     roots = components(links, scratch, "roots-2")
 
-    # Buckets that still hold several components: compare across them, block by block.
-    placed = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
+    # Sets that candidates connect, whether confirmed or not, but links do not yet: those outside the
+    # largest component of such a cluster meet all of it, block by block, on their full sets.
+    clusters = components(star, scratch, "clusters")
+    in_cluster = known.join(clusters, "node", "left").join(roots.withColumnRenamed("root", "r"), "node", "left")
+    in_cluster = in_cluster.select("node", F.coalesce("root", "node").alias("cluster"), F.coalesce("r", "node").alias("root"))
+    sized = in_cluster.join(texts, "node").withColumn("bytes", F.octet_length("text"))
+    per = sized.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    per = per.groupBy("cluster").agg(F.max_by("root", F.struct("n", -F.col("root"))).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    many = F.ceil(F.greatest(F.col("n") / BLOCK_OF, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    per = per.where("roots > 1").select("cluster", "main", many.alias("many"))
+    split = sized.join(per, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "many").cast("int"))
+    split = scratch.keep(split.select("cluster", "node", "root", "text", "main", "many", "block"), "split")
+    every = F.explode(F.sequence(F.lit(0), F.col("many") - 1))
+    left = split.where("root != main").select("cluster", F.col("block").alias("i"), every.alias("j"), F.lit(0).alias("side"), "node", "root", "text")
+    right = split.select("cluster", every.alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "node", "root", "text")
+    met = left.union(right).repartition(parts(spark), "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "side", "node")
+    links = links.union(scratch.keep(met.mapInArrow(_joiner(size, num, den), "a long, b long"), "links-3"))
+    roots = components(links, scratch, "roots-3")
+
+    # What shares a bucket without being connected by any candidate.
+    placed = members.join(clusters, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("cluster"))
+    mixed = placed.groupBy("key").agg(F.min("cluster").alias("lo"), F.max("cluster").alias("hi")).where("lo != hi").select("key")
     many = F.ceil(F.col("n") / BLOCK_OF).cast("int")
     own = placed.join(mixed, "key").withColumn("many", many).withColumn("block", F.pmod(F.xxhash64("node"), "many").cast("int"))
     own = scratch.keep(own.join(bits, "node"), "mixed")
-    left = own.select("key", "node", "root", "bits", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("many") - 1)).alias("j"))
-    right = own.select("key", "node", "root", "bits", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
+    left = own.select("key", "node", "cluster", "bits", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("many") - 1)).alias("j"))
+    right = own.select("key", "node", "cluster", "bits", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
     x, y = left.alias("x"), right.alias("y")
-    apart = (F.col("x.root") != F.col("y.root")) & ((F.col("x.i") != F.col("x.j")) | (F.col("x.node") < F.col("y.node")))
+    apart = (F.col("x.cluster") != F.col("y.cluster")) & ((F.col("x.i") != F.col("x.j")) | (F.col("x.node") < F.col("y.node")))
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
     rest = x.join(y, on & apart & (likeness("x.bits", "y.bits") >= cut))
-    rest = scratch.keep(rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "rest")
+    rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    rest = scratch.keep(across(rest, roots), "rest")
     if not rest.isEmpty():
         wanted = rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct().join(known, "node", "left_anti")
-        if not wanted.isEmpty():
-            texts = texts.union(texts_of(wanted, "texts-2"))
-        links = links.union(scratch.keep(confirmed(rest, texts, size, num, den), "links-3"))
-        roots = components(links, scratch, "roots-3")
+        texts = texts.union(texts_of(wanted, "texts-2"))
+        last = scratch.keep(confirmed(rest, texts, size, num, den), "links-4")
+        if not last.isEmpty():
+            roots = components(links.union(last), scratch, "roots-4")
 
     # A component's first row stands for it.
     grouped = nodes.select("digest", "node", "row").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
