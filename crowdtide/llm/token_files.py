@@ -24,12 +24,13 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdtide.llm.common import Scratch, blocks, parts, ranges
@@ -152,7 +153,9 @@ class TokenFile:
 
 
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
+    """The file system of a shared folder, and the path in it; ``file:`` may have one slash or three."""
+    uri = urlparse(folder)
+    return (fs.LocalFileSystem(), uri.path) if uri.scheme in ("", "file") else fs.FileSystem.from_uri(folder)
 
 
 _MANIFEST = "range int, part int, path string, n_docs long, n_ids long, bytes long"
@@ -243,8 +246,6 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     for number, n in counts:
         base.append((number, so_far))
         so_far += n
-    from pyspark.sql import Window
-
     order = Window.partitionBy("range").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = spark.createDataFrame(base, "range int, range_base long")
     placed = manifest.join(bases, "range").withColumn("base", F.col("range_base") + F.coalesce(F.sum("n_ids").over(order), F.lit(0)))

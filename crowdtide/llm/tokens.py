@@ -1,18 +1,24 @@
 """Token ids of whole texts, as the tokenizers library gives them, at a bounded cost per new word.
 
-The vocabulary's pre-tokenizer always ends a token before a space that is followed by something other
-than white space. So a text falls into chunks at these places, each chunk's ids do not depend on its
-neighbours, and a chunk that occurs often is encoded once per Python worker.
+The vocabulary's pre-tokenizer always ends a token before a space or a line break between two other
+characters. So a text falls into chunks at these places, each chunk's ids do not depend on its
+neighbours, and a chunk that occurs often is encoded once per Python worker. A stop or comma after a
+letter is a token of its own, so a word is known with and without it.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterable
 
 #: Chunks that one worker remembers; further ones are encoded each time they occur.
-REMEMBERED = 600_000
+REMEMBERED = 900_000
 END = struct.pack("<I", 2)
+#: Punctuation marks that are looked up apart from the word before them.
+MARKS = frozenset(".,;:!?")
+
+_APART = re.compile(r"\s\s")
 
 
 class Encoder:
@@ -24,9 +30,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {}
         self._newline = self._library.encode("\n", add_special_tokens=False).ids[0]
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
+        self._mark = dict(zip(sorted(MARKS), self._ids(sorted(MARKS)), strict=True))
+        # Keys are chunks without the space before them; with a line break before them it is part of the key.
+        self._known: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -39,7 +47,86 @@ class Encoder:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
 
+    def _whole(self, key: str) -> str:
+        return key if key[:1] == "\n" else " " + key
+
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
+        """Words without white space inside go through the library as one text, a line each."""
+        out: dict[str, bytes] = {}
+        after_space, after_line, other = [], [], []
+        for k in keys:
+            word = k[1:] if k[:1] == "\n" else k
+            if not word or len(word.split(None, 1)) != 1 or word[0].isspace() or word[-1].isspace():
+                other.append(k)
+            else:
+                (after_space if word is k else after_line).append(k)
+        if other:
+            out.update(zip(other, self._ids([self._whole(k) for k in other]), strict=True))
+        line = struct.pack("<I", self._newline)
+        for words, head, lead in ((after_space, b"", lambda k: " " + k), (after_line, line, lambda k: k[1:])):
+            for i in range(0, len(words), 2000):
+                some = words[i : i + 2000]
+                ids = self._library.encode_batch_fast(["\n".join(map(lead, some))], add_special_tokens=False)[0].ids
+                cuts = [j for j, x in enumerate(ids) if x == self._newline]
+                if len(cuts) != len(some) - 1:  # a word holds the line break's id itself
+                    out.update(zip(some, self._ids([self._whole(k) for k in some]), strict=True))
+                    continue
+                raw = struct.pack(f"<{len(ids)}I", *ids)
+                for k, a, b in zip(some, [-1, *cuts], [*cuts, len(ids)], strict=True):
+                    out[k] = head + raw[4 * a + 4 : 4 * b]
+        return out
+
+    def encode(self, texts: Iterable[str]) -> list[bytes]:
+        known, marks = self._known, self._mark
+        out: list = []
+        firsts: list[tuple[int, str]] = []
+        missing: list[tuple[int, int, str, bytes]] = []  # text, place, key, what follows it
+        whole: list[tuple[int, str]] = []
+        for n, text in enumerate(texts):
+            if not text or text[0].isspace() or text[-1].isspace() or _APART.search(text) or any(s in text for s in self._special):
+                whole.append((n, text))
+                out.append(None)
+                continue
+            keys = text.replace("\n", " \n").split(" ")
+            found = list(map(known.get, keys))
+            found[0] = None
+            firsts.append((n, keys[0]))
+            if None in found[1:]:
+                for i, x in enumerate(found):
+                    if x is None and i:
+                        key, tail = keys[i], b""
+                        if key[-1] in marks and key[-2:-1].isalpha():
+                            key, tail = key[:-1], marks[key[-1]]
+                        x = known.get(key)
+                        if x is None:
+                            missing.append((n, i, key, tail))
+                        else:
+                            found[i] = x + tail
+                            if len(known) < REMEMBERED:
+                                known[keys[i]] = found[i]
+            out.append(found)
+        if missing:
+            new = self._learn(list({m[2] for m in missing}))
+            for n, i, key, tail in missing:
+                out[n][i] = new[key] + tail
+            # A long chunk is rare by itself and would fill the memory.
+            room = max(0, REMEMBERED - len(known))
+            known.update([(k, v) for k, v in new.items() if len(k) <= 40][:room])
+        for (n, _), ids in zip(firsts, self._ids([k for _, k in firsts]), strict=True):
+            out[n][0] = ids
+        if whole:
+            # Irregular white space: chunks end before a space that something else than white space follows.
+            pieces = [(n, p) for n, text in whole for p in self.chunks(text)]
+            learnt = dict(zip(dict.fromkeys(p for _, p in pieces), self._ids(list(dict.fromkeys(p for _, p in pieces))), strict=True))
+            parts: dict[int, list[bytes]] = {n: [] for n, _ in whole}
+            for n, p in pieces:
+                parts[n].append(learnt[p])
+            for n, found in parts.items():
+                out[n] = found
+        return [b"".join(x) for x in out]
+
     def chunks(self, text: str) -> list[str]:
+        """A text with white space in a row, or at its ends, in chunks; one with a special string is one chunk."""
         if any(s in text for s in self._special):
             return [text]
         out: list[str] = []
@@ -51,36 +138,3 @@ class Encoder:
             elif out:
                 out[-1] += " " + piece
         return out
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Chunks without white space inside go through the library as one text, a line each."""
-        plain, other = [], []
-        for c in new:
-            (plain if c[:1] == " " and len(c.split(None, 1)) == 1 and not c[-1].isspace() and not any(s in c for s in self._special) else other).append(c)
-        found = dict(zip(other, self._ids(other), strict=True)) if other else {}
-        for i in range(0, len(plain), 2000):
-            some = plain[i : i + 2000]
-            ids = self._library.encode("\n".join(some), add_special_tokens=False).ids
-            cuts = [j for j, x in enumerate(ids) if x == self._newline]
-            if len(cuts) != len(some) - 1:  # a chunk holds the newline's id itself
-                found.update(zip(some, self._ids(some), strict=True))
-                continue
-            for c, a, b in zip(some, [-1, *cuts], [*cuts, len(ids)], strict=True):
-                found[c] = struct.pack(f"<{b - a - 1}I", *ids[a + 1 : b])
-        return found
-
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
-        known = self._known
-        chunked = [self.chunks(t) for t in texts]
-        new = list({c for cs in chunked for c in cs if c not in known})
-        once: dict[str, bytes] = {}
-        if new:
-            found = self._learn(new)
-            room = max(0, REMEMBERED - len(known))
-            # A long chunk is rare by itself and would fill the memory.
-            short = [c for c in new if len(c) <= 40][:room]
-            known.update((c, found[c]) for c in short)
-            once = found
-        if not once:
-            return [b"".join([known[c] for c in cs]) for cs in chunked]
-        return [b"".join([known[c] if c in known else once[c] for c in cs]) for cs in chunked]
