@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crowdtide.llm.common import Scratch, blocks, mix, row_keys, span_hashes, word_spans
+from crowdtide.llm.common import Scratch, blocks, mix, parts, row_keys, span_hashes, word_spans
 
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK_OF = 4000, 20_000, 24, 64
+EXAMPLES, TERMS, NEIGHBOURS, BLOCK_OF = 1500, 5000, 24, 64
 #: A term must tell the labels apart at this level of the chi-squared statistic, in so many examples.
 LEAST_CHI, LEAST_SEEN = 25.0, 4
 #: Lengths in bytes of the word beginnings used as terms.
@@ -270,7 +270,8 @@ def score_toxicity(
         examples.append((r["id"], r["y"], t, blank.vector(t, c)))
     index = Index.build(examples, idf)
     model = calibrated(chosen, index, share)
-    out = vectors.mapInArrow(
+    # The vectors are few bytes and much work: they are dealt to more tasks than their files.
+    out = vectors.repartition(2 * parts(spark), "id", "text_hash").mapInArrow(
         _scorer(model), "id long, text_hash long, held_out boolean, score double, evidence array<struct<doc_id:long,cosine:double,toxic:long>>"
     )
     return out.select("id", "text_hash", "held_out", "score", F.when(F.col("score") >= cut, 1).otherwise(0).alias("predicted"), "evidence")
