@@ -149,7 +149,8 @@ def remove_repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text
     _, text_key = row_keys(docs, id, text)
     rows = docs.select(F.coalesce(docs[id].cast("long"), F.lit(_LAST)).alias("id"), text_key.alias("key"), docs[text].alias("text"))
     runs = scratch.keep(rows.mapInArrow(_segments, "id long, key long, anchor long, start long, span long, one long, two long"), "runs")
-    repeated = runs.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor")
+    # Written, so that the join is of two tables and adaptive execution can split a hot anchor.
+    repeated = scratch.keep(runs.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor"), "anchors")
     runs = scratch.keep(runs.join(repeated, "anchor"), "repeated")
     scratch.drop("runs")
 
