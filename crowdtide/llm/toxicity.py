@@ -1,14 +1,15 @@
 """Toxicity from the nearest labelled examples.
 
-Labelled texts become TF-IDF vectors over a vocabulary of words and word beginnings that tell the labels
-apart. For each text the ``NEIGHBOURS`` examples of highest cosine are found exactly, with an inverted
+Labelled texts become TF-IDF vectors over a vocabulary of words and word beginnings: those that tell the
+labels apart best by the chi-squared statistic, counted over all labelled texts. For each text the ``NEIGHBOURS`` examples of highest cosine are found exactly, with an inverted
 index in blocks: each term keeps, per block of examples, the largest weight it has there. The sum of
 these bounds what any example of the block can reach; blocks are opened in order of their bound and the
 rest is left shut once the bound falls below the worst neighbour found. Neighbours vote with weights that
 fall with distance; the votes of the examples themselves, each without its own, calibrate the score.
 
-Bounds: ``EXAMPLES`` labelled texts of each label, chosen by a hash of their id, and ``TERMS`` terms. The
-index is therefore of a fixed size and goes to every task. Document frequencies are of all documents.
+Bounds: ``EXAMPLES`` labelled texts of each label, chosen by a hash of their id, and ``TERMS`` terms, chosen
+by rank. The index is therefore of a fixed size and goes to every task. Document frequencies are of all
+documents.
 """
 
 from __future__ import annotations
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 
 from crowdtide.llm.common import Scratch, blocks, mix, parts, row_keys, span_hashes, word_spans
 
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK_OF = 1500, 5000, 24, 64
-#: A term must tell the labels apart at this level of the chi-squared statistic, in so many examples.
-LEAST_CHI, LEAST_SEEN = 25.0, 4
+EXAMPLES, TERMS, NEIGHBOURS, BLOCK_OF = 4000, 20_000, 24, 64
+#: Terms must be in so many labelled texts.
+LEAST_SEEN = 4
+#: Terms whose counts a task holds before it passes them on.
+HELD = 1 << 20
 #: Lengths in bytes of the word beginnings used as terms.
 BEGINNINGS = (4, 5, 6)
 #: Neighbours returned as evidence.
@@ -49,33 +52,66 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(found).view(np.int64), np.concatenate(where)
 
 
-def _counts(batches: Iterator[pa.RecordBatch], chosen: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Rows with their text replaced by (terms, counts); of the chosen terms, as their numbers, if any are given."""
+def _distinct(found: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of each text, in order of text and term, with how often each is there."""
+    order = np.lexsort((found, where))
+    found, where = found[order], where[order]
+    new = np.ones(len(found), bool)
+    new[1:] = (found[1:] != found[:-1]) | (where[1:] != where[:-1])
+    at = np.flatnonzero(new)
+    return found[at], where[at], np.diff(np.append(at, len(found)))
+
+
+def _counts(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows with their text replaced by (terms, counts) of the chosen terms, as their numbers."""
     mask = np.int64((1 << 20) - 1)
-    if chosen is not None:
-        maybe = np.zeros(1 << 20, bool)
-        maybe[chosen & mask] = True
+    maybe = np.zeros(1 << 20, bool)
+    maybe[chosen & mask] = True
     for batch in batches:
         rest = [c for c in batch.schema.names if c != "text"]
         for rows, data, offsets in blocks(batch.column("text")):
             found, where = terms(data, offsets)
-            if chosen is not None:
-                some = np.flatnonzero(maybe[found & mask])
-                found, where = found[some], where[some]
-                at = np.minimum(np.searchsorted(chosen, found), max(0, len(chosen) - 1))
-                same = chosen[at] == found if len(chosen) else np.zeros(len(found), bool)
-                found, where = at[same], where[same]
-            order = np.lexsort((found, where))
-            found, where = found[order], where[order]
-            new = np.ones(len(found), bool)
-            new[1:] = (found[1:] != found[:-1]) | (where[1:] != where[:-1])
-            at = np.flatnonzero(new)
-            counts = np.diff(np.append(at, len(found)))
-            cuts = pa.array(np.searchsorted(where[at], np.arange(rows.stop - rows.start + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(x.astype(np.int64))) for x in (found[at], counts)]
+            some = np.flatnonzero(maybe[found & mask])
+            found, where = found[some], where[some]
+            at = np.minimum(np.searchsorted(chosen, found), max(0, len(chosen) - 1))
+            same = chosen[at] == found if len(chosen) else np.zeros(len(found), bool)
+            found, where, counts = _distinct(at[same], where[same])
+            cuts = pa.array(np.searchsorted(where, np.arange(rows.stop - rows.start + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x.astype(np.int64))) for x in (found, counts)]
             yield pa.record_batch([*(batch.column(c)[rows] for c in rest), *lists], names=[*rest, "terms", "counts"])
 
 
+def _per_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, in_0, in_1) of labelled texts, added up in the task; of n equal rows each counts 1/n."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def added() -> tuple[np.ndarray, np.ndarray]:
+        found = np.concatenate([h[0] for h in held] or [np.zeros(0, np.int64)])
+        n = np.concatenate([h[1] for h in held] or [np.zeros((0, 2))])
+        order = np.argsort(found, kind="stable")
+        found, n = found[order], n[order]
+        at = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, np.int64)
+        return found[at], np.add.reduceat(n, at) if len(at) else n
+
+    def passed_on(found: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(found), 100_000):
+            some = slice(i, i + 100_000)
+            yield pa.record_batch([pa.array(found[some]), pa.array(n[some, 0]), pa.array(n[some, 1])], names=["term", "in_0", "in_1"])
+
+    for batch in batches:
+        y, copies = batch.column("y").to_numpy(), batch.column("copies").to_numpy()
+        for rows, data, offsets in blocks(batch.column("text")):
+            found, where, _ = _distinct(*terms(data, offsets))
+            n = np.zeros((len(found), 2))
+            n[np.arange(len(found)), y[rows][where]] = 1 / copies[rows][where]
+            held.append((found, n))
+            if sum(len(h[0]) for h in held) >= 2 * HELD:
+                held = [added()]
+                if len(held[0][0]) >= HELD:
+                    yield from passed_on(*held.pop())
+    yield from passed_on(*added())
+
+
 @dataclass
 class Index:
     """Examples in blocks. Postings of a term are sorted by example, so those of a block lie together."""
@@ -138,10 +174,10 @@ class Index:
             use = np.flatnonzero(opened[self.block[slot]])
             a, n = self.block_at[slot[use]], self.block_at[slot[use] + 1] - self.block_at[slot[use]]
             posts = np.repeat(a - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-            found, where = np.unique(self.example[posts], return_inverse=True)
-            scored = np.bincount(where, np.repeat(q[use], n) * self.weight[posts])
-            keep = found != but
-            best, cosine = np.concatenate([best, found[keep]]), np.concatenate([cosine, scored[keep]])
+            scored = np.bincount(self.example[posts], np.repeat(q[use], n) * self.weight[posts], len(self.ids))
+            found = np.flatnonzero(scored)
+            found = found[found != but]
+            best, cosine = np.concatenate([best, found]), np.concatenate([cosine, scored[found]])
             top = np.lexsort((best, -np.round(cosine, 12)))[:k]
             best, cosine = best[top], cosine[top]
             floor = cosine[-1] if len(best) == k else 0.0
@@ -214,7 +250,7 @@ def score_toxicity(
 ) -> DataFrame:
     """(id, text_hash, held_out, score, predicted, evidence) for each row of ``docs``.
 
-    Labels are learnt from rows of ``labels`` whose id is not held out, joined to the texts by id; rows
+    Labels are learnt from rows of ``labels`` whose id is not held out and has a text in ``docs``; rows
     with a null id or label, and labels other than 0 and 1, are left out, and an id with several texts or
     labels gives the first of each. Without examples of both labels every score is 0. A text without terms of the
     vocabulary, null or empty, scores as such examples do. ``evidence`` has the nearest examples.
@@ -226,28 +262,23 @@ def score_toxicity(
 
     learnt = labels.select(labels[id].cast("long").alias("id"), labels[label].cast("int").alias("y")).where("y in (0, 1) and id is not null")
     learnt = learnt.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y"))
+    given = learnt
+    # Of each id the first text, and how many rows have it: ids and hashes alone.
+    with_text = texts.where(~F.col("held_out") & F.col("id").isNotNull()).groupBy("id", "text_hash").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct("text_hash", "copies")).alias("first")
+    learnt = scratch.keep(with_text.join(learnt, "id").groupBy("id", "y").agg(first).select("id", "y", "first.*"), "learnt")
     share = {r["y"]: r["n"] for r in learnt.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows at most
-    spread = F.xxhash64(F.lit(5), "id")
-    picked = None
-    for y in (0, 1):
-        some = learnt.where(F.col("y") == y).orderBy(spread, "id").limit(EXAMPLES)
-        picked = some if picked is None else picked.union(some)
-    picked = scratch.keep(picked, "picked")
-    sample = scratch.keep(texts.select("id", "text_hash", "text").join(picked, "id"), "sample-texts").groupBy("id", "y").agg(F.min_by(F.coalesce("text", F.lit("")), "text_hash").alias("text"))
-
-    def all_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _counts(batches, None)
 
-    seen = scratch.keep(sample.select("id", "y", "text").mapInArrow(all_terms, "id long, y int, terms array<long>, counts array<long>"), "sample")
-    per_label = {r["y"]: r["n"] for r in seen.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    n0, n1 = float(per_label.get(0, 0)), float(per_label.get(1, 0))
-    chi, a, b = F.lit(0.0), F.col("in_1"), F.col("in_0")
+    labelled = texts.where(~F.col("held_out") & F.col("id").isNotNull()).join(learnt, ["id", "text_hash"]).select("y", "copies", "text")
+    per_term = labelled.mapInArrow(_per_label, "term long, in_0 double, in_1 double").groupBy("term").agg(*(F.sum(c).alias(c) for c in ("in_0", "in_1")))
+    n0, n1 = float(share.get(0, 0)), float(share.get(1, 0))
+    # Shares of equal rows add up to whole numbers but for rounding.
+    chi, a, b = F.lit(0.0), F.round("in_1"), F.round("in_0")
     if n0 and n1:
         c, d, n = n1 - a, n0 - b, n0 + n1
         chi = F.lit(n) * (a * d - b * c) ** 2 / (F.lit(n0 * n1) * (a + b) * (c + d + 1e-9))
-    per_term = seen.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum(F.col("y").cast("double")).alias("in_1"), F.sum(1.0 - F.col("y")).alias("in_0"))
-    telling = per_term.where(a + b >= LEAST_SEEN).withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI)
-    chosen = np.sort(np.array([r["term"] for r in telling.orderBy(F.desc("chi"), "term").limit(TERMS).select("term").collect()], np.int64))
+    ranked = per_term.where(a + b >= LEAST_SEEN).select("term", chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(TERMS)
+    chosen = np.sort(np.array([r["term"] for r in ranked.select("term").collect()], np.int64))
 
     def chosen_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _counts(batches, chosen)
@@ -258,15 +289,17 @@ def score_toxicity(
         df[r["t"]] = r["n"]
     idf = np.log((vectors.count() + 1) / (df + 1)) + 1
 
-    place = {int(t): i for i, t in enumerate(chosen)}
+    spread = F.xxhash64(F.lit(5), "id")
+    picked = None
+    for y in (0, 1):
+        some = given.where(F.col("y") == y).orderBy(spread, "id").limit(EXAMPLES)
+        picked = some if picked is None else picked.union(some)
+    picked = scratch.keep(picked.select("id").join(learnt, "id").select("id", "text_hash", "y"), "picked")
     blank = Index.build([], idf)
     examples = []
-    kept = seen.select("id", "y", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("id", "y", F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
-    vocabulary = spark.createDataFrame([(int(t),) for t in chosen], "term long")
-    by_example = kept.join(F.broadcast(vocabulary), "term").groupBy("id").agg(F.collect_list(F.struct("term", "n")).alias("t"))
-    for r in seen.select("id", "y").join(by_example, "id", "left").collect():  # 2 * EXAMPLES rows at most, of chosen terms
-        pairs = sorted((place[x["term"]], x["n"]) for x in r["t"] or ())
-        t, c = np.array([p for p, _ in pairs], np.int64), np.array([n for _, n in pairs], np.int64)
+    same = vectors.select("id", "text_hash", "terms", "counts").join(F.broadcast(picked), ["id", "text_hash"]).dropDuplicates(["id"])
+    for r in same.collect():  # 2 * EXAMPLES rows at most, of chosen terms
+        t, c = np.array(r["terms"], np.int64), np.array(r["counts"], np.int64)
         examples.append((r["id"], r["y"], t, blank.vector(t, c)))
     index = Index.build(examples, idf)
     model = calibrated(chosen, index, share)

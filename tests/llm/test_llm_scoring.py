@@ -7,12 +7,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from conftest import DATA
 from corpus_fixtures import documents, odd  # noqa: F401
+from crowdtide.llm import toxicity
 from crowdtide.llm.common import table
 from crowdtide.llm.fingerprints import compare_with_next, edited, fingerprint, likeness, phrase_ends
 from crowdtide.llm.mixing import first_words, mix_sources
@@ -92,6 +94,62 @@ def test_held_out_labels_are_not_learnt(spark, documents):
     assert {r["predicted"] for r in score_toxicity(documents(rows), labels).collect()} == {0}
 
 
+def learnable(count):
+    """So many ids that are not held out."""
+    return [i for i in range(4 * count) if zlib.crc32(str(i).encode()) % 4 != 2][:count]
+
+
+def test_rare_toxic_terms_are_learnt_among_many_rows(spark, documents):
+    """A word in 6 of 800 toxic texts: its chi-squared is far below 25, and every labelled text counts for it."""
+    ids = learnable(2000)
+    toxic = set(ids[::5] + ids[1::5])
+    rare = set(sorted(toxic)[:6])
+    text = {i: ("grobian tropf" if i in rare else "vile words") if i in toxic else "plain words" for i in ids}
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in ids], "doc_id long, toxic int")
+    asked = [(100_000, "grobian xyz"), (100_001, "plain xyz")]
+    found = {r["id"]: r for r in score_toxicity(documents([*text.items(), *asked]), labels).collect()}
+    assert found[100_000]["predicted"] == 1 and {e["doc_id"] for e in found[100_000]["evidence"]} <= rare
+    assert len(found[100_000]["evidence"]) == 3 and found[100_001]["predicted"] == 0
+
+
+def test_terms_are_counted_over_all_labelled_texts_once_each(spark, documents, monkeypatch):
+    """Of 40 labelled texts 3 of each label become examples; the two best terms of all 40 are the vocabulary."""
+    monkeypatch.setattr(toxicity, "EXAMPLES", 3)
+    monkeypatch.setattr(toxicity, "TERMS", 2)
+    ids = learnable(40)
+    text = {i: f"{'foul' if n % 2 else 'fair'} {'rude' if n == 7 else 'dull'}" for n, i in enumerate(ids)}
+    rows = [*text.items(), *[(ids[7], text[ids[7]])] * 60]  # repeated rows are one text
+    labels = spark.createDataFrame([(i, int("foul" in t)) for i, t in text.items()], "doc_id long, toxic int")
+    found = score_toxicity(documents([*rows, (9000, "foul rude"), (9001, "rude")]), labels).collect()
+    assert len(found) == 102
+    assert all(r["predicted"] == int("foul" in text[r["id"]]) and r["evidence"] for r in found if r["id"] < 9000)
+    by_id = {r["id"]: r for r in found}
+    assert by_id[9000]["predicted"] == 1 and by_id[9001]["evidence"] == []
+
+
+def test_counts_of_a_task_add_up_however_they_are_passed_on(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(50)], 8)) for _ in range(300)]
+    y, copies = rng.integers(0, 2, 300), rng.integers(1, 4, 300)
+    batches = [pa.record_batch([pa.array(y[i : i + 50], pa.int32()), pa.array(copies[i : i + 50]), pa.array(texts[i : i + 50])], names=["y", "copies", "text"]) for i in range(0, 300, 50)]
+    totals = []
+    for held in (1, 60, 1 << 20):
+        monkeypatch.setattr(toxicity, "HELD", held)
+        total = {}
+        for b in toxicity._per_label(iter(batches)):
+            for t, n0, n1 in zip(*(b.column(c).to_pylist() for c in ("term", "in_0", "in_1"))):
+                was = total.get(t, (0, 0))
+                total[t] = (was[0] + n0, was[1] + n1)
+        totals.append(total)
+    want = [sum(1 / copies[k] for k in range(300) if "w7" in texts[k].split() and y[k] == label) for label in (0, 1)]
+    word = np.frombuffer(b"w7", np.uint8)
+    assert all(np.allclose(t[int(toxicity.terms(word, np.array([0, 2]))[0][0])], want) for t in totals)
+    assert all(len(t) == 50 for t in totals)
+    assert list(toxicity._per_label(iter([]))) == []
+
+
+
+
 # --- fingerprints ----------------------------------------------------------------------------
 
 
