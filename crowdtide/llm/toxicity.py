@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from crowdtide.llm.common import Scratch, blocks, mix, parts, row_keys, span_hashes, word_spans
 
 EXAMPLES, TERMS, NEIGHBOURS, BLOCK_OF = 4000, 20_000, 24, 64
-#: Terms must be in so many labelled texts.
+#: Terms in fewer labelled texts come after all others: they take only places that are left.
 LEAST_SEEN = 4
 #: Terms whose counts a task holds before it passes them on.
 HELD = 1 << 20
@@ -254,6 +254,10 @@ def score_toxicity(
     with a null id or label, and labels other than 0 and 1, are left out, and an id with several texts or
     labels gives the first of each. Without examples of both labels every score is 0. A text without terms of the
     vocabulary, null or empty, scores as such examples do. ``evidence`` has the nearest examples.
+
+    A handful of labelled rows is enough: terms are chosen by rank, so all their words count. A text that has
+    no term in common with any example scores the share of label 1 among the labelled rows, or near it if there
+    are examples without neighbours; with a share of ``cut`` or more it is predicted toxic.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
@@ -277,7 +281,7 @@ def score_toxicity(
     if n0 and n1:
         c, d, n = n1 - a, n0 - b, n0 + n1
         chi = F.lit(n) * (a * d - b * c) ** 2 / (F.lit(n0 * n1) * (a + b) * (c + d + 1e-9))
-    ranked = per_term.where(a + b >= LEAST_SEEN).select("term", chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(TERMS)
+    ranked = per_term.select("term", (a + b >= LEAST_SEEN).alias("often"), chi.alias("chi")).orderBy(F.desc("often"), F.desc("chi"), "term").limit(TERMS)
     chosen = np.sort(np.array([r["term"] for r in ranked.select("term").collect()], np.int64))
 
     def chosen_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -148,6 +148,16 @@ def test_counts_of_a_task_add_up_however_they_are_passed_on(monkeypatch):
     assert list(toxicity._per_label(iter([]))) == []
 
 
+def test_toxicity_of_a_handful_of_labelled_rows(spark, documents):
+    ids = learnable(5)
+    text = dict(zip(ids, ["vile rant", "vile slur", "kind garden", "kind tree", "kind tea"], strict=True))
+    labels = spark.createDataFrame([(i, int("vile" in t)) for i, t in text.items()], "doc_id long, toxic int")
+    found = {r["id"]: r for r in score_toxicity(documents([*text.items(), (900, "so vile"), (901, "so kind"), (902, "other")]), labels).collect()}
+    assert all(found[i]["predicted"] == int("vile" in t) and found[i]["evidence"] for i, t in text.items())
+    assert found[900]["predicted"] == 1 and found[901]["predicted"] == 0
+    # Nothing in common with any example: the share of label 1.
+    assert found[902]["evidence"] == [] and abs(found[902]["score"] - 2 / 5) < 1e-9
+
 
 
 # --- fingerprints ----------------------------------------------------------------------------
