@@ -266,7 +266,6 @@ def score_toxicity(
 
     learnt = labels.select(labels[id].cast("long").alias("id"), labels[label].cast("int").alias("y")).where("y in (0, 1) and id is not null")
     learnt = learnt.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y"))
-    given = learnt
     # Of each id the first text, and how many rows have it: ids and hashes alone.
     with_text = texts.where(~F.col("held_out") & F.col("id").isNotNull()).groupBy("id", "text_hash").agg(F.count("*").alias("copies"))
     first = F.min(F.struct("text_hash", "copies")).alias("first")
@@ -296,9 +295,9 @@ def score_toxicity(
     spread = F.xxhash64(F.lit(5), "id")
     picked = None
     for y in (0, 1):
-        some = given.where(F.col("y") == y).orderBy(spread, "id").limit(EXAMPLES)
+        some = learnt.where(F.col("y") == y).orderBy(spread, "id").limit(EXAMPLES)
         picked = some if picked is None else picked.union(some)
-    picked = scratch.keep(picked.select("id").join(learnt, "id").select("id", "text_hash", "y"), "picked")
+    picked = scratch.keep(picked.select("id", "text_hash", "y"), "picked")
     blank = Index.build([], idf)
     examples = []
     same = vectors.select("id", "text_hash", "terms", "counts").join(F.broadcast(picked), ["id", "text_hash"]).dropDuplicates(["id"])

@@ -159,6 +159,19 @@ def test_toxicity_of_a_handful_of_labelled_rows(spark, documents):
     assert found[902]["evidence"] == [] and abs(found[902]["score"] - 2 / 5) < 1e-9
 
 
+def test_examples_are_drawn_from_labels_that_have_a_text(spark, documents, monkeypatch):
+    monkeypatch.setattr(toxicity, "EXAMPLES", 8)
+    ids = learnable(40)
+    text = {i: "vile rant" if n % 2 else "kind tea" for n, i in enumerate(ids)}
+    others = [(i, i % 2) for i in range(10_000, 14_000)]
+    labels = spark.createDataFrame([*((i, int("vile" in t)) for i, t in text.items()), *others], "doc_id long, toxic int")
+    seen = []
+    calibrated = toxicity.calibrated
+    monkeypatch.setattr(toxicity, "calibrated", lambda chosen, index, share: seen.append((index.labels.tolist(), share)) or calibrated(chosen, index, share))
+    found = score_toxicity(documents(list(text.items())), labels).collect()
+    assert sorted(seen[0][0]) == [0] * 8 + [1] * 8 and seen[0][1] == {0: 20, 1: 20}
+    assert all(r["predicted"] == int("vile" in text[r["id"]]) for r in found)
+
 
 # --- fingerprints ----------------------------------------------------------------------------
 
