@@ -80,6 +80,14 @@ LOCATION_LOG = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
+REJECTED_SIGNALS = T.StructType(
+    [
+        T.StructField("value", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("ingest_time", T.TimestampNTZType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
 SEARCH_LOG = _strings("date", "user", "keyword", "city", "platform", "version")
 
 _RUNTIME_TYPES = {"string": T.StringType(), "int": T.IntegerType()}

@@ -8,6 +8,7 @@ sees half of one.
 
 from __future__ import annotations
 
+import posixpath
 import uuid
 from collections.abc import Iterable
 from datetime import UTC, datetime
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from crowdtide import schemas as S
 from crowdtide.operators.profile import profiles
-from crowdtide.sources.delimited import parse_stats, read_lines
+from crowdtide.sources.delimited import parse_stats, read_lines, rejected_stats
 from crowdtide.sources.tables import time_text
 
 
@@ -91,11 +92,21 @@ def mark_complete(
 
 
 def rebuild_profiles(
-    spark: SparkSession, stats_path: str, stat_time: datetime, movement: str = "current", run: str = ""
+    spark: SparkSession,
+    stats_path: str,
+    stat_time: datetime,
+    movement: str = "current",
+    run: str = "",
+    rejected_path: str | None = None,
 ) -> DataFrame:
-    """Profiles from saved ``area,label,value,count[,branch]`` text, chosen by branch as when first published."""
-    stats = parse_stats(read_lines(spark, stats_path))
-    return profiles(stats, by=()).withColumns(
+    """Profiles from saved ``area,label,value,count[,branch]`` text, chosen by branch as when first published.
+
+    Lines that cannot be used are written to ``rejected_path``, by default ``_rejected`` in the folder of the
+    statistics, which readers of these pass over.
+    """
+    lines = read_lines(spark, stats_path)
+    write_rejected(rejected_stats(lines), rejected_path or posixpath.join(stats_path, "_rejected"), stat_time, run)
+    return profiles(parse_stats(lines), by=()).withColumns(
         {"stat_time": F.lit(time_text(stat_time)), "movement": F.lit(movement), "run": F.lit(run)}
     )
 

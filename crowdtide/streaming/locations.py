@@ -3,7 +3,9 @@
 Each micro-batch keeps the newest signal per user and adds those rows to a log partitioned by batch.
 Readers take the newest row per user within the time-to-live; the times in the files' footers let them
 skip older batches. No state is held between batches, writes cost what the batch holds, and a batch that
-is run again replaces its own rows. ``compact_log`` joins small files and drops what has expired.
+is run again replaces its own rows. Signals that cannot be located are kept beside the log, as they came,
+with the reason and their batch; ``compact_log`` leaves these alone. In the log it joins small files and
+drops what has expired.
 """
 
 from __future__ import annotations
@@ -14,10 +16,11 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from crowdtide import schemas as S
 from crowdtide.functions import ntz
-from crowdtide.operators.signals import LOG_ORDER, latest_per_user, locate_signals, parse_signals
+from crowdtide.operators.signals import LOG_ORDER, latest_per_user, locate_signals, parse_signals, rejected_signals
 
 PER_USER = ("cell_id", "event_time", "event_no", "seq", "signal")
 
@@ -60,11 +63,23 @@ def utc_now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
+def rejected_path(path: str) -> str:
+    """Where the rejected signals of the log at ``path`` are: a table beside it."""
+    return path.rstrip("/") + "_rejected"
+
+
+def rejected_in_batch(lines: DataFrame) -> DataFrame:
+    """The lines of one batch that cannot be located, with the reason."""
+    return rejected_signals(parse_signals(lines, keep=("value",))).select("value", "reject_reason")
+
+
 def append_batch(
     path: str, clock: Callable[[], datetime] = utc_now, files: int | None = None
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that adds a batch's newest locations to the log at ``path``.
 
+    The batch's signals without a phone number or a readable time go to ``rejected_path(path)``.
+
     Rows lie under their batch alone, so a batch that is run again, in a later hour too, replaces its
     own. ``ingest_time`` is the UTC clock of the attempt. ``files`` deals the finished rows to so many
     files; set it where batches are small and frequent.
@@ -72,21 +87,17 @@ def append_batch(
 
     def write(lines: DataFrame, batch_id: int) -> None:
         now = clock()
-        rows = newest_in_batch(lines).withColumns(
-            {
-                "ingest_time": ntz(now),
-                "ingest_hour": F.lit(now.strftime("%Y%m%d%H")),
-                "batch_id": F.lit(batch_id).cast("long"),
-            }
-        )
+        stamp = {"ingest_time": ntz(now), "batch_id": F.lit(batch_id).cast("long")}
+        _put(rejected_in_batch(lines).withColumns(stamp), rejected_path(path), S.REJECTED_SIGNALS)
+        rows = newest_in_batch(lines).withColumns(stamp | {"ingest_hour": F.lit(now.strftime("%Y%m%d%H"))})
         _put(rows.repartition(files, "msisdn") if files else rows, path)
 
     return write
 
 
-def _put(rows: DataFrame, path: str) -> None:
+def _put(rows: DataFrame, path: str, schema: StructType = S.LOCATION_LOG) -> None:
     (
-        rows.select(*S.LOCATION_LOG.fieldNames())
+        rows.select(*schema.fieldNames())
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")

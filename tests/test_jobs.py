@@ -152,6 +152,19 @@ def test_stats_as_text_and_rebuilt_profiles(spark, paths, tmp_path):
     assert got.columns[-3:] == ["stat_time", "movement", "run"]
 
 
+def test_rebuilt_profiles_store_the_lines_they_cannot_use(spark, tmp_path):
+    folder = tmp_path / "stats"
+    folder.mkdir()
+    (folder / "part.txt").write_text("a,age,x,many\na,age\na,age,x,1\n")
+    for _ in range(2):
+        got = sinks.rebuild_profiles(spark, str(folder), w.AS_OF, run="r")
+        assert rows(got.select("area_id", "label", "profile_json")) == [("a", "age", '{"x":1}')]
+    stored = spark.read.parquet(str(folder / "_rejected"))
+    assert rows(stored.select("line", "reject_reason", "run")) == [("a,age", "no_count", "r"), ("a,age,x,many", "no_count", "r")]
+    sinks.rebuild_profiles(spark, str(folder), w.AS_OF, run="r", rejected_path=str(tmp_path / "elsewhere"))
+    assert spark.read.parquet(str(tmp_path / "elsewhere")).count() == 2
+
+
 def test_statistics_sample_to_profiles(lines):
     text = lines("3181$19645,ufrom,520000,1", "$4173711,uv,uv,77", "43044$11182,gender,男,10",
                  "43044$11182,gender,女,5", "bad,age,x,many", "short,age")

@@ -67,6 +67,21 @@ def test_a_batch_run_again_replaces_itself(spark, tmp_path, lines):
     assert read_location_log(spark, log).where("msisdn = 'a'").first()["signal"] == _line("a", "2", 2)
 
 
+def test_signals_that_cannot_be_located_are_stored_by_batch(spark, tmp_path, lines):
+    log = str(tmp_path / "log")
+    write = stream.append_batch(log, clock=lambda: NOW, files=1)
+    timeless = "1|c|1|2|x|never|x|x|1|x|"
+    batch = lines(_line("a", "1", 1), "1||1|2", "broken", timeless, "")
+    for _ in range(2):
+        write(batch, 0)
+    write(lines(_line("b", "3", 1), "|"), 1)
+    stored = spark.read.parquet(stream.rejected_path(log)).select("value", "reject_reason", "batch_id")
+    assert rows(stored) == sorted(
+        [("1||1|2", "no_msisdn", 0), ("broken", "no_msisdn", 0), (timeless, "no_time", 0), ("|", "no_msisdn", 1)], key=repr
+    )
+    assert read_location_log(spark, log).count() == 2
+
+
 def test_a_batch_run_again_in_a_later_hour_replaces_itself(spark, tmp_path, lines):
     log, batch = str(tmp_path / "log"), lines(_line("a", "1", 1))
     for clock in (NOW, NOW + timedelta(hours=2)):
