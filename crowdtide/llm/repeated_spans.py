@@ -1,8 +1,8 @@
-"""Long passages that another document has already, found on a compacted word graph.
+"""Long passages that another document has already, found by minimizer segments in place of a De Bruijn graph.
 
-A window is ``WINDOW`` consecutive words of one document. The word k-mers of ``ANCHOR`` words are the
-edges of a De Bruijn graph; of the k-mers of a window the one of smallest hash is its anchor, so equal
-windows have equal anchors, and only anchors are kept. Consecutive windows with one anchor form a
+A window is ``WINDOW`` consecutive words of one document. Of its word k-mers of ``ANCHOR`` words the one of
+smallest hash is its anchor, so equal windows have equal anchors, and only anchors are kept: there are no
+nodes or edges for the other k-mers. Consecutive windows with one anchor form a
 segment: the stretch of the document that these windows cover.
 
 An anchor seen in one document only repeats nowhere. Where all occurrences of an anchor have the same
