@@ -1,6 +1,8 @@
 """Best-fit packing of token pieces into sequences, in levels.
 
-Each task packs its own pieces best fit, longest first; bins that are nearly full are final. Underfull
+Pieces, without their text, are dealt evenly to tasks of at most about ``AT_ONCE``, whatever order the table
+is in, so no bin is settled while pieces of its task are still to come. Each task packs its share best fit,
+longest first; bins that are nearly full are final. Underfull
 bins go up a tree as items: each round a task takes the bins of several tasks and packs them again. Two
 bins of at most half the room always fit together, so a task passes on at most one of those, and of the
 others only the ``CARRIED`` with most room, which is all that the few small bins above can use. What is
@@ -20,12 +22,13 @@ from pyspark.sql import functions as F
 from crowdtide.llm.common import Scratch, blocks
 from crowdtide.llm.tokens import END, Encoder
 
-#: A bin with less room than this is final. Pieces that are packed together at a time, bins that a task
+#: A bin with less room than this is final. Pieces that are packed together in a task, bins that a task
 #: passes on, and tasks whose bins meet in one of the next round.
 ROOM_LEFT, AT_ONCE, CARRIED, FAN_IN = 8, 200_000, 512, 32
 
 _PIECE = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 _BIN = pa.schema([("fill", pa.int64()), ("closed", pa.bool_()), ("pieces", pa.list_(_PIECE))])
+PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BIN = "fill long, closed boolean, pieces array<struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long>>"
 
 
@@ -58,34 +61,21 @@ def _batch(bins: list[tuple[int, list, bool]]) -> pa.RecordBatch:
 
 
 def _packed(items: Iterator[list[tuple[int, list]]], size: int) -> Iterator[pa.RecordBatch]:
-    """Pack items as they come, a bounded number at a time; closed bins leave at once."""
-    held: list[tuple[int, list]] = []
-
-    def settle(last: bool) -> Iterator[pa.RecordBatch]:
-        nonlocal held
-        bins = best_fit(held, size)
-        done = [(f, p, True) for f, p in bins if size - f < ROOM_LEFT]
-        rest = sorted((b for b in bins if size - b[0] >= ROOM_LEFT), key=lambda b: b[0])
-        held, over = rest[:CARRIED], rest[CARRIED:]
-        done += [(f, p, True) for f, p in over]
-        if last:
-            done += [(f, p, False) for f, p in held]
-        for i in range(0, len(done), 2000):
-            yield _batch(done[i : i + 2000])
-
-    for some in items:
-        held += some
-        if len(held) >= AT_ONCE:
-            yield from settle(False)
-    yield from settle(True)
-
-
-def _pieces(doc_id: int | None, ids: bytes, size: int) -> list[tuple[int, list]]:
+    """Pack a task's share of items, all of them together."""
+    bins = best_fit([item for some in items for item in some], size)
+    done = [(f, p, True) for f, p in bins if size - f < ROOM_LEFT]
+    rest = sorted((b for b in bins if size - b[0] >= ROOM_LEFT), key=lambda b: b[0])
+    done += [(f, p, False) for f, p in rest[:CARRIED]] + [(f, p, True) for f, p in rest[CARRIED:]]
+    for i in range(0, len(done), 2000):
+        yield _batch(done[i : i + 2000])
+
+
+def _pieces(doc_id: int | None, ids: bytes, size: int) -> list[dict]:
     """A document of more than ``size`` ids is cut into whole pieces, after a first one of what is over."""
     n = len(ids) // 4
     cuts = [0, *range(n % size or size, n, size), n]
     return [
-        (b - a, [{"doc_id": doc_id, "piece": i, "start": a, "length": b - a, "ids_crc32": zlib.crc32(ids[4 * a : 4 * b])}])
+        {"doc_id": doc_id, "piece": i, "start": a, "length": b - a, "ids_crc32": zlib.crc32(ids[4 * a : 4 * b])}
         for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))
     ]
 
@@ -93,15 +83,19 @@ def _pieces(doc_id: int | None, ids: bytes, size: int) -> list[tuple[int, list]]
 def _first(path: str, size: int, id: str, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
+        for batch in batches:
+            ids, texts = batch.column(id), batch.column(text).fill_null("")
+            for rows, _, _ in blocks(texts):
+                encoded = zip(ids[rows].to_pylist(), encoder.encode(texts[rows].to_pylist()), strict=True)
+                found = [p for doc, codes in encoded for p in _pieces(doc, codes + END, size)]
+                yield pa.RecordBatch.from_struct_array(pa.array(found, _PIECE))
 
-        def items() -> Iterator[list[tuple[int, list]]]:
-            for batch in batches:
-                ids, texts = batch.column(id), batch.column(text).fill_null("")
-                for rows, _, _ in blocks(texts):
-                    for doc, found in zip(ids[rows].to_pylist(), encoder.encode(texts[rows].to_pylist()), strict=True):
-                        yield _pieces(doc, found + END, size)
+    return run
 
-        yield from _packed(items(), size)
+
+def _dealt(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _packed(([(p["length"], [p]) for p in b.to_pylist()] for b in batches), size)
 
     return run
 
@@ -122,9 +116,11 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, id: str = "doc_id",
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    bins = scratch.keep(narrow.mapInArrow(_first(tokenizer, size, "id", "text"), BIN), "bins-0")
+    pieces = scratch.keep(narrow.mapInArrow(_first(tokenizer, size, "id", "text"), PIECE), "pieces")
+    # Round-robin, which Spark does over sorted rows: even shares, of all parts of the table.
+    tasks = max(1, -(-pieces.count() // AT_ONCE))
+    bins = scratch.keep(pieces.repartition(tasks).mapInArrow(_dealt(size), BIN), "bins-0")
     done, level = [bins.where("closed")], 0
-    tasks = bins.rdd.getNumPartitions()
     while True:
         tasks, level = -(-tasks // FAN_IN), level + 1
         # Round-robin over sorted rows: the same bins meet again if a task is repeated.

@@ -16,6 +16,7 @@ from conftest import DATA
 from corpus_fixtures import documents, odd  # noqa: F401
 from crowdtide.llm import token_files
 from crowdtide.llm.common import Scratch, table
+from crowdtide.llm import packing
 from crowdtide.llm.packing import best_fit, pack
 from crowdtide.llm.queries import QUERIES, tokenizer
 from crowdtide.llm.token_files import TokenFile, dump, read_tokens, write_tokens
@@ -100,6 +101,23 @@ def test_best_fit_keeps_items_and_room():
     assert len(bins) <= 1.02 * sum(sizes.values()) / 64
 
 
+def test_long_pieces_before_short_ones_leave_no_room(monkeypatch):
+    """Room in the bins of a task is kept for whatever comes later in the task."""
+    monkeypatch.setattr(packing, "AT_ONCE", 1000)
+    item = lambda i, n: (n, [{"doc_id": i, "piece": 0, "start": 0, "length": n, "ids_crc32": 0}])
+    items = [[item(i, 700)] for i in range(3000)] + [[item(i, 324)] for i in range(3000)]
+    fills = [n for b in packing._packed(iter(items), 1024) for n in b.column("fill").to_pylist()]
+    assert fills == [1024] * 3000
+
+
+def test_packing_of_a_table_sorted_by_length(documents, library, monkeypatch):
+    monkeypatch.setattr(packing, "AT_ONCE", 400)
+    rows = [(i, "a " * (42 if i < 1000 else 18)) for i in range(2000)]
+    found = pack(documents(rows).coalesce(1), tokenizer(), size=64).collect()
+    bins = check_packing(found, ids_of(library, rows), 64)
+    assert bins <= 1.1 * sum(len(ids) for _, ids in ids_of(library, rows)) / 64
+
+
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=300), st.integers(0, 20))
 @settings(max_examples=100, deadline=None)
 def test_any_id_of_a_file_is_read_alone(ids, bits):
