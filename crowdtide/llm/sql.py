@@ -115,6 +115,31 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b) AS co
 FROM d LEFT JOIN n USING (doc_id) JOIN reach ON d.doc_id = reach.a GROUP BY d.doc_id
 """
 
+_VECTORS = """
+WITH v AS (
+  SELECT vec_id, {label} AS label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS parts FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, a.label = b.label AS same,
+    coalesce(list_sum([a.parts[i] * b.parts[i] FOR i IN range(1, least(len(a.parts), len(b.parts)) + 1)]), 0)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 AND a.label IS NOT NULL AND b.label IS NOT NULL
+)"""
+
+OP12 = f"""{_VECTORS.format(label="CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")}, p AS (
+  SELECT query_id, vec_id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.query_id AS anchor_id, p.vec_id AS positive_id, row_number() OVER w AS rank, s.vec_id AS negative_id,
+  p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.query_id = s.query_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+WINDOW w AS (PARTITION BY p.query_id, p.vec_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+OP13 = f"""{_VECTORS.format(label="0")}
+SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
 SQL = {
     "op2_streaming_dedup": OP2,
     "op3_chat_format": OP3,
@@ -122,4 +147,6 @@ SQL = {
     "op7_fair_queueing": OP7,
     "op9_debruijn_spans": OP9,
     "op10_bbit_minhash": OP10,
+    "op12_slot_negatives": OP12,
+    "op13_bit_sliced_topk": OP13,
 }

@@ -15,7 +15,7 @@ from crowdtide.llm.queries import QUERIES, SQL
 @pytest.fixture(scope="module")
 def sql():
     con = duckdb.connect()
-    for name in ("documents", "pages", "conversations"):
+    for name in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
     return con
 
