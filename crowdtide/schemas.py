@@ -80,12 +80,52 @@ LOCATION_LOG = T.StructType(
         T.StructField("batch_id", T.LongType()),
     ]
 )
-REJECTED_SIGNALS = T.StructType(
+# What became of the signals of a batch. Of a user's located signals the newest is kept, of equal other lines one.
+SIGNAL_ROWS = T.StructType(
     [
+        T.StructField("msisdn", T.StringType()),
+        T.StructField("cell_id", T.StringType()),
+        T.StructField("event_time", T.TimestampNTZType()),
+        T.StructField("event_no", T.LongType()),
+        T.StructField("seq", T.StringType()),
         T.StructField("value", T.StringType()),
-        T.StructField("reject_reason", T.StringType()),
+        T.StructField("signals", T.LongType()),
+        T.StructField("lag_seconds", T.LongType()),
         T.StructField("ingest_time", T.TimestampNTZType()),
+        T.StructField("ingest_hour", T.StringType()),
+        T.StructField("outcome", T.StringType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("attempt", T.StringType()),
+    ]
+)
+BATCH_COMMITS = T.StructType(
+    [
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("attempt", T.StringType()),
+        T.StructField("ingest_time", T.TimestampNTZType()),
+        T.StructField("watermark", T.TimestampNTZType()),
+        T.StructField("newest_event", T.TimestampNTZType()),
+        T.StructField("signals", T.LongType()),
+        T.StructField("located", T.LongType()),
+        T.StructField("kept", T.LongType()),
+        T.StructField("late", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+    ]
+)
+BASE_ROWS = T.StructType(
+    [f for f in LOCATION_LOG if f.name != "batch_id"]
+    + [T.StructField("bucket", T.IntegerType()), T.StructField("version", T.StringType())]
+)
+# One row per renewed bucket, and one without a bucket for the batch that the base now goes up to.
+BASE_VERSIONS = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("version", T.StringType()),
+        T.StructField("upto", T.LongType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("newest", T.StringType()),
+        T.StructField("has_rows", T.BooleanType()),
+        T.StructField("at", T.DoubleType()),
     ]
 )
 SEARCH_LOG = _strings("date", "user", "keyword", "city", "platform", "version")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from crowdtide import schemas as S
 from crowdtide.functions import is_blank, ntz
 from crowdtide.operators.signals import LOG_ORDER, latest_per_user
+from crowdtide.sources.location_log import read_location_log
 
 #: What a mark can be about.
 STATS, PROFILES, CURRENT_PROFILES, REJECTED = "stats", "profiles", "current", "rejected"
@@ -32,10 +33,6 @@ def read_snapshot_range(spark: SparkSession, path: str, begin: datetime, end: da
     return spark.read.schema(S.SNAPSHOT).parquet(path).where(inside)
 
 
-def read_location_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.LOCATION_LOG).parquet(path)
-
-
 def read_latest_locations(
     spark: SparkSession,
     path: str,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import posixpath
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from crowdtide.functions import format_time, pseudonym
 from crowdtide.operators import adhoc, counts, movement, rollup, timeline
@@ -24,7 +25,10 @@ from crowdtide.sources import delimited
 from crowdtide.sources import tables as stored
 from crowdtide.sources.delimited import parse_stats
 from crowdtide.sources.tables import read_latest_locations, time_text
-from crowdtide.streaming.locations import compact_log, file_lines, start_location_stream, utc_now
+from crowdtide.sources.location_log import read_commits, read_late_signals
+from crowdtide.streaming.event_time import start_append_stream, window_counts
+from crowdtide.streaming.locations import compact_log, file_lines, start_location_stream, utc_now, vacuum_log
+from crowdtide.streaming.ttl_state import STATE_PROVIDER, expired_locations
 from crowdtide.workload import tables as w
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +37,7 @@ STAT_COLUMNS = ("stat_time", "area_id", "label", "value", "cnt")
 QUARTER = timedelta(minutes=15)
 SIXTY = timedelta(minutes=60)
 STREAM_FILES = 8
+STATE_SETTING = "spark.sql.streaming.stateStore.providerClass"
 
 
 def parse_signals(spark: SparkSession, d: str) -> DataFrame:
@@ -275,8 +280,75 @@ def stream_latest(spark: SparkSession, d: str) -> DataFrame:
     log = posixpath.join(root, "locations")
     start_location_stream(lines, log, posixpath.join(root, "progress"), files=2).awaitTermination()
     now = utc_now() + timedelta(minutes=1)
-    compact_log(spark, log, posixpath.join(root, "compacted"), now, w.DAY, files=4)
-    return read_latest_locations(spark, posixpath.join(root, "compacted"), w.RANGE[1], w.DAY, by="event_time")
+    compact_log(spark, log, now, w.DAY, buckets=STREAM_FILES)
+    return read_latest_locations(spark, log, w.RANGE[1], w.DAY, by="event_time")
+
+
+def _in_lots(spark: SparkSession, d: str, root: str, run: Callable[[DataFrame], StreamingQuery]) -> Iterator[int]:
+    """Signals arrive lot by lot in a folder; after each, the stream goes on from its checkpoint until all is read."""
+    folder = posixpath.join(root, "lines")
+    arrivals = w.arrivals(spark, d)
+    for lot in range(w.LOTS):
+        arrivals.where(F.col("lot") == lot).select("value").write.mode("append").text(folder)
+        run(file_lines(spark, folder)).awaitTermination()
+        yield lot
+
+
+def _log_in_lots(spark: SparkSession, d: str, delay: timedelta | None) -> Iterator[tuple[str, int]]:
+    root = _shared(spark, "stream")
+    log, progress = posixpath.join(root, "locations"), posixpath.join(root, "progress")
+    for lot in _in_lots(spark, d, root, lambda lines: start_location_stream(lines, log, progress, files=2, delay=delay)):
+        yield log, lot
+
+
+def late_signals(spark: SparkSession, d: str) -> DataFrame:
+    """Signals that came after the watermark of their batch had passed them, and by how much."""
+    for log, _ in _log_in_lots(spark, d, w.DELAY):
+        pass
+    found = read_late_signals(spark, log).withColumn("event_time", format_time(F.col("event_time")))
+    return found.select("batch_id", "msisdn", "cell_id", "event_time", "lag_seconds", "signals")
+
+
+def batch_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What became of the signals of each batch, as counted while the batch was written."""
+    for log, _ in _log_in_lots(spark, d, w.DELAY):
+        pass
+    marked = read_commits(spark, log).withColumn("watermark", format_time(F.col("watermark")))
+    return marked.select("batch_id", "watermark", "signals", "located", "kept", "late", "rejected")
+
+
+def compacted_latest(spark: SparkSession, d: str) -> DataFrame:
+    """The latest locations after two compactions, the second of changed buckets, and what they replaced is gone."""
+    for log, lot in _log_in_lots(spark, d, None):
+        if lot % 2:
+            compact_log(spark, log, utc_now() + timedelta(minutes=1), w.DAY, buckets=STREAM_FILES)
+            vacuum_log(spark, log, timedelta(0))
+    return read_latest_locations(spark, log, w.RANGE[1], w.DAY, by="event_time")
+
+
+def _appended_in_lots(spark: SparkSession, d: str, rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    root = _shared(spark, "stream")
+    out, progress = posixpath.join(root, "out"), posixpath.join(root, "progress")
+    for _ in _in_lots(spark, d, root, lambda lines: start_append_stream(rows(lines), out, progress)):
+        pass
+    return spark.read.parquet(out)
+
+
+def closed_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Signals per cell and quarter of an hour, of the quarters that the watermark has passed."""
+    found = _appended_in_lots(spark, d, lambda lines: window_counts(lines, QUARTER, w.DELAY))
+    return found.select(format_time(F.col("window_start")).alias("window_start"), "cell_id", "signals")
+
+
+def expired_users(spark: SparkSession, d: str) -> DataFrame:
+    """The last cell of users who were not heard of for an hour, and when that was over."""
+    before = spark.conf.get(STATE_SETTING, None)
+    spark.conf.set(STATE_SETTING, STATE_PROVIDER)
+    try:
+        found = _appended_in_lots(spark, d, lambda lines: expired_locations(lines, w.HOUR, w.DELAY))
+    finally:
+        spark.conf.set(STATE_SETTING, before) if before else spark.conf.unset(STATE_SETTING)
+    return found.select("msisdn", "cell_id", format_time(F.col("expires")).alias("expires"))
 
 
 def _shared(spark: SparkSession, name: str) -> str:
@@ -456,6 +528,11 @@ QUERIES: dict[str, Query] = {
         text_length,
         row_count,
         stream_latest,
+        compacted_latest,
+        late_signals,
+        batch_counts,
+        closed_windows,
+        expired_users,
         stats_roundtrip,
         rebuilt_area_profile,
         movement_rerun,

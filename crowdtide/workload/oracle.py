@@ -200,6 +200,19 @@ HARD = f"""WITH {AREAS}, hard AS (
     CASE label WHEN 'arpu' THEN ' ' || value || ', "or" so ' WHEN 'gender' THEN '' ELSE value END AS value
   FROM areas GROUP BY ALL)"""
 
+# Signals in the lots they arrive in, and the watermark of each lot: of the last one also when all is read.
+LOTS = f"""WITH arrived AS (
+  SELECT event_id, {_phone("user_id")} AS msisdn, event_type, CASE WHEN event_type = 'error' THEN '$' ELSE {CELL} END AS cell_id,
+    date_trunc('second', ts) AS t,
+    least(3, date_diff('day', DATE '2024-01-01', CAST(ts + to_hours(CASE event_id % 10 WHEN 0 THEN 40 WHEN 5 THEN 2 ELSE 0 END) AS DATE)) // 8) AS lot
+  FROM events),
+marks AS (
+  SELECT l.lot, max(t) - INTERVAL 6 HOURS AS mark FROM (SELECT unnest(range(5)) AS lot) l
+  LEFT JOIN arrived a ON a.lot < l.lot AND a.event_type <> 'signup' GROUP BY l.lot),
+judged AS (
+  SELECT a.*, mark, CASE WHEN event_type = 'signup' THEN 'rejected' WHEN t <= mark THEN 'late' ELSE 'located' END AS outcome
+  FROM arrived a JOIN marks USING (lot))"""
+
 _STATS = "SELECT stat_time, area_id, label, value, cnt FROM"
 
 SQL: dict[str, str] = {
@@ -294,6 +307,26 @@ FROM customer WHERE c_custkey % 90 BETWEEN 30 AND 44 AND c_nationkey % 2 = 1""",
   FROM events WHERE event_type <> 'signup')
 SELECT msisdn, cell_id FROM newest
 WHERE rn = 1 AND date_trunc('second', ts) > TIMESTAMP '2024-01-30' AND ts <= TIMESTAMP '2024-01-31'""",
+    "late_signals": f"""{LOTS}
+SELECT lot::BIGINT AS batch_id, msisdn, cell_id, strftime(t, '%Y%m%d%H%M%S') AS event_time,
+  (epoch(mark) - epoch(t))::BIGINT AS lag_seconds, 1::BIGINT AS signals FROM judged WHERE outcome = 'late'""",
+    "batch_counts": f"""{LOTS}
+SELECT lot::BIGINT AS batch_id, strftime(any_value(mark), '%Y%m%d%H%M%S') AS watermark, count(*) AS signals,
+  count(*) FILTER (outcome = 'located') AS located, count(DISTINCT msisdn) FILTER (outcome = 'located') AS kept,
+  count(*) FILTER (outcome = 'late') AS late, count(*) FILTER (outcome = 'rejected') AS rejected
+FROM judged GROUP BY lot""",
+    "closed_windows": f"""{LOTS},
+counted AS (SELECT *, time_bucket(INTERVAL 15 MINUTES, t) AS w FROM judged WHERE event_type <> 'signup')
+SELECT strftime(w, '%Y%m%d%H%M%S') AS window_start, cell_id, count(*) AS signals FROM counted
+WHERE (mark IS NULL OR w + INTERVAL 15 MINUTES > mark) AND w + INTERVAL 15 MINUTES <= (SELECT mark FROM marks WHERE lot = 4)
+GROUP BY ALL""",
+    "expired_users": f"""{LOTS},
+newest AS (
+  SELECT u.msisdn, l.lot, max(max({{'t': t, 'e': event_id, 'c': cell_id}})) OVER (PARTITION BY u.msisdn ORDER BY l.lot) AS n
+  FROM (SELECT DISTINCT msisdn FROM judged) u CROSS JOIN marks l
+  LEFT JOIN judged j ON j.msisdn = u.msisdn AND j.lot = l.lot AND j.outcome = 'located' GROUP BY u.msisdn, l.lot)
+SELECT DISTINCT msisdn, n.c AS cell_id, strftime(n.t + INTERVAL 1 HOUR, '%Y%m%d%H%M%S') AS expires
+FROM newest JOIN marks m ON m.lot = newest.lot + 1 WHERE n.t + INTERVAL 1 HOUR <= m.mark""",
     "stats_roundtrip": f"{HARD} SELECT stat_time, level, area_id, label, value, cnt, branch FROM hard",
     "rebuilt_area_profile": f"""{HARD}, picked AS (
   SELECT *, row_number() OVER (PARTITION BY area_id, label, value
@@ -319,6 +352,6 @@ FROM events GROUP BY ALL""",
 }
 for _same, _as in {
     "movement_job": "movement_profile", "snapshot_job": "profile_json", "history_job": "area_stats", "realtime_job": "current_profile_json",
-    "backup_job": "snapshot", "configured_labels": "label_values",
+    "backup_job": "snapshot", "configured_labels": "label_values", "compacted_latest": "stream_latest",
 }.items():
     SQL[_same] = SQL[_as]

@@ -70,6 +70,18 @@ def events_as_lines(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return read_once.select(*keep, F.concat_ws("|", *fields).alias("value"))
 
 
+#: Arrivals come in so many lots; signals are late by up to 40 hours, and a watermark waits for six.
+LOTS, DELAY = 4, timedelta(hours=6)
+
+
+def arrivals(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``signal_lines`` with the ``lot`` they arrive in: every tenth 40 hours after its time, others 2 hours after or at once."""
+    hours = F.when(F.col("event_id") % 10 == 0, 40).when(F.col("event_id") % 10 == 5, 2).otherwise(0)
+    day = F.date_diff(F.timestamp_add("HOUR", hours, F.col("ts")).cast("date"), F.lit("2024-01-01").cast("date"))
+    lot = F.least(F.greatest(F.call_function("div", day, F.lit(8)), F.lit(0)), F.lit(LOTS - 1)).cast("int")
+    return events_as_lines(table(spark, sf_dir, "events").withColumn("lot", lot), (*keep, "lot"))
+
+
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as typed locations, with the same cells and users as ``signal_lines``."""
     events = table(spark, sf_dir, "events").where(F.col("event_type") != "signup")

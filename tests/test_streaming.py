@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
 from crowdtide.operators.signals import LOG_ORDER, latest_per_user, locate_signals, parse_signals
-from crowdtide.sources.tables import read_latest_locations, read_location_log
+from crowdtide.sources.location_log import read_location_log, read_rejected_signals
+from crowdtide.sources.tables import read_latest_locations
 from crowdtide.streaming import locations as stream
 from crowdtide.streaming.ttl_state import STATE_PROVIDER, newest_rows, newest_with_ttl
 from crowdtide.workload import tables as w
@@ -75,7 +76,7 @@ def test_signals_that_cannot_be_located_are_stored_by_batch(spark, tmp_path, lin
     for _ in range(2):
         write(batch, 0)
     write(lines(_line("b", "3", 1), "|"), 1)
-    stored = spark.read.parquet(stream.rejected_path(log)).select("value", "reject_reason", "batch_id")
+    stored = read_rejected_signals(spark, log).select("value", "reject_reason", "batch_id")
     assert rows(stored) == sorted(
         [("1||1|2", "no_msisdn", 0), ("broken", "no_msisdn", 0), (timeless, "no_time", 0), ("|", "no_msisdn", 1)], key=repr
     )
@@ -93,20 +94,7 @@ def test_files_of_a_batch_are_bounded(spark, tmp_path, lines):
     log = tmp_path / "log"
     write = stream.append_batch(str(log), clock=lambda: NOW, files=2)
     write(lines(*[_line(f"u{i}", "1", 1) for i in range(50)]), 0)
-    assert 1 <= len(list(log.glob("batch_id=0/*.parquet"))) <= 2
-
-
-def test_compaction_gives_equal_reads(spark, tmp_path, lines):
-    log, new = str(tmp_path / "log"), tmp_path / "new"
-    for n in range(12):
-        write = stream.append_batch(log, clock=lambda n=n: NOW + timedelta(minutes=20 * n))
-        write(lines(*[_line(f"u{i}", f"c{n}", (7 * n + i) % 60, str(n)) for i in range(n % 5, 20)]), n)
-    end = NOW + timedelta(minutes=230)
-    stream.compact_log(spark, log, str(new), end, timedelta(hours=2), files=2, below=11)
-    for at in (end, end + timedelta(minutes=5)):
-        assert rows(read_latest_locations(spark, str(new), at, timedelta(hours=1))) == rows(read_latest_locations(spark, log, at, timedelta(hours=1)))
-    assert {r["batch_id"] for r in read_location_log(spark, str(new)).select("batch_id").distinct().collect()} == {-1, 11}
-    assert len(list(new.glob("batch_id=-1/*.parquet"))) <= 2
+    assert 1 <= len(list(log.glob("rows/outcome=located/batch_id=0/*/*.parquet"))) <= 2
 
 
 def test_newest_is_by_time_then_number_then_text(spark, lines):
