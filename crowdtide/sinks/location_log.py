@@ -31,7 +31,7 @@ def write_attempt(rows: DataFrame, path: str) -> None:
 def commit_batch(spark: SparkSession, path: str, **commit: Any) -> None:
     """Makes an attempt the one that counts for its batch. One file, written last."""
     row = [tuple(commit.get(name) for name in S.BATCH_COMMITS.fieldNames())]
-    ledger.add(spark.createDataFrame(row, S.BATCH_COMMITS), log.commits_path(path))
+    ledger.add(spark, log.commits_path(path), S.BATCH_COMMITS, row)
 
 
 def watermark_before(spark: SparkSession, path: str, batch_id: int, delay: timedelta) -> datetime | None:
@@ -77,7 +77,7 @@ def compact_log(
     at = time.time()
     rows = [(b, version, upto, buckets, _text(written.get(b)), b in written, at) for b in sorted(touched | expired)]
     rows.append((None, version, upto, buckets, None, False, at))
-    ledger.add(spark.createDataFrame(rows, S.BASE_VERSIONS), log.versions_path(path))
+    ledger.add(spark, log.versions_path(path), S.BASE_VERSIONS, rows)
     return touched
 
 
