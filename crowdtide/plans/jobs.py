@@ -6,7 +6,7 @@ a lost executor costs one task. Results count once the job's run is marked, whic
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -21,7 +21,18 @@ from crowdtide.operators.rollup import Bridges, area_stats
 from crowdtide.operators.snapshot import accepted, build_snapshot, rejected, split_location_lines
 from crowdtide.operators.timeline import STEP
 from crowdtide.sinks import tables as sinks
-from crowdtide.sources.tables import CURRENT_PROFILES, PROFILES, REJECTED, STATS, read_snapshot, stored_times, time_text
+from crowdtide.sinks.places import Paths
+from crowdtide.sources.tables import (
+    CURRENT_PROFILES,
+    PROFILES,
+    REJECTED,
+    STATS,
+    finished,
+    fingerprints,
+    read_snapshot,
+    stored_times,
+    time_text,
+)
 
 Labels = Sequence[tuple[LabelSpec, DataFrame]]
 
@@ -37,17 +48,6 @@ OUTPUTS = {
 }
 
 
-@dataclass(frozen=True)
-class Paths:
-    snapshots: str
-    backups: str
-    stats: str
-    profiles: str
-    current_profiles: str
-    marks: str
-    rejected: str
-
-
 @dataclass(frozen=True)
 class Inputs:
     bridges: Bridges
@@ -60,7 +60,52 @@ def steps(begin: datetime, end: datetime, step: timedelta = STEP) -> list[dateti
     return [begin + i * step for i in range((end - begin) // step + 1)]
 
 
-def _write(spark: SparkSession, snapshots: DataFrame, inputs: Inputs, paths: Paths, times: Sequence[str], outputs: Collection[str]) -> None:
+Sources = Mapping[tuple[str, str], str]
+
+
+def made_from(spark: SparkSession, path: str, times: Sequence[datetime], lags: Callable[[datetime], Mapping[str, timedelta]]) -> Sources:
+    """For each time with a snapshot and each kind of result due at it: the fingerprints of what it is made from.
+
+    A kind is left out if the snapshot of its time has no fingerprint. A look-back without a snapshot counts
+    as one that holds nothing.
+    """
+    reach = {time_text(look_back(t, lag)) for t in times for lag in lags(t).values()} | {time_text(t) for t in times}
+    known, found = fingerprints(spark, path, reach), {}
+    for t in times:
+        own = known.get(time_text(t))
+        if own is not None:
+            found[time_text(t), CURRENT] = own
+            for kind, lag in lags(t).items():
+                found[time_text(t), kind] = f"{own}|{known.get(time_text(look_back(t, lag)), '')}"
+    return found
+
+
+def _changed(spark: SparkSession, paths: Paths, kinds: Collection[str], times: Sequence[datetime], sources: Sources) -> list[datetime]:
+    """The times of which some result is missing, or was made from other snapshots than are there now."""
+    texts = [time_text(t) for t in times]
+    made = None
+    for kind in kinds:
+        marks = finished(spark, paths.marks, kind).where(F.col("stat_time").isin(texts)).collect()  # no more than were asked for
+        of_kind = {((r["stat_time"], r["movement"]), r["source"]) for r in marks if r["source"] is not None}
+        made = of_kind if made is None else made & of_kind
+    stale = {t for (t, kind), source in sources.items() if ((t, kind), source) not in (made or set())}
+    stale |= set(texts) - {t for t, _ in sources}
+    return [t for t in times if time_text(t) in stale]
+
+
+def _none(stat_time: datetime) -> Mapping[str, timedelta]:
+    return {}
+
+
+def _write(
+    spark: SparkSession,
+    snapshots: DataFrame,
+    inputs: Inputs,
+    paths: Paths,
+    times: Sequence[str],
+    outputs: Collection[str],
+    sources: Sources,
+) -> None:
     """Count, roll up and publish; every time asked for is marked, also one without rows."""
     run = sinks.new_run()
     stats = area_stats(area_counts(snapshots, inputs.prefix_region, inputs.labels), inputs.bridges)
@@ -70,9 +115,9 @@ def _write(spark: SparkSession, snapshots: DataFrame, inputs: Inputs, paths: Pat
     if OUT_PROFILES in outputs:
         kept = spark.read.schema(S.AREA_STATS).parquet(paths.stats).where(F.col("run") == run)
         sinks.write_profiles(profiles(kept).withColumn("movement", F.lit(CURRENT)), paths.profiles, run)
-        sinks.mark_complete(spark, paths.marks, PROFILES, run, keys)
+        sinks.mark_complete(spark, paths.marks, PROFILES, run, keys, sources=sources)
     if OUT_STATS in outputs:
-        sinks.mark_complete(spark, paths.marks, STATS, run, keys)
+        sinks.mark_complete(spark, paths.marks, STATS, run, keys, sources=sources)
 
 
 def run_snapshot(
@@ -86,7 +131,8 @@ def run_snapshot(
     """Freeze the latest locations, then count, roll up and publish them."""
     sinks.write_snapshot(build_snapshot(locations, stat_time), paths.snapshots)
     snapshot = read_snapshot(spark, paths.snapshots, [stat_time])
-    _write(spark, snapshot, inputs, paths, [time_text(stat_time)], outputs)
+    sources = made_from(spark, paths.snapshots, [stat_time], _none)
+    _write(spark, snapshot, inputs, paths, [time_text(stat_time)], outputs, sources)
 
 
 def run_snapshot_lines(
@@ -111,14 +157,23 @@ def run_history(
     begin: datetime,
     end: datetime,
     outputs: Collection[str] = BOTH,
+    changed_only: bool = False,
 ) -> list[str]:
     """Statistics for every stored snapshot of the schedule, as one job keyed by time.
 
-    Returns the times of the schedule that have no snapshot; results of earlier runs stand for those.
+    With ``changed_only``, only times whose snapshot is not the one that the results were made from are read
+    and computed. Returns the times of the schedule that have no snapshot; results of earlier runs stand for
+    those.
     """
     wanted = steps(begin, end)
     there = stored_times(spark, paths.snapshots, wanted)
-    _write(spark, read_snapshot(spark, paths.snapshots, wanted), inputs, paths, sorted(there), outputs)
+    due = [t for t in wanted if time_text(t) in there]
+    sources = made_from(spark, paths.snapshots, due, _none)
+    if changed_only:
+        kinds = [k for k, out in ((STATS, OUT_STATS), (PROFILES, OUT_PROFILES)) if out in outputs]
+        due = _changed(spark, paths, kinds, due, sources)
+    if due or not changed_only:
+        _write(spark, read_snapshot(spark, paths.snapshots, due), inputs, paths, [time_text(t) for t in due], outputs, sources)
     return [t for t in map(time_text, wanted) if t not in there]
 
 
@@ -143,22 +198,30 @@ def run_backup(locations: DataFrame, paths: Paths, stat_time: datetime) -> None:
 
 
 def run_movement(
-    spark: SparkSession, inputs: Inputs, paths: Paths, begin: datetime, end: datetime | None = None
+    spark: SparkSession, inputs: Inputs, paths: Paths, begin: datetime, end: datetime | None = None, changed_only: bool = False
 ) -> list[str]:
     """Movement profiles for one time or for every time of the schedule in a range, as one job.
 
-    Every kind of movement that is due at a stored time is marked, also without rows. Returns the times
-    without a snapshot.
+    Every kind of movement that is due at a stored time is marked, also without rows. With ``changed_only``,
+    only times are computed whose own snapshot or one they look back at is not the one that their profiles
+    were made from; these snapshots alone are read. Returns the times without a snapshot.
     """
     wanted = steps(begin, end or begin)
     there = stored_times(spark, paths.snapshots, wanted)
+    absent = [t for t in map(time_text, wanted) if t not in there]
+    due = [t for t in wanted if time_text(t) in there]
+    sources = made_from(spark, paths.snapshots, due, lags_for)
+    if changed_only:
+        due = _changed(spark, paths, [PROFILES], due, sources)
+        if not due:
+            return absent
     lags = lags_for(begin) if len(wanted) == 1 else LAGS
-    reach = {look_back(t, lag) for t in wanted for lag in lags.values()} | set(wanted)
+    reach = {look_back(t, lag) for t in due for lag in lags.values()} | set(due)
     snapshots = read_snapshot(spark, paths.snapshots, sorted(reach))
     counted = movement_counts(snapshots, lags, inputs.bridges.cell_district, inputs.prefix_region, inputs.labels)
-    stats = counted.where(F.col("stat_time").isin(sorted(there)))
+    stats = counted.where(F.col("stat_time").isin([time_text(t) for t in due]))
     run = sinks.new_run()
     sinks.write_profiles(profiles(stats, by=("stat_time", "movement")), paths.profiles, run)
-    due = [(time_text(t), kind) for t in wanted if time_text(t) in there for kind in (CURRENT, *lags_for(t))]
-    sinks.mark_complete(spark, paths.marks, PROFILES, run, due)
-    return [t for t in map(time_text, wanted) if t not in there]
+    keys = [(time_text(t), kind) for t in due for kind in (CURRENT, *lags_for(t))]
+    sinks.mark_complete(spark, paths.marks, PROFILES, run, keys, sources=sources)
+    return absent

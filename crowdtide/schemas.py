@@ -66,7 +66,8 @@ STATS_CSV = {"quote": '"', "escape": '"', "nullValue": "\\N", "ignoreLeadingWhit
 PROFILE = _strings("area_id", "label", "profile_json", "stat_time", "movement", "run")
 CURRENT_PROFILE = _strings("area_id", "label", "profile_json", "run")
 REJECTED = _strings("line", "reject_reason", "stat_time", "run")
-MARKS = _strings("complete", "kind", "stat_time", "movement", "run", "marked_at")
+MARKS = _strings("complete", "kind", "stat_time", "movement", "run", "marked_at", "source")
+FINGERPRINTS = _strings("stat_time", "fingerprint", "written_at")
 LOCATION_LOG = T.StructType(
     [
         T.StructField("msisdn", T.StringType()),

@@ -9,21 +9,25 @@ sees half of one.
 from __future__ import annotations
 
 import posixpath
-import uuid
-from collections.abc import Iterable
-from datetime import UTC, datetime
+import time
+from collections.abc import Iterable, Mapping
+from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crowdtide import schemas as S
 from crowdtide.operators.profile import profiles
+from crowdtide.sinks import ledger
+from crowdtide.sinks.files import exists, remove
+from crowdtide.sinks.places import Paths
 from crowdtide.sources.delimited import parse_stats, read_lines, rejected_stats
+from crowdtide.sources import tables as stored
 from crowdtide.sources.tables import time_text
 
 
 def new_run() -> str:
-    return uuid.uuid4().hex
+    return ledger.stamped_name()
 
 
 def _replace_partitions(
@@ -48,9 +52,28 @@ def write_snapshot(snapshot: DataFrame, path: str, many_times: bool = False) ->
     """A snapshot of one time is written as it lies, without another shuffle.
 
     With ``many_times`` rows are first brought together by time, or every task would write a file
-    for every time.
+    for every time. The fingerprint of each time is kept beside the snapshots: of one time it is made while
+    its rows are written, of several the written rows are read again.
     """
-    _replace_partitions(snapshot.select(*S.SNAPSHOT.fieldNames()), path, "stat_time", even=many_times)
+    seen = Observation()
+    rows = snapshot.select(*S.SNAPSHOT.fieldNames())
+    rows = rows.hint("rebalance", "stat_time") if many_times else rows
+    rows = rows.observe(seen, F.collect_set("stat_time").alias("times"), fingerprint().alias("fingerprint"))
+    _replace_partitions(rows, path, "stat_time", even=False)
+    found, spark, now = seen.get, snapshot.sparkSession, ledger.stamped_name()
+    prints = {t: found["fingerprint"] for t in found["times"]}
+    if len(prints) > 1:
+        written = spark.read.schema(S.SNAPSHOT).parquet(path).where(F.col("stat_time").isin(sorted(prints)))
+        prints = {r["stat_time"]: r["f"] for r in written.groupBy("stat_time").agg(fingerprint().alias("f")).collect()}
+    if prints:
+        ledger.add(spark, stored.fingerprints_path(path), S.FINGERPRINTS, [(t, f, now) for t, f in sorted(prints.items())])
+
+
+def fingerprint() -> Column:
+    """An aggregate that tells whether two snapshots hold the same rows, in whatever order."""
+    row = F.xxhash64("user_hash", "cell_id", "prefix7")
+    numbers = F.count("*"), F.bit_xor(row), F.sum(F.pmod(row, F.lit(1 << 31)))
+    return F.concat_ws(":", *[n.cast("string") for n in numbers])
 
 
 def write_stats(stats: DataFrame, path: str, run: str, fmt: str = "parquet") -> None:
@@ -80,15 +103,65 @@ def write_rejected(rows: DataFrame, path: str, stat_time: datetime, run: str) ->
 
 
 def mark_complete(
-    spark: SparkSession, path: str, kind: str, run: str, keys: Iterable[tuple[str, str]], at: datetime | None = None
+    spark: SparkSession,
+    path: str,
+    kind: str,
+    run: str,
+    keys: Iterable[tuple[str, str]],
+    at: datetime | None = None,
+    sources: Mapping[tuple[str, str], str] | None = None,
 ) -> None:
     """Makes ``run`` the one that counts for each (stat_time, movement) that it was asked for, rows or not.
 
-    Written last, in one small file. Marks are only added; the newest of a key decides.
+    Written last, in one small file. Marks are only added; the newest of a key decides. ``sources`` says
+    for each key what snapshots it was made from.
+    """
+    when = (at or datetime.now(UTC)).strftime(_MARKED)
+    rows = [(S.ROWKEY_JOINER.join((S.COMPLETE_MARK, t)), kind, t, m, run, when, (sources or {}).get((t, m))) for t, m in keys]
+    if rows:
+        ledger.add(spark, path, S.MARKS, rows)
+
+
+_MARKED = "%Y%m%d%H%M%S%f"
+
+
+def _with_end(marks: DataFrame) -> DataFrame:
+    """Marks with the time from which another counted, or null."""
+    of_key = Window.partitionBy("kind", "stat_time", "movement").orderBy("marked_at", "run")
+    return marks.distinct().withColumn("until", F.lead("marked_at").over(of_key))
+
+
+def vacuum(spark: SparkSession, paths: Paths, keep_for: timedelta, now: datetime | None = None) -> list[str]:
+    """Removes results that no reader who began within ``keep_for`` can need, and returns their folders.
+
+    That is rows of runs whose place another run has taken before then, and rows that are not marked, of
+    runs that began before then: these have failed. A job must not take that long. Marks are merged into one
+    file: those that count and those that did within the time. What readers see is the same before and after.
     """
-    when = (at or datetime.now(UTC)).strftime("%Y%m%d%H%M%S%f")
-    rows = [(S.ROWKEY_JOINER.join((S.COMPLETE_MARK, t)), kind, t, m, run, when) for t, m in keys]
-    spark.createDataFrame(rows, S.MARKS).coalesce(1).write.mode("append").parquet(path)
+    limit = (now or datetime.now(UTC)) - keep_for
+    marks = _with_end(stored.read_marks(spark, paths.marks))
+    gone = []
+    for kind, path, schema, keys in (
+        (stored.STATS, paths.stats, S.AREA_STATS, ("stat_time", "level", "run")),
+        (stored.PROFILES, paths.profiles, S.PROFILE, ("stat_time", "movement", "run")),
+        (stored.CURRENT_PROFILES, paths.current_profiles, S.CURRENT_PROFILE, ("run",)),
+        (stored.REJECTED, paths.rejected, S.REJECTED, ("stat_time", "run")),
+    ):
+        if not exists(spark, path):
+            continue
+        marked = [k for k in keys if k != "level"]
+        # Only names of folders are looked at; a row for each is all that moves.
+        there = spark.read.schema(schema).parquet(path).select(*keys).distinct().where(F.col("run").isNotNull())
+        ends = marks.where(F.col("kind") == kind).groupBy(*marked)
+        ends = ends.agg(F.max(F.coalesce("until", F.lit("9"))).alias("until"))  # "9": still counts
+        for r in there.join(ends, marked, "left").where(F.col("until").isNull() | (F.col("until") < limit.strftime(_MARKED))).collect():
+            began = ledger.stamp_of(r["run"])
+            if r["until"] is not None or (began is not None and began < limit.timestamp()):
+                gone.append(posixpath.join(path, *[f"{k}={r[k]}" for k in keys]))
+    for folder in gone:
+        remove(spark, folder)
+    count = lambda df: _with_end(df).where(F.col("until").isNull() | (F.col("until") >= limit.strftime(_MARKED)))
+    return gone + ledger.merge(spark, paths.marks, S.MARKS, count, limit.timestamp())
 
 
 def rebuild_profiles(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import posixpath
+from collections.abc import Collection, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from crowdtide import schemas as S
 from crowdtide.functions import is_blank, ntz
 from crowdtide.operators.signals import LOG_ORDER, latest_per_user
+from crowdtide.sinks import ledger
+from crowdtide.sinks.files import entries
 from crowdtide.sources.location_log import read_location_log
 
 #: What a mark can be about.
@@ -51,36 +54,64 @@ def read_latest_locations(
 
 
 def stored_times(spark: SparkSession, path: str, wanted: Sequence[datetime]) -> set[str]:
-    """Which of the wanted times have a snapshot."""
-    found = read_snapshot(spark, path, wanted).select("stat_time").distinct()
-    return {r["stat_time"] for r in found.collect()}  # no more than were wanted
+    """Which of the wanted times have a snapshot, from the names of the folders alone."""
+    there = {e.name.removeprefix("stat_time=") for e in entries(spark, path)}
+    return there & {time_text(t) for t in wanted}
+
+
+def fingerprints(spark: SparkSession, path: str, times: Collection[str]) -> dict[str, str]:
+    """What the stored snapshots of these times hold, in a few bytes each."""
+    known = ledger.read(spark, fingerprints_path(path), S.FINGERPRINTS).where(F.col("stat_time").isin(sorted(times)))
+    newest = known.groupBy("stat_time").agg(F.max_by("fingerprint", "written_at").alias("fingerprint"))
+    return {r["stat_time"]: r["fingerprint"] for r in newest.collect()}  # no more than were asked for
+
+
+def fingerprints_path(snapshots: str) -> str:
+    return posixpath.join(snapshots, "_fingerprints")
+
+
+def read_marks(spark: SparkSession, marks: str) -> DataFrame:
+    """Marks as they were added; the newest of a key decides."""
+    return ledger.read(spark, marks, S.MARKS)
 
 
 def finished(spark: SparkSession, marks: str, kind: str) -> DataFrame:
-    """(stat_time, movement, run): the run that counts for each key."""
-    of_kind = spark.read.schema(S.MARKS).parquet(marks).where(F.col("kind") == kind)
-    return of_kind.groupBy("stat_time", "movement").agg(F.max_by("run", F.struct("marked_at", "run")).alias("run"))
+    """(stat_time, movement, run, source): the run that counts for each key, and what it was made from."""
+    of_kind = read_marks(spark, marks).where(F.col("kind") == kind)
+    newest = F.max_by(F.struct("run", "source"), F.struct("marked_at", "run")).alias("newest")
+    return of_kind.groupBy("stat_time", "movement").agg(newest).select("stat_time", "movement", "newest.*")
+
+
+def _of_runs(table: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose keys are among the finished ones, which are all partition columns.
+
+    The finished keys, one per published time, are looked up now and tested against the names of the
+    folders: no file of another run is read, so none of those can be missed when it is removed.
+    """
+    names = [r["name"] for r in done.select(F.concat_ws("/", *keys).alias("name")).distinct().collect()]
+    if not names:
+        return table.where(F.lit(False)).drop("run")
+    listed = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in sorted(names))
+    return table.where(F.expr(f"concat_ws('/', {', '.join(keys)}) IN ({listed})")).drop("run")
 
 
 def read_stats(spark: SparkSession, path: str, marks: str, stat_time: datetime | None = None) -> DataFrame:
     """Statistics of the runs that count."""
-    stats = spark.read.schema(S.AREA_STATS).parquet(path)
+    done = finished(spark, marks, STATS)
     if stat_time is not None:
-        stats = stats.where(F.col("stat_time") == time_text(stat_time))
-    return stats.join(finished(spark, marks, STATS).drop("movement"), ["stat_time", "run"], "left_semi").drop("run")
+        done = done.where(F.col("stat_time") == time_text(stat_time))
+    return _of_runs(spark.read.schema(S.AREA_STATS).parquet(path), done, "stat_time", "run")
 
 
 def read_profiles(spark: SparkSession, path: str, marks: str) -> DataFrame:
     """Profiles of the runs that count."""
     done = finished(spark, marks, PROFILES)
-    return spark.read.schema(S.PROFILE).parquet(path).join(done, ["stat_time", "movement", "run"], "left_semi").drop("run")
+    return _of_runs(spark.read.schema(S.PROFILE).parquet(path), done, "stat_time", "movement", "run")
 
 
 def read_current_profiles(spark: SparkSession, path: str, marks: str) -> DataFrame:
-    done = finished(spark, marks, CURRENT_PROFILES).select("run")
-    return spark.read.schema(S.CURRENT_PROFILE).parquet(path).join(done, "run", "left_semi").drop("run")
+    return _of_runs(spark.read.schema(S.CURRENT_PROFILE).parquet(path), finished(spark, marks, CURRENT_PROFILES), "run")
 
 
 def read_rejected(spark: SparkSession, path: str, marks: str) -> DataFrame:
-    done = finished(spark, marks, REJECTED).drop("movement")
-    return spark.read.schema(S.REJECTED).parquet(path).join(done, ["stat_time", "run"], "left_semi").drop("run")
+    return _of_runs(spark.read.schema(S.REJECTED).parquet(path), finished(spark, marks, REJECTED), "stat_time", "run")

@@ -441,6 +441,30 @@ def realtime_job(spark: SparkSession, d: str) -> DataFrame:
     return prof.row_keys(found, timed=False).select("row_key", "profile_json")
 
 
+REPAIRED = (w.AS_OF - SIXTY, w.AS_OF + 3 * SIXTY)
+
+
+def recomputed_times(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshots of some hours are made again once late signals are there: which movement profiles are computed anew?"""
+    paths, inputs, signals = _paths(spark), _inputs(spark, d), w.signals(spark, d)
+    for number, known in enumerate((signals.where(F.col("seq") % 10 != 0), signals)):
+        latest = timeline.latest_over_range(known, *REPAIRED, ttl=w.HOUR)
+        sinks.write_snapshot(snap.build_snapshot(latest, F.col("snapshot_time")), paths.snapshots, many_times=True)
+        began = sinks.new_run()
+        jobs.run_movement(spark, inputs, paths, *REPAIRED, changed_only=number > 0)
+    return stored.finished(spark, paths.marks, stored.PROFILES).where(F.col("run") > began).select("stat_time", "movement")
+
+
+def vacuumed_profiles(spark: SparkSession, d: str) -> DataFrame:
+    """A movement job three times over, then everything that no longer counts is removed."""
+    paths, inputs = _paths(spark), _inputs(spark, d)
+    sinks.write_snapshot(_people_every(spark, d, QUARTER), paths.snapshots, many_times=True)
+    for _ in range(3):
+        jobs.run_movement(spark, inputs, paths, w.AS_OF)
+        sinks.vacuum(spark, paths, timedelta(0))
+    return stored.read_profiles(spark, paths.profiles, paths.marks).select("stat_time", "movement", "area_id", "label", "profile_json")
+
+
 def backup_job(spark: SparkSession, d: str) -> DataFrame:
     paths = _paths(spark)
     jobs.run_backup(_now(spark, d), paths, w.AS_OF)
@@ -542,6 +566,8 @@ QUERIES: dict[str, Query] = {
         history_gaps,
         realtime_job,
         backup_job,
+        recomputed_times,
+        vacuumed_profiles,
         stored_rejects,
         signal_outcomes,
         typed_people,

@@ -315,6 +315,17 @@ SELECT lot::BIGINT AS batch_id, strftime(any_value(mark), '%Y%m%d%H%M%S') AS wat
   count(*) FILTER (outcome = 'located') AS located, count(DISTINCT msisdn) FILTER (outcome = 'located') AS kept,
   count(*) FILTER (outcome = 'late') AS late, count(*) FILTER (outcome = 'rejected') AS rejected
 FROM judged GROUP BY lot""",
+    "recomputed_times": f"""WITH {SIGNALS},
+steps AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-15 11:00:00', TIMESTAMP '2024-01-15 15:00:00', INTERVAL 15 MINUTES)) AS t),
+live AS (
+  SELECT whole, t, msisdn, cell_id, row_number() OVER (PARTITION BY whole, t, msisdn ORDER BY ts DESC, event_id DESC) AS rn
+  FROM signals JOIN steps ON ts <= t AND ts > t - INTERVAL 1 HOUR JOIN (VALUES (0), (1)) v(whole) ON whole = 1 OR event_id % 10 <> 0),
+changed AS (SELECT DISTINCT t FROM (SELECT t, msisdn, cell_id FROM live WHERE rn = 1 GROUP BY ALL HAVING count(*) = 1)),
+anew AS (
+  SELECT t FROM (SELECT DISTINCT t FROM live)
+  WHERE t IN (FROM changed) OR t - INTERVAL 15 MINUTES IN (FROM changed) OR (minute(t) = 0 AND t - INTERVAL 60 MINUTES IN (FROM changed)))
+SELECT strftime(t, '%Y%m%d%H%M%S') AS stat_time, unnest(CASE WHEN minute(t) = 0 THEN ['current', 'stayed_15m', 'stayed_60m'] ELSE ['current', 'stayed_15m'] END) AS movement
+FROM anew""",
     "closed_windows": f"""{LOTS},
 counted AS (SELECT *, time_bucket(INTERVAL 15 MINUTES, t) AS w FROM judged WHERE event_type <> 'signup')
 SELECT strftime(w, '%Y%m%d%H%M%S') AS window_start, cell_id, count(*) AS signals FROM counted
@@ -352,6 +363,6 @@ FROM events GROUP BY ALL""",
 }
 for _same, _as in {
     "movement_job": "movement_profile", "snapshot_job": "profile_json", "history_job": "area_stats", "realtime_job": "current_profile_json",
-    "backup_job": "snapshot", "configured_labels": "label_values", "compacted_latest": "stream_latest",
+    "backup_job": "snapshot", "configured_labels": "label_values", "compacted_latest": "stream_latest", "vacuumed_profiles": "movement_profile",
 }.items():
     SQL[_same] = SQL[_as]
