@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdtide import schemas as S
@@ -47,8 +47,18 @@ def locate_signals(signals: DataFrame) -> DataFrame:
 
 def rejected_signals(signals: DataFrame) -> DataFrame:
     """Parsed signals that cannot be located, with the reason: no phone number, or no readable end."""
-    reason = F.when(is_blank(F.col("msisdn")), "no_msisdn").when(parse_time(F.col("endtime")).isNull(), "no_time")
-    return signals.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+    return signals.withColumn("reject_reason", reject_reason()).where(F.col("reject_reason").isNotNull())
+
+
+def reject_reason() -> Column:
+    """Why a parsed signal cannot be located; null if it can."""
+    return F.when(is_blank(F.col("msisdn")), "no_msisdn").when(parse_time(F.col("endtime")).isNull(), "no_time")
+
+
+def outcome_counts(signals: DataFrame) -> DataFrame:
+    """How many parsed signals are located, or rejected for which reason; counted in one pass."""
+    outcome = F.coalesce(reject_reason(), F.lit("located")).alias("outcome")
+    return signals.select(outcome).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
 def live_at(signals: DataFrame, as_of: datetime, ttl: timedelta, time_col: str = "event_time") -> DataFrame:

@@ -20,6 +20,7 @@ from crowdtide.operators.profile import profiles
 from crowdtide.operators.rollup import Bridges, area_stats
 from crowdtide.operators.snapshot import accepted, build_snapshot, rejected, split_location_lines
 from crowdtide.operators.timeline import STEP
+from crowdtide.plans.lineage import scratch_folder
 from crowdtide.sinks import tables as sinks
 from crowdtide.sinks.places import Paths
 from crowdtide.sources.tables import (
@@ -144,9 +145,13 @@ def run_snapshot_lines(
     outputs: Collection[str] = BOTH,
 ) -> None:
     """``run_snapshot`` over ``msisdn,cell`` text; lines that cannot be used are kept with their reason."""
-    rows, run = split_location_lines(lines), sinks.new_run()
-    sinks.write_rejected(rejected(rows), paths.rejected, stat_time, run)
-    run_snapshot(spark, accepted(rows), inputs, paths, stat_time, outputs)
+    run, folder = sinks.new_run(), scratch_folder(spark, "lines")
+    # Split once: what is accepted is kept by its columns, what is rejected by its text, in folders of their own.
+    rows, fits = split_location_lines(lines), F.col("reject_reason").isNull()
+    rows.select(F.when(~fits, F.col("line")).alias("line"), "msisdn", "cell_id", "reject_reason", fits.alias("fits")).write.partitionBy("fits").parquet(folder)
+    rows = spark.read.schema("line string, msisdn string, cell_id string, reject_reason string, fits boolean").parquet(folder)
+    sinks.write_rejected(rejected(rows.where(~F.col("fits"))), paths.rejected, stat_time, run)
+    run_snapshot(spark, accepted(rows.where("fits")), inputs, paths, stat_time, outputs)
     sinks.mark_complete(spark, paths.marks, REJECTED, run, [(time_text(stat_time), CURRENT)])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,11 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     return named or posixpath.join(spark.conf.get(WAREHOUSE_CONF), "crowdtide-scratch")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that every executor can reach."""
+    return posixpath.join(shared_folder(spark), "crowdtide", f"{name}-{uuid.uuid4().hex}")
+
+
 def cut_lineage(df: DataFrame, fallback: str | None = None) -> DataFrame:
     """Compute ``df`` once and write it to the checkpoint folder; later steps read it from there."""
     spark = df.sparkSession

@@ -199,3 +199,36 @@ def write_bucketed_labels(labels: DataFrame, table: str, path: str, buckets: int
         .saveAsTable(table)
     )
 
+
+
+def write_bucketed_snapshot(snapshot: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Snapshots in folders by time, each in buckets by user: one file a bucket and time.
+
+    Labels in as many buckets join them without moving either. The times written replace their own.
+    """
+    spark = snapshot.sparkSession
+    rows = snapshot.select(*S.SNAPSHOT.fieldNames()).repartition(buckets, "user_hash")
+    if spark.catalog.tableExists(table):
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.insertInto(table, overwrite=True)
+        return
+    (
+        rows.write.mode("overwrite")
+        .partitionBy("stat_time")
+        .bucketBy(buckets, "user_hash")
+        .sortBy("user_hash")
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
+def open_bucketed_snapshot(spark: SparkSession, table: str, path: str, buckets: int) -> DataFrame:
+    """The table of bucketed snapshots that another session wrote to ``path``, with so many buckets."""
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.SNAPSHOT)
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (stat_time) "
+            f"CLUSTERED BY (user_hash) SORTED BY (user_hash) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+        spark.catalog.recoverPartitions(table)
+    return spark.table(table)

@@ -22,6 +22,25 @@ def read_typed(spark: SparkSession, path: str, columns: Iterable[str], sep: str
     return spark.read.schema(S.runtime_schema(columns)).csv(path, sep=sep, mode="PERMISSIVE")
 
 
+_BROKEN = "_broken_line"
+
+
+def read_typed_lines(spark: SparkSession, path: str, columns: Iterable[str], sep: str = ",") -> DataFrame:
+    """Rows by a run-time schema, and of lines that do not fit it the text and why, from one scan.
+
+    ``reject_reason`` is ``field_count`` for a line with too many or too few fields and ``bad_value`` for one
+    with a field of another type; ``line`` is that line, and the columns hold what could be read of it. For
+    accepted rows both are null. An empty field is a null value and no fault. Quoted separators count as text.
+    """
+    schema = S.runtime_schema(columns)
+    width = len(schema)
+    found = spark.read.schema(schema.add(_BROKEN, "string")).csv(path, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN)
+    unquoted = F.regexp_replace(_BROKEN, '"([^"\\\\]|\\\\.|"")*"', "")
+    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
+    reason = F.when(F.col(_BROKEN).isNotNull(), F.when(fields == width, "bad_value").otherwise("field_count"))
+    return found.select(*[f.name for f in schema if f.name != _BROKEN], F.col(_BROKEN).alias("line"), reason.alias("reject_reason"))
+
+
 def load_labels(spark: SparkSession, settings: Mapping[str, str]) -> list[tuple[LabelSpec, DataFrame]]:
     """The label files that text settings name.
 

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdtide.functions import format_time, pseudonym
-from crowdtide.operators import adhoc, counts, movement, rollup, timeline
+from crowdtide.operators import adhoc, counts, movement, rollup, sketches, timeline
 from crowdtide.operators import profile as prof
 from crowdtide.operators import signals as sig
 from crowdtide.operators import snapshot as snap
 from crowdtide.plans import jobs
-from crowdtide.plans.flow import apply_flow
-from crowdtide.plans.lineage import shared_folder
+from crowdtide.plans.flow import apply_flow, file_path, output_names, run_flow
+from crowdtide.plans.lineage import scratch_folder as _shared
 from crowdtide.sinks import tables as sinks
 from crowdtide.sources import delimited
 from crowdtide.sources import tables as stored
@@ -225,6 +225,7 @@ def uv_per_day_key(spark: SparkSession, d: str) -> DataFrame:
     return adhoc.distinct_users(adhoc.multi_filter(w.search_log(spark, d), wanted), ["date", "keyword"], "user")
 
 
+# The keys of the flow format.
 PEOPLE_FLOW = {
     "source": [
         {
@@ -351,11 +352,6 @@ def expired_users(spark: SparkSession, d: str) -> DataFrame:
     return found.select("msisdn", "cell_id", format_time(F.col("expires")).alias("expires"))
 
 
-def _shared(spark: SparkSession, name: str) -> str:
-    """A new folder that every executor can reach."""
-    return posixpath.join(shared_folder(spark), "crowdtide", f"{name}-{uuid.uuid4().hex}")
-
-
 def _paths(spark: SparkSession) -> jobs.Paths:
     root = _shared(spark, "jobs")
     return jobs.Paths(*[posixpath.join(root, n) for n in ("snapshots", "backups", "stats", "profiles", "current", "marks", "rejected")])
@@ -481,10 +477,64 @@ def stored_rejects(spark: SparkSession, d: str) -> DataFrame:
 
 def signal_outcomes(spark: SparkSession, d: str) -> DataFrame:
     """Every signal is either located or rejected for a reason."""
-    parsed = sig.parse_signals(w.signal_lines(spark, d))
-    located = sig.locate_signals(parsed).where(F.col("event_time").isNotNull()).select(F.lit("located").alias("outcome"))
-    lost = sig.rejected_signals(parsed).select(F.col("reject_reason").alias("outcome"))
-    return located.union(lost).groupBy("outcome").agg(F.count("*").alias("n"))
+    return sig.outcome_counts(sig.parse_signals(w.signal_lines(spark, d)))
+
+
+def typed_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Lines read by a run-time schema: the rows they give, and those that do not fit it with the reason."""
+    path = posixpath.join(_shared(spark, "people"), "text")
+    w.people_lines(spark, d).write.text(path)
+    return delimited.read_typed_lines(spark, path, ["name_string", "age_int", "sex_string"])
+
+
+def uv_week_estimates(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct users per week and keyword from stored daily sketches, beside the exact number."""
+    log, week = w.search_log(spark, d), F.date_trunc("week", F.col("date").cast("date")).cast("date").cast("string").alias("week")
+    path = posixpath.join(_shared(spark, "sketches"), "days")
+    sketches.user_sketches(log, ["date", "keyword"], "user").write.partitionBy("date").parquet(path)
+    days = spark.read.schema("keyword string, sketch binary, date string").parquet(path)
+    estimates = sketches.estimated_users(sketches.merged_sketches(days, [week, "keyword"]))
+    exact = adhoc.distinct_users(log.withColumn("week", week), ["week", "keyword"], "user")
+    near = F.abs(F.col("estimate") - F.col("uv")) <= 3 * sketches.standard_error() * F.col("uv")
+    return exact.join(estimates.withColumnRenamed("uv", "estimate"), ["week", "keyword"]).select("week", "keyword", "uv", near.alias("near"))
+
+
+def bucketed_label_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Label counts of two stored snapshots, with snapshots and labels in the same buckets by user."""
+    root, name = _shared(spark, "buckets"), f"crowdtide_{uuid.uuid4().hex}"
+    people = _people_every(spark, d, SIXTY)
+    sinks.write_bucketed_snapshot(people, f"{name}_people", posixpath.join(root, "people"), STREAM_FILES)
+    labels = []
+    for number, (spec, rows) in enumerate(w.labels(spark, d)):
+        sinks.write_bucketed_labels(rows, f"{name}_labels_{number}", posixpath.join(root, f"labels-{number}"), STREAM_FILES)
+        labels.append((spec, spark.table(f"{name}_labels_{number}")))
+    return counts.label_counts(spark.table(f"{name}_people"), labels).select(*STAT_COLUMNS)
+
+
+def allowed_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders whose number is among those of all large line items, and whose customer is among those in debt."""
+    lines, customers = w.table(spark, d, "lineitem"), w.table(spark, d, "customer")
+    allowed = {
+        "o_orderkey": lines.where("l_quantity > 25").select("l_orderkey"),
+        "o_custkey": customers.where("c_acctbal < 5000").select("c_custkey"),
+    }
+    orders = w.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return adhoc.allowed_only(orders, allowed, spread_by="o_orderkey")
+
+
+def flow_files(spark: SparkSession, d: str) -> DataFrame:
+    """A flow over files: two sources united and filtered, joined with a third, to two sinks."""
+    root = _shared(spark, "flow")
+    flow = w.graph_flow(root)
+    for node, rows in zip(flow["source"], w.flow_sources(spark, d), strict=True):
+        rows.write.csv(file_path(node, w.AS_OF), sep=node["delimiter"])
+    run_flow(spark, flow, w.AS_OF)
+    found = []
+    for node in flow["sink"]:
+        names = output_names(node)
+        rows = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(file_path(node, w.AS_OF), sep=node["delimiter"])
+        found.append(rows.select(F.lit(node["id"]).alias("sink"), "name", F.concat_ws("/", *names[1:]).alias("rest")))
+    return found[0].union(found[1])
 
 
 def typed_people(spark: SparkSession, d: str) -> DataFrame:
@@ -571,6 +621,11 @@ QUERIES: dict[str, Query] = {
         stored_rejects,
         signal_outcomes,
         typed_people,
+        typed_outcomes,
+        uv_week_estimates,
+        bucketed_label_counts,
+        allowed_orders,
+        flow_files,
         exported_bridge,
         configured_labels,
     )

@@ -358,6 +358,23 @@ SELECT CASE event_type WHEN 'signup' THEN ',43020$' || (10000 + {K})
 FROM events WHERE event_type IN ('signup', 'error', 'purchase')""",
     "signal_outcomes": """SELECT CASE event_type WHEN 'signup' THEN 'no_msisdn' ELSE 'located' END AS outcome, count(*) AS n
 FROM events GROUP BY ALL""",
+    "typed_outcomes": """WITH p AS (
+  SELECT c_custkey % 10 AS kind, c_name, c_custkey % 90 AS a, c_nationkey % 2 AS s FROM customer)
+SELECT CASE kind WHEN 7 THEN c_name || ', junior' ELSE c_name END AS name,
+  CASE WHEN kind IN (1, 5) THEN NULL ELSE CAST(a AS INTEGER) END AS age, CASE WHEN kind <> 2 THEN CAST(s AS VARCHAR) END AS sex,
+  CASE kind WHEN 1 THEN c_name || ',old,' || s WHEN 2 THEN c_name || ',' || a WHEN 3 THEN c_name || ',' || a || ',' || s || ',' || s END AS line,
+  CASE kind WHEN 1 THEN 'bad_value' WHEN 2 THEN 'field_count' WHEN 3 THEN 'field_count' END AS reject_reason
+FROM p""",
+    "uv_week_estimates": f"""{SEARCH_LOG} SELECT CAST(CAST(date_trunc('week', CAST(date AS DATE)) AS DATE) AS VARCHAR) AS week, keyword,
+  count(DISTINCT "user") AS uv, true AS near FROM log GROUP BY ALL""",
+    "bucketed_label_counts": f"""WITH {SIGNALS}, {_latest("latest_now", TIMES["now"][0])}, {_latest("latest_t60", TIMES["t60"][0])},
+{_people("people_now", "latest_now", TIMES["now"][1])}, {_people("people_t60", "latest_t60", TIMES["t60"][1])},
+people AS (FROM people_now UNION ALL FROM people_t60), {LABELS} {_counted(_label_rows("people", "cell_id"))}""",
+    "allowed_orders": """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 25) AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 5000)""",
+    "flow_files": """WITH adults AS (SELECT c_name AS name, c_custkey % 90 AS age, c_nationkey AS nation FROM customer WHERE c_custkey % 90 >= 18)
+SELECT 'by_country' AS sink, name, n_name || '/' || age AS rest FROM adults JOIN nation ON n_nationkey = nation WHERE n_name <> 'CHINA'
+UNION ALL SELECT 'aged', name, CAST(age AS VARCHAR) FROM adults""",
     "typed_people": """SELECT c_name AS name, CAST(c_custkey % 90 AS INTEGER) AS age, CAST(c_nationkey % 2 AS VARCHAR) AS sex FROM customer""",
     "exported_bridge": f"WITH {BRIDGES} SELECT from_id, to_id, CASE WHEN ratio = 1 THEN 0.0 ELSE ratio END::DOUBLE AS ratio FROM cell_grid",
 }

@@ -215,6 +215,48 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def people_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``people`` as text: of every ten lines one has a word for its age, one lacks a field, one has a field too many."""
+    key = F.col("c_custkey")
+    kind, age, sex = key % 10, (key % 90).cast("string"), (F.col("c_nationkey") % 2).cast("string")
+    name = F.when(kind == 7, F.concat(F.lit('"'), "c_name", F.lit(', junior"'))).otherwise(F.col("c_name"))
+    age = F.when(kind == 1, "old").when(kind == 5, "").otherwise(age)
+    line = F.when(kind == 2, F.concat_ws(",", name, age)).when(kind == 3, F.concat_ws(",", name, age, sex, sex)).otherwise(F.concat_ws(",", name, age, sex))
+    return table(spark, sf_dir, "customer").select(line.alias("value"))
+
+
+def graph_flow(root: str) -> dict:
+    """People in two files and nations in a third, to a sink of people with their nation and one of the aged."""
+
+    def node(name: str, sep: str, *columns: str, **more) -> dict:
+        typed = [{"name": c.removesuffix("#"), "dataType": int(c.endswith("#"))} for c in columns]
+        named = [{"columns": [{"name": c["name"]} for c in typed]}]
+        return {"id": name, "delimiter": sep, "filePath": root, "filePattern": f"{name}_#flow.startDataTime#.txt", "inputGroups": [{"columns": typed}], "outputGroups": named, **more}
+
+    return {
+        "source": [
+            node("even", ",", "name", "age#", "nation#"),
+            node("odd", "|", "name", "age#", "nation#"),
+            node("nations", ";", "nation#", "country"),
+        ],
+        "channel": [
+            {"id": "adults", "inputs": ["even", "odd"], "filter": "age >= 18"},
+            {"id": "placed", "inputs": ["adults", "nations"], "on": ["nation"], "filter": "country <> 'CHINA'"},
+        ],
+        "sink": [
+            node("by_country", ",", "name", "country", "age#", inputs=["placed"]),
+            node("aged", "|", "name", "age#", inputs=["adults"]),
+        ],
+    }
+
+
+def flow_sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    customer, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    rows = customer.select(F.col("c_name").alias("name"), (key % 90).cast("int").alias("age"), F.col("c_nationkey").alias("nation"), key.alias("key"))
+    halves = [rows.where(F.col("key") % 2 == n).drop("key") for n in (0, 1)]
+    return [*halves, table(spark, sf_dir, "nation").select("n_nationkey", "n_name")]
+
+
 def time_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user and day: the text range from the first event to the last."""
     day = F.substring(format_time(F.col("ts")), 1, 8).alias("day")
