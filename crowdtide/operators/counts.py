@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdtide import schemas as S
@@ -131,13 +131,39 @@ def labelled(
     )
 
 
+def labelled_in_place(
+    people: DataFrame, labels: Sequence[tuple[LabelSpec, DataFrame]], carry: Sequence[str]
+) -> DataFrame:
+    """The same rows as ``labelled``, for people and labels stored in the same buckets by user.
+
+    Stacked tables would lose their buckets, so each table is joined on its own, its rows gathered per user
+    first: people are read once and nothing moves.
+    """
+    pairs = []
+    for n, (spec, table) in enumerate(labels):
+        own = table.where(F.col("user_hash").isNotNull()).groupBy("user_hash").agg(F.collect_list("values").alias(f"_{n}"))
+        people = people.join(own, "user_hash", "left")
+        pairs.append(F.flatten(F.transform(F.coalesce(F.col(f"_{n}"), F.array()), _pairs(spec))))
+    return people.select(*carry, F.explode(F.concat(*pairs)).alias("pair")).select(*carry, "pair.label", "pair.value")
+
+
+def _pairs(spec: LabelSpec) -> Callable[[Column], Column]:
+    names = F.array(*[F.lit(n) for n in spec.names])
+
+    def named(values: Column) -> Column:
+        return F.transform(values, lambda v, at: F.struct(F.get(names, at).alias("label"), v.alias("value")))
+
+    return named
+
+
 def label_rows(
     people: DataFrame,
     labels: Sequence[tuple[LabelSpec, DataFrame]],
     area: str = "cell_id",
     by: Sequence[str] = BY_TIME,
+    in_place: bool = False,
 ) -> DataFrame:
-    return labelled(people, labels, (*by, area)).select(
+    return (labelled_in_place if in_place else labelled)(people, labels, (*by, area)).select(
         *by,
         cell_or_unknown(F.col(area)).alias("area_id"),
         "label",
@@ -167,8 +193,10 @@ def label_counts(
     labels: Sequence[tuple[LabelSpec, DataFrame]],
     area: str = "cell_id",
     by: Sequence[str] = BY_TIME,
+    in_place: bool = False,
 ) -> DataFrame:
-    return add_up(label_rows(people, labels, area, by), by=by)
+    """``in_place`` is for people and labels that are stored in the same buckets by user."""
+    return add_up(label_rows(people, labels, area, by, in_place), by=by)
 
 
 def area_counts(

@@ -209,8 +209,7 @@ def write_bucketed_snapshot(snapshot: DataFrame, table: str, path: str, buckets:
     spark = snapshot.sparkSession
     rows = snapshot.select(*S.SNAPSHOT.fieldNames()).repartition(buckets, "user_hash")
     if spark.catalog.tableExists(table):
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(table, overwrite=True)
+        rows.write.insertInto(table, overwrite=True)
         return
     (
         rows.write.mode("overwrite")
@@ -218,6 +217,7 @@ def write_bucketed_snapshot(snapshot: DataFrame, table: str, path: str, buckets:
         .bucketBy(buckets, "user_hash")
         .sortBy("user_hash")
         .option("path", path)
+        .option("partitionOverwriteMode", "dynamic")  # kept with the table, for the times written later
         .saveAsTable(table)
     )
 
@@ -227,7 +227,7 @@ def open_bucketed_snapshot(spark: SparkSession, table: str, path: str, buckets:
     if not spark.catalog.tableExists(table):
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.SNAPSHOT)
         spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (stat_time) "
+            f"CREATE TABLE {table} ({columns}) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (stat_time) "
             f"CLUSTERED BY (user_hash) SORTED BY (user_hash) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
         spark.catalog.recoverPartitions(table)

@@ -33,12 +33,14 @@ def read_typed_lines(spark: SparkSession, path: str, columns: Iterable[str], sep
     accepted rows both are null. An empty field is a null value and no fault. Quoted separators count as text.
     """
     schema = S.runtime_schema(columns)
-    width = len(schema)
-    found = spark.read.schema(schema.add(_BROKEN, "string")).csv(path, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN)
-    unquoted = F.regexp_replace(_BROKEN, '"([^"\\\\]|\\\\.|"")*"', "")
+    names, options = schema.fieldNames(), {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    parsed = F.from_csv(F.col("value"), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + f", {_BROKEN} string", options)
+    found = read_lines(spark, path).where(F.trim("value") != "").select(parsed.alias("f"))
+    line = F.col(f"f.{_BROKEN}")
+    unquoted = F.regexp_replace(line, '"([^"\\\\]|\\\\.|"")*"', "")
     fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(sep), F.lit(""))) + 1
-    reason = F.when(F.col(_BROKEN).isNotNull(), F.when(fields == width, "bad_value").otherwise("field_count"))
-    return found.select(*[f.name for f in schema if f.name != _BROKEN], F.col(_BROKEN).alias("line"), reason.alias("reject_reason"))
+    reason = F.when(line.isNotNull(), F.when(fields == len(names), "bad_value").otherwise("field_count"))
+    return found.select(*[F.col(f"f.`{n}`").alias(n) for n in names], line.alias("line"), reason.alias("reject_reason"))
 
 
 def load_labels(spark: SparkSession, settings: Mapping[str, str]) -> list[tuple[LabelSpec, DataFrame]]:

@@ -508,7 +508,7 @@ def bucketed_label_counts(spark: SparkSession, d: str) -> DataFrame:
     for number, (spec, rows) in enumerate(w.labels(spark, d)):
         sinks.write_bucketed_labels(rows, f"{name}_labels_{number}", posixpath.join(root, f"labels-{number}"), STREAM_FILES)
         labels.append((spec, spark.table(f"{name}_labels_{number}")))
-    return counts.label_counts(spark.table(f"{name}_people"), labels).select(*STAT_COLUMNS)
+    return counts.label_counts(spark.table(f"{name}_people"), labels, in_place=True).select(*STAT_COLUMNS)
 
 
 def allowed_orders(spark: SparkSession, d: str) -> DataFrame:

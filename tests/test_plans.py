@@ -15,7 +15,9 @@ from crowdtide.workload import tables as w
 #: Queries over files that they write first, in a job or a stream, have their plans below.
 WRITTEN = {n for n in catalog.QUERIES if n.endswith("_job")} | {
     "stream_latest", "stats_roundtrip", "rebuilt_area_profile", "movement_rerun", "history_gaps", "stored_rejects",
-    "typed_people", "exported_bridge", "configured_labels",
+    "typed_people", "exported_bridge", "configured_labels", "compacted_latest", "late_signals", "batch_counts",
+    "closed_windows", "expired_users", "recomputed_times", "vacuumed_profiles", "typed_outcomes", "uv_week_estimates",
+    "bucketed_label_counts", "flow_files",
 }
 PLANNED = [name for name in catalog.QUERIES if name not in WRITTEN]
 
@@ -87,3 +89,8 @@ def test_movement_over_stored_snapshots_moves_them_once(spark, tmp_path):
     plan = _plan(df)
     final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
     assert final.count("FileScan parquet [user_hash") == 1 and "ReusedExchange" in final
+
+
+def test_outcomes_are_counted_in_one_pass(spark):
+    plan = _plan(entry.queries()["signal_outcomes"](spark, SMALL))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
