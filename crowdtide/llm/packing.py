@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crowdtide.llm.common import Scratch, blocks
-from crowdtide.llm.tokens import END, Encoder
+from crowdtide.llm.tokens import END, REMEMBERED, Encoder
 
 #: A bin with less room than this is final. Pieces that are packed together in a task, bins that a task
 #: passes on, and tasks whose bins meet in one of the next round.
@@ -80,9 +80,9 @@ def _pieces(doc_id: int | None, ids: bytes, size: int) -> list[dict]:
     ]
 
 
-def _first(path: str, size: int, id: str, text: str):
+def _first(path: str, size: int, id: str, text: str, remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path)
+        encoder = Encoder.of(path, remembered)
         for batch in batches:
             ids, texts = batch.column(id), batch.column(text).fill_null("")
             for rows, _, _ in blocks(texts):
@@ -107,16 +107,19 @@ def _again(size: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 1024, id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, size: int = 1024, id: str = "doc_id", text: str = "text", remembered: int = REMEMBERED
+) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each document.
 
     A document is the ids of its text (null: of an empty one) and id 2. Repeated rows and rows without
     an id are documents of their own. An empty table gives no rows. ``sequence_id`` numbers the bins.
+    A worker remembers ``remembered`` chunks of text with their ids, some 200 bytes each.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
     narrow = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    pieces = scratch.keep(narrow.mapInArrow(_first(tokenizer, size, "id", "text"), PIECE), "pieces")
+    pieces = scratch.keep(narrow.mapInArrow(_first(tokenizer, size, "id", "text", remembered), PIECE), "pieces")
     # Round-robin, which Spark does over sorted rows: even shares, of all parts of the table.
     tasks = max(1, -(-pieces.count() // AT_ONCE))
     bins = scratch.keep(pieces.repartition(tasks).mapInArrow(_dealt(size), BIN), "bins-0")

@@ -24,11 +24,13 @@ _APART = re.compile(r"\s\s")
 class Encoder:
     """``encode`` gives each text's ids as little-endian unsigned 32-bit numbers in one bytes value."""
 
-    _open: dict[str, Encoder] = {}
+    _open: dict[tuple[str, int], Encoder] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        self._room = remembered
+
         self._library = Tokenizer.from_file(path)
         self._newline = self._library.encode("\n", add_special_tokens=False).ids[0]
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
@@ -37,11 +39,11 @@ class Encoder:
         self._known: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, path: str, remembered: int = REMEMBERED) -> Encoder:
         """One for each process and path, so that chunks stay known from task to task."""
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        if (path, remembered) not in cls._open:
+            cls._open[path, remembered] = cls(path, remembered)
+        return cls._open[path, remembered]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
@@ -102,7 +104,7 @@ class Encoder:
                             missing.append((n, i, key, tail))
                         else:
                             found[i] = x + tail
-                            if len(known) < REMEMBERED:
+                            if len(known) < self._room:
                                 known[keys[i]] = found[i]
             out.append(found)
         if missing:
@@ -110,7 +112,7 @@ class Encoder:
             for n, i, key, tail in missing:
                 out[n][i] = new[key] + tail
             # A long chunk is rare by itself and would fill the memory.
-            room = max(0, REMEMBERED - len(known))
+            room = max(0, self._room - len(known))
             known.update([(k, v) for k, v in new.items() if len(k) <= 40][:room])
         for (n, _), ids in zip(firsts, self._ids([k for _, k in firsts]), strict=True):
             out[n][0] = ids

@@ -1,34 +1,43 @@
 """Toxicity from the nearest labelled examples.
 
-Labelled texts become TF-IDF vectors over a vocabulary of words and word beginnings: those that tell the
-labels apart best by the chi-squared statistic, counted over all labelled texts. For each text the ``NEIGHBOURS`` examples of highest cosine are found exactly, with an inverted
-index in blocks: each term keeps, per block of examples, the largest weight it has there. The sum of
-these bounds what any example of the block can reach; blocks are opened in order of their bound and the
-rest is left shut once the bound falls below the worst neighbour found. Neighbours vote with weights that
-fall with distance; the votes of the examples themselves, each without its own, calibrate the score.
-
-Bounds: ``EXAMPLES`` labelled texts of each label, chosen by a hash of their id, and ``TERMS`` terms, chosen
-by rank. The index is therefore of a fixed size and goes to every task. Document frequencies are of all
-documents.
+Labelled texts become TF-IDF vectors of all their words and word beginnings. A term weighs its frequency in
+the text times its inverse document frequency, times how strongly it goes with one of the labels: the root of
+its chi-squared statistic, where that is above 1. For each text the ``NEIGHBOURS`` examples of highest cosine
+are found exactly, with an inverted index in two parts. The postings of terms in up to ``LONG`` of the examples
+are short and are read whole. Those of the other terms, which are long and of small weight, lie in blocks of
+like examples, with each term's largest weight in the block and the largest length of an example's vector of
+such terms. What the short lists have given an example, and the smaller of two bounds on what the long ones
+can add to any of the block, decide whether the block is opened for a text: only if its bound reaches the
+cosine of the worst of the ``NEIGHBOURS`` examples that the short lists put first. Scores of opened blocks are
+made for many texts at once in single precision; those near the last neighbour's are made anew in double
+precision from the whole vectors. Neighbours vote with weights that fall with distance; the votes of the examples
+themselves, each without its own, calibrate the score.
+
+The one bound is ``EXAMPLES`` labelled texts of each label, chosen by a hash of their id: the index is of a fixed
+size and goes to every task. All their terms count. A term that no example has counts in a text's length, with
+the weight of the rarest one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdtide.llm.common import Scratch, blocks, mix, parts, row_keys, span_hashes, word_spans
 
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK_OF = 4000, 20_000, 24, 64
-#: Terms in fewer labelled texts come after all others: they take only places that are left.
-LEAST_SEEN = 4
-#: Terms whose counts a task holds before it passes them on.
-HELD = 1 << 20
+EXAMPLES, NEIGHBOURS, BLOCK_OF = 4000, 24, 64
+#: The share of examples from which on a term's postings are in blocks.
+LONG = 0.05
+#: Texts searched together.
+TOGETHER = 256
+#: Scores of single precision are off by less.
+_NEAR = 1e-4
 #: Lengths in bytes of the word beginnings used as terms.
 BEGINNINGS = (4, 5, 6)
 #: Neighbours returned as evidence.
@@ -62,127 +71,150 @@ def _distinct(found: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndar
     return found[at], where[at], np.diff(np.append(at, len(found)))
 
 
-def _counts(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows with their text replaced by (terms, counts) of the chosen terms, as their numbers."""
-    mask = np.int64((1 << 20) - 1)
-    maybe = np.zeros(1 << 20, bool)
-    maybe[chosen & mask] = True
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their text replaced by its packed distinct terms and their counts."""
     for batch in batches:
         rest = [c for c in batch.schema.names if c != "text"]
         for rows, data, offsets in blocks(batch.column("text")):
-            found, where = terms(data, offsets)
-            some = np.flatnonzero(maybe[found & mask])
-            found, where = found[some], where[some]
-            at = np.minimum(np.searchsorted(chosen, found), max(0, len(chosen) - 1))
-            same = chosen[at] == found if len(chosen) else np.zeros(len(found), bool)
-            found, where, counts = _distinct(at[same], where[same])
-            cuts = pa.array(np.searchsorted(where, np.arange(rows.stop - rows.start + 1)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(x.astype(np.int64))) for x in (found, counts)]
-            yield pa.record_batch([*(batch.column(c)[rows] for c in rest), *lists], names=[*rest, "terms", "counts"])
-
-
-def _per_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, in_0, in_1) of labelled texts, added up in the task; of n equal rows each counts 1/n."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def added() -> tuple[np.ndarray, np.ndarray]:
-        found = np.concatenate([h[0] for h in held] or [np.zeros(0, np.int64)])
-        n = np.concatenate([h[1] for h in held] or [np.zeros((0, 2))])
-        order = np.argsort(found, kind="stable")
-        found, n = found[order], n[order]
-        at = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, np.int64)
-        return found[at], np.add.reduceat(n, at) if len(at) else n
-
-    def passed_on(found: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(found), 100_000):
-            some = slice(i, i + 100_000)
-            yield pa.record_batch([pa.array(found[some]), pa.array(n[some, 0]), pa.array(n[some, 1])], names=["term", "in_0", "in_1"])
+            found, where, counts = _distinct(*terms(data, offsets))
+            cuts = np.searchsorted(where, np.arange(rows.stop - rows.start + 1)).tolist()
+            packed = [pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()) for x in (found.astype("<i8"), counts.astype("<i4"))]
+            yield pa.record_batch([*(batch.column(c)[rows] for c in rest), *packed], names=[*rest, "terms", "counts"])
 
-    for batch in batches:
-        y, copies = batch.column("y").to_numpy(), batch.column("copies").to_numpy()
-        for rows, data, offsets in blocks(batch.column("text")):
-            found, where, _ = _distinct(*terms(data, offsets))
-            n = np.zeros((len(found), 2))
-            n[np.arange(len(found)), y[rows][where]] = 1 / copies[rows][where]
-            held.append((found, n))
-            if sum(len(h[0]) for h in held) >= 2 * HELD:
-                held = [added()]
-                if len(held[0][0]) >= HELD:
-                    yield from passed_on(*held.pop())
-    yield from passed_on(*added())
+
+def _ragged(first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places from ``first[i]`` to ``first[i + 1]`` for each i, one after the other, and how many each has."""
+    n = first[at + 1] - first[at]
+    return np.repeat(first[at] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum()), n
 
 
 @dataclass
 class Index:
-    """Examples in blocks. Postings of a term are sorted by example, so those of a block lie together."""
+    """Examples in blocks of like ones. ``known`` are their terms; a term's number is its place there."""
 
     ids: np.ndarray
     labels: np.ndarray
-    idf: np.ndarray
-    first: np.ndarray  # of each term's postings
-    example: np.ndarray
+    known: np.ndarray
+    strength: np.ndarray  # of each term: what its count in a text is multiplied by
+    unknown: float  # the same for a term that no example has
+    first: np.ndarray  # of each example's terms
+    term: np.ndarray
     weight: np.ndarray
-    block_first: np.ndarray  # of each term's blocks
-    block: np.ndarray
-    block_max: np.ndarray
-    block_at: np.ndarray  # the first posting of each, and the end
+    opened: list[int] = field(default_factory=lambda: [0, 0])  # blocks opened, and blocks there were
 
     @classmethod
-    def build(cls, examples: list[tuple[int, int, np.ndarray, np.ndarray]], idf: np.ndarray) -> Index:
-        """``examples``: id, label, terms, weights of unit length. Like examples come into the same block."""
-        examples = sorted(examples, key=lambda e: (e[1], int(e[2][np.argmax(e[3])]) if len(e[2]) else -1, e[0]))
-        sizes = [len(e[2]) for e in examples]
-        term = np.concatenate([e[2] for e in examples] or [np.zeros(0, np.int64)]).astype(np.int64)
-        weight = np.concatenate([e[3] for e in examples] or [np.zeros(0)])
-        example = np.repeat(np.arange(len(examples)), sizes)
-        order = np.lexsort((example, term))
-        term, weight, example = term[order], weight[order], example[order]
-        block = example // BLOCK_OF
-        new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        at = np.flatnonzero(new)
-        places = np.arange(len(idf) + 1)
-        return cls(
-            np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples], np.int64), idf,
-            np.searchsorted(term, places), example, weight, np.searchsorted(term[at], places), block[at],
-            np.maximum.reduceat(weight, at) if len(at) else np.zeros(0), np.append(at, len(term)),
-        )
-
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[terms]
-        return w / np.sqrt((w * w).sum()) if len(w) else w
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of highest cosine above 0, best first, ties by number; without ``but``."""
-        if not len(terms) or not len(self.ids):
-            return np.zeros(0, np.int64), np.zeros(0)
-        spans = [np.arange(a, b) for a, b in zip(self.block_first[terms].tolist(), self.block_first[terms + 1].tolist(), strict=True)]
-        slot = np.concatenate(spans)
-        if not len(slot):
-            return slot, np.zeros(0)
-        q = np.repeat(weights, [len(s) for s in spans])
-        bound = np.bincount(self.block[slot], q * self.block_max[slot], -(-len(self.ids) // BLOCK_OF))
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        best, cosine, low, step, floor = np.zeros(0, np.int64), np.zeros(0), 0, 4, 0.0
-        opened = np.zeros(len(bound), bool)
-        # The bound is a sum of rounded products too.
-        while low < len(order) and (len(best) < k or bound[order[low]] * (1 + 1e-9) >= floor):
-            now = order[low : low + step]
-            opened[:] = False
-            opened[now] = True
-            use = np.flatnonzero(opened[self.block[slot]])
-            a, n = self.block_at[slot[use]], self.block_at[slot[use] + 1] - self.block_at[slot[use]]
-            posts = np.repeat(a - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-            scored = np.bincount(self.example[posts], np.repeat(q[use], n) * self.weight[posts], len(self.ids))
-            found = np.flatnonzero(scored)
-            found = found[found != but]
-            best, cosine = np.concatenate([best, found]), np.concatenate([cosine, scored[found]])
-            top = np.lexsort((best, -np.round(cosine, 12)))[:k]
-            best, cosine = best[top], cosine[top]
-            floor = cosine[-1] if len(best) == k else 0.0
-            low, step = low + step, step * 2
-        return best, cosine
+    def build(cls, ids: np.ndarray, labels: np.ndarray, found: list[np.ndarray], counts: list[np.ndarray]) -> Index:
+        """From each example's id, label, distinct terms and their counts."""
+        n, sizes = len(ids), [len(f) for f in found]
+        known, term = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_inverse=True)
+        example = np.repeat(np.arange(n), sizes)
+        seen, seen_in_1 = np.bincount(term, minlength=len(known)), np.bincount(term, labels[example].astype(float), len(known))
+        n1 = float(labels.sum())
+        n0, seen_in_0 = n - n1, seen - seen_in_1
+        chi = n * (seen_in_1 * (n0 - seen_in_0) - seen_in_0 * (n1 - seen_in_1)) ** 2
+        chi = chi / np.maximum(n0 * n1 * seen * (n - seen), 1e-9)
+        strength = (np.log((n + 1) / (seen + 1)) + 1) * np.sqrt(np.maximum(1, chi))
+        weight = (1 + np.log(np.concatenate([*counts, np.zeros(0)]))) * strength[term]
+        length = np.sqrt(np.bincount(example, weight * weight, n))
+        weight = weight / length[example]
+        # Like examples come into the same block: by label, then by their heaviest term.
+        heaviest, lead = np.zeros(n), np.full(n, -1)
+        np.maximum.at(heaviest, example, weight)
+        heavy = np.flatnonzero(weight == heaviest[example])[::-1]
+        lead[example[heavy]] = term[heavy]
+        place = np.empty(n, np.int64)
+        place[(by := np.lexsort((ids, lead, labels)))] = np.arange(n)
+        example = place[example]
+        order = np.argsort(example, kind="stable")  # an example's terms are in order already
+        cuts = np.searchsorted(example[order], np.arange(n + 1))
+        return cls(ids[by], labels[by], known, strength, float(np.log(n + 1) + 1), cuts, term[order].astype(np.int32), weight[order])
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+    def _lists(self) -> None:
+        """The two parts of the inverted index, made once in each worker."""
+        n, terms = len(self.ids), len(self.known)
+        example = np.repeat(np.arange(n), np.diff(self.first))
+        long = np.bincount(self.term, minlength=terms) > LONG * n
+        number = np.where(long, np.cumsum(long) - 1, -1)
+        in_long = long[self.term]
+        short = np.flatnonzero(~in_long)
+        short = short[np.argsort(self.term[short], kind="stable")]
+        self._short = np.append(0, np.cumsum(np.bincount(self.term[short], minlength=terms)))
+        self._example, self._weight = example[short].astype(np.int32), self.weight[short]
+        self._long, self._blocks = number, max(1, -(-n // BLOCK_OF))
+        self._rest_first = np.searchsorted(example[in_long], np.arange(n + 1))
+        self._rest_term, self._rest_weight = number[self.term[in_long]].astype(np.int32), self.weight[in_long]
+        dense = np.zeros((self._blocks * BLOCK_OF, int(long.sum())), np.float32)
+        dense[example[in_long], number[self.term[in_long]]] = self.weight[in_long]
+        self._dense = dense.reshape(self._blocks, BLOCK_OF, -1)
+        self._largest = self._dense.max(axis=1).astype(np.float64)
+        self._length = np.sqrt((self._dense.astype(np.float64) ** 2).sum(axis=2)).max(axis=1)
+
+    def for_search(self) -> Index:
+        """The same index without the examples' own vectors: a worker that only searches has no need of them."""
+        if not hasattr(self, "_short"):
+            self._lists()
+        self.first = self.term = self.weight = None
+        return self
+
+    def vector(self, found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of a text's known terms, and their weights in its vector of length 1."""
+        at = np.minimum(np.searchsorted(self.known, found), max(0, len(self.known) - 1))
+        same = self.known[at] == found if len(self.known) else np.zeros(len(found), bool)
+        w = (1 + np.log(counts)) * np.where(same, self.strength[at] if len(self.known) else 0.0, self.unknown)
+        return at[same], w[same] / np.sqrt((w * w).sum()) if len(w) else w[same]
+
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, but: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text's terms and weights the ``k`` examples of highest cosine above 0, best first, ties by number.
+
+        ``but`` names an example that is left out for each text.
+        """
+        if not hasattr(self, "_short"):
+            self._lists()
+        n, all_of = len(self.ids), self._blocks * BLOCK_OF
+        partly, rest = np.zeros((len(texts), all_of)), np.zeros((len(texts), self._dense.shape[2]))
+        for row, (t, w) in enumerate(texts):
+            long = self._long[t]
+            short = long < 0
+            rest[row, long[~short]] = w[~short]
+            posts, sizes = _ragged(self._short, t[short])
+            partly[row] = np.bincount(self._example[posts], np.repeat(w[short], sizes) * self._weight[posts], all_of)
+        kk = min(k + 1, n)  # one more, for one may be left out
+        ahead = np.argpartition(-partly[:, :n], kk - 1, axis=1)[:, :kk]
+        flat, rest32 = self._dense.reshape(all_of, -1), rest.astype(np.float32)
+        floor = np.empty(len(texts))
+        for row, some in enumerate(ahead):
+            scores = partly[row, some] + flat[some] @ rest32[row]
+            if but is not None:
+                scores = scores[some != but[row]]
+            floor[row] = np.sort(scores)[-k] if len(scores) >= k else 0.0
+        added = np.minimum(rest @ self._largest.T, np.sqrt((rest * rest).sum(axis=1))[:, None] * self._length)
+        bound = partly.reshape(len(texts), self._blocks, BLOCK_OF).max(axis=2) + added
+        opened = bound >= floor[:, None] - _NEAR
+        self.opened[0] += int(opened.sum())
+        self.opened[1] += opened.size
+        scored = np.full((len(texts), all_of), -1.0)
+        for b in range(self._blocks):
+            rows, own = np.flatnonzero(opened[:, b]), slice(b * BLOCK_OF, (b + 1) * BLOCK_OF)
+            if len(rows):
+                scored[rows, own] = partly[rows, own] + rest32[rows] @ self._dense[b].T
+        if but is not None:
+            scored[np.arange(len(texts)), but] = -1.0
+        scored[:, n:] = -1.0
+        return [self._exact(*rows, k) for rows in zip(partly, rest, scored, strict=True)]
+
+    def _exact(self, partly: np.ndarray, rest: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first ``k`` of the scored examples: what the long lists add is added up again in double precision."""
+        cut = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
+        some = np.flatnonzero(scores >= max(cut - 2 * _NEAR, 0.0))
+        posts, sizes = _ragged(self._rest_first, some)
+        added = rest[self._rest_term[posts]] * self._rest_weight[posts]
+        cosine = partly[some] + np.bincount(np.repeat(np.arange(len(some)), sizes), added, len(some))
+        some, cosine = some[cosine > 0], cosine[cosine > 0]
+        top = np.lexsort((some, -np.round(cosine, 12)))[:k]
+        return some[top], cosine[top]
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         """The share of label 1 among the neighbours, each by the inverse of its distance; -1 without any."""
@@ -206,8 +238,6 @@ def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tupl
 
 @dataclass
 class Model:
-    chosen: np.ndarray
-    index: Index
     votes: np.ndarray
     values: np.ndarray
     alone: float  # the score of a text without neighbours
@@ -219,24 +249,44 @@ class Model:
         return float(min(1.0, max(0.0, 0.98 * np.interp(vote, self.votes, self.values) + 0.02 * vote)))
 
 
-def _scorer(model: Model):
+def _text_vectors(batch: pa.RecordBatch) -> Iterator[tuple[slice, list[tuple[np.ndarray, np.ndarray]]]]:
+    """Distinct terms and their counts for some rows of texts at a time."""
+    for rows, data, offsets in blocks(batch.column("text")):
+        found, where, counts = _distinct(*terms(data, offsets))
+        cuts = np.searchsorted(where, np.arange(rows.stop - rows.start + 1)).tolist()
+        for low in range(0, len(cuts) - 1, TOGETHER):
+            high = min(low + TOGETHER, len(cuts) - 1)
+            yield slice(rows.start + low, rows.start + high), [(found[a:b], counts[a:b]) for a, b in zip(cuts[low:high], cuts[low + 1 : high + 1], strict=True)]
+
+
+def _scorer(shared: Broadcast[Index], model: Model):
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = model.index
+        index = shared.value.for_search()
+        for batch in batches:
+            rest = [c for c in batch.schema.names if c != "text"]
+            for rows, texts in _text_vectors(batch):
+                vectors = [index.vector(*x) for x in texts]
+                near = index.nearest(vectors, NEIGHBOURS) if len(index.ids) else [(np.zeros(0, np.int64), np.zeros(0))] * len(vectors)
+                scores = [model.score(index.vote(*x)) for x in near]
+                seen = [[{"doc_id": index.ids[b], "cosine": x, "toxic": index.labels[b]} for b, x in zip(best[:EVIDENCE], cosine.tolist(), strict=False)] for best, cosine in near]
+                yield pa.record_batch([*(batch.column(c)[rows] for c in rest), pa.array(scores, pa.float64()), pa.array(seen, evidence)], names=[*rest, "score", "evidence"])
+
+    return run
+
+
+def _voter(shared: Broadcast[Index]):
+    """The vote on each example of a range, without its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
         for batch in batches:
-            scores, seen = [], []
-            for t, c in zip(batch.column("terms"), batch.column("counts"), strict=True):
-                t = t.values.to_numpy()
-                if not len(t):
-                    scores.append(model.alone)
-                    seen.append([])
-                    continue
-                best, cosine = index.nearest(t, index.vector(t, c.values.to_numpy()), NEIGHBOURS)
-                scores.append(model.score(index.vote(best, cosine)))
-                seen.append([{"doc_id": index.ids[b], "cosine": x, "toxic": index.labels[b]} for b, x in zip(best[:EVIDENCE], cosine.tolist(), strict=False)])
-            rest = [c for c in batch.schema.names if c not in ("terms", "counts")]
-            yield pa.record_batch([*(batch.column(c) for c in rest), pa.array(scores, pa.float64()), pa.array(seen, evidence)], names=[*rest, "score", "evidence"])
+            for low in range(0, batch.num_rows, TOGETHER):
+                some = batch.column("id")[low : low + TOGETHER].to_numpy(zero_copy_only=False)
+                own = [slice(index.first[i], index.first[i + 1]) for i in some]
+                near = index.nearest([(index.term[s].astype(np.int64), index.weight[s]) for s in own], NEIGHBOURS, but=some)
+                yield pa.record_batch([pa.array(some), pa.array([index.vote(*x) for x in near], pa.float64())], names=["id", "vote"])
 
     return run
 
@@ -252,12 +302,15 @@ def score_toxicity(
 
     Labels are learnt from rows of ``labels`` whose id is not held out and has a text in ``docs``; rows
     with a null id or label, and labels other than 0 and 1, are left out, and an id with several texts or
-    labels gives the first of each. Without examples of both labels every score is 0. A text without terms of the
-    vocabulary, null or empty, scores as such examples do. ``evidence`` has the nearest examples.
+    labels gives the first of each. Without examples of both labels every score is 0. A text without terms that
+    an example has, null or empty, scores as such examples do. ``evidence`` has the nearest examples.
+
+    A handful of labelled rows is enough: all their words count. A text that has no term in common with any
+    example scores the share of label 1 among the labelled rows, or near it if there are examples without
+    neighbours; with a share of ``cut`` or more it is predicted toxic.
 
-    A handful of labelled rows is enough: terms are chosen by rank, so all their words count. A text that has
-    no term in common with any example scores the share of label 1 among the labelled rows, or near it if there
-    are examples without neighbours; with a share of ``cut`` or more it is predicted toxic.
+    Examples are chosen by ids and hashes. Their texts are read in one scan, which keeps the rows of at most
+    ``2 * EXAMPLES`` keys, and all texts in another, which makes their terms and scores at once: texts don't move.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
@@ -266,67 +319,38 @@ def score_toxicity(
 
     learnt = labels.select(labels[id].cast("long").alias("id"), labels[label].cast("int").alias("y")).where("y in (0, 1) and id is not null")
     learnt = learnt.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y"))
-    # Of each id the first text, and how many rows have it: ids and hashes alone.
-    with_text = texts.where(~F.col("held_out") & F.col("id").isNotNull()).groupBy("id", "text_hash").agg(F.count("*").alias("copies"))
-    first = F.min(F.struct("text_hash", "copies")).alias("first")
-    learnt = scratch.keep(with_text.join(learnt, "id").groupBy("id", "y").agg(first).select("id", "y", "first.*"), "learnt")
+    # Of each id the first text: ids and hashes alone.
+    with_text = texts.where(~F.col("held_out") & F.col("id").isNotNull()).groupBy("id").agg(F.min("text_hash").alias("text_hash"))
+    learnt = scratch.keep(with_text.join(learnt, "id").select("id", "y", "text_hash"), "learnt")
     share = {r["y"]: r["n"] for r in learnt.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows at most
 
-    labelled = texts.where(~F.col("held_out") & F.col("id").isNotNull()).join(learnt, ["id", "text_hash"]).select("y", "copies", "text")
-    per_term = labelled.mapInArrow(_per_label, "term long, in_0 double, in_1 double").groupBy("term").agg(*(F.sum(c).alias(c) for c in ("in_0", "in_1")))
-    n0, n1 = float(share.get(0, 0)), float(share.get(1, 0))
-    # Shares of equal rows add up to whole numbers but for rounding.
-    chi, a, b = F.lit(0.0), F.round("in_1"), F.round("in_0")
-    if n0 and n1:
-        c, d, n = n1 - a, n0 - b, n0 + n1
-        chi = F.lit(n) * (a * d - b * c) ** 2 / (F.lit(n0 * n1) * (a + b) * (c + d + 1e-9))
-    ranked = per_term.select("term", (a + b >= LEAST_SEEN).alias("often"), chi.alias("chi")).orderBy(F.desc("often"), F.desc("chi"), "term").limit(TERMS)
-    chosen = np.sort(np.array([r["term"] for r in ranked.select("term").collect()], np.int64))
-
-    def chosen_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _counts(batches, chosen)
-
-    vectors = scratch.keep(texts.mapInArrow(chosen_terms, "id long, text_hash long, held_out boolean, terms array<long>, counts array<long>"), "vectors")
-    df = np.zeros(len(chosen))
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect():  # TERMS rows at most
-        df[r["t"]] = r["n"]
-    idf = np.log((vectors.count() + 1) / (df + 1)) + 1
-
     spread = F.xxhash64(F.lit(5), "id")
-    picked = None
-    for y in (0, 1):
-        some = learnt.where(F.col("y") == y).orderBy(spread, "id").limit(EXAMPLES)
-        picked = some if picked is None else picked.union(some)
-    picked = scratch.keep(picked.select("id", "text_hash", "y"), "picked")
-    blank = Index.build([], idf)
-    examples = []
-    same = vectors.select("id", "text_hash", "terms", "counts").join(F.broadcast(picked), ["id", "text_hash"]).dropDuplicates(["id"])
-    for r in same.collect():  # 2 * EXAMPLES rows at most, of chosen terms
-        t, c = np.array(r["terms"], np.int64), np.array(r["counts"], np.int64)
-        examples.append((r["id"], r["y"], t, blank.vector(t, c)))
-    index = Index.build(examples, idf)
-    model = calibrated(chosen, index, share)
-    # The vectors are few bytes and much work: they are dealt to more tasks than their files.
-    out = vectors.repartition(2 * parts(spark), "id", "text_hash").mapInArrow(
-        _scorer(model), "id long, text_hash long, held_out boolean, score double, evidence array<struct<doc_id:long,cosine:double,toxic:long>>"
+    picked = [learnt.where(F.col("y") == y).orderBy(spread, "id").limit(EXAMPLES) for y in (0, 1)]
+    picked = scratch.keep(picked[0].union(picked[1]).select("id", "text_hash", "y"), "picked")
+    of_picked = texts.select("id", "text_hash", "text").join(F.broadcast(picked), ["id", "text_hash"]).select("id", "y", "text")
+    packed = of_picked.mapInArrow(_vectors, "id long, y int, terms binary, counts binary")
+    examples = scratch.keep(packed.dropDuplicates(["id"]), "examples").orderBy("id").collect()  # 2 * EXAMPLES rows at most
+    index = Index.build(
+        np.array([r["id"] for r in examples], np.int64), np.array([r["y"] for r in examples], np.int64),
+        [np.frombuffer(r["terms"], "<i8") for r in examples], [np.frombuffer(r["counts"], "<i4") for r in examples],
+    )
+    shared = spark.sparkContext.broadcast(index)
+    model = Model(np.zeros(0), np.zeros(0), 0.0)
+    if share.get(0) and share.get(1):
+        places = spark.range(0, len(index.ids), 1, parts(spark))
+        votes = places.mapInArrow(_voter(shared), "id long, vote double").orderBy("id").collect()  # one number an example
+        model = calibrated(np.array([r["vote"] for r in votes]), index.labels, share)
+    out = texts.mapInArrow(
+        _scorer(shared, model), "id long, text_hash long, held_out boolean, score double, evidence array<struct<doc_id:long,cosine:double,toxic:long>>"
     )
     return out.select("id", "text_hash", "held_out", "score", F.when(F.col("score") >= cut, 1).otherwise(0).alias("predicted"), "evidence")
 
 
-def calibrated(chosen: np.ndarray, index: Index, share: dict[int, int]) -> Model:
+def calibrated(votes: np.ndarray, labels: np.ndarray, share: dict[int, int]) -> Model:
     """The model whose scores are shares of label 1 among all labelled rows, from each example's votes without its own."""
-    n = {y: int((index.labels == y).sum()) for y in (0, 1)}
-    if not n[0] or not n[1]:
-        return Model(chosen, index, np.zeros(0), np.zeros(0), 0.0)
-    term = np.repeat(np.arange(len(index.idf)), np.diff(index.first))
-    order = np.argsort(index.example, kind="stable")
-    cuts = np.searchsorted(index.example[order], np.arange(len(index.ids) + 1))
-    votes = np.empty(len(index.ids))
-    for i in range(len(votes)):
-        own = order[cuts[i] : cuts[i + 1]]
-        votes[i] = index.vote(*index.nearest(term[own], index.weight[own], NEIGHBOURS, but=i))
-    weights = np.where(index.labels == 1, share[1] / n[1], share[0] / n[0])
+    n = {y: int((labels == y).sum()) for y in (0, 1)}
+    weights = np.where(labels == 1, share[1] / n[1], share[0] / n[0])
     none, some = votes < 0, votes >= 0
     prior = share[1] / (share[0] + share[1])
-    alone = ((weights * index.labels)[none].sum() + prior) / (weights[none].sum() + 1)
-    return Model(chosen, index, *isotonic(votes[some], index.labels[some], weights[some]), float(alone))
+    alone = ((weights * labels)[none].sum() + prior) / (weights[none].sum() + 1)
+    return Model(*isotonic(votes[some], labels[some], weights[some]), float(alone))

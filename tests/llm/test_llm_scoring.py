@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -24,32 +25,111 @@ from crowdtide.llm.toxicity import Index, isotonic, score_toxicity
 # --- toxicity --------------------------------------------------------------------------------
 
 
-def random_index(seed, examples=700, terms=60):
+def random_examples(seed, examples=700, vocabulary=90):
+    """Examples of few and many terms; low-numbered terms are in most of them, so that both parts of the index are used."""
     rng = np.random.default_rng(seed)
-    idf, rows = rng.uniform(0.5, 3, terms), []
-    blank = Index.build([], idf)
-    for i in range(examples):
-        t = np.sort(rng.choice(terms, rng.integers(0, 9), replace=False))
-        rows.append((i * 3, int(rng.integers(0, 2)), t, blank.vector(t, rng.integers(1, 5, len(t)))))
-    return Index.build(rows, idf), rows
+    known = rng.choice(2**40, vocabulary, replace=False).astype(np.int64)
+    chance = 0.9 * 0.93 ** np.arange(vocabulary)
+    found = [np.sort(known[rng.random(vocabulary) < chance * rng.uniform(0.2, 1)]) for _ in range(examples)]
+    counts = [rng.integers(1, 6, len(f)).astype(np.int32) for f in found]
+    labels = np.array([int(rng.random() < (0.7 if known[5] in f else 0.2)) for f in found])
+    return np.arange(examples) * 3, labels, found, counts, known, rng
+
+
+def brute_index(ids, labels, found, counts):
+    """Term strengths and example vectors by their definition."""
+    n, n1 = len(ids), int(labels.sum())
+    strength = {}
+    for t in sorted({t for f in found for t in f.tolist()}):
+        seen = [i for i in range(n) if t in found[i]]
+        a = sum(int(labels[i]) for i in seen)
+        b, c, d = len(seen) - a, n1 - a, n - n1 - (len(seen) - a)
+        bottom = (a + b) * (c + d) * (a + c) * (b + d)
+        chi = n * (a * d - b * c) ** 2 / bottom if bottom else 0
+        strength[t] = (math.log((n + 1) / (len(seen) + 1)) + 1) * math.sqrt(max(1, chi))
+
+    def vector(terms, count):
+        w = {t: (1 + math.log(c)) * strength.get(t, math.log(n + 1) + 1) for t, c in zip(terms.tolist(), count.tolist(), strict=True)}
+        length = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / length for t, x in w.items()}
+
+    return vector, [vector(f, c) for f, c in zip(found, counts, strict=True)]
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_block_max_search_is_exact(seed):
-    index, rows = random_index(seed)
-    vectors = {i: (t, w) for i, _, t, w in rows}
-    dense = np.zeros((len(rows), len(index.idf)))
-    for n, i in enumerate(index.ids.tolist()):
-        dense[n, vectors[i][0]] = vectors[i][1]
-    rng = np.random.default_rng(seed + 10)
-    for _ in range(50):
-        t = np.sort(rng.choice(len(index.idf), rng.integers(1, 12), replace=False))
-        q = index.vector(t, rng.integers(1, 4, len(t)))
-        cosine = dense[:, t] @ q
-        want = [n for n in np.lexsort((np.arange(len(cosine)), -np.round(cosine, 12))) if cosine[n] > 1e-12][:24]
-        best, found = index.nearest(t, q, 24)
-        assert best.tolist() == want and np.allclose(found, cosine[want])
-        assert want[0] not in index.nearest(t, q, 24, but=want[0])[0]
+def test_block_max_search_is_exact(seed, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK_OF", 16)
+    ids, labels, found, counts, known, rng = random_examples(seed)
+    index, (vector, vectors) = Index.build(ids, labels, found, counts), brute_index(ids, labels, found, counts)
+    by_id = dict(zip(ids.tolist(), vectors, strict=True))
+    asked = []
+    for _ in range(60):
+        t = np.sort(np.append(rng.choice(known, rng.integers(0, 30), replace=False), rng.integers(2**41, 2**42, 3)))
+        asked.append((t, rng.integers(1, 4, len(t)).astype(np.int32)))
+    near = index.nearest([index.vector(*x) for x in asked], 24)
+    for (t, c), (best, cosine) in zip(asked, near, strict=True):
+        q = vector(t, c)
+        full = [sum(x * by_id[i].get(t, 0) for t, x in q.items()) for i in index.ids.tolist()]
+        want = [n for n in np.lexsort((np.arange(len(full)), -np.round(full, 12))) if full[n] > 1e-12][:24]
+        assert best.tolist() == want and np.allclose(cosine, [full[n] for n in want], rtol=0, atol=1e-12)
+    own = [(index.term[a:b].astype(np.int64), index.weight[a:b]) for a, b in zip(index.first, index.first[1:], strict=False)]
+    with_self, without = index.nearest(own[:80], 25), index.nearest(own[:80], 24, but=np.arange(80))
+    for i in range(80):
+        assert [x for x in with_self[i][0].tolist() if x != i][:24] == without[i][0].tolist()
+
+
+def test_blocks_stay_shut_where_the_bound_allows(spark):
+    """On the texts of a whole table: the share of blocks opened, and results that do not depend on the blocks."""
+    large = "/root/testdata/sf0.1"
+    rows = table(spark, large, "documents").join(table(spark, large, "labels"), "doc_id").select("doc_id", "text", "toxic").orderBy("doc_id").collect()
+    batch = pa.record_batch([pa.array([r["text"] for r in rows])], names=["text"])
+    vectors = [v for _, some in toxicity._text_vectors(batch) for v in some]
+    index = Index.build(np.array([r["doc_id"] for r in rows]), np.array([r["toxic"] for r in rows]), *map(list, zip(*vectors, strict=True)))
+    near = index.nearest([index.vector(*v) for v in vectors[:200]], 24)
+    share = index.opened[0] / index.opened[1]
+    print(f"share of blocks opened: {share:.3f}")
+    assert index._dense.shape[2] > 50 and share < 0.75
+    whole = Index.build(np.array([r["doc_id"] for r in rows]), np.array([r["toxic"] for r in rows]), *map(list, zip(*vectors, strict=True)))
+    whole._lists()
+    whole._length = np.full_like(whole._length, 1e9)
+    whole._largest = np.full_like(whole._largest, 1e9)
+    assert all((a[0] == b[0]).all() for a, b in zip(near, whole.nearest([whole.vector(*v) for v in vectors[:200]], 24), strict=True))
+
+
+def test_whole_scores_are_those_of_the_definition(spark, documents):
+    """Every score and its evidence against plain Python over all pairs."""
+    rng = random.Random(8)
+    plain, bad = [f"w{i}" for i in range(120)], ["vile", "scum", "rot"]
+    rows = [(i, " ".join(rng.choices(plain, k=rng.randrange(3, 40)) + (rng.choices(bad, k=2) if i % 4 == 0 else []))) for i in range(260)]
+    labelled = {i: int(i % 4 == 0) for i, _ in rows if i % 5}
+    labels = spark.createDataFrame(list(labelled.items()), "doc_id long, toxic int")
+    got = {r["id"]: r for r in score_toxicity(documents([*rows, (900, ""), (901, "zzz qqq")]), labels).collect()}
+    ids = np.array([i for i, _ in rows if i in labelled and zlib.crc32(str(i).encode()) % 4 != 2])
+    y = np.array([labelled[i] for i in ids.tolist()])
+
+    def terms_of(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        found = toxicity.terms(data, np.array([0, len(data)]))[0]
+        return np.unique(found, return_counts=True)
+
+    text = dict(rows)
+    pairs = [terms_of(text[i]) for i in ids.tolist()]
+    vector, vectors = brute_index(ids, y, [p[0] for p in pairs], [p[1] for p in pairs])
+
+    def vote(q, but=None):
+        near = sorted(((-sum(x * v.get(t, 0) for t, x in q.items()), i) for i, v in zip(ids.tolist(), vectors, strict=True) if i != but))[:24]
+        near = [(-c, i) for c, i in near if c < 0]
+        w = [(c / (1.05 - min(c, 1)), i) for c, i in near]
+        return (sum(x * labelled[i] for x, i in w) / sum(x for x, _ in w) if w else -1), near
+
+    votes = np.array([vote(v, i)[0] for i, v in zip(ids.tolist(), vectors, strict=True)])
+    steps, values = isotonic(votes, y, np.ones(len(y)))
+    for i, t in rows:
+        v, near = vote(vector(*terms_of(t)))
+        assert abs(got[i]["score"] - (0.98 * np.interp(v, steps, values) + 0.02 * v)) < 1e-9
+        assert np.allclose([e["cosine"] for e in got[i]["evidence"]], [c for c, _ in near[:3]])
+    assert got[900]["score"] == got[901]["score"] and abs(got[900]["score"] - y.mean()) < 1e-9
+    assert got[900]["evidence"] == got[901]["evidence"] == []
 
 
 def test_isotonic_is_monotone_and_keeps_the_mean():
@@ -112,40 +192,16 @@ def test_rare_toxic_terms_are_learnt_among_many_rows(spark, documents):
     assert len(found[100_000]["evidence"]) == 3 and found[100_001]["predicted"] == 0
 
 
-def test_terms_are_counted_over_all_labelled_texts_once_each(spark, documents, monkeypatch):
-    """Of 40 labelled texts 3 of each label become examples; the two best terms of all 40 are the vocabulary."""
-    monkeypatch.setattr(toxicity, "EXAMPLES", 3)
-    monkeypatch.setattr(toxicity, "TERMS", 2)
-    ids = learnable(40)
-    text = {i: f"{'foul' if n % 2 else 'fair'} {'rude' if n == 7 else 'dull'}" for n, i in enumerate(ids)}
-    rows = [*text.items(), *[(ids[7], text[ids[7]])] * 60]  # repeated rows are one text
-    labels = spark.createDataFrame([(i, int("foul" in t)) for i, t in text.items()], "doc_id long, toxic int")
-    found = score_toxicity(documents([*rows, (9000, "foul rude"), (9001, "rude")]), labels).collect()
-    assert len(found) == 102
-    assert all(r["predicted"] == int("foul" in text[r["id"]]) and r["evidence"] for r in found if r["id"] < 9000)
+def test_all_terms_of_all_examples_count(spark, documents):
+    """More distinct terms than any vocabulary would hold: each is known, and repeated rows are one example."""
+    ids = learnable(60)
+    text = {i: " ".join(f"t{i}x{j}" for j in range(700)) + (" foul" if n % 2 else " fair") for n, i in enumerate(ids)}
+    labels = spark.createDataFrame([(i, int(t.endswith("foul"))) for i, t in text.items()], "doc_id long, toxic int")
+    asked = [(9000 + n, f"t{i}x{n}") for n, i in enumerate(ids)]
+    found = score_toxicity(documents([*text.items(), *asked, *[(ids[7], text[ids[7]])] * 30]), labels).collect()
+    assert len(found) == 150
     by_id = {r["id"]: r for r in found}
-    assert by_id[9000]["predicted"] == 1 and by_id[9001]["evidence"] == []
-
-
-def test_counts_of_a_task_add_up_however_they_are_passed_on(monkeypatch):
-    rng = np.random.default_rng(4)
-    texts = [" ".join(rng.choice([f"w{i}" for i in range(50)], 8)) for _ in range(300)]
-    y, copies = rng.integers(0, 2, 300), rng.integers(1, 4, 300)
-    batches = [pa.record_batch([pa.array(y[i : i + 50], pa.int32()), pa.array(copies[i : i + 50]), pa.array(texts[i : i + 50])], names=["y", "copies", "text"]) for i in range(0, 300, 50)]
-    totals = []
-    for held in (1, 60, 1 << 20):
-        monkeypatch.setattr(toxicity, "HELD", held)
-        total = {}
-        for b in toxicity._per_label(iter(batches)):
-            for t, n0, n1 in zip(*(b.column(c).to_pylist() for c in ("term", "in_0", "in_1"))):
-                was = total.get(t, (0, 0))
-                total[t] = (was[0] + n0, was[1] + n1)
-        totals.append(total)
-    want = [sum(1 / copies[k] for k in range(300) if "w7" in texts[k].split() and y[k] == label) for label in (0, 1)]
-    word = np.frombuffer(b"w7", np.uint8)
-    assert all(np.allclose(t[int(toxicity.terms(word, np.array([0, 2]))[0][0])], want) for t in totals)
-    assert all(len(t) == 50 for t in totals)
-    assert list(toxicity._per_label(iter([]))) == []
+    assert all(by_id[9000 + n]["evidence"][0]["doc_id"] == i for n, i in enumerate(ids))
 
 
 def test_toxicity_of_a_handful_of_labelled_rows(spark, documents):
@@ -167,7 +223,7 @@ def test_examples_are_drawn_from_labels_that_have_a_text(spark, documents, monke
     labels = spark.createDataFrame([*((i, int("vile" in t)) for i, t in text.items()), *others], "doc_id long, toxic int")
     seen = []
     calibrated = toxicity.calibrated
-    monkeypatch.setattr(toxicity, "calibrated", lambda chosen, index, share: seen.append((index.labels.tolist(), share)) or calibrated(chosen, index, share))
+    monkeypatch.setattr(toxicity, "calibrated", lambda votes, labels, share: seen.append((labels.tolist(), share)) or calibrated(votes, labels, share))
     found = score_toxicity(documents(list(text.items())), labels).collect()
     assert sorted(seen[0][0]) == [0] * 8 + [1] * 8 and seen[0][1] == {0: 20, 1: 20}
     assert all(r["predicted"] == int("vile" in text[r["id"]]) for r in found)
