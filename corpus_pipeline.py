@@ -19,6 +19,9 @@ from crowdtide.llm.packing import pack
 from crowdtide.llm.queries import tokenizer
 from crowdtide.llm.toxicity import score_toxicity
 
+#: Chunks of text that a worker of the last stage remembers: less than alone, for the stages before it have filled the heap.
+REMEMBERED = 200_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -62,7 +65,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the sequences."""
-    return pack(docs, tokenizer())
+    return pack(docs, tokenizer(), remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Stage]] = [
