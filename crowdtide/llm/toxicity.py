@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,6 +89,16 @@ def _ragged(first: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first[at] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum()), n
 
 
+def _numbered(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and for each place the number of its own. Of large arrays few are held at once."""
+    known = np.sort(found)
+    known = known[np.append(True, known[1:] != known[:-1])[: len(found)]]
+    number = np.empty(len(found), np.int32)
+    for low in range(0, len(found), 1 << 18):
+        number[low : low + (1 << 18)] = np.searchsorted(known, found[low : low + (1 << 18)])
+    return known, number
+
+
 @dataclass
 class Index:
     """Examples in blocks of like ones. ``known`` are their terms; a term's number is its place there."""
@@ -103,31 +114,33 @@ class Index:
     opened: list[int] = field(default_factory=lambda: [0, 0])  # blocks opened, and blocks there were
 
     @classmethod
-    def build(cls, ids: np.ndarray, labels: np.ndarray, found: list[np.ndarray], counts: list[np.ndarray]) -> Index:
-        """From each example's id, label, distinct terms and their counts."""
-        n, sizes = len(ids), [len(f) for f in found]
-        known, term = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_inverse=True)
-        example = np.repeat(np.arange(n), sizes)
-        seen, seen_in_1 = np.bincount(term, minlength=len(known)), np.bincount(term, labels[example].astype(float), len(known))
+    def build(cls, ids: np.ndarray, labels: np.ndarray, known: np.ndarray, term: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> Index:
+        """From each example's id and label, the numbers of its distinct terms, their counts, and how many it has.
+
+        The terms of one example come after those of the one before it, in ascending order.
+        """
+        n, example = len(ids), np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        seen, seen_in_1 = np.bincount(term, minlength=len(known)), np.bincount(term, labels[example], len(known))
         n1 = float(labels.sum())
         n0, seen_in_0 = n - n1, seen - seen_in_1
         chi = n * (seen_in_1 * (n0 - seen_in_0) - seen_in_0 * (n1 - seen_in_1)) ** 2
         chi = chi / np.maximum(n0 * n1 * seen * (n - seen), 1e-9)
         strength = (np.log((n + 1) / (seen + 1)) + 1) * np.sqrt(np.maximum(1, chi))
-        weight = (1 + np.log(np.concatenate([*counts, np.zeros(0)]))) * strength[term]
-        length = np.sqrt(np.bincount(example, weight * weight, n))
-        weight = weight / length[example]
+        weight = np.log(counts)
+        weight += 1
+        weight *= strength[term]
+        weight /= np.repeat(np.sqrt(np.bincount(example, weight * weight, n)), sizes)
         # Like examples come into the same block: by label, then by their heaviest term.
         heaviest, lead = np.zeros(n), np.full(n, -1)
         np.maximum.at(heaviest, example, weight)
         heavy = np.flatnonzero(weight == heaviest[example])[::-1]
         lead[example[heavy]] = term[heavy]
-        place = np.empty(n, np.int64)
-        place[(by := np.lexsort((ids, lead, labels)))] = np.arange(n)
-        example = place[example]
-        order = np.argsort(example, kind="stable")  # an example's terms are in order already
-        cuts = np.searchsorted(example[order], np.arange(n + 1))
-        return cls(ids[by], labels[by], known, strength, float(np.log(n + 1) + 1), cuts, term[order].astype(np.int32), weight[order])
+        by = np.lexsort((ids, lead, labels))
+        del example, heavy
+        starts, first = np.append(0, np.cumsum(sizes)), np.append(0, np.cumsum(sizes[by]))
+        own = [slice(a, b) for a, b in zip(starts[by].tolist(), starts[by + 1].tolist(), strict=True)]
+        term, weight = (np.concatenate([x[s] for s in own] or [x[:0]]) for x in (term, weight))
+        return cls(ids[by], labels[by], known, strength, float(np.log(n + 1) + 1), first, term, weight)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
@@ -135,14 +148,14 @@ class Index:
     def _lists(self) -> None:
         """The two parts of the inverted index, made once in each worker."""
         n, terms = len(self.ids), len(self.known)
-        example = np.repeat(np.arange(n), np.diff(self.first))
+        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))
         long = np.bincount(self.term, minlength=terms) > LONG * n
         number = np.where(long, np.cumsum(long) - 1, -1)
         in_long = long[self.term]
         short = np.flatnonzero(~in_long)
         short = short[np.argsort(self.term[short], kind="stable")]
         self._short = np.append(0, np.cumsum(np.bincount(self.term[short], minlength=terms)))
-        self._example, self._weight = example[short].astype(np.int32), self.weight[short]
+        self._example, self._weight = example[short], self.weight[short]
         self._long, self._blocks = number, max(1, -(-n // BLOCK_OF))
         self._rest_first = np.searchsorted(example[in_long], np.arange(n + 1))
         self._rest_term, self._rest_weight = number[self.term[in_long]].astype(np.int32), self.weight[in_long]
@@ -152,6 +165,10 @@ class Index:
         self._largest = self._dense.max(axis=1).astype(np.float64)
         self._length = np.sqrt((self._dense.astype(np.float64) ** 2).sum(axis=2)).max(axis=1)
 
+    def handed_out(self) -> None:
+        """What the driver still needs once the tasks have the index: ids and labels."""
+        self.known = self.strength = self.first = self.term = self.weight = None
+
     def for_search(self) -> Index:
         """The same index without the examples' own vectors: a worker that only searches has no need of them."""
         if not hasattr(self, "_short"):
@@ -329,12 +346,10 @@ def score_toxicity(
     picked = scratch.keep(picked[0].union(picked[1]).select("id", "text_hash", "y"), "picked")
     of_picked = texts.select("id", "text_hash", "text").join(F.broadcast(picked), ["id", "text_hash"]).select("id", "y", "text")
     packed = of_picked.mapInArrow(_vectors, "id long, y int, terms binary, counts binary")
-    examples = scratch.keep(packed.dropDuplicates(["id"]), "examples").orderBy("id").collect()  # 2 * EXAMPLES rows at most
-    index = Index.build(
-        np.array([r["id"] for r in examples], np.int64), np.array([r["y"] for r in examples], np.int64),
-        [np.frombuffer(r["terms"], "<i8") for r in examples], [np.frombuffer(r["counts"], "<i4") for r in examples],
-    )
+    examples = scratch.keep(packed.dropDuplicates(["id"]), "examples")
+    index = _collected(examples.repartition(1).sortWithinPartitions("id").toArrow())  # 2 * EXAMPLES rows at most
     shared = spark.sparkContext.broadcast(index)
+    index.handed_out()
     model = Model(np.zeros(0), np.zeros(0), 0.0)
     if share.get(0) and share.get(1):
         places = spark.range(0, len(index.ids), 1, parts(spark))
@@ -346,6 +361,27 @@ def score_toxicity(
     return out.select("id", "text_hash", "held_out", "score", F.when(F.col("score") >= cut, 1).otherwise(0).alias("predicted"), "evidence")
 
 
+def _collected(examples: pa.Table) -> Index:
+    """The index of examples with packed terms and counts, made from the bytes as they came."""
+    found, counts = (_bytes_of(examples[name]).view(kind) for name, kind in (("terms", "<i8"), ("counts", "<i4")))
+    sizes = pc.binary_length(examples["counts"]).to_numpy().astype(np.int64) // 4
+    ids, labels = (examples[name].to_numpy().astype(np.int64) for name in ("id", "y"))
+    known, term = _numbered(found)
+    counts = counts.copy()
+    del examples, found  # both see the bytes that came, which are as many again
+    return Index.build(ids, labels, known, term, counts, sizes)
+
+
+def _bytes_of(column: pa.ChunkedArray) -> np.ndarray:
+    """The bytes of all values, one after the other, without a copy of each value."""
+    pieces = []
+    for c in column.chunks:
+        offsets = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]
+        if len(c) and offsets[-1] > offsets[0]:
+            pieces.append(np.frombuffer(c.buffers()[2], np.uint8)[offsets[0] : offsets[-1]])
+    return np.concatenate([*pieces, np.zeros(0, np.uint8)]) if len(pieces) != 1 else pieces[0]
+
+
 def calibrated(votes: np.ndarray, labels: np.ndarray, share: dict[int, int]) -> Model:
     """The model whose scores are shares of label 1 among all labelled rows, from each example's votes without its own."""
     n = {y: int((labels == y).sum()) for y in (0, 1)}

@@ -36,6 +36,10 @@ def random_examples(seed, examples=700, vocabulary=90):
     return np.arange(examples) * 3, labels, found, counts, known, rng
 
 
+def index_of(ids, labels, found, counts):
+    return Index.build(ids, labels, *toxicity._numbered(np.concatenate(found)), np.concatenate(counts), np.array([len(f) for f in found]))
+
+
 def brute_index(ids, labels, found, counts):
     """Term strengths and example vectors by their definition."""
     n, n1 = len(ids), int(labels.sum())
@@ -60,7 +64,7 @@ def brute_index(ids, labels, found, counts):
 def test_block_max_search_is_exact(seed, monkeypatch):
     monkeypatch.setattr(toxicity, "BLOCK_OF", 16)
     ids, labels, found, counts, known, rng = random_examples(seed)
-    index, (vector, vectors) = Index.build(ids, labels, found, counts), brute_index(ids, labels, found, counts)
+    index, (vector, vectors) = index_of(ids, labels, found, counts), brute_index(ids, labels, found, counts)
     by_id = dict(zip(ids.tolist(), vectors, strict=True))
     asked = []
     for _ in range(60):
@@ -84,12 +88,12 @@ def test_blocks_stay_shut_where_the_bound_allows(spark):
     rows = table(spark, large, "documents").join(table(spark, large, "labels"), "doc_id").select("doc_id", "text", "toxic").orderBy("doc_id").collect()
     batch = pa.record_batch([pa.array([r["text"] for r in rows])], names=["text"])
     vectors = [v for _, some in toxicity._text_vectors(batch) for v in some]
-    index = Index.build(np.array([r["doc_id"] for r in rows]), np.array([r["toxic"] for r in rows]), *map(list, zip(*vectors, strict=True)))
+    index = index_of(np.array([r["doc_id"] for r in rows]), np.array([r["toxic"] for r in rows]), *zip(*vectors, strict=True))
     near = index.nearest([index.vector(*v) for v in vectors[:200]], 24)
     share = index.opened[0] / index.opened[1]
     print(f"share of blocks opened: {share:.3f}")
     assert index._dense.shape[2] > 50 and share < 0.75
-    whole = Index.build(np.array([r["doc_id"] for r in rows]), np.array([r["toxic"] for r in rows]), *map(list, zip(*vectors, strict=True)))
+    whole = index_of(np.array([r["doc_id"] for r in rows]), np.array([r["toxic"] for r in rows]), *zip(*vectors, strict=True))
     whole._lists()
     whole._length = np.full_like(whole._length, 1e9)
     whole._largest = np.full_like(whole._largest, 1e9)
