@@ -36,7 +36,7 @@ EXAMPLES, NEIGHBOURS, BLOCK_OF = 4000, 24, 64
 #: The share of examples from which on a term's postings are in blocks.
 LONG = 0.05
 #: Texts searched together.
-TOGETHER = 256
+TOGETHER = 64
 #: Scores of single precision are off by less.
 _NEAR = 1e-4
 #: Lengths in bytes of the word beginnings used as terms.
@@ -159,11 +159,12 @@ class Index:
         self._long, self._blocks = number, max(1, -(-n // BLOCK_OF))
         self._rest_first = np.searchsorted(example[in_long], np.arange(n + 1))
         self._rest_term, self._rest_weight = number[self.term[in_long]].astype(np.int32), self.weight[in_long]
+        del short
         dense = np.zeros((self._blocks * BLOCK_OF, int(long.sum())), np.float32)
         dense[example[in_long], number[self.term[in_long]]] = self.weight[in_long]
         self._dense = dense.reshape(self._blocks, BLOCK_OF, -1)
         self._largest = self._dense.max(axis=1).astype(np.float64)
-        self._length = np.sqrt((self._dense.astype(np.float64) ** 2).sum(axis=2)).max(axis=1)
+        self._length = np.array([np.sqrt((b.astype(np.float64) ** 2).sum(axis=1)).max() for b in self._dense])
 
     def handed_out(self) -> None:
         """What the driver still needs once the tasks have the index: ids and labels."""
