@@ -37,14 +37,16 @@ from crowdtide.llm.common import Scratch, blocks, parts, ranges
 from crowdtide.llm.tokens import END, Encoder
 
 MAGIC = b"CTDAC001"
-#: Bits per count in the rank directory; ids after which a task starts its next file.
-RANK, FILE_IDS = 512, 4_000_000
+#: Bits per count in the rank directory; ids after which a task starts its next file; ids packed at a time.
+RANK, FILE_IDS, BLOCK = 512, 4_000_000, 1 << 20
 
 
 def widths(ids: np.ndarray) -> list[int]:
     """Chunk widths, low bits first, that take the fewest bits for these ids."""
-    bits = max(1, int(ids.max(initial=0)).bit_length())
-    longer = [int((ids >> np.uint32(b) != 0).sum()) if b else len(ids) for b in range(bits)]
+    # The exponent of a number, as frexp has it, is its bit length; doubles hold 32 bits exactly.
+    of_length = sum((np.bincount(np.frexp(ids[k : k + BLOCK].astype(float))[1], minlength=33) for k in range(0, len(ids), BLOCK)), np.zeros(33, np.int64))
+    bits = max(1, int(np.flatnonzero(of_length).max(initial=0)))
+    longer = [len(ids), *(int(n) for n in len(ids) - np.cumsum(of_length)[1:bits])]
     best: dict[int, tuple[float, list[int]]] = {bits: (0.0, [])}
     for low in range(bits - 1, -1, -1):
         flag = 1 + 64 / RANK
@@ -55,17 +57,32 @@ def widths(ids: np.ndarray) -> list[int]:
 
 
 def _pack_bits(values: np.ndarray, width: int) -> bytes:
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes() + bytes(8)
-
-
-def _unpack(raw: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    """The chunks at these places. Each is read from the eight bytes around it."""
-    bit = at.astype(np.int64) * width
-    byte, out = bit >> 3, np.zeros(len(at), np.uint32)
-    for i in range((width + 7) // 8 + 1):
-        out |= (raw[byte + i].astype(np.uint64) << np.uint64(8 * i) >> (bit & 7).astype(np.uint64)).astype(np.uint32)
-    return out & np.uint32((1 << width) - 1)
+    """So many bits of each value, one after the other: 64 values fill ``width`` words, all groups of 64 together."""
+    groups = -(-len(values) // 64)
+    column = np.zeros((groups, 64), np.uint64)
+    column.ravel()[: len(values)] = values
+    column = np.ascontiguousarray(column.T)
+    words = np.zeros((width, groups), "<u8")
+    for i in range(64):
+        word, shift = divmod(i * width, 64)
+        words[word] |= column[i] << np.uint64(shift)
+        if shift + width > 64:
+            words[word + 1] |= column[i] >> np.uint64(64 - shift)
+    return words.T.tobytes()[: (len(values) * width + 7) // 8]
+
+
+def _words(raw: np.ndarray) -> np.ndarray:
+    """Packed bytes as aligned words, with one more after them."""
+    return np.frombuffer(raw.tobytes() + bytes(-len(raw) % 8 + 8), "<u8")
+
+
+def _unpack(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The chunks at these places. Each is read from the word that it begins in and the next."""
+    bit = at.astype(np.uint64) * np.uint64(width)
+    word, shift = (bit >> np.uint64(6)).astype(np.int64), bit & np.uint64(63)
+    found = words[word] >> shift
+    found |= words[word + 1] << np.uint64(1) << (np.uint64(63) - shift)
+    return found.astype(np.uint32) & np.uint32((1 << width) - 1)
 
 
 def dump(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
@@ -73,7 +90,7 @@ def dump(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> byte
     out, levels, rest = io.BytesIO(), [], ids.astype(np.uint32)
     for i, width in enumerate(cuts):
         chunks, rest = rest & np.uint32((1 << width) - 1), rest >> np.uint32(width)
-        body = b"".join(_pack_bits(chunks[k : k + (1 << 20)], width)[:-8] for k in range(0, len(chunks), 1 << 20)) + bytes(8)
+        body = b"".join(_pack_bits(chunks[k : k + BLOCK], width) for k in range(0, len(chunks), BLOCK)) + bytes(8)
         if i < len(cuts) - 1:
             on = rest > 0
             bitmap = np.packbits(on, bitorder="little")
@@ -116,41 +133,38 @@ class TokenFile:
         self.starts = take("<u8", docs + 1).astype(np.int64)
         self._levels = []
         for i, (n, width) in enumerate(zip(chunks, self.widths, strict=True)):
-            body = take("u1", (n * width + 7) // 8 + 8)
-            bitmap = rank = None
+            body = _words(take("u1", (n * width + 7) // 8 + 8))
+            bitmap = rank = inside = None
             if i < count - 1:
                 size = (n + 7) // 8
                 size += -size % (RANK // 8) + RANK // 8
-                bitmap = take("u1", size)
-                rank = take("<u8", size // (RANK // 8) + 1)
-            self._levels.append((width, body, bitmap, rank))
+                bitmap = _words(take("u1", size))[:-1]
+                rank = take("<u8", size // (RANK // 8) + 1).astype(np.int64)
+                # Within a block, the set bits before each of its words.
+                counts = np.bitwise_count(bitmap).reshape(-1, RANK // 64)
+                inside = (np.cumsum(counts, axis=1, dtype=np.uint16) - counts).ravel()
+            self._levels.append((width, body, bitmap, rank, inside))
 
     def ids(self, places: np.ndarray) -> np.ndarray:
         at, out = np.asarray(places, np.int64), np.zeros(len(places), np.uint32)
         which, shift = np.arange(len(at)), 0
-        for width, body, bitmap, rank in self._levels:
-            out[which] |= _unpack(body, at, width) << np.uint32(shift)
+        for width, body, bitmap, rank, inside in self._levels:
+            found = _unpack(body, at, width)
+            if shift:
+                out[which] |= found << np.uint32(shift)
+            else:
+                out = found
             if bitmap is None:
                 break
-            on = (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            which, at = which[on], at[on]
-            at = self._rank(bitmap, rank, at)
+            word, bit = at >> 6, (at & 63).astype(np.uint64)
+            held = bitmap[word]
+            on = np.flatnonzero(held >> bit & np.uint64(1))
+            which, at, word, below = which[on], at[on], word[on], held[on] & ((np.uint64(1) << bit[on]) - np.uint64(1))
+            # Set bits before each place: the directory's count, the words of its block before it, the bits below.
+            at = rank[at // RANK] + inside[word] + np.bitwise_count(below)
             shift += width
         return out
 
-    @staticmethod
-    def _rank(bitmap: np.ndarray, rank: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Set bits before each place: the directory's count, then the words of its block before it."""
-        words = bitmap.view("<u8")
-        block = at // RANK
-        found = rank[block].astype(np.int64)
-        word = at >> 6
-        for i in range(RANK // 64):
-            w = block * (RANK // 64) + i
-            found += np.where(w < word, np.bitwise_count(words[w]), 0)
-        below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-        return found + np.bitwise_count(words[word] & below)
-
 
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a shared folder, and the path in it; ``file:`` may have one slash or three."""
