@@ -35,7 +35,9 @@ def _digest(host: Column, stem: Column) -> Column:
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow", url: str = "url") -> DataFrame:
-    """The rows of ``pages`` with a struct ``judged`` of (host, path, rule, verdict) added.
+    """The rows of ``pages``, all their columns as they are, with a struct ``judged`` of (host, path, rule, verdict).
+
+    A column of ``pages`` that is called ``judged``, in any case, is replaced; no other name matters.
 
     A rule fits its host and all subdomains, where the path starts with the rule's. The longest rule wins,
     counting host and path; of equal ones that with the longer host, then a block before an allow. Without
@@ -51,7 +53,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow", url
         F.coalesce(F.max(F.size(F.split("host", r"\."))), F.lit(0)), F.coalesce(F.max(F.length(F.regexp_replace("path", "[^/]", ""))), F.lit(0))
     ).first()
 
-    parsed = pages.withColumn("judged", F.struct(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")))
+    # The caller's columns lie in one struct, so that none of their names meets one of these.
+    own = [F.col(f"`{c.replace('`', '``')}`") for c in pages.columns if c.lower() != "judged"]
+    parsed = pages.select(F.struct(*own).alias("page"), F.struct(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")).alias("judged"))
     distinct = parsed.select("judged.host", "judged.path").distinct()
     names = F.split("host", r"\.")
     suffix = F.transform(F.sequence(F.lit(1), F.least(F.size(names), F.lit(labels))), lambda n: F.array_join(F.slice(names, F.size(names) - n + 1, n), "."))
@@ -70,4 +74,4 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow", url
     best = hit.groupBy("h", "p").agg(F.max(ranked).alias("best"))
     judged = parsed.join(best, (parsed["judged.host"] == best["h"]) & (parsed["judged.path"] == best["p"]), "left")
     full = F.struct("judged.host", "judged.path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(otherwise)).alias("verdict"))
-    return judged.withColumn("judged", full).drop("h", "p", "best")
+    return judged.select("page.*", full.alias("judged"))

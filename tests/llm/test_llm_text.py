@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -69,6 +70,39 @@ def test_odd_events(spark):
     assert chat.format_chats(log(spark)).collect() == []
 
 
+def folded(events):
+    """(conv_id, turn, role, text) of what a log says in the end, by brute force: event by event."""
+    said = {}
+    for conv, _, turn, kind, role, text in sorted(events, key=lambda e: (e[0], e[1], e[2])):
+        if kind in ("edit", "regenerate"):
+            for key in [k for k in said if k[0] == conv and k[1] > turn]:
+                del said[key]
+        who, pieces = said.get((conv, turn), (None, []))
+        who = role if role is not None else who
+        pieces = {"open": pieces, "delta": [*pieces, text or ""], "edit": [text or ""], "regenerate": []}[kind]
+        said[conv, turn] = who, pieces
+    return [(*k, who or "", "".join(pieces)) for k, (who, pieces) in sorted(said.items())]
+
+
+def test_random_logs_are_folded_as_event_by_event(spark):
+    rng = random.Random(7)
+    events = []
+    for conv in range(60):
+        turn, seq, begun = 0, 0, False
+        for _ in range(rng.randrange(1, 40)):
+            seq += rng.randrange(1, 4)
+            if not begun or rng.random() < 0.3:
+                turn, begun = turn + begun, True
+                events.append((conv, seq, turn, "open", rng.choice(["user", "assistant"]), None))
+                continue
+            kind = rng.choice(["delta"] * 6 + ["edit", "regenerate"])
+            if kind != "delta":
+                turn = rng.randrange(turn + 1)  # what came after it is taken back
+            events.append((conv, seq, turn, kind, None, None if kind == "regenerate" else rng.choice(PARTS)))
+    shuffled = rng.sample(events, len(events))
+    assert said(chat.format_chats(log(spark, *shuffled).repartition(7))) == folded(events)
+
+
 def test_a_table_of_messages_goes_through_the_log(spark):
     rows = [(1, 0, "user", "a" * 4001), (1, 1, "assistant", "</s>"), (1, 1, "assistant", "</s>"), (2, 0, None, None), (None, None, "user", "n"), (5, 0, "assistant", "🙂" * 2000)]
     messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
@@ -118,6 +152,17 @@ def test_urls_against_every_rule(spark):
         assert tuple(r["judged"]) == judge(r["url"]), r["url"]
 
 
+def test_columns_of_pages_stay_whatever_their_names(spark):
+    names = ["page_id", "url", "h", "p", "best", "judged", "host", "path", "rule", "verdict", "page", "a.b", "prefix", "full", "digest"]
+    rows = [(i, u, *(f"{n}{i}" for n in names[2:])) for i, u in enumerate(URLS)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, " + ", ".join(f"`{n}` string" for n in names[2:]))
+    found = judge_urls(pages, spark.createDataFrame(RULES, RULE))
+    assert found.columns == [n for n in names if n != "judged"] + ["judged"]
+    for r in found.collect():
+        assert tuple(r)[:-1] == tuple(x for x, n in zip(rows[r["page_id"]], names, strict=True) if n != "judged")
+        assert tuple(r["judged"]) == judge(r["url"]), r["url"]
+
+
 def test_no_rules_or_no_pages(spark):
     none = spark.createDataFrame([], RULE)
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
