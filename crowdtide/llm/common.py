@@ -5,9 +5,11 @@ from __future__ import annotations
 import posixpath
 import uuid
 from collections.abc import Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,12 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path in the shared folder, and the path in it; ``file:`` may have one slash or three."""
+    uri = urlparse(path)
+    return (fs.LocalFileSystem(), uri.path) if uri.scheme in ("", "file") else fs.FileSystem.from_uri(path)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

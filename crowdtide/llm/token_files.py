@@ -24,16 +24,14 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crowdtide.llm.common import Scratch, blocks, parts, ranges
+from crowdtide.llm.common import Scratch, blocks, parts, ranges, store_of
 from crowdtide.llm.tokens import END, Encoder
 
 MAGIC = b"CTDAC001"
@@ -166,19 +164,13 @@ class TokenFile:
         return out
 
 
-def _store(folder: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a shared folder, and the path in it; ``file:`` may have one slash or three."""
-    uri = urlparse(folder)
-    return (fs.LocalFileSystem(), uri.path) if uri.scheme in ("", "file") else fs.FileSystem.from_uri(folder)
-
-
 _MANIFEST = "range int, part int, path string, n_docs long, n_ids long, bytes long"
 
 
 def _writer(tokenizer: str, folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, attempt = Encoder.of(tokenizer), uuid.uuid4().hex
-        store, root = _store(folder)
+        store, root = store_of(folder)
         docs, lengths, held, part, here = [], [], [], 0, TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
@@ -227,7 +219,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, scratch: Scratch, id: str = "d
 
 def _reader(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        store, root = store_of(folder)
         for batch in batches:
             for name, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 with store.open_input_stream(f"{root}/{name}") as source:

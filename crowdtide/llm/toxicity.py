@@ -14,23 +14,24 @@ precision from the whole vectors. Neighbours vote with weights that fall with di
 themselves, each without its own, calibrate the score.
 
 The one bound is ``EXAMPLES`` labelled texts of each label, chosen by a hash of their id: the index is of a fixed
-size and goes to every task. All their terms count. A term that no example has counts in a text's length, with
+size. One task builds it and writes it to the shared folder, where every worker reads it; the driver never holds it. All their terms count. A term that no example has counts in a text's length, with
 the weight of the rarest one.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crowdtide.llm.common import Scratch, blocks, mix, parts, row_keys, span_hashes, word_spans
+from crowdtide.llm.common import Scratch, blocks, mix, parts, row_keys, span_hashes, store_of, word_spans
 
 EXAMPLES, NEIGHBOURS, BLOCK_OF = 4000, 24, 64
 #: The share of examples from which on a term's postings are in blocks.
@@ -99,6 +100,9 @@ def _numbered(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return known, number
 
 
+_ARRAYS = ("ids", "labels", "known", "strength", "first", "term", "weight")
+
+
 @dataclass
 class Index:
     """Examples in blocks of like ones. ``known`` are their terms; a term's number is its place there."""
@@ -113,6 +117,9 @@ class Index:
     weight: np.ndarray
     opened: list[int] = field(default_factory=lambda: [0, 0])  # blocks opened, and blocks there were
 
+    #: The index that this process has read last, by its file.
+    _read: ClassVar[dict[str, Index]] = {}
+
     @classmethod
     def build(cls, ids: np.ndarray, labels: np.ndarray, known: np.ndarray, term: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> Index:
         """From each example's id and label, the numbers of its distinct terms, their counts, and how many it has.
@@ -142,8 +149,37 @@ class Index:
         term, weight = (np.concatenate([x[s] for s in own] or [x[:0]]) for x in (term, weight))
         return cls(ids[by], labels[by], known, strength, float(np.log(n + 1) + 1), first, term, weight)
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+    def write(self, path: str) -> None:
+        store, place = store_of(path)
+        with store.open_output_stream(place) as out:
+            for name in _ARRAYS:
+                np.lib.format.write_array(out, getattr(self, name))
+            np.lib.format.write_array(out, np.array([self.unknown]))
+
+    @classmethod
+    def read(cls, path: str | None) -> Index:
+        """The index of a file; a process keeps one. Without a file there are no examples."""
+        if path is None:
+            none = np.zeros(0, np.int64)
+            return cls.build(none, none, none, none.astype(np.int32), none, none)
+        if path not in cls._read or cls._read[path].first is None:
+            cls._read.clear()
+            store, place = store_of(path)
+            with store.open_input_stream(place) as source:
+                arrays = {name: np.lib.format.read_array(source) for name in _ARRAYS}
+                cls._read[path] = cls(**arrays, unknown=float(np.lib.format.read_array(source)[0]))
+        return cls._read[path]
+
+    @classmethod
+    def for_search(cls, path: str | None) -> Index:
+        """The same without the examples' own vectors: a worker that only searches has no need of them."""
+        if path in cls._read and cls._read[path].first is None:
+            return cls._read[path]
+        index = cls.read(path)
+        if not hasattr(index, "_short"):
+            index._lists()
+        index.first = index.term = index.weight = None
+        return index
 
     def _lists(self) -> None:
         """The two parts of the inverted index, made once in each worker."""
@@ -166,17 +202,6 @@ class Index:
         self._largest = self._dense.max(axis=1).astype(np.float64)
         self._length = np.array([np.sqrt((b.astype(np.float64) ** 2).sum(axis=1)).max() for b in self._dense])
 
-    def handed_out(self) -> None:
-        """What the driver still needs once the tasks have the index: ids and labels."""
-        self.known = self.strength = self.first = self.term = self.weight = None
-
-    def for_search(self) -> Index:
-        """The same index without the examples' own vectors: a worker that only searches has no need of them."""
-        if not hasattr(self, "_short"):
-            self._lists()
-        self.first = self.term = self.weight = None
-        return self
-
     def vector(self, found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of a text's known terms, and their weights in its vector of length 1."""
         at = np.minimum(np.searchsorted(self.known, found), max(0, len(self.known) - 1))
@@ -277,11 +302,11 @@ def _text_vectors(batch: pa.RecordBatch) -> Iterator[tuple[slice, list[tuple[np.
             yield slice(rows.start + low, rows.start + high), [(found[a:b], counts[a:b]) for a, b in zip(cuts[low:high], cuts[low + 1 : high + 1], strict=True)]
 
 
-def _scorer(shared: Broadcast[Index], model: Model):
+def _scorer(path: str | None, model: Model):
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value.for_search()
+        index = Index.for_search(path)
         for batch in batches:
             rest = [c for c in batch.schema.names if c != "text"]
             for rows, texts in _text_vectors(batch):
@@ -294,11 +319,11 @@ def _scorer(shared: Broadcast[Index], model: Model):
     return run
 
 
-def _voter(shared: Broadcast[Index]):
+def _voter(path: str):
     """The vote on each example of a range, without its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = Index.read(path)
         for batch in batches:
             for low in range(0, batch.num_rows, TOGETHER):
                 some = batch.column("id")[low : low + TOGETHER].to_numpy(zero_copy_only=False)
@@ -348,20 +373,35 @@ def score_toxicity(
     of_picked = texts.select("id", "text_hash", "text").join(F.broadcast(picked), ["id", "text_hash"]).select("id", "y", "text")
     packed = of_picked.mapInArrow(_vectors, "id long, y int, terms binary, counts binary")
     examples = scratch.keep(packed.dropDuplicates(["id"]), "examples")
-    index = _collected(examples.repartition(1).sortWithinPartitions("id").toArrow())  # 2 * EXAMPLES rows at most
-    shared = spark.sparkContext.broadcast(index)
-    index.handed_out()
+    # One task sees all of them: 2 * EXAMPLES rows at most. One row comes back; none if there are no examples.
+    built = examples.repartition(1).sortWithinPartitions("id").mapInArrow(_builder(scratch.folder("index")), "path string, labels array<long>").collect()
+    path, of_examples = (built[0]["path"], np.array(built[0]["labels"], np.int64)) if built else (None, np.zeros(0, np.int64))
     model = Model(np.zeros(0), np.zeros(0), 0.0)
     if share.get(0) and share.get(1):
-        places = spark.range(0, len(index.ids), 1, parts(spark))
-        votes = places.mapInArrow(_voter(shared), "id long, vote double").orderBy("id").collect()  # one number an example
-        model = calibrated(np.array([r["vote"] for r in votes]), index.labels, share)
+        places = spark.range(0, len(of_examples), 1, parts(spark))
+        votes = places.mapInArrow(_voter(path), "id long, vote double").orderBy("id").collect()  # one number an example
+        model = calibrated(np.array([r["vote"] for r in votes]), of_examples, share)
     out = texts.mapInArrow(
-        _scorer(shared, model), "id long, text_hash long, held_out boolean, score double, evidence array<struct<doc_id:long,cosine:double,toxic:long>>"
+        _scorer(path, model), "id long, text_hash long, held_out boolean, score double, evidence array<struct<doc_id:long,cosine:double,toxic:long>>"
     )
     return out.select("id", "text_hash", "held_out", "score", F.when(F.col("score") >= cut, 1).otherwise(0).alias("predicted"), "evidence")
 
 
+def _builder(folder: str):
+    """Writes the index of all rows under a name of this attempt, which it returns with the examples' labels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            index, path = _collected(pa.Table.from_batches(held)), f"{folder}/{uuid.uuid4().hex}.index"
+            store, place = store_of(folder)
+            store.create_dir(place, recursive=True)
+            index.write(path)
+            yield pa.record_batch([pa.array([path]), pa.array([index.labels], pa.list_(pa.int64()))], names=["path", "labels"])
+
+    return run
+
+
 def _collected(examples: pa.Table) -> Index:
     """The index of examples with packed terms and counts, made from the bytes as they came."""
     found, counts = (_bytes_of(examples[name]).view(kind) for name, kind in (("terms", "<i8"), ("counts", "<i4")))
