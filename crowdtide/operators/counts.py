@@ -76,6 +76,14 @@ def parse_labels(lines: DataFrame, spec: LabelSpec, col: str = "value") -> DataF
     )
 
 
+def gathered(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of equal keys in one task, in all of the session's shuffle partitions; without keys rows stay where they are.
+
+    What follows makes many groups of few bytes, so partitions must not be put together by their bytes.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys) if keys else rows
+
+
 def count_prefixes(people: DataFrame, area: Sequence[str] = ("cell_id",), by: Sequence[str] = BY_TIME) -> DataFrame:
     """People per area and number prefix: the small table every region count starts from."""
     return people.groupBy(*by, *area, "prefix7").agg(F.count(F.lit(1)).alias("cnt"))
@@ -102,17 +110,20 @@ def unpivot_regions(counted: DataFrame, prefix_region: DataFrame, carry: Sequenc
 
 
 def region_rows(
-    people: DataFrame, prefix_region: DataFrame, area: str = "cell_id", by: Sequence[str] = BY_TIME
+    people: DataFrame, prefix_region: DataFrame, area: str = "cell_id", by: Sequence[str] = BY_TIME, gather: Sequence[str] = ()
 ) -> DataFrame:
-    rows = unpivot_regions(count_prefixes(people, (area,), by), prefix_region, (*by, area))
+    rows = unpivot_regions(gathered(count_prefixes(people, (area,), by), gather), prefix_region, (*by, area))
     return rows.select(*by, cell_or_unknown(F.col(area)).alias("area_id"), "label", "value", "cnt")
 
 
 def labelled(
-    people: DataFrame, labels: Sequence[tuple[LabelSpec, DataFrame]], carry: Sequence[str]
+    people: DataFrame, labels: Sequence[tuple[LabelSpec, DataFrame]], carry: Sequence[str], gather: Sequence[str] = ()
 ) -> DataFrame:
     """``carry`` columns, label and value: one row per person and label, none for the unlabelled.
 
+    ``gather`` brings the rows of equal columns into one task before each becomes as many as it has labels:
+    for counts of many times, of which a task would else hold every group that any of its people is in.
+
     All label tables are stacked and joined once, so people are shuffled once however many tables
     there are. Only the values travel; label names are put on after the join. The outer explode
     keeps the optimizer from testing the value arrays a second time on every label row.
@@ -122,10 +133,9 @@ def labelled(
         [table.select("user_hash", "values", F.lit(n).alias("spec")) for n, (_, table) in enumerate(labels)],
     )
     names = F.array(*[F.array(*[F.lit(n) for n in spec.names]) for spec, _ in labels])
+    joined = people.select("user_hash", *carry).join(stacked, "user_hash").select(*carry, "spec", "values")
     return (
-        people.select("user_hash", *carry)
-        .join(stacked, "user_hash")
-        .select(*carry, "spec", F.posexplode_outer("values").alias("at", "value"))
+        gathered(joined, gather).select(*carry, "spec", F.posexplode_outer("values").alias("at", "value"))
         .where(F.col("at").isNotNull())
         .select(*carry, F.get(F.get(names, F.col("spec")), F.col("at")).alias("label"), "value")
     )
@@ -162,8 +172,10 @@ def label_rows(
     area: str = "cell_id",
     by: Sequence[str] = BY_TIME,
     in_place: bool = False,
+    gather: Sequence[str] = (),
 ) -> DataFrame:
-    return (labelled_in_place if in_place else labelled)(people, labels, (*by, area)).select(
+    carry = (*by, area)
+    return (labelled_in_place(people, labels, carry) if in_place else labelled(people, labels, carry, gather)).select(
         *by,
         cell_or_unknown(F.col(area)).alias("area_id"),
         "label",
@@ -205,9 +217,13 @@ def area_counts(
     labels: Sequence[tuple[LabelSpec, DataFrame]] = (),
     area: str = "cell_id",
     by: Sequence[str] = BY_TIME,
+    gather: Sequence[str] = (),
 ) -> DataFrame:
-    """Region and label counts per area in one sum, so a label named twice still adds up."""
-    rows = region_rows(people, prefix_region, area, by)
+    """Region and label counts per area in one sum, so a label named twice still adds up.
+
+    For snapshots of many times ``gather`` names columns of people, of which each group is counted in one task.
+    """
+    rows = region_rows(people, prefix_region, area, by, gather)
     if labels:
-        rows = rows.unionByName(label_rows(people, labels, area, by))
+        rows = rows.unionByName(label_rows(people, labels, area, by, gather=gather))
     return add_up(rows, by=by)

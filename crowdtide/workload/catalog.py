@@ -203,7 +203,8 @@ def backfill_uv(spark: SparkSession, d: str) -> DataFrame:
 
 def backfill_stats(spark: SparkSession, d: str) -> DataFrame:
     people = _range_snapshots(spark, d, w.HOUR)
-    return counts.area_counts(people, w.prefix_region(spark, d), w.labels(spark, d)).select(*STAT_COLUMNS)
+    stats = counts.area_counts(people, w.prefix_region(spark, d), w.labels(spark, d), gather=("stat_time", "cell_id"))
+    return stats.select(*STAT_COLUMNS)
 
 
 def movement_backfill(spark: SparkSession, d: str) -> DataFrame:
