@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdtide.functions import cell_or_unknown, format_time, parse_time
-from crowdtide.operators.counts import LabelSpec, add_up, count_prefixes, labelled, unpivot_regions
+from crowdtide.operators.counts import LabelSpec, add_up, count_prefixes, gathered, labelled, unpivot_regions
 from crowdtide.operators.joins import dimension_join
 
 CURRENT = "current"
@@ -82,17 +82,20 @@ def _areas(cell_district: DataFrame, cell: str) -> DataFrame:
 def track(snapshots: DataFrame, lags: Mapping[str, timedelta]) -> DataFrame:
     """(stat_time, user_hash, prefix7, cell_now, one cell per lag): where each present user is and was.
 
-    Each snapshot row is also sent to the later times that look back at it, and the rows of a user
-    and time meet in one aggregate: one shuffle for any number of lags and times. The hourly lag is
-    filled only on the hour. Rows without a user are left out.
+    Each user's rows meet in one task, where each is also sent to the later times that look back at it, and
+    those of a user and time meet in one aggregate: one shuffle for any number of lags and times, of each row
+    once, and the labels are joined by the same key. A user has a row per time, so no task is given more by one.
+    The hourly lag is filled only on the hour. Rows without a user are left out.
     """
     stamp = F.col("stat_time")
     roles = [F.struct(stamp.alias("stat_time"), F.lit(0).alias("role"))]
     for n, lag in enumerate(lags.values(), start=1):
-        later = format_time(parse_time(stamp) + F.lit(lag))
+        later = format_time(F.col("at") + F.lit(lag))
         roles.append(F.struct(later.alias("stat_time"), F.lit(n).alias("role")))
     # Said here for all that follows: else only the join with labels would say it, and the halves would differ.
-    sent = snapshots.where(F.col("user_hash").isNotNull()).select("user_hash", "prefix7", "cell_id", F.explode(F.array(*roles)).alias("to")).select(
+    users = snapshots.where(F.col("user_hash").isNotNull()).select("user_hash", "prefix7", "cell_id", "stat_time")
+    timed = gathered(users, ("user_hash",)).withColumn("at", parse_time(stamp))
+    sent = timed.select("user_hash", "prefix7", "cell_id", F.explode(F.array(*roles)).alias("to")).select(
         "user_hash", "prefix7", "cell_id", "to.stat_time", "to.role"
     )
     cells = [F.max(F.when(F.col("role") == 0, F.col("cell_id"))).alias("cell_now")]
@@ -126,9 +129,9 @@ def movement_counts(
         return rows.select(*by, *keep, F.explode("counts_for").alias("for")).select(*by, *keep, "for.movement", "for.area_id")
 
     area = ("movement", "area_id")
-    rows = unpivot_regions(count_prefixes(each(placed, "prefix7"), area, by), prefix_region, (*by, *area))
+    rows = unpivot_regions(gathered(count_prefixes(each(placed, "prefix7"), area, by), by), prefix_region, (*by, *area))
     if labels:
-        people = each(labelled(placed, labels, (*by, "counts_for")), "label", "value")
+        people = each(labelled(placed, labels, (*by, "counts_for"), gather=by), "label", "value")
         rows = rows.unionByName(people.withColumn("cnt", F.lit(1).cast("long")))
     named = rows.withColumn("area_id", cell_or_unknown(F.col("area_id")))
     return add_up(named, area, by)
