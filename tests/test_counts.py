@@ -124,3 +124,17 @@ def test_one_cell_holding_most_people(spark):
         ("uv", 21_000), ("ufrom", 21_000), ("ufrom_short", 21_000), ("kind", 21_000)
     }
     assert counts.head_counts(people).where("area_id = 'hot'").first()["cnt"] == 21_000
+
+
+def test_groups_of_many_times_are_counted_task_by_task(spark, lines):
+    """The same counts, and before people become label rows those of a time and cell lie in one partition."""
+    times = [f"202401151{i}0000" for i in range(8)]
+    people = spark.createDataFrame([(f"u{i % 9}", f"c{i % 3}", "1860001", t) for i in range(40) for t in times], PEOPLE)
+    prefixes = spark.createDataFrame([("1860001", "310000"), ("1860001", None)], REGIONS)
+    spec = STANDARD_LABELS[0]
+    labels = [(spec, counts.parse_labels(lines(*(f"u{i}|{i % 2}|a|b|c|d|e" for i in range(7))), spec))]
+    keys = ("stat_time", "cell_id")
+    gathered = counts.area_counts(people, prefixes, labels, gather=keys)
+    assert rows(gathered) == rows(counts.area_counts(people, prefixes, labels)) and gathered.count() > 0
+    placed = counts.labelled(people, labels, keys, keys).select(*keys, F.spark_partition_id().alias("n")).distinct()
+    assert placed.count() == 24 and placed.select("n").distinct().count() > 1

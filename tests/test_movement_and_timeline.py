@@ -152,3 +152,13 @@ def test_latest_over_range_equals_looking_at_each_time(spark, ttl):
         want |= {(user, cell, moment) for user, (_, _, cell) in newest.items()}
         moment += timedelta(minutes=15)
     assert got == want != set()
+
+
+def test_tracking_moves_each_row_once(spark):
+    """One exchange, by user, and only after it are rows sent to later times."""
+    snap = spark.createDataFrame([("a", "c1", "p", "20240115120000"), ("a", "c1", "p", "20240115121500")], SNAP)
+    tracked = movement.track(snap, movement.LAGS)
+    assert [r["stayed_15m"] for r in tracked.orderBy("stat_time").collect()] == [None, "c1"]
+    plan = tracked._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange" if "Exchange" in plan else "Repartition")
+    assert tracked._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
