@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import posixpath
 import uuid
 from collections.abc import Iterator
@@ -61,6 +63,24 @@ def store_of(path: str) -> tuple[fs.FileSystem, str]:
     return (fs.LocalFileSystem(), uri.path) if uri.scheme in ("", "file") else fs.FileSystem.from_uri(path)
 
 
+#: What this process keeps from task to task, by the kind of work.
+_kept: dict[str, dict] = {}
+
+
+def kept(work: str) -> dict:
+    """What a worker keeps for one kind of work. What it kept for other work is given up, and its memory handed back."""
+    if work not in _kept:
+        if _kept:
+            _kept.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim:
+                trim(0)
+        _kept[work] = {}
+    return _kept[work]
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

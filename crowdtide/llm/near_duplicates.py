@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crowdtide.llm.common import Scratch, blocks, numbers, parts, shingle_hashes, word_hashes
+from crowdtide.llm.common import Scratch, blocks, kept, numbers, parts, shingle_hashes, word_hashes
 from crowdtide.llm.components import components
 
 ROWS, BANDS, BITS = 5, 32, 2
@@ -70,6 +70,7 @@ def _signer(size: int):
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("near duplicates")
         for batch in batches:
             for rows, data, offsets in blocks(batch.column("text")):
                 sets = list(shingle_hashes(*word_hashes(data, offsets, lower=True), size))
@@ -111,6 +112,7 @@ def _confirmer(size: int, num: int, den: int):
     """Streams texts sorted by leader, with the leader's own text first; holds one leader's set at a time."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("near duplicates")
         key = held = last = None
         for batch in batches:
             a, salt, b = (batch.column(c).to_pylist() for c in ("a", "salt", "b"))
@@ -187,6 +189,7 @@ def _joiner(size: int, num: int, den: int):
         return pa.record_batch([pa.array(good[0], pa.int64()), pa.array(good[1], pa.int64())], names=["a", "b"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("near duplicates")
         key = None
         nodes, sets, root = ([], []), ([], []), {}
         for batch in batches:

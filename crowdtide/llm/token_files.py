@@ -37,6 +37,8 @@ from crowdtide.llm.tokens import END, Encoder
 MAGIC = b"CTDAC001"
 #: Bits per count in the rank directory; ids after which a task starts its next file; ids packed at a time.
 RANK, FILE_IDS, BLOCK = 512, 4_000_000, 1 << 20
+#: Bytes of text whose distinct chunks are looked up together.
+TOGETHER = 4 << 20
 
 
 def widths(ids: np.ndarray) -> list[int]:
@@ -190,7 +192,7 @@ def _writer(tokenizer: str, folder: str):
         store.create_dir(root, recursive=True)
         for batch in batches:
             keys, texts = batch.column("id"), batch.column("text").fill_null("")
-            for rows, _, _ in blocks(texts):
+            for rows, _, _ in blocks(texts, TOGETHER):
                 for doc, found in zip(keys[rows].to_pylist(), encoder.encode(texts[rows].to_pylist()), strict=True):
                     docs.append(doc)
                     held.append(found + END)

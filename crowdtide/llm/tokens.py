@@ -12,20 +12,26 @@ import re
 import struct
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from crowdtide.llm.common import kept
+
 #: Chunks that one worker remembers; further ones are encoded each time they occur.
 REMEMBERED = 900_000
 END = struct.pack("<I", 2)
 #: Punctuation marks that are looked up apart from the word before them.
 MARKS = frozenset(".,;:!?")
 
+#: How the vocabulary writes a space.
+_SPACE = "\u0120"
 _APART = re.compile(r"\s\s")
 
 
 class Encoder:
     """``encode`` gives each text's ids as little-endian unsigned 32-bit numbers in one bytes value."""
 
-    _open: dict[tuple[str, int], Encoder] = {}
-
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
@@ -33,6 +39,9 @@ class Encoder:
 
         self._library = Tokenizer.from_file(path)
         self._newline = self._library.encode("\n", add_special_tokens=False).ids[0]
+        words = self._library.get_vocab()
+        self._spaced = np.zeros(max(words.values()) + 1, bool)  # ids whose token begins with a space
+        self._spaced[[n for word, n in words.items() if word[0] == _SPACE]] = True
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._mark = dict(zip(sorted(MARKS), self._ids(sorted(MARKS)), strict=True))
         # Keys are chunks without the space before them; with a line break before them it is part of the key.
@@ -41,9 +50,10 @@ class Encoder:
     @classmethod
     def of(cls, path: str, remembered: int = REMEMBERED) -> Encoder:
         """One for each process and path, so that chunks stay known from task to task."""
-        if (path, remembered) not in cls._open:
-            cls._open[path, remembered] = cls(path, remembered)
-        return cls._open[path, remembered]
+        opened = kept("tokens")
+        if (path, remembered) not in opened:
+            opened[path, remembered] = cls(path, remembered)
+        return opened[path, remembered]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
@@ -64,58 +74,32 @@ class Encoder:
                 (after_space if word is k else after_line).append(k)
         if other:
             out.update(zip(other, self._ids([self._whole(k) for k in other]), strict=True))
+        # A word's space begins its first token and stands in no other; a line break is a token of its own.
         line = struct.pack("<I", self._newline)
-        for words, head, lead in ((after_space, b"", lambda k: " " + k), (after_line, line, lambda k: k[1:])):
+        for words, head, apart, lead in ((after_space, b"", " ", 0), (after_line, line, "", 1)):
             for i in range(0, len(words), 2000):
                 some = words[i : i + 2000]
-                ids = self._library.encode_batch_fast(["\n".join(map(lead, some))], add_special_tokens=False)[0].ids
-                cuts = [j for j, x in enumerate(ids) if x == self._newline]
-                if len(cuts) != len(some) - 1:  # a word holds the line break's id itself
+                ids = np.array(self._library.encode_batch_fast([apart + (" ".join(some) if apart else "".join(some)[1:])], add_special_tokens=False)[0].ids, "<u4")
+                cuts = np.flatnonzero(self._spaced[ids] if apart else ids == self._newline)
+                if len(cuts) != len(some) - lead:  # a word holds the line break's id itself
                     out.update(zip(some, self._ids([self._whole(k) for k in some]), strict=True))
                     continue
-                raw = struct.pack(f"<{len(ids)}I", *ids)
-                for k, a, b in zip(some, [-1, *cuts], [*cuts, len(ids)], strict=True):
-                    out[k] = head + raw[4 * a + 4 : 4 * b]
+                raw, ends = ids.tobytes(), (4 * np.append(cuts, len(ids))).tolist()
+                starts = [0, *(x + 4 for x in ends[:-1])] if lead else ends[:-1]
+                for k, a, b in zip(some, starts, ends[1 - lead :], strict=True):
+                    out[k] = head + raw[a:b]
         return out
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        known, marks = self._known, self._mark
-        out: list = []
-        firsts: list[tuple[int, str]] = []
-        missing: list[tuple[int, int, str, bytes]] = []  # text, place, key, what follows it
+        out: list[bytes] = []
+        regular: list[tuple[int, str]] = []
         whole: list[tuple[int, str]] = []
         for n, text in enumerate(texts):
-            if not text or text[0].isspace() or text[-1].isspace() or _APART.search(text) or any(s in text for s in self._special):
-                whole.append((n, text))
-                out.append(None)
-                continue
-            keys = text.replace("\n", " \n").split(" ")
-            found = list(map(known.get, keys))
-            found[0] = None
-            firsts.append((n, keys[0]))
-            if None in found[1:]:
-                for i, x in enumerate(found):
-                    if x is None and i:
-                        key, tail = keys[i], b""
-                        if key[-1] in marks and key[-2:-1].isalpha():
-                            key, tail = key[:-1], marks[key[-1]]
-                        x = known.get(key)
-                        if x is None:
-                            missing.append((n, i, key, tail))
-                        else:
-                            found[i] = x + tail
-                            if len(known) < self._room:
-                                known[keys[i]] = found[i]
-            out.append(found)
-        if missing:
-            new = self._learn(list({m[2] for m in missing}))
-            for n, i, key, tail in missing:
-                out[n][i] = new[key] + tail
-            # A long chunk is rare by itself and would fill the memory.
-            room = max(0, self._room - len(known))
-            known.update([(k, v) for k, v in new.items() if len(k) <= 40][:room])
-        for (n, _), ids in zip(firsts, self._ids([k for _, k in firsts]), strict=True):
-            out[n][0] = ids
+            odd = not text or text[0].isspace() or text[-1].isspace() or _APART.search(text) or any(s in text for s in self._special)
+            (whole if odd else regular).append((n, text))
+            out.append(b"")
+        for (n, _), ids in zip(regular, self._regular([text for _, text in regular]), strict=True):
+            out[n] = ids
         if whole:
             # Irregular white space: chunks end before a space that something else than white space follows.
             pieces = [(n, p) for n, text in whole for p in self.chunks(text)]
@@ -124,8 +108,57 @@ class Encoder:
             for n, p in pieces:
                 parts[n].append(learnt[p])
             for n, found in parts.items():
-                out[n] = found
-        return [b"".join(x) for x in out]
+                out[n] = b"".join(found)
+        return out
+
+    def _regular(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts without white space in a row. Each distinct chunk is looked up once for all of them."""
+        if not texts:
+            return []
+        spaced = [text.replace("\n", " \n") for text in texts]
+        cuts = np.cumsum([0, *(text.count(" ") + 1 for text in spaced)])
+        coded = pc.split_pattern(pa.array([" ".join(spaced)], pa.large_string()), " ").values.dictionary_encode()
+        keys, number = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+        # A text's first chunk has no space before it.
+        number[cuts[:-1]] = len(keys) + np.arange(len(texts))
+        firsts = self._ids([text.split(" ", 1)[0] for text in spaced])
+        found = [*self._looked_up(keys, np.bincount(number, minlength=len(keys))[: len(keys)].tolist()), *firsts]
+        ids, sizes = np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found])
+        n = sizes[number]
+        ends = np.append(0, np.cumsum(n))
+        places = np.repeat((np.cumsum(sizes) - sizes)[number] - ends[:-1], n)
+        places += np.arange(len(places))
+        raw, at = ids[places].tobytes(), (4 * ends[cuts]).tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def _looked_up(self, keys: list[str], used: list[int]) -> list[bytes]:
+        """The ids of distinct chunks after a space, nothing for those that are not used; new ones are learnt."""
+        known, marks = self._known, self._mark
+        found = list(map(known.get, keys))
+        missing: list[tuple[int, str, bytes]] = []  # place, key, what follows it
+        for i, x in enumerate(found):
+            if x is None:
+                key, tail = keys[i], b""
+                if not used[i]:
+                    found[i] = b""
+                    continue
+                if key[-1] in marks and key[-2:-1].isalpha():
+                    key, tail = key[:-1], marks[key[-1]]
+                x = known.get(key)
+                if x is None:
+                    missing.append((i, key, tail))
+                else:
+                    found[i] = x + tail
+                    if len(known) < self._room:
+                        known[keys[i]] = found[i]
+        if missing:
+            new = self._learn(list({m[1] for m in missing}))
+            for i, key, tail in missing:
+                found[i] = new[key] + tail
+            # A long chunk is rare by itself and would fill the memory.
+            room = max(0, self._room - len(known))
+            known.update([(k, v) for k, v in new.items() if len(k) <= 40][:room])
+        return found
 
     def chunks(self, text: str) -> list[str]:
         """A text with white space in a row, or at its ends, in chunks; one with a special string is one chunk."""

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from conftest import DATA
 from corpus_fixtures import documents, odd  # noqa: F401
 from crowdtide.llm import token_files
-from crowdtide.llm.common import Scratch, table
+from crowdtide.llm.common import Scratch, kept, table
 from crowdtide.llm import packing
 from crowdtide.llm.packing import best_fit, pack
 from crowdtide.llm.queries import QUERIES, tokenizer
@@ -172,3 +172,20 @@ def test_a_task_writes_several_files(spark, monkeypatch):
         made = [b.to_pylist()[0] for b in writer(iter([batch]))]
     assert len(made) > 5 and [m["part"] for m in made] == list(range(len(made)))
     assert sum(m["n_docs"] for m in made) == 100
+
+
+def test_chunks_are_looked_up_once_for_all_texts(library, monkeypatch):
+    encoder, asked = Encoder(tokenizer()), []
+    plain = encoder._looked_up
+    monkeypatch.setattr(encoder, "_looked_up", lambda keys, used: asked.extend(keys) or plain(keys, used))
+    texts = ["so \u0120x na\u00efve's a\u00a0b\nline 12% \u6f22\u5b57, end.", "so so na\u00efve's end. so\nline", "end.", "", "  odd  "]
+    for _ in range(2):
+        asked.clear()
+        assert encoder.encode(texts) == [as_bytes(library.encode(t, add_special_tokens=False).ids) for t in texts]
+        assert len(asked) == len(set(asked)) > 5
+
+
+def test_a_worker_gives_up_what_other_work_kept():
+    held = kept("one")
+    held["index"] = 1
+    assert kept("one") is held and kept("two") == {} and kept("one") == {}
