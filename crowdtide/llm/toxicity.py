@@ -23,7 +23,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crowdtide.llm.common import Scratch, blocks, mix, parts, row_keys, span_hashes, store_of, word_spans
+from crowdtide.llm.common import Scratch, blocks, kept, mix, parts, row_keys, span_hashes, store_of, word_spans
 
 EXAMPLES, NEIGHBOURS, BLOCK_OF = 4000, 24, 64
 #: The share of examples from which on a term's postings are in blocks.
@@ -40,6 +39,8 @@ LONG = 0.05
 TOGETHER = 64
 #: Scores of single precision are off by less.
 _NEAR = 1e-4
+#: Pairs of a text and an example whose cosines are made anew together.
+_PAIRS = 1024
 #: Lengths in bytes of the word beginnings used as terms.
 BEGINNINGS = (4, 5, 6)
 #: Neighbours returned as evidence.
@@ -52,21 +53,26 @@ for _a, _b in ((48, 58), (65, 91), (97, 123)):
 
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of every term: each word of letters and digits, and the beginnings of longer ones."""
+    """Hash and text number of every term, text by text: of each word of letters and digits its beginnings, then all of it."""
     starts, ends, first = word_spans(data, offsets, _APART)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    found, where = [span_hashes(data, starts, ends, lower=True)], [text]
-    for n in BEGINNINGS:
-        longer = np.flatnonzero(ends - starts > n)
-        found.append(mix(span_hashes(data, starts[longer], starts[longer] + n, lower=True) + np.uint64(n)))
-        where.append(text[longer])
-    return np.concatenate(found).view(np.int64), np.concatenate(where)
+    size = ends - starts
+    many = 1 + sum((size > n).astype(np.int64) for n in BEGINNINGS)
+    last = np.cumsum(many)  # after each word's terms
+    word = np.repeat(np.arange(len(starts)), many)
+    at = np.arange(len(word)) - (last - many)[word]
+    part = np.append(BEGINNINGS, 0)[at]  # bytes of a beginning, 0 for the whole word
+    part[last - 1] = 0
+    found = span_hashes(data, starts[word], np.where(part, starts[word] + part, ends[word]), lower=True)
+    some = np.flatnonzero(part)
+    found[some] = mix(found[some] + part[some].astype(np.uint64))
+    return found.view(np.int64), np.repeat(np.arange(len(offsets) - 1), np.diff(np.append(0, last)[first]))
 
 
 def _distinct(found: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct terms of each text, in order of text and term, with how often each is there."""
-    order = np.lexsort((found, where))
-    found, where = found[order], where[order]
+    """The distinct terms of each text, in order of text and term, with how often each is there. Texts come in order."""
+    found, cuts = found.copy(), np.flatnonzero(where[1:] != where[:-1]) + 1
+    for own in np.split(found, cuts):
+        own.sort()
     new = np.ones(len(found), bool)
     new[1:] = (found[1:] != found[:-1]) | (where[1:] != where[:-1])
     at = np.flatnonzero(new)
@@ -117,9 +123,6 @@ class Index:
     weight: np.ndarray
     opened: list[int] = field(default_factory=lambda: [0, 0])  # blocks opened, and blocks there were
 
-    #: The index that this process has read last, by its file.
-    _read: ClassVar[dict[str, Index]] = {}
-
     @classmethod
     def build(cls, ids: np.ndarray, labels: np.ndarray, known: np.ndarray, term: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> Index:
         """From each example's id and label, the numbers of its distinct terms, their counts, and how many it has.
@@ -162,19 +165,21 @@ class Index:
         if path is None:
             none = np.zeros(0, np.int64)
             return cls.build(none, none, none, none.astype(np.int32), none, none)
-        if path not in cls._read or cls._read[path].first is None:
-            cls._read.clear()
+        last = kept("toxicity")
+        if path not in last or last[path].first is None:
+            last.clear()
             store, place = store_of(path)
             with store.open_input_stream(place) as source:
                 arrays = {name: np.lib.format.read_array(source) for name in _ARRAYS}
-                cls._read[path] = cls(**arrays, unknown=float(np.lib.format.read_array(source)[0]))
-        return cls._read[path]
+                last[path] = cls(**arrays, unknown=float(np.lib.format.read_array(source)[0]))
+        return last[path]
 
     @classmethod
     def for_search(cls, path: str | None) -> Index:
         """The same without the examples' own vectors: a worker that only searches has no need of them."""
-        if path in cls._read and cls._read[path].first is None:
-            return cls._read[path]
+        last = kept("toxicity")
+        if path in last and last[path].first is None:
+            return last[path]
         index = cls.read(path)
         if not hasattr(index, "_short"):
             index._lists()
@@ -185,19 +190,26 @@ class Index:
         """The two parts of the inverted index, made once in each worker."""
         n, terms = len(self.ids), len(self.known)
         example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.first))
-        long = np.bincount(self.term, minlength=terms) > LONG * n
+        seen = np.bincount(self.term, minlength=terms)
+        long = seen > LONG * n
         number = np.where(long, np.cumsum(long) - 1, -1)
         in_long = long[self.term]
+        # Blocks hold examples of one language: those with the same most common term, by the length of their long part.
+        common, length = np.full(n, -1), np.bincount(example[in_long], self.weight[in_long] ** 2, n)
+        np.maximum.at(common, example, seen[self.term] * terms + self.term)
+        self._order = np.lexsort((length, common))
+        self._place = np.empty(n, np.int32)
+        self._place[self._order] = np.arange(n)
         short = np.flatnonzero(~in_long)
         short = short[np.argsort(self.term[short], kind="stable")]
         self._short = np.append(0, np.cumsum(np.bincount(self.term[short], minlength=terms)))
-        self._example, self._weight = example[short], self.weight[short]
+        self._example, self._weight = self._place[example[short]], self.weight[short]
         self._long, self._blocks = number, max(1, -(-n // BLOCK_OF))
         self._rest_first = np.searchsorted(example[in_long], np.arange(n + 1))
         self._rest_term, self._rest_weight = number[self.term[in_long]].astype(np.int32), self.weight[in_long]
         del short
         dense = np.zeros((self._blocks * BLOCK_OF, int(long.sum())), np.float32)
-        dense[example[in_long], number[self.term[in_long]]] = self.weight[in_long]
+        dense[self._place[example[in_long]], number[self.term[in_long]]] = self.weight[in_long]
         self._dense = dense.reshape(self._blocks, BLOCK_OF, -1)
         self._largest = self._dense.max(axis=1).astype(np.float64)
         self._length = np.array([np.sqrt((b.astype(np.float64) ** 2).sum(axis=1)).max() for b in self._dense])
@@ -216,6 +228,7 @@ class Index:
         """
         if not hasattr(self, "_short"):
             self._lists()
+        but = None if but is None else self._place[but]
         n, all_of = len(self.ids), self._blocks * BLOCK_OF
         partly, rest = np.zeros((len(texts), all_of)), np.zeros((len(texts), self._dense.shape[2]))
         for row, (t, w) in enumerate(texts):
@@ -246,18 +259,23 @@ class Index:
         if but is not None:
             scored[np.arange(len(texts)), but] = -1.0
         scored[:, n:] = -1.0
-        return [self._exact(*rows, k) for rows in zip(partly, rest, scored, strict=True)]
-
-    def _exact(self, partly: np.ndarray, rest: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The first ``k`` of the scored examples: what the long lists add is added up again in double precision."""
-        cut = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
-        some = np.flatnonzero(scores >= max(cut - 2 * _NEAR, 0.0))
-        posts, sizes = _ragged(self._rest_first, some)
-        added = rest[self._rest_term[posts]] * self._rest_weight[posts]
-        cosine = partly[some] + np.bincount(np.repeat(np.arange(len(some)), sizes), added, len(some))
-        some, cosine = some[cosine > 0], cosine[cosine > 0]
-        top = np.lexsort((some, -np.round(cosine, 12)))[:k]
-        return some[top], cosine[top]
+        return self._exact(partly, rest, scored, k)
+
+    def _exact(self, partly: np.ndarray, rest: np.ndarray, scores: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The first ``k`` of each text's scored examples: what the long lists add is added up again in double precision."""
+        cut = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.zeros(len(scores))
+        row, place = np.nonzero(scores >= np.maximum(cut - 2 * _NEAR, 0.0)[:, None])
+        cosine, some = partly[row, place], self._order[place]
+        for low in range(0, len(row), _PAIRS):
+            own = slice(low, low + _PAIRS)
+            posts, sizes = _ragged(self._rest_first, some[own])
+            added = rest.ravel()[np.repeat(row[own] * rest.shape[1], sizes) + self._rest_term[posts]] * self._rest_weight[posts]
+            cosine[own] += np.bincount(np.repeat(np.arange(len(sizes)), sizes), added, len(sizes))
+        near = np.flatnonzero(cosine > 0)
+        near = near[np.lexsort((some[near], -np.round(cosine[near], 12), row[near]))]
+        cuts = np.searchsorted(row[near], np.arange(len(scores) + 1)).tolist()
+        best = [near[a : min(b, a + k)] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [(some[x], cosine[x]) for x in best]
 
     def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
         """The share of label 1 among the neighbours, each by the inverse of its distance; -1 without any."""

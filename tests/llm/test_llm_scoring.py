@@ -60,6 +60,15 @@ def brute_index(ids, labels, found, counts):
     return vector, [vector(f, c) for f, c in zip(found, counts, strict=True)]
 
 
+def test_terms_come_text_by_text():
+    """So a text's terms are sorted by themselves; each word's beginnings of 4 to 6 bytes, then all of it."""
+    texts = [b"Walking home", b"", b"a bb walking."]
+    found, where = toxicity.terms(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    assert where.tolist() == [0] * 5 + [2] * 6 and found[:4].tolist() == found[-4:].tolist()
+    terms, text, counts = toxicity._distinct(*toxicity.terms(np.frombuffer(b"b a b", np.uint8), np.array([0, 5])))
+    assert (np.diff(terms) > 0).all() and text.tolist() == [0, 0] and sorted(counts.tolist()) == [1, 2]
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_block_max_search_is_exact(seed, monkeypatch):
     monkeypatch.setattr(toxicity, "BLOCK_OF", 16)
