@@ -66,7 +66,7 @@ def test_terms_come_text_by_text():
     found, where = toxicity.terms(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
     assert where.tolist() == [0] * 5 + [2] * 6 and found[:4].tolist() == found[-4:].tolist()
     terms, text, counts = toxicity._distinct(*toxicity.terms(np.frombuffer(b"b a b", np.uint8), np.array([0, 5])))
-    assert (np.diff(terms) > 0).all() and text.tolist() == [0, 0] and sorted(counts.tolist()) == [1, 2]
+    assert terms[0] < terms[1] and text.tolist() == [0, 0] and sorted(counts.tolist()) == [1, 2]
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
