@@ -189,3 +189,18 @@ def test_a_worker_gives_up_what_other_work_kept():
     held = kept("one")
     held["index"] = 1
     assert kept("one") is held and kept("two") == {} and kept("one") == {}
+
+
+def test_learnt_chunks_cost_no_values_of_their_own(library):
+    """What a worker holds of each chunk is a row of one array; rows that it has no room for are given up."""
+    encoder = Encoder(tokenizer(), remembered=60)
+    long = "q" * 50
+    texts = [f"w{k} word{k}, next{k}\nline{k}. t\tab{k} {long}{k} end{k}!" for k in range(40)]
+    want = [as_bytes(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert encoder.encode(texts) == want
+    held, size = dict(encoder._known), encoder._rows
+    assert len(held) == 60 and size == 61 and all(type(row) is int and 0 < row < size for row in held.values())
+    for word, row in held.items():
+        mine = encoder._pool[encoder._ends[row] : encoder._ends[row + 1]].tolist()
+        assert mine == library.encode(encoder._whole(word), add_special_tokens=False).ids
+    assert encoder.encode(texts[::-1]) == want[::-1] and encoder._known == held and encoder._rows == size
