@@ -68,14 +68,14 @@ def made_from(spark: SparkSession, path: str, times: Sequence[datetime], lags: C
     """For each time with a snapshot and each kind of result due at it: the fingerprints of what it is made from.
 
     A kind is left out if the snapshot of its time has no fingerprint. A look-back without a snapshot counts
-    as one that holds nothing.
+    as one that holds nothing. Current results made beside comparisons are of districts alone and say so by a ``|``.
     """
     reach = {time_text(look_back(t, lag)) for t in times for lag in lags(t).values()} | {time_text(t) for t in times}
     known, found = fingerprints(spark, path, reach), {}
     for t in times:
         own = known.get(time_text(t))
         if own is not None:
-            found[time_text(t), CURRENT] = own
+            found[time_text(t), CURRENT] = f"{own}|" if lags(t) else own
             for kind, lag in lags(t).items():
                 found[time_text(t), kind] = f"{own}|{known.get(time_text(look_back(t, lag)), '')}"
     return found
@@ -89,7 +89,10 @@ def _changed(spark: SparkSession, paths: Paths, kinds: Collection[str], times: S
         marks = finished(spark, paths.marks, kind).where(F.col("stat_time").isin(texts)).collect()  # no more than were asked for
         of_kind = {((r["stat_time"], r["movement"]), r["source"]) for r in marks if r["source"] is not None}
         made = of_kind if made is None else made & of_kind
-    stale = {t for (t, kind), source in sources.items() if ((t, kind), source) not in (made or set())}
+    # Current results of all areas hold those of districts; the reverse is not so.
+    whole = {(key, f"{source}|") for key, source in made or () if key[1] == CURRENT}
+    made = whole.union(made or ())
+    stale = {key[0] for key, source in sources.items() if (key, source) not in made}
     stale |= set(texts) - {t for t, _ in sources}
     return [t for t in times if time_text(t) in stale]
 
