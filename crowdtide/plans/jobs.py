@@ -89,7 +89,7 @@ def _changed(spark: SparkSession, paths: Paths, kinds: Collection[str], times: S
         marks = finished(spark, paths.marks, kind).where(F.col("stat_time").isin(texts)).collect()  # no more than were asked for
         of_kind = {((r["stat_time"], r["movement"]), r["source"]) for r in marks if r["source"] is not None}
         made = of_kind if made is None else made & of_kind
-    # Current results of all areas hold those of districts; the reverse is not so.
+    # Current results of all areas stand for those of districts too, though counts of a district may differ; the reverse is not so.
     whole = {(key, f"{source}|") for key, source in made or () if key[1] == CURRENT}
     made = whole.union(made or ())
     stale = {key[0] for key, source in sources.items() if (key, source) not in made}
